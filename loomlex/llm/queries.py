@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality
+from . import bpe, quality
 from .common import table
 
 
@@ -19,6 +19,10 @@ def op5_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), bpe.default_path())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
