@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality
+from . import bpe, quality, tokenfile, urlfilter
 from .common import table
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.write_and_read(table(spark, sf_dir, "documents"), tokenfile.default_path())
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.match(table(spark, sf_dir, "pages"))
+
+
 def op5_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.apply_policy(quality.ledger(table(spark, sf_dir, "documents")))
     return rows.select(
@@ -28,4 +36,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_url_filter": urlfilter.ORACLE}
