@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality, tokenfile, urlfilter
+from . import bpe, quality, simhash, tokenfile, urlfilter
 from .common import table
 
 
+def op1_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.write_and_read(table(spark, sf_dir, "documents"), tokenfile.default_path())
 
