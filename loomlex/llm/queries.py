@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality, simhash, tokenfile, urlfilter
+from . import bpe, mixing, quality, simhash, tokenfile, urlfilter
 from .common import table
 
 
@@ -36,9 +36,13 @@ def op6_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), bpe.default_path())
 
 
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filter": urlfilter.ORACLE}
+    return {"op3_url_filter": urlfilter.ORACLE, "op10_mix_sources": mixing.ORACLE}
