@@ -139,8 +139,8 @@ class Automaton:
                 row = rows.get(a)
 
 
-class _Memo(dict):
-    """Encoded runs by text, filled on demand."""
+class Memo(dict):
+    """Encoded pieces by text, filled on demand."""
 
     def __init__(self, fill: Callable[[str], bytes]):
         super().__init__()
@@ -179,7 +179,7 @@ class Codec:
         self.decimal_of = [str(i) for i in range(size)]
         self.coarse, self.fine, self.most = re.compile(_COARSE).findall, regex.compile(_FINE).findall, memo
         self.pieces: dict[str, list[int]] = {}
-        self.runs = _Memo(self._run)
+        self.runs = Memo(self._run)
 
     def _run(self, run: str) -> bytes:
         ids: list[int] = []

@@ -12,6 +12,7 @@ import os
 import unicodedata
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import Memo, byte_alphabet
 from .common import filesystem, new_dir, parts_for, texts
 
 MAGIC = b"LXS8B\x01\x00\x00"
@@ -172,10 +174,10 @@ class Reader:
 
 
 class WordEncoder:
-    """The tokenizers library over a word-level BPE file, with results kept by white-space-delimited run.
+    """The tokenizers library over a word-level BPE file, with results kept by piece of its pre-tokenizer's pattern.
 
-    A run's ids don't depend on what surrounds it where normalizing leaves each run alone. That is known for the
-    characters in _PLAIN; any other text goes through the library whole.
+    Where normalizing does no more than lower each character, pieces can be cut first and each distinct one be given
+    to the library's model once. That is known for the characters in _PLAIN; any other text goes through the library whole.
     """
 
     #: No combining marks, no letter whose lower case is longer than itself, no control characters but white space.
@@ -196,33 +198,25 @@ class WordEncoder:
         letters, numbers = kind("L"), kind("N")
         #: The tokenizer's pattern, its classes spelt out for plain characters.
         self.split = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+").findall
-        self.known: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        by_byte = {b: c for c, b in byte_alphabet().items()}
+        self.spelling = [by_byte[b] for b in range(256)]
+        self.pieces = Memo(self._learn)
         self.most = most
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, runs: set[str]) -> None:
-        """Encodes runs by their pieces, which the tokenizer's own pattern encodes apart."""
-        split = {r: self.split(r.lower()) for r in runs}
-        new = list({p for ps in split.values() for p in ps if p not in self.pieces})
-        for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.pieces[p] = np.array(e.ids, "<u4").tobytes()
-        for r, ps in split.items():
-            self.known[r] = b"".join(map(self.pieces.__getitem__, ps))
+    def _learn(self, piece: str) -> bytes:
+        # The model alone, on the piece's bytes as the tokenizer's byte-level step spells them.
+        spelt = piece if piece.isascii() else "".join(map(self.spelling.__getitem__, piece.encode()))
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(spelt)]).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         if self.odd(text):
             return np.frombuffer(self._whole(text), "<u4")
-        if len(self.known) > self.most:  # bounds the memory; what is needed again is encoded again
-            self.known.clear()
+        if len(self.pieces) > self.most:  # bounds the memory; what is needed again is encoded again
             self.pieces.clear()
-        runs = text.split()
-        new = {r for r in set(runs) if r not in self.known}
-        if new:
-            self._learn(new)
-        return np.frombuffer(b"".join(map(self.known.__getitem__, runs)), "<u4")
+        return np.frombuffer(b"".join(map(self.pieces.__getitem__, self.split(text.lower()))), "<u4")
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
