@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, quality, simhash, tokenfile, toxicity, urlfilter
+from . import bpe, mixing, pages, quality, simhash, tokenfile, toxicity, urlfilter
 from .common import table
 
 
@@ -24,6 +24,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.match(table(spark, sf_dir, "pages"))
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.apply_policy(quality.ledger(table(spark, sf_dir, "documents")))
     return rows.select(
