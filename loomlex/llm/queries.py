@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, pages, quality, simhash, tokenfile, toxicity, urlfilter
+from . import bpe, media, mixing, pages, quality, simhash, tokenfile, toxicity, urlfilter
 from .common import table
 
 
@@ -40,6 +40,10 @@ def op6_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), bpe.default_path())
 
 
+def op7_media_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.store_and_read(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
