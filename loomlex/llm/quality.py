@@ -141,3 +141,21 @@ def keep_good(docs: DataFrame, policy: str = CURRENT, id_col: str = "doc_id", te
     packed = docs.select(F.struct(*(F.col(f"`{c}`").alias(k) for k, c in fields.items())).alias("id"), F.col(text).alias("text"))
     kept = apply_policy(ledger(packed, "id"), policy).where("kept")
     return kept.select(*(F.col(f"id.{k}").alias(c) for k, c in fields.items()))
+
+
+ORACLE = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT doc_id, unnest(ws) AS a, unnest(generate_series(1, len(ws))) AS i FROM d),
+g AS (SELECT *, lead(a, 1) OVER o AS b, lead(a, 2) OVER o AS c FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+r AS (SELECT doc_id, i FROM g WHERE c IS NOT NULL QUALIFY count(*) OVER (PARTITION BY doc_id, a, b, c) > 1),
+rw AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM r) GROUP BY doc_id),
+l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
+ln AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS dup FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+m AS (SELECT d.doc_id, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup, 0) AS n_dup_lines,
+        coalesce(rw.n, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS n_letters, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper
+      FROM d LEFT JOIN rw USING (doc_id) LEFT JOIN ln USING (doc_id)),
+f AS (SELECT *, CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END + CASE WHEN 10 * n_symbols > 3 * n_words THEN 4 ELSE 0 END
+        + CASE WHEN n_lines >= 4 AND 100 * n_dup_lines > 40 * n_lines THEN 8 ELSE 0 END + CASE WHEN n_letters >= 50 AND 2 * n_upper > n_letters THEN 16 ELSE 0 END
+        + CASE WHEN n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 30 * n_words) THEN 32 ELSE 0 END AS bits FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (bits & 3) <> 0 AS base_failed, bits = 0 AS kept, CAST(bits AS INTEGER) AS failure_bits FROM f
+"""

@@ -61,4 +61,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filter": urlfilter.ORACLE, "op10_mix_sources": mixing.ORACLE}
+    return {"op3_url_filter": urlfilter.ORACLE, "op5_quality_ledger": quality.ORACLE, "op9_substring_dedup": substring.ORACLE, "op10_mix_sources": mixing.ORACLE}

@@ -402,3 +402,15 @@ def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text: s
     schema = ", ".join(f"{k} {kinds[c]}" for k, c in names.items())
     out = removed(docs, finish, schema, window, SEGMENT, id_col, text, names)
     return out.select(*(F.col(k).alias(c) for k, c in names.items()))
+
+
+_LEADS = " || ' ' || ".join(["a", *(f"lead(a, {k}) OVER o" for k in range(1, WINDOW))])
+ORACLE = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT doc_id, unnest(ws) AS a, unnest(generate_series(1, len(ws))) AS i FROM d),
+k AS (SELECT *, {_LEADS} AS key FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+f AS (SELECT doc_id, i, a, CASE WHEN key IS NOT NULL AND min(doc_id) OVER (PARTITION BY key) < doc_id THEN 1 ELSE 0 END AS hit FROM k),
+c AS (SELECT *, max(hit) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {WINDOW - 1} PRECEDING AND CURRENT ROW) AS gone FROM f),
+s AS (SELECT doc_id, sum(gone) AS n, string_agg(a, ' ' ORDER BY i) FILTER (gone = 0) AS kept FROM c GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN s USING (doc_id)
+"""
