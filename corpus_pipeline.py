@@ -16,8 +16,9 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near copies."""
-    return simhash.keep_one(docs.select(*COLUMNS))
+    """The first document of each group of near copies: five-word shingles, a similarity of 0.8 or more."""
+    docs = docs.select(*COLUMNS)
+    return simhash.keep_one(docs, simhash.similar(docs))
 
 
 def repeated_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
