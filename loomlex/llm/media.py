@@ -172,7 +172,9 @@ class ArchiveReader(DataSourceReader):
         files = [f for f in fs.get_file_info(FileSelector(base, recursive=True)) if f.type == FileType.File and f.path.endswith(".zip") and not f.base_name.startswith(("_", "."))]
         return [Range(f.path, f.size, a, min(a + self.range_bytes, f.size)) for f in sorted(files, key=lambda f: f.path) for a in range(0, f.size, self.range_bytes)]
 
-    def read(self, part: Range) -> Iterator[pa.RecordBatch]:
+    def read(self, part: Range | None) -> Iterator[pa.RecordBatch]:
+        if part is None:  # Spark's stand-in for no partitions
+            return
         fs, _ = filesystem(self.uri)
         held = {"source": None}
 
