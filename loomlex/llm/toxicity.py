@@ -1,8 +1,9 @@
 """Toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
-The labelled rows that may be learned from are dealt into three parts by a hash of their id. From the first come two
-lexicons with weights, one of whole words and one of word beginnings; on the second the trees are fitted, so that they
-see the lexicons as they will on new texts; the third calibrates. Only texts make features.
+The labelled rows that may be learned from are dealt into two halves and a rest by a hash of their id. Each half gives
+two lexicons with weights, one of whole words and one of word beginnings, which make the features of the other half, so
+that the trees see lexicons as they will on new texts. The lexicons that stay come from both halves; the rest calibrates.
+Only texts make features.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from .common import map_batches, text_of, texts, written
 #: At most this many labelled rows are learned from, chosen by a hash of their id; and at most so many lexicon entries kept.
 TRAIN_ROWS, LEXICON_ENTRIES = 30_000, 4_000
 #: An entry must occur in this many labelled texts and have these log-odds.
-MIN_TEXTS, MIN_LOG_ODDS = 4, 1.5
+MIN_TEXTS, MIN_LOG_ODDS = 2, 2.0
 BEGINNINGS = (4, 5, 6)
 CUT = 0.7
 _STRIP = "".join(chr(c) for c in range(33, 128) if not chr(c).isalnum()) + "«»“”‘’„…–—¿¡"
@@ -141,23 +142,25 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str =
     # At most TRAIN_ROWS ids and labels: a few hundred KB, whatever the input.
     rows = text_of(docs, F.col(id_col).alias("id"), text=text).join(F.broadcast(chosen), "id")
     rows = written(rows.withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(5)).cast("int")), "labelled")
-    words, begins = _lexicons(rows.where("part < 2"))
-    x, y, part = _features(rows.where("part >= 2"), words, begins)
-    trees = gbt.fit(x[part < 4], y[part < 4])
-    return Model(words, begins, trees, gbt.isotonic(trees.raw(x[part == 4]), y[part == 4]))
+    halves = [F.col("part").isin(0, 1), F.col("part").isin(2, 3)]
+    made = [_features(rows.where(other), *_lexicons(rows.where(half))) for half, other in (halves, halves[::-1])]
+    words, begins = _lexicons(rows.where("part < 4"))
+    trees = gbt.fit(np.concatenate([x for x, _ in made]), np.concatenate([y for _, y in made]))
+    x, y = _features(rows.where("part = 4"), words, begins)
+    return Model(words, begins, trees, gbt.isotonic(trees.raw(x), y))
 
 
-def _features(rows: DataFrame, words: dict[str, float], begins: dict[str, float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features, labels and parts of at most TRAIN_ROWS rows, on the driver: a few MB."""
+def _features(rows: DataFrame, words: dict[str, float], begins: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of at most TRAIN_ROWS rows, on the driver: a few MB."""
 
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
         f = Featurizer(words, begins)
         x = [f(t.decode()) for t in texts(batch.column("text"))]
-        return pa.RecordBatch.from_arrays([batch.column("id").cast(pa.string()), batch.column("y"), batch.column("part"), pa.array(x, pa.list_(pa.float64()))], ["id", "y", "part", "x"])
+        return pa.RecordBatch.from_arrays([batch.column("id").cast(pa.string()), batch.column("y"), pa.array(x, pa.list_(pa.float64()))], ["id", "y", "x"])
 
-    got = map_batches(rows.select("id", "y", "part", "text"), kernel, "id string, y int, part int, x array<double>").toArrow().sort_by("id")
+    got = map_batches(rows.select("id", "y", "text"), kernel, "id string, y int, x array<double>").toArrow().sort_by("id")
     x = np.array(got.column("x").to_pylist(), float).reshape(-1, len(FEATURES))
-    return x, got.column("y").to_numpy(), got.column("part").to_numpy()
+    return x, got.column("y").to_numpy()
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
