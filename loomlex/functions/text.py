@@ -8,6 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Fixed values of the matching method.
 STOP_WORDS = tuple(
@@ -20,18 +21,18 @@ ENGLISH = ("", "en", "en-us", "en-gb")
 _SPACES = "[" + "".join(f"\\u{c:04x}" for c in range(0x10000) if chr(c).isspace()) + "]"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def fold(s: pd.Series) -> pd.Series:
     """NFKC, then case folding: what Spark has no function for. ASCII values, by far the most, are only lowered."""
     return s.map(lambda x: x if x is None else x.lower() if x.isascii() else unicodedata.normalize("NFKC", x).casefold())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: x if x is None or x.isascii() else unicodedata.normalize("NFC", x))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def three_decimals(s: pd.Series) -> pd.Series:
     """The decimal text of round(x, 3), ties by the binary value as it is."""
     return s.map(lambda x: None if pd.isna(x) else f"{round(x, 3):.3f}")

@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import identity, stats
 from .tables import RDFS, SKOS, null_safe
@@ -17,7 +18,7 @@ SCRIPTS = {"ar": "Arabic", "el": "Greek", "he": "Hebrew", "ru": "Cyrillic", "uk"
 LANGUAGE_TAG = r"^(?:[A-Za-z]{2,8}(?:-[A-Za-z]{4})?(?:-(?:[A-Za-z]{2}|[0-9]{3}))?(?:-(?:[A-Za-z0-9]{5,8}|[0-9][A-Za-z0-9]{3}))*(?:-[A-WYZa-wyz0-9](?:-[A-Za-z0-9]{2,8})+)*(?:-[Xx](?:-[A-Za-z0-9]{1,8})+)?|[Xx](?:-[A-Za-z0-9]{1,8})+)$"
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def _container(s: pd.Series) -> pd.Series:
     import ast
 

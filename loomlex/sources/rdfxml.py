@@ -149,7 +149,9 @@ class _Reader(DataSourceReader):
         files = [f.path for f in fs.get_file_info(FileSelector(at)) if f.type == FileType.File and not f.base_name.startswith(("_", "."))] if info.type == FileType.Directory else [at]
         return [_File(f, i) for i, f in enumerate(sorted(files))]
 
-    def read(self, part: _File) -> Iterator[tuple]:
+    def read(self, part: _File | None) -> Iterator[tuple]:
+        if part is None:  # Spark's stand-in for no partitions
+            return
         from pyarrow.fs import FileSystem
 
         fs, _ = FileSystem.from_uri(self.path if "://" in self.path else "file://" + os.path.abspath(self.path))
