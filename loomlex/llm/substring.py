@@ -33,7 +33,8 @@ WINDOW, GRAM = 13, 5
 SEGMENT = 64
 #: Stands for a null id: no document is after it.
 LAST = (1 << 63) - 1
-CHUNK_BYTES = 8 << 20
+#: Partitions follow the input at this many bytes; chunks and buckets are SPREAD times as many, so that partitions come out alike.
+CHUNK_BYTES, SPREAD = 8 << 20, 4
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 _P = 0x9E3779B97F4A7C15
@@ -319,13 +320,14 @@ def removed(docs: DataFrame, finish, schema: str, window: int = WINDOW, segment:
     extra: further columns to carry, their name here to their name in docs.
     """
     spark = docs.sparkSession
-    chunks = parts_for(docs, CHUNK_BYTES)
+    parts = parts_for(docs, CHUNK_BYTES)
+    chunks = SPREAD * parts
     carried = {k: F.col(f"`{c}`").alias(k) for k, c in (extra or {}).items()}
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"), *carried.values())
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("id", F.when(F.col("id").isNull(), F.col("text"))), F.lit(chunks)).cast("int"))
     # Dealt once, as a table in buckets: the three passes over the texts read it where it lies.
     name, at = f"chunks_{uuid.uuid4().hex}", new_dir(spark, "chunks")
-    rows.repartition(chunks, "chunk").sortWithinPartitions("chunk", "id", "text").write.bucketBy(chunks, "chunk").sortBy("chunk").option("path", at).option("compression", "zstd").saveAsTable(name)
+    rows.repartition(parts, "chunk").sortWithinPartitions("chunk", "id", "text").write.bucketBy(parts, "chunk").sortBy("chunk").option("path", at).option("compression", "zstd").saveAsTable(name)
     release(spark)
     table = spark.table(name)
     slim = table.select("chunk", "id", "text")
@@ -334,7 +336,7 @@ def removed(docs: DataFrame, finish, schema: str, window: int = WINDOW, segment:
     pieces = written(slim.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(_cut(window, segment), _PIECES), "pieces")
     release(spark)
     distinct = pieces.groupBy("ref", "segment", "piece").agg(F.min("least").alias("least"))
-    dealt = distinct.withColumn("deal", F.pmod(F.xxhash64("ref", "segment"), F.lit(4 * chunks)).cast("int"))
+    dealt = distinct.withColumn("deal", F.pmod(F.xxhash64("ref", "segment"), F.lit(SPREAD * chunks)).cast("int"))
     answers = written(dealt.groupBy("deal").applyInArrow(_answer(window), "ref long, segment int, digest binary, first binary"), "answers")
     release(spark)
     told = _with_digest(pieces).join(answers, ["ref", "segment", "digest"]).select("chunk", "docs", "starts", "first")
