@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import identity, stats
-from .tables import RDFS, SKOS, null_safe
+from .tables import RDFS, SKOS, null_safe, stored
 
 TARGETS = (RDFS + "label", SKOS + "prefLabel", SKOS + "altLabel", SKOS + "hiddenLabel", SKOS + "definition", SKOS + "example", SKOS + "note")
 SENTINELS = ("null", "none", "n/a")
@@ -102,17 +102,24 @@ def stratum_counts(records: DataFrame, by: list[str]) -> DataFrame:
 
 
 def hash_sample(records: DataFrame, id_col: str, seed: str, confidence: float, margin: float, census_at: int, strata: int, stratum_col: str = "stratum") -> DataFrame:
-    """records with their place in a hash order and whether the sample of their stratum takes them.
+    """records with whether the sample of their stratum takes them, and their place in the hash order (null well beyond the sample).
 
-    Ids are taken by count within the stratum's order; the order is by sha-256 of seed and id.
+    The order is by sha-256 of seed and id. Counts per leading digits of the hash tell how far a stratum's sample reaches
+    at most; only rows up to there are sorted, so that no task sorts a whole stratum.
     """
     key = F.sha2(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string")), 256)
-    sizes = records.groupBy(stratum_col).agg(F.count(F.lit(1)).alias("population"))
-    each = stats.simultaneous(confidence, strata)
-    want = F.when(F.col("population") <= census_at, F.col("population")).otherwise(stats.sample_size(F.col("population"), each, margin))
-    # At most one row per stratum; the join takes whichever form its size allows.
-    rows = records.join(sizes.withColumn("sample", want.cast("long")), stratum_col)
-    return rows.withColumn("place", F.row_number().over(W.partitionBy(stratum_col).orderBy(key, id_col)).cast("long")).withColumn("selected", F.col("place") <= F.col("sample"))
+    rows = records.withColumn("_key", key).withColumn("_digits", F.substring("_key", 1, 3))
+    counts = rows.groupBy(stratum_col, "_digits").agg(F.count(F.lit(1)).alias("_n"))
+    whole = counts.groupBy(stratum_col).agg(F.sum("_n").alias("population"))
+    want = F.when(F.col("population") <= census_at, F.col("population")).otherwise(stats.sample_size(F.col("population"), stats.simultaneous(confidence, strata), margin))
+    # At most 4096 rows per stratum here, and one below; joins take whichever form their size allows.
+    run = counts.join(whole.withColumn("sample", want.cast("long")), stratum_col).withColumn("_to", F.sum("_n").over(W.partitionBy(stratum_col).orderBy("_digits")))
+    reach = run.where("_to >= sample").groupBy(stratum_col).agg(F.min("_digits").alias("_reach"), F.first("population").alias("population"), F.first("sample").alias("sample"))
+    placed = rows.join(reach, stratum_col)
+    near = placed.where("_digits <= _reach").withColumn("place", F.row_number().over(W.partitionBy(stratum_col).orderBy("_key", id_col)).cast("long"))
+    near = near.withColumn("selected", F.col("place") <= F.col("sample"))
+    far = placed.where("_digits > _reach").withColumn("place", F.lit(None).cast("long")).withColumn("selected", F.lit(False))
+    return near.unionByName(far).drop("_key", "_digits", "_reach")
 
 
 def evaluate_sample(selected: DataFrame, results: DataFrame, confidence: float, strata: int, most: float) -> DataFrame:
@@ -187,9 +194,20 @@ def unseen_requests(requests: DataFrame, receipts: DataFrame, key: str) -> DataF
 
 
 def batches(records: DataFrame, order: str, size: int = 25, group: list[str] | None = None) -> DataFrame:
-    """records with the number of their batch of `size`, in order, within each group."""
-    n = F.row_number().over(W.partitionBy(*(group or [F.lit(0)])).orderBy(order))
-    return records.withColumn("batch", F.floor((n - 1) / size).cast("long"))
+    """records with the number of their batch of `size`, in order, within each group.
+
+    Rows are dealt by ranges of group and order; a range's offset is the sum of the ranges before it, so that a common
+    group is numbered by many tasks.
+    """
+    group = group or []
+    n = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = stored(records.repartitionByRange(n, *group, order).withColumn("_part", F.spark_partition_id()), "ranges")
+    sizes = dealt.groupBy(*group, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = W.partitionBy(*(group or [F.lit(0)])).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select(*(F.col(g).alias(f"_g{i}") for i, g in enumerate(group)), F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    cond = [F.col("_part") == F.col("_p"), *(F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group))]
+    place = F.row_number().over(W.partitionBy(*group, "_part").orderBy(order)) - 1 + F.col("_offset")
+    return dealt.join(offsets, cond).withColumn("batch", F.floor(place / size).cast("long")).select(*records.columns, "batch")
 
 
 def release_decision(gates: dict[str, bool]) -> tuple[str, list[str]]:
