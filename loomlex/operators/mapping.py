@@ -12,7 +12,14 @@ GAP_COLUMNS = "subject_id subject_label match_string headword_senses_domains".sp
 REQUIRED_KEYS = "curie_map mapping_set_id mapping_set_version mapping_set_title mapping_set_description license mapping_date mapping_tool mapping_tool_version subject_source subject_source_version object_source object_source_version".split()
 PREDICATES = tuple(f"skos:{k}Match" for k in ("exact", "close", "broad", "narrow", "related"))
 OBJECT_SHAPE = r"^OGS:[^\s|,;:]+:[a-z]+:\d+$"
-FORBIDDEN = r"(?i)owl:sameAs|owl:equivalentClass|owl#sameAs|owl#equivalentClass|openGlossID"
+#: Identity claims that a mapping set must not make, in any case.
+FORBIDDEN = ("owl:sameAs", "owl:equivalentClass", "owl#sameAs", "owl#equivalentClass")
+
+
+def forbidden(text: Column, more: tuple[str, ...] = ()) -> Column:
+    """Whether a text, header or record, holds a forbidden token; more: tokens of a source's own."""
+    low = F.lower(text)
+    return F.coalesce(F.greatest(F.lit(False), *(F.contains(low, F.lit(t.lower())) for t in (*FORBIDDEN, *more))), F.lit(False))
 
 
 def row_findings(rows: DataFrame, subject_shape: str, object_shape: str = OBJECT_SHAPE, prefixes: tuple[str, ...] | None = None) -> DataFrame:

@@ -71,6 +71,11 @@ def test_header_findings():
     assert ("header-missing-key", "license") in mapping.header_findings({}, {"skos": "x"}) and ("curie-map", "skos") in mapping.header_findings({}, {"skos": "x"})
 
 
+def test_forbidden_tokens(spark):
+    rows = spark.createDataFrame([("x OWL:sameas y",), ("own ID",), ("fine",), (None,)], "t string")
+    assert [r[0] for r in rows.select(mapping.forbidden(F.col("t"), ("own id",))).collect()] == [True, True, False, False]
+
+
 def test_later_comments_are_records():
     head, rest = files.split_header("# a: b\n#c: d\nx\ty\n# z\n")
     assert files.parse_header(head) == {"a": "b", "c": "d"} and rest == "x\ty\n# z\n"
