@@ -133,7 +133,7 @@ def plan(
 
 def mix(docs: DataFrame, fraction: tuple[int, int] = (4, 5), weights: Mapping[tuple[str, ...], int] = WEIGHTS, seed: str = SEED, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs, unchanged, that one epoch takes. Rows that repeat an id are taken if any of them is."""
-    taken = plan(docs, fraction, 1, weights, None, seed, id_col, text).select(F.col(id_col).alias("_taken")).distinct()
+    taken = plan(docs, fraction, 1, weights, None, seed, id_col, text).select(F.col(id_col).alias("_taken")).distinct().hint("merge")
     return docs.join(taken, docs[id_col].eqNullSafe(taken["_taken"]), "left_semi")
 
 

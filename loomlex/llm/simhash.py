@@ -398,7 +398,8 @@ def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> Data
     groups: (id, component_id) for every row, as near_duplicates() and similar() give it.
     """
     groups = written(groups.select(id_col, "component_id"), "groups")
-    ids = groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_kept")).distinct()
+    # The kept ids are a share of all rows, so they are never sent to every task: the join is a merge at any size.
+    ids = groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_kept")).distinct().hint("merge")
     kept = docs.join(ids, docs[id_col].eqNullSafe(ids["_kept"]), "left_semi")
     repeated = groups.groupBy(id_col).count().where("count > 1").select(F.col(id_col).alias("_kept"))
     if repeated.isEmpty():
