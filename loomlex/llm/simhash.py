@@ -226,10 +226,22 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESH
     return marked.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
-# Similarity over several fingerprints: a link is a similarity of shingle sets, not a number of differing bits.
+# Similarity of shingle sets, not a number of differing bits: several fingerprints find candidates, the sets decide.
+
+
+def row_key(id_col: str, text: str):
+    """A hash that rows share if both id and text are the same."""
+    return F.xxhash64(F.col(id_col), F.col(text).cast("string"))
+
 
 #: Fingerprints per text, and the share of differing bits that stands for a Jaccard similarity s: the angle of sets whose cosine is 2s / (1 + s).
 SEEDS, WIDE, SIMILARITY = 6, 5, 0.8
+#: Sketches only find candidates: pairs whose differing bits lie within so many standard deviations of what the similarity asked for gives.
+DEVIATIONS = 6
+#: Texts of a group of candidates that one task compares; larger groups are dealt into shares, to all of which some texts go.
+SHARE_ROWS, COMMON = 256, 8
+#: Bits of the map (of fixed size, whatever the input) that tells which rows' texts may be candidates.
+MAP_BITS = 23
 #: Tight groups are taken out of busy anchors around so many pivots at most, before all are compared with all.
 PIVOTS = 32
 
@@ -238,18 +250,28 @@ def share_of(similarity: float) -> float:
     return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
 
 
-def sketch(text: bytes, width: int = WIDE, seeds: int = SEEDS) -> np.ndarray:
-    """`seeds` fingerprints of the distinct shingles, each over the same hashes mixed with another constant."""
+def shingles(text: bytes, width: int = WIDE) -> np.ndarray:
+    """The sorted hashes of the distinct shingles; fewer words make one, no words none."""
     ws = text.lower().split()
     if not ws:
-        return np.zeros(seeds, np.uint64)
+        return np.array([], np.uint64)
     digest = xxhash.xxh64_intdigest
     joined = b" ".join(ws)
     if len(ws) <= width:
-        h = np.array([digest(joined, SEED)], np.uint64)
-    else:
-        ends = np.cumsum([len(w) + 1 for w in ws]) - 1
-        h = np.unique(np.array([digest(joined[a:b], SEED) for a, b in zip([0, *(ends[:-width] + 1).tolist()], ends[width - 1 :].tolist(), strict=True)], np.uint64))
+        return np.array([digest(joined, SEED)], np.uint64)
+    ends = np.cumsum([len(w) + 1 for w in ws]) - 1
+    return np.unique(np.array([digest(joined[a:b], SEED) for a, b in zip([0, *(ends[:-width] + 1).tolist()], ends[width - 1 :].tolist(), strict=True)], np.uint64))
+
+
+def node_of(h: np.ndarray) -> int:
+    """The node of a shingle set, as a signed long: equal sets are one."""
+    return int(np.array(xxhash.xxh64_intdigest(h.astype("<u8").tobytes(), SEED), np.uint64).view(np.int64))
+
+
+def sketch(h: np.ndarray, seeds: int = SEEDS) -> np.ndarray:
+    """`seeds` fingerprints of a shingle set, each over the same hashes mixed with another constant."""
+    if not len(h):
+        return np.zeros(seeds, np.uint64)
     out = []
     for k in range(seeds):
         x = (h ^ np.uint64(0x9E3779B97F4A7C15 * (k + 1) & (1 << 64) - 1)) * np.uint64(0xBF58476D1CE4E5B9)
@@ -276,7 +298,7 @@ def _union(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = to[root]
 
 
-def _near(f: np.ndarray, rows: np.ndarray, cols: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+def _near(f: np.ndarray, rows: np.ndarray, cols: np.ndarray, most: int, first: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows and cols of the sketches f that differ in at most `most` bits."""
     out_a, out_b = [], []
     step = max(1, (1 << 20) // max(1, len(cols)))
@@ -284,7 +306,7 @@ def _near(f: np.ndarray, rows: np.ndarray, cols: np.ndarray, most: int) -> tuple
         part = rows[i : i + step]
         # The first fingerprint leaves few pairs: those whose share of differing bits may still be small enough.
         d = np.bitwise_count(f[part, 0][:, None] ^ f[cols, 0][None, :])
-        x, y = np.nonzero(d <= min(64, 64 * most // (64 * f.shape[1]) + 16))
+        x, y = np.nonzero(d <= first)
         total = np.bitwise_count(f[part[x]] ^ f[cols[y]]).sum(axis=1, dtype=np.int64)
         hit = total <= most
         out_a.append(part[x[hit]])
@@ -293,9 +315,13 @@ def _near(f: np.ndarray, rows: np.ndarray, cols: np.ndarray, most: int) -> tuple
     return cat(out_a), cat(out_b)
 
 
-def link_sketches(f: np.ndarray, most: int) -> np.ndarray:
-    """Each row's root under links of at most `most` differing bits; every pair that is not linked already is looked at."""
+def link_sketches(f: np.ndarray, most: int, first: int | None = None) -> np.ndarray:
+    """Each row's root under links of at most `most` differing bits; every pair that is not linked already is looked at.
+
+    first: the most that the first of the fingerprints may differ in.
+    """
     n = len(f)
+    first = min(64, most // f.shape[1] + 16) if first is None else first
     root, rest = np.arange(n), np.arange(n)
     for _ in range(PIVOTS if n > 512 else 0):
         pivot = rest[:1]
@@ -305,13 +331,13 @@ def link_sketches(f: np.ndarray, most: int) -> np.ndarray:
             continue
         root = _union(root, near, np.repeat(pivot, len(near)))
         rest = np.setdiff1d(rest, near, assume_unique=True)
-        root = _union(root, *_near(f, near, rest, most))
+        root = _union(root, *_near(f, near, rest, most, first))
         if not len(rest):
             return root
     rest = np.sort(rest)
     step = max(1, (1 << 20) // max(1, len(rest)))
     for i in range(0, len(rest), step):
-        root = _union(root, *_near(f, rest[i : i + step], rest[i:], most))
+        root = _union(root, *_near(f, rest[i : i + step], rest[i:], most, first))
     return root
 
 
@@ -335,10 +361,10 @@ def _sketch_anchors(seeds: int):
     return kernel
 
 
-def _compare_sketches(seeds: int, most: int):
+def _compare_sketches(seeds: int, most: int, first: int):
     def stars(nodes: list, raw: list) -> tuple[np.ndarray, np.ndarray]:
         node, f = np.concatenate(nodes), np.frombuffer(b"".join(raw), "<u8").reshape(-1, seeds)
-        root = link_sketches(f, most)
+        root = link_sketches(f, most, first)
         moved = np.flatnonzero(root != np.arange(len(root)))
         return node[moved], node[root[moved]]
 
@@ -368,28 +394,121 @@ def _compare_sketches(seeds: int, most: int):
     return run
 
 
+def link_sets(sets: list[np.ndarray], f: np.ndarray, root: np.ndarray, home: np.ndarray, similarity: float, most: int) -> np.ndarray:
+    """root after the links of similar sets: of pairs with a home in them, not linked already, and near by their sketches f, each is decided exactly."""
+    sizes, at, root = np.array([len(x) for x in sets]), np.arange(len(sets)), root.copy()
+    for i in np.flatnonzero(home).tolist():
+        fits = (root != root[i]) & ~(home & (at < i)) & (np.minimum(sizes, sizes[i]) >= similarity * np.maximum(sizes, sizes[i]) - 1e-9)
+        js = np.flatnonzero(fits)
+        js = js[np.bitwise_count(f[js] ^ f[i]).sum(axis=1, dtype=np.int64) <= most]
+        for s in range(0, len(js), 1024):
+            j = js[s : s + 1024]
+            flat = np.concatenate([sets[k] for k in j.tolist()])
+            found = sets[i][np.minimum(np.searchsorted(sets[i], flat), sizes[i] - 1)] == flat
+            both = np.add.reduceat(found, np.cumsum(sizes[j]) - sizes[j], dtype=np.int64)
+            hit = j[both >= similarity * (sizes[j] + sizes[i] - both) - 1e-9]
+            root[np.isin(root, root[hit])] = root[i]
+    return root
+
+
+def _compare_sets(width: int, seeds: int, similarity: float, most: int):
+    """Over rows sorted by (comp, share), each partition holding whole shares."""
+
+    def stars(held: list) -> tuple[np.ndarray, np.ndarray]:
+        node, known, home, f = np.array([h[0] for h in held]), np.array([h[1] for h in held]), np.array([h[2] for h in held]), np.frombuffer(b"".join(h[3] for h in held), "<u8").reshape(-1, seeds)
+        root = link_sets([h[4] for h in held], f, np.unique(known, return_inverse=True)[1], home, similarity, most)
+        _, first, to = np.unique(root, return_index=True, return_inverse=True)
+        moved = np.flatnonzero(first[to] != np.arange(len(root)))
+        return node[moved], node[first[to[moved]]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, out = None, [], []
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("comp", "share", "node", "known", "home", "sketch")]
+            for comp, share, node, known, home, raw, text in zip(*columns, texts(batch.column("text")), strict=True):
+                if (comp, share) != key and held:
+                    out.append(stars(held))
+                    held = []
+                key = comp, share
+                held.append((node, known, home, raw, shingles(text, width)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[i] for o in out])) for i in (0, 1)], ["a", "b"])
+                out = []
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in stars(held)], ["a", "b"])
+
+    return run
+
+
+def _candidate_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text: str) -> DataFrame:
+    """wanted (row_key, ...) with each row's text. Other texts are left out by a map of bits before any shuffle."""
+    word, bit = F.shiftright(F.col("row_key").bitwiseAND((1 << MAP_BITS) - 1), 6).alias("word"), F.expr("shiftleft(1L, cast(row_key & 63 AS int))")
+    bits = wanted.select(word, bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    rows = docs.select(row_key(id_col, text).alias("row_key"), F.col(text).cast("string").alias("text")).select("row_key", "text", word)
+    maybe = rows.join(F.broadcast(bits), "word").where(F.col("bits").bitwiseAND(bit) != 0).select("row_key", "text").dropDuplicates(["row_key"])
+    return maybe.join(wanted.hint("merge"), "row_key")
+
+
+def _similar_links(rows: DataFrame, width: int, seeds: int, similarity: float, most: int) -> DataFrame:
+    """(node, root) over links of exact similarity within each comp of rows (comp, node, sketch, text), as components() gives it.
+
+    A large comp is dealt into shares. First each share is compared within itself and with a few texts that go to all;
+    what is then outside of the comp's largest group is compared with all shares. So no pair is left out, and a group
+    of near copies is not compared with itself again in each share.
+    """
+    spark = rows.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts_for(rows, 1 << 22))
+    busy = written(rows.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / SHARE_ROWS).cast("int").alias("shares")).where("shares > 1"), "busy")
+
+    def compared(dealt: DataFrame, wanders) -> DataFrame:
+        own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("shares")).cast("int")
+        everywhere = F.sequence(F.lit(0), F.col("shares") - 1)
+        spread = dealt.select("*", own.alias("own"), F.explode(F.when(wanders, everywhere).otherwise(F.array(own))).alias("share"))
+        spread = spread.select("comp", "share", "node", "known", (F.col("share") == F.col("own")).alias("home"), "sketch", "text")
+        return spread.repartition(n, "comp", "share").sortWithinPartitions("comp", "share").mapInArrow(_compare_sets(width, seeds, similarity, most), "a long, b long")
+
+    dealt = rows.join(F.broadcast(busy), "comp", "left").withColumns({"shares": F.coalesce("shares", F.lit(1)), "known": F.col("node")})
+    linked = components(compared(dealt, F.pmod(F.xxhash64("node", F.lit(2)), F.col("shares") * SHARE_ROWS) < COMMON))
+    if busy.isEmpty():
+        return linked
+    known = rows.select("comp", "node").join(F.broadcast(busy), "comp").join(linked, "node", "left").select("comp", "shares", "node", F.coalesce("root", "node").alias("known"))
+    known = written(known, "known")
+    main = known.groupBy("comp", "known").count().groupBy("comp").agg(F.max_by("known", F.struct("count", "known")).alias("main"), F.count(F.lit(1)).alias("groups")).where("groups > 1")
+    left = rows.join(known.drop("comp"), "node").join(F.broadcast(main.select("comp", "main")), "comp")
+    return components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(compared(left, F.col("known") != F.col("main"))))
+
+
 def similar(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDE, seeds: int = SEEDS, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, component_id): groups of texts whose sets of `width`-word shingles are as similar as asked, as several fingerprints tell it.
+    """(id, component_id, row_key, group): groups of texts that links of a Jaccard similarity as asked connect, over distinct `width`-word shingles.
 
-    The similarity is an estimate over 64 * seeds bits (0.03 to 0.05 of error around 0.8). Texts without words form one
-    group. Null ids, repeated rows and empty tables are treated as near_duplicates() does.
+    Several fingerprints find the candidates; what they miss of pairs at the similarity asked is below one in a
+    thousand. Each link is decided on the shingle sets themselves. Equal sets are one node, whatever their ids. Texts
+    without words form one group. Null ids, repeated rows and empty tables are treated as near_duplicates() does.
     """
 
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([batch.column("id"), pa.array([sketch(x, width, seeds).astype("<u8").tobytes() for x in texts(batch.column("text"))], pa.binary())], ["id", "sketch"])
+        sets = [shingles(x, width) for x in texts(batch.column("text"))]
+        nodes, raw = pa.array([node_of(h) for h in sets], pa.int64()), pa.array([sketch(h, seeds).astype("<u8").tobytes() for h in sets], pa.binary())
+        return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("row_key"), nodes, raw], ["id", "row_key", "node", "sketch"])
 
     spark = docs.sparkSession
-    marked = written(map_batches(text_of(docs, F.col(id_col).cast("long").alias("id"), text=text), kernel, "id long, sketch binary"), "sketches")
-    classes = written(marked.groupBy("sketch").agg(F.min("id").alias("least")).withColumn("node", F.coalesce("least", F.xxhash64("sketch"))), "classes")
+    rows = text_of(docs, F.col(id_col).cast("long").alias("id"), row_key(id_col, text).alias("row_key"), text=text)
+    marked = written(map_batches(rows, kernel, "id long, row_key long, node long, sketch binary"), "sketches")
+    classes = written(marked.groupBy("node", "sketch").agg(F.min("id").alias("least"), F.min("row_key").alias("row_key")), "classes")
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts_for(classes, 1 << 18))
     rows = map_batches(classes.select("node", "sketch").repartition(n), _sketch_anchors(seeds), "anchor long, node long, sketch binary")
-    most = int(share_of(similarity) * 64 * seeds)
-    stars = rows.repartition(n, "anchor").sortWithinPartitions("anchor").mapInArrow(_compare_sketches(seeds, most), "a long, b long")
-    roots = components(stars)
-    rooted = classes.join(roots, "node", "left").select("sketch", "least", F.coalesce("root", "node").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("sketch", "component_id")
-    return marked.join(named, "sketch").select(F.col("id").alias(id_col), "component_id")
+    share, bits = share_of(similarity), 64 * seeds
+    most, first = int(share * bits + DEVIATIONS * (bits * share * (1 - share)) ** 0.5), min(64, int(64 * share) + 16)
+    stars = rows.repartition(n, "anchor").sortWithinPartitions("anchor").mapInArrow(_compare_sketches(seeds, most, first), "a long, b long")
+    loose = components(stars)
+    members = loose.select("node", F.col("root").alias("comp")).unionAll(loose.select(F.col("root").alias("node"), F.col("root").alias("comp")).distinct())
+    wanted = written(members.join(classes.select("node", "sketch", "row_key"), "node"), "candidates")
+    near = written(_candidate_texts(docs, wanted, id_col, text), "candidate-texts")
+    roots = _similar_links(near, width, seeds, similarity, most)
+    rooted = classes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("group"))
+    least = rooted.groupBy("group").agg(F.min("least").alias("component_id"))
+    named = rooted.join(least, "group").select("node", "component_id", "group")
+    return marked.join(named, "node").select(F.col("id").alias(id_col), "component_id", "row_key", "group")
 
 
 def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
