@@ -15,7 +15,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_batches, parts_for, text_of, texts, written
@@ -46,8 +46,13 @@ def fingerprint(text: bytes, width: int = WIDTH) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
+def row_key(id_col: str, text: str) -> Column:
+    """A hash that rows share if both id and text are the same."""
+    return F.xxhash64(F.col(id_col), F.col(text).cast("string"))
+
+
 def fingerprints(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, fp): fp is the 64-bit SimHash as a signed long.
+    """(id, fp, row_key): fp is the 64-bit SimHash as a signed long.
 
     A bit is 1 if set in over half of the hashes of the text's shingles of `width` words, repeats included; fewer words
     make one shingle. Null, empty and blank texts have fingerprint zero.
@@ -55,10 +60,10 @@ def fingerprints(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", te
 
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
         fps = np.array([fingerprint(x, width) for x in texts(batch.column("text"))], np.uint64)
-        return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fps.view(np.int64))], ["id", "fp"])
+        return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fps.view(np.int64)), batch.column("row_key")], ["id", "fp", "row_key"])
 
     kind = dict(docs.dtypes)[id_col]
-    return map_batches(text_of(docs, F.col(id_col).alias("id"), text=text), kernel, f"id {kind}, fp long")
+    return map_batches(text_of(docs, F.col(id_col).alias("id"), row_key(id_col, text).alias("row_key"), text=text), kernel, f"id {kind}, fp long, row_key long")
 
 
 def _golay_tables() -> tuple[np.ndarray, np.ndarray]:
@@ -210,7 +215,7 @@ def links(distinct: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, fp, component_id): component_id is the least id reachable over links of fingerprints, the row's own included.
+    """(id, fp, component_id, row_key, group): component_id is the least id reachable over links of fingerprints, the row's own included.
 
     Equal fingerprints are linked, so texts without words form one group. A null id is no one's least id: component_id
     is null only where all ids of a group are. Repeated rows give repeated rows; an empty table gives an empty result.
@@ -222,18 +227,12 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESH
     roots = components(links(classes.select("fp").repartition(n), threshold)).withColumnRenamed("node", "fp")
     rooted = classes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    named = rooted.join(least, "root").select("fp", "component_id", F.col("root").alias("group"))
+    return marked.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id", "row_key", "group")
 
 
 # Similarity of shingle sets, not a number of differing bits: several fingerprints find candidates, the sets decide.
 
-
-def row_key(id_col: str, text: str):
-    """A hash that rows share if both id and text are the same."""
-    return F.xxhash64(F.col(id_col), F.col(text).cast("string"))
-
-
 #: Fingerprints per text, and the share of differing bits that stands for a Jaccard similarity s: the angle of sets whose cosine is 2s / (1 + s).
 SEEDS, WIDE, SIMILARITY = 6, 5, 0.8
 #: Sketches only find candidates: pairs whose differing bits lie within so many standard deviations of what the similarity asked for gives.
@@ -511,17 +510,18 @@ def similar(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDE,
     return marked.join(named, "node").select(F.col("id").alias(id_col), "component_id", "row_key", "group")
 
 
-def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of docs, unchanged, that have the least id of their group; of several rows with that id, one stays.
+def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """The first row of each group, unchanged: the least id (null only where all ids are), of several texts with it the least row_key.
 
-    groups: (id, component_id) for every row, as near_duplicates() and similar() give it.
+    groups: (id, component_id, row_key, group) for every row, as near_duplicates() and similar() give it. Groups tell rows
+    apart by id and text, so that null and repeated ids neither merge groups nor lose them.
     """
-    groups = written(groups.select(id_col, "component_id"), "groups")
-    # The kept ids are a share of all rows, so they are never sent to every task: the join is a merge at any size.
-    ids = groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_kept")).distinct().hint("merge")
-    kept = docs.join(ids, docs[id_col].eqNullSafe(ids["_kept"]), "left_semi")
-    repeated = groups.groupBy(id_col).count().where("count > 1").select(F.col(id_col).alias("_kept"))
+    groups = written(groups.select(id_col, "component_id", "row_key", "group"), "groups")
+    # The kept rows are a share of all, so they are never sent to every task: the join is a merge at any size.
+    first = groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy("group").agg(F.min("row_key").alias("_row_key")).select("_row_key")
+    kept = docs.withColumn("_row_key", row_key(id_col, text)).join(first.hint("merge"), "_row_key", "left_semi")
+    repeated = groups.groupBy("row_key").count().where("count > 1").select(F.col("row_key").alias("_row_key"))
     if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, kept[id_col].eqNullSafe(repeated["_kept"]), "left_anti")
-    return once.unionByName(kept.join(repeated, kept[id_col].eqNullSafe(repeated["_kept"]), "left_semi").dropDuplicates([id_col]))
+        return kept.select(*docs.columns)
+    once = kept.join(repeated, "_row_key", "left_anti")
+    return once.unionByName(kept.join(repeated, "_row_key", "left_semi").dropDuplicates(["_row_key"])).select(*docs.columns)

@@ -63,3 +63,13 @@ def test_large_groups_in_shares(spark, monkeypatch, share, common):
     rows = family(2)
     want = brute_groups(rows)
     assert 6 < len(set(want)) < len(rows) and groups_of(spark, rows) == want
+
+
+def test_null_and_repeated_ids_keep_their_groups(spark):
+    t = [" ".join(f"{c}{i}" for i in range(40)) for c in "abcdefg"]
+    rows = [(None, t[0]), (None, t[1]), (None, t[1]), (None, t[2]), (3, t[2] + " more"), (5, t[3]), (5, t[4]), (5, t[4]), (6, t[4]), (7, t[5]), (None, t[6]), (8, t[6])]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = sorted([(None, t[0]), (None, t[1]), (3, t[2] + " more"), (5, t[3]), (5, t[4]), (7, t[5]), (8, t[6])], key=repr)
+    for groups in (simhash.similar(table), simhash.near_duplicates(table)):
+        kept = sorted((tuple(r) for r in simhash.keep_one(table, groups).collect()), key=repr)
+        assert kept == want
