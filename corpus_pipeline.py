@@ -43,7 +43,7 @@ STAGES = [
     ("mixing", target_mix),
     ("bpe_tokens", tokens),
 ]
-#: SQL expresses neither the fingerprints' links nor the tokens; tests hold the pipeline against a brute-force version.
+#: SQL expresses neither the fingerprints' links nor the tokens; tests hold near copies against a brute-force version, not the whole pipeline.
 ORACLE_SQL = None
 
 
