@@ -134,7 +134,7 @@ def match(pages: DataFrame, rules: Iterable[tuple[str, str, str]] = RULES, defau
 def match_by_join(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: str = "page_id", url: str = "url") -> DataFrame:
     """match() for lists beyond MAX_RULES: rules (host, path, verdict) is a table, joined on each of a URL's host suffixes.
 
-    The same result for ids that are unique, without a broadcast; the join's hot suffixes are split by Spark at run time.
+    The same result, null and repeated ids included, as host and path decide; without a broadcast; the join's hot suffixes are split by Spark at run time.
     """
     u = F.col("url")
     start = F.instr(u, "://")
@@ -144,12 +144,12 @@ def match_by_join(pages: DataFrame, rules: DataFrame, default: str = "allow", id
     rows = pages.select(F.col(id_col).alias("id"), F.coalesce(F.col(url).cast("string"), F.lit("")).alias("url")).select("id", host.alias("host"), path.alias("path"))
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    keys = rows.select("id", "path", F.explode(suffixes).alias("rule_host"))
+    keys = rows.select("host", "path").distinct().select("host", "path", F.explode(suffixes).alias("rule_host"))
     listed = rules.select(F.translate("host", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz").alias("rule_host"), F.col("path").alias("rule_path"), "verdict")
     fits = keys.join(listed, "rule_host").where(F.startswith("path", "rule_path"))
     best = F.max_by(F.struct(F.concat("rule_host", "rule_path").alias("rule"), "verdict"), F.struct(F.length("rule_host") + F.length("rule_path"), F.length("rule_host"), F.col("verdict") == "block"))
-    chosen = fits.groupBy("id").agg(best.alias("best"))
-    return rows.join(chosen, "id", "left").select(F.col("id").alias(id_col), "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+    chosen = fits.groupBy("host", "path").agg(best.alias("best"))
+    return rows.join(chosen, ["host", "path"], "left").select(F.col("id").alias(id_col), "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
 
 
 ORACLE = r"""
