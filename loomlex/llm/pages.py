@@ -11,6 +11,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 
@@ -19,26 +20,39 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import gbt
+from . import gbt, pagegen
 from .common import steps
 
 #: Pages that the trees are fitted on; a bound of the generator, not of what is read.
-TRAIN_PAGES, SEED = 400, 11
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+TRAIN_PAGES, SEED = 800, 11
+_S = " \t\n\r\f"
+#: An attribute as HTML reads it: a quote opens a value only after "=", and only if it is closed somewhere.
+_PAIR = rf"[^{_S}/>][^{_S}/>=]*+(?:[{_S}]*+=[{_S}]*+(?:\"[^\"]*\"|'[^']*'|[^{_S}>]*+))?+"
+_TOKEN = re.compile(rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*+(?:>|\Z)|</(?![a-zA-Z])[^>]*+>|<(/?)([a-zA-Z][^{_S}/>]*+)((?:[{_S}/]++|{_PAIR})*+)(?:>|\Z)", re.S)
+_ATTR = re.compile(rf"([^{_S}/>][^{_S}/>=]*+)(?:[{_S}]*+=[{_S}]*+(?:\"([^\"]*)\"|'([^']*)'|([^{_S}>]*+)))?+")
 _NAME_PART = re.compile(r"[a-z]+")
-_RAW = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for t in ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "object", "select", "xmp", "noembed", "noframes")}
+_RAW = {t: re.compile(rf"</{t}(?=[{_S}/>])[^>]*+(?:>|\Z)", re.I) for t in ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "object", "select", "xmp", "noembed", "noframes")}
+#: Of these, what a page without the end tag loses from there on; the others then are tags like any.
+_TO_THE_END = frozenset("script style textarea title iframe xmp noembed noframes".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup html head legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-_ENDS_P = _BLOCKS - {"button"}
-#: What a start tag closes: the nearest open one of the first set, unless one of the second is nearer.
-_IMPLIED = {
-    "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
-    "th": ({"td", "th"}, {"tr", "table"}), "tbody": ({"tbody", "thead", "tfoot"}, {"table"}), "tfoot": ({"tbody", "thead"}, {"table"}), "body": ({"head"}, {"html"}),
-}
-_SCOPE = frozenset("td th table caption button html body article section div main aside nav header footer form".split())
+#: What a start tag closes, by family: the nearest open one of the first set, unless one of the second is nearer.
+_FAMILIES = (
+    ({"p"}, frozenset("td th table caption button html body article section div main aside nav header footer form".split())),
+    ({"li"}, _BLOCKS - {"li", "p", "div", "address"}),
+    ({"dt", "dd"}, _BLOCKS - {"dt", "dd", "p", "div", "address"}),
+    ({"tr"}, {"table"}),
+    ({"td", "th"}, {"tr", "table"}),
+    ({"tbody", "thead", "tfoot"}, {"table"}),
+)
+_CLOSES = {t: tuple(i for i, (own, _) in enumerate(_FAMILIES) if t in own or i == 0 and t != "button") for t in _BLOCKS}
+_CLOSES |= {"tbody": (0, 5), "thead": (0, 5), "tfoot": (0, 5), "tr": (0, 3)}
+_MARKS = {t: tuple(i for i, (own, stops) in enumerate(_FAMILIES) if t in own or t in stops) for t in _BLOCKS}
+#: What is open outside of one of these is not closed by an end tag within it, tables' own tags excepted.
+_FRAMES = frozenset("table td th caption".split())
+_OF_TABLES = _FRAMES | {"tr", "tbody", "thead", "tfoot"}
 #: Tokens of class, id and role that speak for and against main text.
 GOOD = frozenset("article post entry content story main body text prose blog hentry copy page".split())
 BAD = frozenset(
@@ -47,11 +61,11 @@ BAD = frozenset(
 _GROUPS = ("#text", "p", "h1 h2 h3 h4 h5 h6", "li dt dd", "ul ol dl menu", "div center", "section", "article", "main", "nav", "header", "footer", "aside", "form fieldset button legend", "table tbody tr td th", "blockquote pre figure figcaption", "body html", "dialog details summary")
 _GROUP_OF = {t: i for i, g in enumerate(_GROUPS) for t in g.split()}
 _OVER = ("nav", "header", "footer", "aside", "form", "article", "main", "li")
-N_FEATURES = len(_GROUPS) + len(_OVER) + 20
+N_FEATURES = len(_GROUPS) + len(_OVER) + 36
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "good", "bad", "parts", "linked", "text", "chars", "links", "size", "words", "stops")
+    __slots__ = ("tag", "parent", "kids", "good", "bad", "parts", "linked", "text", "near", "open", "chars", "links", "size", "words", "stops", "paras", "longest")
 
     def __init__(self, tag: str, parent: Node | None, good: int = 0, bad: int = 0):
         self.tag, self.parent, self.good, self.bad = tag, parent, good, bad
@@ -59,12 +73,28 @@ class Node:
         self.parts: list[str] = []
         self.linked = 0
         self.text = ""
+        # The nearest open node of each family, itself included; and how many are open by tag within its table cell.
+        self.near: tuple = (None,) * len(_FAMILIES)
+        self.open: dict[str, int] = {}
+
+
+def _tokens_of(attributes: str) -> tuple[int, int]:
+    good = bad = 0
+    for a in _ATTR.finditer(attributes):
+        if a[1].lower() in ("class", "id", "role", "itemprop"):
+            for t in _NAME_PART.findall((a[2] or a[3] or a[4] or "").lower()):
+                good += t in GOOD
+                bad += t in BAD
+    return good, bad
 
 
 def parse(page: str) -> list[Node]:
-    """The page's blocks and text runs in document order, the root first. Scripts, styles, forms' choices, titles and markup leave nothing."""
+    """The page's blocks and text runs in document order, the root first. Scripts, styles, forms' choices, titles and markup leave nothing.
+
+    Each token takes constant time but for the nodes that it closes, whatever the depth.
+    """
     root = Node("html", None)
-    nodes, at, run, in_link = [root], root, None, 0
+    nodes, at, run, in_link, unclosed, cells = [root], root, None, 0, set(), Counter()
     i, n, find = 0, len(page), _TOKEN.search
 
     def text(piece: str) -> None:
@@ -73,10 +103,21 @@ def parse(page: str) -> list[Node]:
             run = Node("#text", at)
             at.kids.append(run)
             nodes.append(run)
+        if "&" in piece:
+            piece = entities.unescape(piece)
         run.parts.append(piece)
         if in_link:
             run.linked += len(piece)
 
+    def close(up: Node) -> None:
+        """Closes all that is open up to and including `up`."""
+        nonlocal at
+        while at is not up.parent:
+            at.parent.open[at.tag] -= 1
+            if at.tag in _OF_TABLES:
+                cells[at.tag] -= 1
+            at = at.parent
+
     while i < n:
         m = find(page, i)
         if m is None:
@@ -92,106 +133,112 @@ def parse(page: str) -> list[Node]:
         if m[1]:
             if name == "a":
                 in_link = 0
-            elif name == "p" or name in _BLOCKS:
-                run, up = None, at
-                while up is not None and up.tag != name:
-                    up = up.parent
-                if up is not None and up is not root:
-                    at, in_link = up.parent, 0
             elif name == "br":
                 text(" ")
+            elif name in _BLOCKS and name not in ("body", "html", "head"):
+                run = None
+                if cells[name] if name in _OF_TABLES else at.open.get(name):
+                    up = at
+                    while up.tag != name:
+                        up = up.parent
+                    close(up)
+                    in_link = 0
             continue
-        if name in _RAW:
-            close = _RAW[name].search(page, i)
-            i = close.end() if close else n
+        if name in _RAW and name not in unclosed:
+            end = _RAW[name].search(page, i)
+            if end is None and name not in _TO_THE_END:
+                unclosed.add(name)
+            else:
+                i = end.end() if end else n
             continue
         if name == "a":
             in_link = 1
             continue
         if name in _VOID:
-            if name in ("br", "hr"):
-                text(" ") if name == "br" else None
-                run = run if name == "br" else None
+            if name == "br":
+                text(" ")
+            elif name == "hr":
+                run = None
             continue
         if name not in _BLOCKS:
             continue
         run, in_link = None, 0
-        if name in ("html", "head"):
+        if name in ("html", "head") or name == "body" and at.open.get("body"):
             continue
-        if name in _ENDS_P:
-            up = at
-            while up is not None and up.tag != "p" and up.tag not in _SCOPE:
-                up = up.parent
-            if up is not None and up.tag == "p":
-                at = up.parent
-        if name in _IMPLIED:
-            closes, stops = _IMPLIED[name]
-            up = at
-            while up is not None and up.tag not in closes and up.tag not in stops:
-                up = up.parent
-            if up is not None and up.tag in closes:
-                at = up.parent
-        good = bad = 0
-        for a in _ATTR.finditer(m[3]) if m[3] else ():
-            if a[1].lower() in ("class", "id", "role", "itemprop"):
-                for t in _NAME_PART.findall((a[2] or a[3] or a[4] or "").lower()):
-                    good += t in GOOD
-                    bad += t in BAD
-        at = Node(name, at, good, bad)
-        at.parent.kids.append(at)
+        for family in _CLOSES[name]:
+            up = at.near[family]
+            if up is not None and up.tag in _FAMILIES[family][0]:
+                close(up)
+        up = at
+        at = Node(name, up, *(_tokens_of(m[3]) if m[3] else (0, 0)))
+        up.kids.append(at)
         nodes.append(at)
+        up.open[name] = up.open.get(name, 0) + 1
+        at.open = {} if name in _FRAMES else up.open
+        if name in _OF_TABLES:
+            cells[name] += 1
+        marks = _MARKS[name]
+        at.near = tuple(at if f in marks else x for f, x in enumerate(up.near)) if marks else up.near
     for x in nodes:
         if x.tag == "#text":
-            x.text = " ".join(entities.unescape("".join(x.parts)).split())
+            x.text = " ".join("".join(x.parts).split())
             x.parts = []
     return nodes
 
 
+def _kinds(nodes: list[Node]) -> np.ndarray:
+    return np.array([_GROUP_OF.get(x.tag, 5) for x in nodes])
+
+
 def features(nodes: list[Node]) -> np.ndarray:
+    """One row per node: its tag and those it stands in, tokens of its attributes, depth, text, links and sentences of its subtree, siblings, and what the page has."""
     for x in reversed(nodes):
         if x.tag == "#text":
-            x.chars, x.links, x.size = len(x.text), min(x.linked, len(x.text)), 1
-            x.words = x.text.count(" ") + bool(x.text)
+            x.chars, x.links, x.size, x.paras = len(x.text), min(x.linked, len(x.text)), 1, 0
+            x.words = x.longest = x.text.count(" ") + bool(x.text)
             x.stops = x.text.count(". ") + x.text.count(", ") + x.text.endswith((".", "!", "?"))
         else:
-            x.chars = x.links = x.words = x.stops = 0
-            x.size = 1
+            x.chars = x.links = x.words = x.stops = x.longest = 0
+            x.size, x.paras = 1, int(x.tag == "p")
             for k in x.kids:
                 x.chars += k.chars
                 x.links += k.links
                 x.size += k.size
                 x.words += k.words
                 x.stops += k.stops
-    total = max(1, nodes[0].chars)
+                x.paras += k.paras
+                x.longest = max(x.longest, k.longest)
+    root = nodes[0]
+    total, paras = max(1, root.chars), max(1, root.paras)
+    # What the page has at all: an absent article or main element lets other containers be the article's.
+    has = tuple(sum(x.tag == t and not x.bad for x in nodes) for t in ("article", "main", "section")) + (sum(1 for x in nodes if x.good and not x.bad),)
     groups, over = len(_GROUPS), len(_OVER)
     out = np.zeros((len(nodes), N_FEATURES))
-    depth: dict[int, tuple[int, tuple, int, int]] = {}
+    out[np.arange(len(nodes)), _kinds(nodes)] = 1
+    above: dict[int, tuple] = {id(root): (-1, (0,) * over, 0, 0, 0)}
     place: dict[int, int] = {}
+    clean: dict[int, tuple[int, int]] = {}  # of a node's children: text outside of links and of named junk, and how many are p
     for x in nodes:
         for k, y in enumerate(x.kids):
             place[id(y)] = k
+        clean[id(x)] = sum(y.chars - y.links for y in x.kids if not y.bad), sum(y.tag == "p" for y in x.kids)
     for i, x in enumerate(nodes):
         up = x.parent
-        if up is None:
-            d, flags, good, bad = 0, (0,) * over, 0, 0
-        else:
-            d, flags, good, bad = depth[id(up)]
-            d += 1
+        if up is not None:
+            d, flags, good, bad, named = above[id(up)]
             if up.tag in _OVER:
-                flags = tuple(f or t == up.tag for f, t in zip(flags, _OVER, strict=True))
+                flags = tuple(int(f or t == up.tag) for f, t in zip(flags, _OVER, strict=True))
             good, bad = good + up.good, bad + up.bad
-        depth[id(x)] = (d, flags, good, bad)
-        row = out[i]
-        row[_GROUP_OF.get(x.tag, 5)] = 1
-        row[groups : groups + over] = flags
+            above[id(x)] = (d + 1, flags, good, bad, named or int(up.good > up.bad))
+        d, flags, good, bad, named = above[id(x)]
         sibs = up.kids if up is not None else [x]
         k = place.get(id(x), 0)
         before, after = (sibs[k - 1] if k else None), (sibs[k + 1] if k + 1 < len(sibs) else None)
         chars = x.chars or 1
-        row[groups + over :] = (
-            x.good, x.bad, good, bad, d, len(x.kids), x.chars, x.links / chars, x.chars / x.size, x.words, x.stops / max(1, x.words), x.chars / total,
-            k, len(sibs), before.chars if before is not None else -1, after.chars if after is not None else -1,
-            up.chars if up is not None else -1, up.links / (up.chars or 1) if up is not None else 0, x.chars / (up.chars or 1) if up is not None else 1, i / len(nodes),
+        out[i, groups:] = (
+            *flags, x.good, x.bad, good, bad, named, d, len(x.kids), x.chars, x.links / chars, x.chars / x.size, x.words, x.stops, x.stops / max(1, x.words), x.longest, x.chars / total, x.paras, x.paras / paras,
+            k, len(sibs), *((before.words, before.bad, _GROUP_OF.get(before.tag, 5)) if before is not None else (-1, -1, -1)), *((after.words, after.bad, _GROUP_OF.get(after.tag, 5)) if after is not None else (-1, -1, -1)),
+            *((up.chars, up.links / (up.chars or 1), x.chars / (up.chars or 1), _GROUP_OF.get(up.tag, 5), *clean[id(up)]) if up is not None else (-1, 0, 1, -1, 0, 0)), i / len(nodes), *has,
         )
     return out
 
@@ -223,107 +270,23 @@ def decode(nodes: list[Node], p: np.ndarray) -> list[Node]:
     return out
 
 
-# The generator of training pages.
-
-_SYLLABLES = "ka lo mi ter an dis ver su per ton ga re lin or ba che vo stra né ü ñ".split()
-
-
-def _sentence(r: random.Random, lo: int, hi: int) -> str:
-    ws = ["".join(r.choice(_SYLLABLES) for _ in range(r.randint(1, 4))) + r.choice(["", "", "", "", ",", "###", "&amp;"] if r.random() < 0.2 else [""]) for _ in range(r.randint(lo, hi))]
-    return " ".join(ws).capitalize() + r.choice([".", ".", ".", "", "!"])
-
-
-def _links(r: random.Random, n: int) -> str:
-    return "".join(f'<li><a href="/{i}">{_sentence(r, 1, 3)}</a></li>' for i in range(n))
-
-
-def training_page(r: random.Random) -> tuple[str, str]:
-    """A page and its main text."""
-    truth: list[str] = []
-
-    def block(tag: str, lo: int, hi: int, attrs: str = "", close: bool = True) -> str:
-        s = " ".join(_sentence(r, 4, 14) for _ in range(r.randint(lo, hi))) if r.random() < 0.8 else _sentence(r, 1, 3)
-        truth.append(" ".join(entities.unescape(s).split()))
-        inner = s
-        if r.random() < 0.15 and " " in s:
-            a, b = s.split(" ", 1)
-            inner = r.choice(['<a href="/x">{}</a> {}', "<b>{}</b> {}", "<b>{} {}<br>", "<em>{}</em>\n {}"]).format(a, b)
-        return f"<{tag}{attrs}>{inner}" + (f"</{tag}>" if close else "")
-
-    def junk(kind: str) -> str:
-        s, short = " ".join(_sentence(r, 3, 12) for _ in range(r.randint(1, 4))), _sentence(r, 1, 8)
-        c = lambda *names: r.choice([f' class="{r.choice(names)}"', f' id="{r.choice(names)}"', f' class="{r.choice(names)} x{r.randint(1, 9)}"'])
-        return {
-            "nav": lambda: r.choice([f"<nav><ul>{_links(r, r.randint(2, 9))}</ul></nav>", f"<div{c('menu', 'nav', 'navbar')}><ul>{_links(r, r.randint(2, 9))}</ul></div>", f"<nav{c('breadcrumb', 'menu')}>{' &gt; '.join(f'<a href=/>{_sentence(r, 1, 2)}</a>' for _ in range(4))}</nav>"]),
-            "header": lambda: r.choice([f"<header><h1>{short}</h1><p>{short}</p></header>", f"<div{c('header', 'masthead', 'topbar')}><a href=/>{short}</a> {short}</div>", f"<header>{short}</header>"]),
-            "footer": lambda: r.choice([f"<footer>&copy; {short} &middot; {s}</footer>", f"<footer><p>{s}</p><ul>{_links(r, 3)}</ul></footer>", f"<div{c('footer', 'copyright', 'legal')}><p>{s}</p></div>"]),
-            "aside": lambda: r.choice([f"<aside><h3>{short}</h3><p>{s}</p></aside>", f"<div{c('sidebar', 'widget', 'side')}><h3>{short}</h3><ul>{_links(r, 4)}</ul><p>{s}</p></div>", f"<aside><ul>{_links(r, 5)}</ul></aside>"]),
-            "cookie": lambda: r.choice([f"<div{c('cookie', 'consent', 'cookie-notice', 'gdpr', 'alert')}><p>{s}</p><button>OK</button></div>", f"<div{c('notice', 'cookie-banner')}>{s}</div>", f"<dialog><p>{s}</p></dialog>"]),
-            "ad": lambda: r.choice([f"<div{c('ad', 'ads', 'advert', 'sponsored', 'promo', 'ad-slot', 'banner')}>{s}</div>", f"<div{c('ad', 'advertisement')}><p>{s}</p><a href=/>{short}</a></div>", f"<!-- ad --><div class=\"ad\">{s}</div>", f"<section{c('promo', 'sponsor')}><h3>{short}</h3><p>{s}</p></section>"]),
-            "form": lambda: r.choice([f"<form><label>{short}</label><input><p>{s}</p><button>{short}</button></form>", f"<form{c('newsletter', 'subscribe', 'search')}>{s}<input></form>"]),
-            "comments": lambda: r.choice([
-                f"<div{c('comments', 'comment-list', 'disqus')}><h3>{short}</h3>" + "".join(f"<div class=\"comment\"><p>{_sentence(r, 5, 30)}</p></div>" for _ in range(r.randint(1, 5))) + "</div>",
-                f"<section{c('comments', 'respond')}>" + "".join(f"<p>{' '.join(_sentence(r, 5, 12) for _ in range(r.randint(1, 4)))}</p>" for _ in range(r.randint(1, 5))) + "</section>",
-                f"<ol{c('comments', 'comment-list')}>" + "".join(f"<li><article{c('comment')}><p>{_sentence(r, 5, 30)}</p></article></li>" for _ in range(r.randint(1, 4))) + "</ol>"]),
-            "share": lambda: f"<div{c('share', 'social', 'tags', 'related')}><ul>{_links(r, r.randint(2, 6))}</ul></div>",
-            "script": lambda: "<script>var a='<p>x</p>';</script>",
-        }[kind]()
-
-    pick = lambda kinds, most: "".join(junk(r.choice(kinds)) for _ in range(r.randint(0, most)))
-    plain = r.random() < 0.35
-    top = junk("nav") + junk("ad") if plain else pick(["nav", "header", "cookie", "ad", "script", "form", "aside"], 4)
-    parts = []
-    if r.random() < 0.85:
-        parts.append(block("h1", 1, 1) if r.random() < 0.8 else "<header>" + block("h1", 1, 1) + "</header>")
-    for _ in range(r.randint(1, 4) if r.random() < 0.3 else r.randint(3, 30)):
-        u = r.random()
-        if u < 0.8 or plain:
-            parts.append(block("p", 1, r.choice([1, 2, 6, 25]), close=r.random() < 0.9))
-        elif u < 0.86:
-            parts.append(block(r.choice(["h2", "h3"]), 1, 1))
-        elif u < 0.9:
-            parts.append("<ul>" + "".join(block("li", 1, 2) for _ in range(r.randint(1, 5))) + "</ul>")
-        elif u < 0.92:
-            parts.append("<blockquote>" + block("p", 1, 3) + "</blockquote>")
-        elif u < 0.94:
-            parts.append("<table><tr>" + "".join(block("td", 1, 1) for _ in range(3)) + "</tr></table>")
-        elif u < 0.96:
-            parts.append("<figure>" + block("figcaption", 1, 1) + "</figure>")
-        else:
-            parts.append(junk(r.choice(["ad", "share", "form", "script", "aside"])))
-    if not plain and r.random() < 0.3:
-        parts.append(junk("comments"))
-    body = "".join(parts)
-    shape = 0 if plain else r.randint(0, 7)
-    body = (
-        f"<article>{body}</article>" if shape < 2 else f'<main><article class="post">{body}</article></main>' if shape == 2 else f'<div class="{r.choice(["content", "post", "entry-content", "article-body", "story"])}">{body}</div>'
-        if shape < 5 else f"<main>{body}</main>" if shape == 5 else f'<div id="wrap"><div class="{r.choice(["main", "content", "text"])}">{body}</div>{junk("aside")}</div>' if shape == 6 else f"<div class=page><section>{body}</section></div>"
-    )
-    bottom = junk("footer") if plain else pick(["footer", "comments", "share", "form", "aside", "ad", "cookie"], 4)
-    page = f"<!DOCTYPE html><html><head><title>{_sentence(r, 3, 9)}</title><style>p{{}}</style></head><body>{top}{body}{bottom}" + ("</body></html>" if r.random() < 0.9 else "")
-    return page, "\n".join(t for t in truth if t)
-
-
 @cache
 def model(pages: int = TRAIN_PAGES, seed: int = SEED) -> gbt.Trees:
-    """Fitted once per process; the same everywhere. A node's truth: whether it holds a block of the main text."""
+    """Fitted once per process on pages in all shapes of the generator; the same everywhere. A node's truth: whether it holds a block of the main text."""
     r = random.Random(seed)
     xs, ys = [], []
     for _ in range(pages):
-        page, truth = training_page(r)
-        nodes = parse(page)
-        want = truth.split("\n")
-        k, y = 0, {id(x): 0 for x in nodes}
+        nodes = parse(pagegen.generate(r, mark=True)[0])
+        y = {id(x): 0 for x in nodes}
         for x in nodes:
-            if k < len(want) and x.tag == "#text" and x.text == want[k]:
-                k += 1
+            if x.text.startswith(pagegen.MARK):
+                x.text = x.text[len(pagegen.MARK) :]
                 up = x
                 while up is not None:
                     y[id(up)] = 1
                     up = up.parent
-        if k == len(want):
-            xs.append(features(nodes))
-            ys.append([y[id(x)] for x in nodes])
+        xs.append(features(nodes))
+        ys.append([y[id(x)] for x in nodes])
     return gbt.fit(np.concatenate(xs), np.concatenate(ys), trees=50, depth=5, rate=0.25)
 
 
