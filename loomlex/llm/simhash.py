@@ -362,7 +362,10 @@ def _sketch_anchors(seeds: int):
 
 def _compare_sketches(seeds: int, most: int, first: int):
     def stars(nodes: list, raw: list) -> tuple[np.ndarray, np.ndarray]:
+        # In order of the nodes, so that each group's root is its least node: anchors that share a group then name few roots, and links few pairs.
         node, f = np.concatenate(nodes), np.frombuffer(b"".join(raw), "<u8").reshape(-1, seeds)
+        order = np.argsort(node)
+        node, f = node[order], f[order]
         root = link_sketches(f, most, first)
         moved = np.flatnonzero(root != np.arange(len(root)))
         return node[moved], node[root[moved]]
@@ -414,6 +417,7 @@ def _compare_sets(width: int, seeds: int, similarity: float, most: int):
     """Over rows sorted by (comp, share), each partition holding whole shares."""
 
     def stars(held: list) -> tuple[np.ndarray, np.ndarray]:
+        held = sorted(held, key=lambda h: h[0])
         node, known, home, f = np.array([h[0] for h in held]), np.array([h[1] for h in held]), np.array([h[2] for h in held]), np.frombuffer(b"".join(h[3] for h in held), "<u8").reshape(-1, seeds)
         root = link_sets([h[4] for h in held], f, np.unique(known, return_inverse=True)[1], home, similarity, most)
         _, first, to = np.unique(root, return_index=True, return_inverse=True)
