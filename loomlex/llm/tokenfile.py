@@ -13,14 +13,14 @@ import unicodedata
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import Memo, byte_alphabet
+from .bpe import byte_alphabet
 from .common import filesystem, new_dir, parts_for, texts
 
 MAGIC = b"LXS8B\x01\x00\x00"
@@ -173,6 +173,18 @@ class Reader:
             place += n
 
 
+class Memo(dict):
+    """Encoded pieces by text, filled on demand."""
+
+    def __init__(self, fill: Callable[[str], bytes]):
+        super().__init__()
+        self.fill = fill
+
+    def __missing__(self, key: str) -> bytes:
+        got = self[key] = self.fill(key)
+        return got
+
+
 class WordEncoder:
     """The tokenizers library over a word-level BPE file, with results kept by piece of its pre-tokenizer's pattern.
 
@@ -183,13 +195,13 @@ class WordEncoder:
     #: No combining marks, no letter whose lower case is longer than itself, no control characters but white space.
     _PLAIN = "\t\n\x0b\x0c\r -~\xa0-įı-˿‐-‧‰-⁞₠-₿"
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, spec: str, most: int = 400_000):
         import re
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.odd = re.compile(f"[^{self._PLAIN}]|<\\|").search
@@ -222,11 +234,11 @@ class WordEncoder:
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
-    """Once per Python process."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+def encoder(spec: str) -> WordEncoder:
+    """Of a tokenizer file's text, once per Python process."""
+    if spec not in _ENCODERS:
+        _ENCODERS[spec] = WordEncoder(spec)
+    return _ENCODERS[spec]
 
 
 def default_path() -> str:
@@ -240,9 +252,12 @@ def write(docs: DataFrame, to: str, path: str, end_id: int = 2, id_col: str = "d
 
     A null or empty text is the end id alone. An empty table writes no documents. Returns the manifest, a row per file:
     file, part, n_docs, n_tokens. A task writes to a name of its own and renames it at the end, so that a task that is
-    run again, or twice at once, leaves one whole file.
+    run again, or twice at once, leaves one whole file. path: a file of the driver's; its text, a few MB, is broadcast.
+    Ids are cast to long. Files are dealt by ranges of id and text, so that rows that share an id, or have none, are not one task's.
     """
     n = parts_for(docs, partition_bytes)
+    with open(path, encoding="utf-8") as f:
+        spec = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -252,7 +267,7 @@ def write(docs: DataFrame, to: str, path: str, end_id: int = 2, id_col: str = "d
         fs.create_dir(base, recursive=True)
         name = f"part-{part:06d}.s8b"
         draft, end = f"{base}/_{name}.{uuid.uuid4().hex}", np.array([end_id], "<u4")
-        enc = encoder(path)
+        enc = encoder(spec.value)
         with fs.open_output_stream(draft) as out:
             w = Writer(out)
             for batch in batches:
@@ -263,7 +278,7 @@ def write(docs: DataFrame, to: str, path: str, end_id: int = 2, id_col: str = "d
         yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([part], pa.int64()), pa.array([len(w.docs)], pa.int64()), pa.array([n_tokens], pa.int64())], ["file", "part", "n_docs", "n_tokens"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    dealt = rows.repartitionByRange(n, "id").sortWithinPartitions("id", "text")
+    dealt = rows.repartitionByRange(n, "id", "text").sortWithinPartitions("id", "text")
     return dealt.mapInArrow(run, "file string, part long, n_docs long, n_tokens long")
 
 
