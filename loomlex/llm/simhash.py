@@ -144,32 +144,55 @@ def _link(homes: np.ndarray, visitors: np.ndarray, threshold: int) -> tuple[np.n
     step = max(1, (1 << 20) // max(1, len(visitors)))
     for i in range(0, len(homes), step):
         h, v = np.nonzero(np.bitwise_count(homes[i : i + step, None] ^ visitors[None, :]) <= threshold)
-        a, b = at_home[i : i + step][h], at_visit[v]
-        while True:
-            x, y = root[a], root[b]
-            differ = x != y
-            if not differ.any():
-                break
-            to = np.arange(len(nodes))
-            np.minimum.at(to, np.maximum(x, y)[differ], np.minimum(x, y)[differ])
-            while (to[to] != to).any():
-                to = to[to]
-            root = to[root]
+        root = _union(root, at_home[i : i + step][h], at_visit[v])
     moved = np.flatnonzero(root != np.arange(len(nodes)))
     return nodes[moved], nodes[root[moved]]
 
 
+class _Stars:
+    """Gathers a partition's links and hands them on as one link per node, to the least node that they connect it with."""
+
+    MOST = 1 << 20
+
+    def __init__(self):
+        self.a: list[np.ndarray] = []
+        self.b: list[np.ndarray] = []
+        self.n = 0
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.a.append(a)
+        self.b.append(b)
+        self.n += len(a)
+        if self.n > self.MOST:
+            self._join()
+            if 2 * self.n > self.MOST:
+                yield from self.close()
+
+    def _join(self) -> None:
+        a, b = np.concatenate(self.a), np.concatenate(self.b)
+        nodes = np.unique(np.concatenate([a, b]))
+        root = _union(np.arange(len(nodes)), np.searchsorted(nodes, a), np.searchsorted(nodes, b))
+        moved = np.flatnonzero(root != np.arange(len(nodes)))
+        self.a, self.b, self.n = [nodes[moved]], [nodes[root[moved]]], len(moved)
+
+    def close(self) -> Iterator[pa.RecordBatch]:
+        if self.n:
+            self._join()
+            yield pa.RecordBatch.from_arrays([pa.array(x[0].view(np.int64)) for x in (self.a, self.b)], ["a", "b"])
+        self.a, self.b, self.n = [], [], 0
+
+
 def _compare(threshold: int):
     """Over rows sorted by (anchor, share), each partition holding whole shares."""
 
-    def flush(key, parts) -> tuple[np.ndarray, np.ndarray]:
+    def flush(parts) -> tuple[np.ndarray, np.ndarray]:
         fps, home = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
         if not home.any() or len(fps) < 2:
             return np.array([], np.uint64), np.array([], np.uint64)
         return _link(fps[home], fps, threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, a, b, n = None, [], [], [], 0
+        key, held, stars = None, [], _Stars()
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -179,22 +202,13 @@ def _compare(threshold: int):
             for s, e in zip(cuts, cuts[1:], strict=False):
                 k = tuple(keys[s].tolist())
                 if k != key and held:
-                    x, y = flush(key, held)
-                    a.append(x)
-                    b.append(y)
-                    n += len(x)
+                    yield from stars.add(*flush(held))
                     held = []
                 key = k
                 held.append((fps[s:e], home[s:e]))
-            if n > 1 << 16:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z).view(np.int64)) for z in (a, b)], ["a", "b"])
-                a, b, n = [], [], 0
         if held:
-            x, y = flush(key, held)
-            a.append(x)
-            b.append(y)
-        if a:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z).astype(np.uint64).view(np.int64)) for z in (a, b)], ["a", "b"])
+            yield from stars.add(*flush(held))
+        yield from stars.close()
 
     return run
 
@@ -362,7 +376,7 @@ def _sketch_anchors(seeds: int):
 
 def _compare_sketches(seeds: int, most: int, first: int):
     def stars(nodes: list, raw: list) -> tuple[np.ndarray, np.ndarray]:
-        # In order of the nodes, so that each group's root is its least node: anchors that share a group then name few roots, and links few pairs.
+        # In order of the nodes, so that each group's root is its least node, whatever anchor it is seen from.
         node, f = np.concatenate(nodes), np.frombuffer(b"".join(raw), "<u8").reshape(-1, seeds)
         order = np.argsort(node)
         node, f = node[order], f[order]
@@ -371,7 +385,7 @@ def _compare_sketches(seeds: int, most: int, first: int):
         return node[moved], node[root[moved]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, nodes, raw, out, n = None, [], [], [], 0
+        key, nodes, raw, told = None, [], [], _Stars()
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -379,19 +393,14 @@ def _compare_sketches(seeds: int, most: int, first: int):
             cuts = [0, *(np.flatnonzero(anchor[1:] != anchor[:-1]) + 1).tolist(), len(anchor)]
             for s, e in zip(cuts, cuts[1:], strict=False):
                 if anchor[s] != key and nodes:
-                    out.append(stars(nodes, raw))
-                    n += len(out[-1][0])
+                    yield from told.add(*stars(nodes, raw))
                     nodes, raw = [], []
                 key = anchor[s]
                 nodes.append(node[s:e])
                 raw += sketches[s:e]
-            if n > 1 << 16:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[i] for o in out])) for i in (0, 1)], ["a", "b"])
-                out, n = [], 0
         if nodes:
-            out.append(stars(nodes, raw))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[i] for o in out])) for i in (0, 1)], ["a", "b"])
+            yield from told.add(*stars(nodes, raw))
+        yield from told.close()
 
     return run
 
@@ -425,20 +434,18 @@ def _compare_sets(width: int, seeds: int, similarity: float, most: int):
         return node[moved], node[first[to[moved]]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, out = None, [], []
+        key, held, told = None, [], _Stars()
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("comp", "share", "node", "known", "home", "sketch")]
             for comp, share, node, known, home, raw, text in zip(*columns, texts(batch.column("text")), strict=True):
                 if (comp, share) != key and held:
-                    out.append(stars(held))
+                    yield from told.add(*stars(held))
                     held = []
                 key = comp, share
                 held.append((node, known, home, raw, shingles(text, width)))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[i] for o in out])) for i in (0, 1)], ["a", "b"])
-                out = []
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in stars(held)], ["a", "b"])
+            yield from told.add(*stars(held))
+        yield from told.close()
 
     return run
 
