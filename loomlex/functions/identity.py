@@ -43,6 +43,27 @@ def record_id(locator: Column, before_hash: Column, after_hash: Column) -> Colum
     return content_hash(F.concat(F.lit('{"after_hash":'), q(after_hash), F.lit(',"before_hash":'), q(before_hash), F.lit(',"locator":'), locator, F.lit("}")))
 
 
+def surveillance_id(subject: Column, predicate: Column, lexical: Column, language: Column) -> Column:
+    """Of a standing annotation; a missing language counts as English."""
+    locale = F.lower(F.coalesce(F.nullif(language, F.lit("")), F.lit("en")))
+    return content_hash(canonical_json(subject=subject, predicate=predicate, lexical=lexical, locale=locale))
+
+
+def debt_root(debt_id: Column, subject: Column, predicate: Column, language: Column, datatype: Column, current_hash: Column) -> Column:
+    """Of an entry of confirmed debt; corrections name it as their root."""
+    return content_hash(canonical_json(debt_id=debt_id, subject=subject, predicate=predicate, language=language, datatype=datatype, current_hash=current_hash))
+
+
+def to_curie(c: Column, prefix: str) -> Column:
+    return F.concat(F.lit(prefix), c)
+
+
+def from_curie(c: Column, prefix: str) -> Column:
+    """What follows the prefix; another prefix fails the job."""
+    wrong = F.raise_error(F.concat(F.lit("not an identifier with the prefix " + prefix + ": "), F.coalesce(c, F.lit("null"))))
+    return F.when(F.startswith(c, F.lit(prefix)), F.substring(c, len(prefix) + 1, 1 << 30)).otherwise(wrong.cast("string"))
+
+
 def set_hash(ids: Column) -> Column:
     """An aggregate: the hash of the sorted ids as a JSON list. It gathers the ids of a group; use it on bounded groups."""
     return content_hash(F.concat(F.lit('["'), F.array_join(F.array_sort(F.collect_set(ids)), '","'), F.lit('"]')))

@@ -22,14 +22,28 @@ _SPACES = "[" + "".join(f"\\u{c:04x}" for c in range(0x10000) if chr(c).isspace(
 
 
 @F.pandas_udf(T.StringType())
-def fold(s: pd.Series) -> pd.Series:
-    """NFKC, then case folding: what Spark has no function for. ASCII values, by far the most, are only lowered."""
-    return s.map(lambda x: x if x is None else x.lower() if x.isascii() else unicodedata.normalize("NFKC", x).casefold())
+def _fold(s: pd.Series) -> pd.Series:
+    return s.map(lambda x: x if x is None else unicodedata.normalize("NFKC", x).casefold())
 
 
 @F.pandas_udf(T.StringType())
-def nfc(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: x if x is None or x.isascii() else unicodedata.normalize("NFC", x))
+def _nfc(s: pd.Series) -> pd.Series:
+    return s.map(lambda x: x if x is None else unicodedata.normalize("NFC", x))
+
+
+def _beyond_ascii(c: Column, kernel, plain: Column) -> Column:
+    """kernel(c), for which only texts with other characters than ASCII go to Python; plain for the others."""
+    ascii_ = c.rlike(r"\A\p{ASCII}*\z")
+    return F.when(ascii_, plain).otherwise(kernel(F.when(~ascii_, c)))
+
+
+def fold(c: Column) -> Column:
+    """NFKC, then case folding: what Spark has no function for. ASCII values are only lowered."""
+    return _beyond_ascii(c, _fold, F.lower(c))
+
+
+def nfc(c: Column) -> Column:
+    return _beyond_ascii(c, _nfc, c)
 
 
 @F.pandas_udf(T.StringType())

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import identity
-from .tables import OWL, RDFS, SKOS, XSD, null_safe
+from ..functions import identity, text
+from .tables import OWL, RDFS, SKOS, XSD, json_lines, null_safe, stored
 
 VALUE = ["subject", "predicate", "lexical", "language", "datatype"]
 LOCATOR = ["subject", "predicate", "language", "datatype"]
@@ -66,6 +66,18 @@ def hashed(changes: DataFrame) -> DataFrame:
     return rows.withColumn("record_id", identity.record_id(locator, F.col("before_hash"), F.col("after_hash"))).withColumn("before_hash", F.coalesce("before_hash", F.sha2(F.lit(identity.ABSENT), 256))).withColumn("after_hash", F.coalesce("after_hash", F.sha2(F.lit(identity.ABSENT), 256)))
 
 
+def manifest(old: DataFrame, new: DataFrame) -> DataFrame:
+    """The hashed changes between two annotation tables, in NFC, in order of their ids."""
+    nfc = lambda df: df.select(*(text.nfc(F.col(c)).alias(c) if c == "lexical" else F.col(c) for c in VALUE))
+    return hashed(delta(nfc(old), nfc(new))).orderBy("record_id")
+
+
+def change_lines(changes: DataFrame) -> DataFrame:
+    """(line): each change as a JSON object, keys sorted, nulls kept."""
+    side = lambda s: F.when(F.col(s).isNotNull(), F.struct(*(F.col(f"{s}.{c}").alias(c) for c in sorted(VALUE)))).alias(s)
+    return json_lines(changes.withColumns({"after": side("after"), "before": side("before")}))
+
+
 def regressions(baseline: DataFrame, candidate: DataFrame) -> DataFrame:
     """Candidate findings that the baseline does not have."""
     keys = ["code", "severity", "subject", "predicate", "message"]
@@ -93,6 +105,12 @@ def apply_changes(values: DataFrame, changes: DataFrame) -> DataFrame:
     return difference(values.select(*VALUE), gone).unionByName(came).distinct()
 
 
+def _plain(triples: DataFrame) -> DataFrame:
+    """Strings with their datatype spelt out as plain ones."""
+    same = (F.col("datatype") == XSD + "string") & F.col("language").isNull()
+    return triples.withColumn("datatype", F.when(same, None).otherwise(F.col("datatype")))
+
+
 def merge_diff(ours: DataFrame, theirs: DataFrame, relation_prefix: str = "") -> dict[str, DataFrame]:
     """What a merge of our triples into theirs has to do, per class that both have.
 
@@ -101,8 +119,7 @@ def merge_diff(ours: DataFrame, theirs: DataFrame, relation_prefix: str = "") ->
     """
     from . import graph
 
-    plain = lambda df: df.withColumn("datatype", F.when((F.col("datatype") == XSD + "string") & F.col("language").isNull(), None).otherwise(F.col("datatype")))
-    a, b = plain(ours).distinct(), plain(theirs).distinct()
+    a, b = _plain(ours).distinct(), _plain(theirs).distinct()
     ours_c, theirs_c = graph.classes(a), graph.classes(b)
     common = ours_c.join(theirs_c, "subject", "left_semi")
     a, b = a.join(common, "subject", "left_semi"), b.join(common, "subject", "left_semi")
@@ -125,10 +142,21 @@ def merge_diff(ours: DataFrame, theirs: DataFrame, relation_prefix: str = "") ->
         "removed_labels": removed,
         "definition_additions": new_defs.join(changed, "subject", "left_anti"),
         "definition_updates": new_defs.join(changed, "subject", "left_semi").join(single, "subject", "left_semi"),
+        "label_normalizations": _prefixed(a, b, relation_prefix),
         "new_restrictions": difference(graph.restrictions(a.unionByName(_nameless(ours, a))), graph.restrictions(b.unionByName(_nameless(theirs, b)))),
     }
 
 
+def _prefixed(ours: DataFrame, theirs: DataFrame, prefix: str) -> DataFrame:
+    """(subject, plain, prefixed): prefixed labels of theirs whose plain text is a label, and which are a notation, in ours."""
+    label, notation = RDFS + "label", SKOS + "notation"
+    old = theirs.where((F.col("predicate") == label) & F.startswith("object", F.lit(prefix)) & F.lit(bool(prefix)))
+    old = old.select("subject", F.substring("object", len(prefix) + 1, 1 << 30).alias("plain"), F.col("object").alias("prefixed")).distinct()
+    untagged = ours.where(F.col("language").isNull() & F.col("datatype").isNull())
+    has = lambda predicate, c: untagged.where(F.col("predicate") == predicate).select("subject", F.col("object").alias(c))
+    return old.join(has(label, "plain"), ["subject", "plain"], "left_semi").join(has(notation, "prefixed"), ["subject", "prefixed"], "left_semi").select("subject", "plain", "prefixed")
+
+
 def _nameless(whole: DataFrame, part: DataFrame) -> DataFrame:
     """Triples about nodes without a name, which restrictions are spelt with."""
     return whole.where(F.col("subject_kind") == "bnode").select(*part.columns)
@@ -142,20 +170,33 @@ def merge_summary(parts: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def node_hashes(triples: DataFrame, rounds: int = 4) -> DataFrame:
-    """(node, hash) of nodes without a name by what they say, bottom up; for trees no deeper than `rounds`."""
+def node_hashes(triples: DataFrame) -> DataFrame:
+    """(node, hash) of nodes without a name by what they say, bottom up, until nothing changes.
+
+    Each round settles at least the nodes one step higher up, so fewer nodes change than in the round before; where as
+    many do, nodes refer to each other in a circle, which hashes bottom up can't tell apart: ValueError.
+    """
     own = triples.where(F.col("subject_kind") == "bnode")
+    spoken = F.when(F.col("object_kind") == "bnode", F.col("_h")).otherwise(F.col("object"))
+    say = F.concat_ws("\x1f", "predicate", spoken, "object_kind", F.coalesce("language", F.lit("")), F.coalesce("datatype", F.lit("")))
     hashes = own.select(F.col("subject").alias("node"), F.lit("").alias("hash")).distinct()
-    for _ in range(rounds):
+    before = None
+    while True:
         named = own.join(hashes.select(F.col("node").alias("object"), F.col("hash").alias("_h")), "object", "left")
-        say = F.concat_ws("\x1f", "predicate", F.when(F.col("object_kind") == "bnode", F.col("_h")).otherwise(F.col("object")), "object_kind", F.coalesce("language", F.lit("")), F.coalesce("datatype", F.lit("")))
-        hashes = named.withColumn("_say", say).groupBy(F.col("subject").alias("node")).agg(F.sha2(F.array_join(F.array_sort(F.collect_set("_say")), "\x1e"), 256).alias("hash"))
-    return hashes
-
-
-def canonical(triples: DataFrame, rounds: int = 4) -> DataFrame:
+        fresh = named.withColumn("_say", say).groupBy(F.col("subject").alias("node")).agg(F.sha2(F.array_join(F.array_sort(F.collect_set("_say")), "\x1e"), 256).alias("hash"))
+        fresh = stored(fresh, "node-hashes")
+        moved = fresh.join(hashes.withColumnRenamed("hash", "_old"), "node").where("hash <> _old").count()
+        hashes = fresh
+        if not moved:
+            return hashes
+        if before is not None and moved >= before:
+            raise ValueError("nodes without a name refer to each other in a circle")
+        before = moved
+
+
+def canonical(triples: DataFrame) -> DataFrame:
     """triples with hashes for names of nameless nodes, so that two graphs compare as tables."""
-    h = node_hashes(triples, rounds)
+    h = node_hashes(triples)
     s = h.select(F.col("node").alias("subject"), F.col("hash").alias("_s"))
     o = h.select(F.col("node").alias("object"), F.col("hash").alias("_o"))
     rows = triples.join(s, "subject", "left").join(o, "object", "left")
@@ -167,4 +208,42 @@ def sample_of_changes(rows: DataFrame, by: list[str], n: int = 50) -> DataFrame:
     return rows.orderBy(*by).limit(n)
 
 
+#: What a merge brings in, by the part of merge_diff() that names it.
+_ADDED = ("new_alt_labels", "new_hidden_labels", "definition_additions", "definition_updates")
+
+
+def apply_merge(ours: DataFrame, theirs: DataFrame, parts: dict[str, DataFrame]) -> DataFrame:
+    """theirs after the seven kinds of changes that merge_diff(ours, theirs) names.
+
+    New classes come with all that ours says of them, restrictions with their nameless nodes; labels and definitions are
+    added, removed labels and replaced definitions go, and prefixed labels become notations. All else in theirs stays,
+    with strings as plain ones.
+    """
+    from . import graph
+
+    cols = ["subject", "subject_kind", "predicate", "object", "object_kind", "language", "datatype"]
+    keys = ["subject", "predicate", "object", "object_kind", "language", "datatype"]
+    gone = parts["removed_labels"].select(*keys)
+    replaced = parts["definition_updates"].select("subject").distinct()
+    kept = null_safe(_plain(theirs).select(*cols), gone, keys, "left_anti")
+    kept = kept.join(replaced.withColumn("predicate", F.lit(SKOS + "definition")), ["subject", "predicate"], "left_anti")
+    turned = parts["label_normalizations"]
+    kept = kept.join(turned.select("subject", F.lit(RDFS + "label").alias("predicate"), F.col("prefixed").alias("object")), ["subject", "predicate", "object"], "left_anti")
+    none = F.lit(None).cast("string")
+    literal = lambda predicate, c: turned.select("subject", F.lit("iri").alias("subject_kind"), F.lit(predicate).alias("predicate"), F.col(c).alias("object"), F.lit("literal").alias("object_kind"), none.alias("language"), none.alias("datatype"))
+    out = kept.select(*cols).unionByName(literal(RDFS + "label", "plain")).unionByName(literal(SKOS + "notation", "prefixed"))
+    for name in _ADDED:
+        out = out.unionByName(parts[name].withColumn("subject_kind", F.lit("iri")).select(*cols))
+    ours = _plain(ours)
+    found = ours.join(parts["new_classes"], "subject", "left_semi").select(*cols)
+    # The nodes that the new classes and the new restrictions hang on.
+    want = parts["new_restrictions"].select("subject", F.col("property").alias("_p"), F.col("kind").alias("_k"), F.col("value").alias("_v"))
+    node = graph.restriction_nodes(ours)
+    fresh = node.join(want, [node["subject"] == want["subject"], F.col("property") == F.col("_p"), F.col("kind") == F.col("_k"), F.col("value") == F.col("_v")], "left_semi")
+    held = ours.join(fresh.select("subject", F.col("node").alias("object")).withColumn("object_kind", F.lit("bnode")), ["subject", "object", "object_kind"], "left_semi").select(*cols)
+    hung = found.unionByName(held).where(F.col("object_kind") == "bnode").select(F.col("object").alias("subject")).distinct()
+    about = ours.where(F.col("subject_kind") == "bnode").join(hung, "subject", "left_semi").select(*cols)
+    return out.unionByName(found).unionByName(held).unionByName(about).distinct()
+
+
 THING = OWL + "Thing"

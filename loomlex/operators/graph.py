@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .tables import LABELS, OWL, RDF, RDFS, SKOS, stored
@@ -29,6 +30,16 @@ def graph_summary(triples: DataFrame) -> DataFrame:
     return triples.distinct().agg(F.count(F.lit(1)).alias("triples"), F.count_if(is_class).alias("classes"))
 
 
+def class_sample(triples: DataFrame, n: int = 10) -> DataFrame:
+    """The first n declared classes by name."""
+    return classes(triples).orderBy("subject").limit(n)
+
+
+def named_only(triples: DataFrame) -> DataFrame:
+    """Triples that neither start nor end at a node without a name."""
+    return triples.where((F.col("subject_kind") != "bnode") & (F.col("object_kind") != "bnode"))
+
+
 def term(prefix: str = "object"):
     """A literal's or node's parts as a struct."""
     return F.struct(F.col(f"{prefix}_kind").alias("kind"), F.col(prefix).alias("value"), "language", "datatype")
@@ -99,13 +110,18 @@ def parent_labels(edges: DataFrame, labels: DataFrame, active: DataFrame) -> Dat
     return edges.join(own, "parent").select(F.col("child").alias("subject"), "text").distinct()
 
 
-def restrictions(triples: DataFrame) -> DataFrame:
-    """(subject, property, kind, value, value_kind): superclasses without a name, put together again."""
+def restriction_nodes(triples: DataFrame) -> DataFrame:
+    """(subject, node, property, kind, value, value_kind): superclasses without a name, with the nodes that spell them."""
     kinds = [OWL + k for k in ("someValuesFrom", "allValuesFrom", "hasValue", "minCardinality", "maxCardinality", "cardinality")]
     held = triples.where((F.col("predicate") == SUBCLASS) & (F.col("object_kind") == "bnode")).select("subject", F.col("object").alias("node"))
     prop = triples.where(F.col("predicate") == OWL + "onProperty").select(F.col("subject").alias("node"), F.col("object").alias("property"))
     value = triples.where(F.col("predicate").isin(*kinds)).select(F.col("subject").alias("node"), F.col("predicate").alias("kind"), F.col("object").alias("value"), F.col("object_kind").alias("value_kind"))
-    return held.join(prop, "node").join(value, "node").select("subject", "property", "kind", "value", "value_kind").distinct()
+    return held.join(prop, "node").join(value, "node").select("subject", "node", "property", "kind", "value", "value_kind")
+
+
+def restrictions(triples: DataFrame) -> DataFrame:
+    """(subject, property, kind, value, value_kind): superclasses without a name, put together again."""
+    return restriction_nodes(triples).drop("node").distinct()
 
 
 def restriction_stats(found: DataFrame) -> DataFrame:
@@ -135,7 +151,6 @@ def bounded_context(ancestors: DataFrame, siblings: DataFrame, most: int = 12, f
 
     ancestors, siblings: (node, label). Each side is ranked and cut before it is gathered.
     """
-    from pyspark.sql import Window as W
 
     def first(df: DataFrame, name: str) -> DataFrame:
         top = df.distinct().withColumn("_n", F.row_number().over(W.partitionBy("node").orderBy("label"))).where(F.col("_n") <= most)
@@ -151,4 +166,24 @@ def bounded_context(ancestors: DataFrame, siblings: DataFrame, most: int = 12, f
     return rows.withColumn("oversize", size() > limit).drop("_over")
 
 
-SKOS_DEFINITION = SKOS + "definition"
+def record_contexts(records: DataFrame, values: DataFrame, labels: DataFrame, risks: DataFrame, most: int = 12) -> DataFrame:
+    """(record_id, label, source, definition, risks): what a reviewer of an annotation sees of its concept.
+
+    records: (record_id, subject, predicate, lexical). values: literal annotations (subject, predicate, lexical,
+    language). labels: (subject, label), one each. risks: (subject, predicate, message), of the record's predicate or of
+    none. The source is the only other English value of the predicate, else null; the definition the first English one;
+    risks are the first `most` by text. All are found by joins and aggregations per record.
+    """
+    lang = F.lower(F.coalesce("language", F.lit("")))
+    english = values.where(lang.isin("en", ""))
+    others = english.select("subject", "predicate", F.col("lexical").alias("_text")).distinct()
+    source = records.join(others, ["subject", "predicate"]).where("_text <> lexical").groupBy("record_id").agg(F.count(F.lit(1)).alias("_n"), F.min("_text").alias("source"))
+    source = source.select("record_id", F.when(F.col("_n") == 1, F.col("source")).alias("source"))
+    order = F.struct(F.when(lang.isin("en", ""), 0).otherwise(1), F.coalesce("language", F.lit("")), F.col("lexical"))
+    definition = values.where((F.col("predicate") == SKOS + "definition") & lang.isin("en", "en-us", "")).groupBy("subject").agg(F.min_by("lexical", order).alias("definition"))
+    hit = records.select("record_id", "subject", "predicate").join(risks.select("subject", F.nullif("predicate", F.lit("")).alias("_predicate"), "message"), "subject")
+    hit = hit.where("_predicate IS NULL OR _predicate = predicate").select("record_id", "message").distinct()
+    place = F.row_number().over(W.partitionBy("record_id").orderBy("message"))
+    told = hit.withColumn("_n", place).where(F.col("_n") <= most).groupBy("record_id").agg(F.array_sort(F.collect_list("message")).alias("risks"))
+    rows = records.join(labels.select("subject", "label"), "subject", "left").join(definition, "subject", "left").join(source, "record_id", "left").join(told, "record_id", "left")
+    return rows.select("record_id", F.coalesce("label", "subject").alias("label"), "source", "definition", F.coalesce("risks", F.array().cast("array<string>")).alias("risks"))

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import identity
+from .tables import stored
+
 
 def ambiguous_forms(forms: DataFrame) -> DataFrame:
     """(form, n_concepts) of forms (subject, form) that stand for several concepts."""
@@ -60,36 +63,56 @@ def exact_lookup(queries: DataFrame, labels: DataFrame) -> DataFrame:
     return hit.groupBy("query", "subject").agg(F.min("language").alias("language"))
 
 
-def neighbours(queries: DataFrame, names: DataFrame, buckets: list | None = None) -> DataFrame:
-    """(query, before, after): the greatest name below and the least at or above each query.
+def neighbours(queries: DataFrame, names: DataFrame) -> DataFrame:
+    """(query, before, after): the greatest name below and the least at or above each query; null where there is none.
 
-    An as-of join on sort order: names and queries are dealt by ranges; a range carries in the nearest names of the
-    ranges beside it, so that no task sorts all names. buckets: the ranges' bounds; quantiles of names if not given.
+    An as-of join on sort order. Names and queries are dealt by ranges of one shuffle, and a range's edges are its least
+    and greatest name; the edges, one row per range, carry the nearest name into ranges that start or end without one.
     """
     q = queries.select(F.col("query").alias("k")).distinct().withColumn("is_name", F.lit(False))
-    n = names.select(F.col("name").alias("k")).distinct().withColumn("is_name", F.lit(True))
-    rows = q.unionAll(n)
-    if buckets is None:
-        # Bounds from names that a hash picks: any bounds give the same result, these give ranges of like size.
-        spark = names.sparkSession
-        n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        picked = names.select(F.col("name").alias("k"), F.xxhash64("name").alias("h")).orderBy("h", "k").limit(64 * n_parts).orderBy("k").select("k").collect()
-        buckets = [r["k"] for r in picked[64::64] if r["k"] is not None]
-    bucket = F.lit(0)
-    for i, b in enumerate(sorted(set(buckets)), 1):
-        bucket = F.when(F.col("k") >= F.lit(b), F.lit(i)).otherwise(bucket)
-    rows = rows.withColumn("bucket", bucket)
-    edge = rows.where("is_name").groupBy("bucket").agg(F.min("k").alias("lo"), F.max("k").alias("hi"))
-    # One row per range: at most as many as there are bounds.
-    all_buckets = rows.select("bucket").distinct()
-    w = W.orderBy("bucket")
-    carried = all_buckets.join(edge, "bucket", "left").select("bucket", F.last("hi", True).over(w.rowsBetween(W.unboundedPreceding, -1)).alias("carry_lo"), F.first("lo", True).over(w.rowsBetween(1, W.unboundedFollowing)).alias("carry_hi"))
+    n = names.select(F.col("name").alias("k")).where("name IS NOT NULL").distinct().withColumn("is_name", F.lit(True))
+    parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Stored, so that the ranges are drawn once: the numbers of the partitions are data from here on.
+    rows = stored(q.unionAll(n).repartitionByRange(parts, "k", "is_name").withColumn("bucket", F.spark_partition_id()), "neighbours")
     own = F.when(F.col("is_name"), F.col("k"))
+    edge = rows.groupBy("bucket").agg(F.min(own).alias("lo"), F.max(own).alias("hi"))
+    w = W.orderBy("bucket")
+    carried = edge.select("bucket", F.last("hi", True).over(w.rowsBetween(W.unboundedPreceding, -1)).alias("carry_lo"), F.first("lo", True).over(w.rowsBetween(1, W.unboundedFollowing)).alias("carry_hi"))
     order = W.partitionBy("bucket").orderBy("k", "is_name")
     before = F.last(own, True).over(order.rowsBetween(W.unboundedPreceding, -1))
+    # A query sorts before the name that equals it, so that this name is at or above it.
     after = F.first(own, True).over(order.rowsBetween(W.currentRow, W.unboundedFollowing))
     found = rows.withColumn("before", before).withColumn("after", after).where("NOT is_name")
-    return found.join(F.broadcast(carried), "bucket").select(F.col("k").alias("query"), F.coalesce("before", "carry_lo").alias("before"), F.coalesce("after", "carry_hi").alias("after"))
+    out = found.join(F.broadcast(carried), "bucket").select(F.col("k").alias("query"), F.coalesce("before", "carry_lo").alias("before"), F.coalesce("after", "carry_hi").alias("after"))
+    return out.withColumns({c: F.when(F.col("query").isNotNull(), F.col(c)) for c in ("before", "after")})
+
+
+def check_names(names: DataFrame, used: DataFrame) -> DataFrame:
+    """(name, family, taken, verdict) of proposed local names (name): ok, or why not. used: (name) of all names that stand anywhere."""
+    held = used.select("name").distinct().withColumn("taken", F.lit(True))
+    rows = names.select("name").distinct().join(held, "name", "left").withColumn("taken", F.coalesce("taken", F.lit(False)))
+    rows = rows.withColumn("family", identity.family(F.col("name")))
+    verdict = F.when(F.col("taken"), "taken").when(F.col("family") != "canonical", "shape").otherwise("ok")
+    return rows.select("name", "family", "taken", verdict.alias("verdict"))
+
+
+def mint(candidates: DataFrame, used: DataFrame, n: int) -> DataFrame:
+    """(name, before, after): the first n candidates (name, place) that are canonical and free, each between its neighbours.
+
+    Candidates come from whatever generator is trusted; too few good ones are an error.
+    """
+    first = candidates.groupBy("name").agg(F.min("place").alias("place"))
+    good = check_names(first, used).where("verdict = 'ok'").select("name").join(first, "name").orderBy("place", "name").limit(n)
+    good = stored(good.select("name"), "minted")
+    if good.count() < n:
+        raise ValueError(f"fewer than {n} candidates are canonical and free")
+    return neighbours(good.withColumnRenamed("name", "query"), used).withColumnRenamed("query", "name")
+
+
+def drift(names: DataFrame, known: DataFrame) -> DataFrame:
+    """(name): names of no family that are not known to be so."""
+    odd = names.where(identity.family(F.col("name")) == "nonconforming").select("name").distinct()
+    return odd.join(known.select("name"), "name", "left_anti")
 
 
 def latest(series: DataFrame) -> DataFrame:

@@ -19,6 +19,8 @@ def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir of the session; a local folder only where it is unset."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.loomlex.shared.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors see")
         at = "file://" + tempfile.mkdtemp(prefix="loomlex-shared-")
         spark.conf.set("spark.loomlex.shared.dir", at)
     return at if "://" in at else f"file://{os.path.abspath(at.removeprefix('file:'))}"
@@ -36,3 +38,8 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> D
     r = right.select(*(F.col(k).alias(f"_r_{k}") for k in keys))
     cond = [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys]
     return left.join(r, cond, how)
+
+
+def json_lines(df: DataFrame) -> DataFrame:
+    """(line): each row as JSON with its keys sorted and nulls kept."""
+    return df.select(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}).alias("line"))

@@ -10,6 +10,7 @@ import hashlib
 import math
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -42,6 +43,42 @@ def replay(report: Mapping, recomputed: Mapping) -> list[str]:
     return sorted(k for k in {*held, *recomputed} if held.get(k) != recomputed.get(k))
 
 
+def differing(recorded: DataFrame, recomputed: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, problem) of rows that are missing from, unexpected in, or other than what computing them again gives; nulls are equal."""
+    rest = [c for c in recomputed.columns if c not in keys]
+    side = lambda df, name: df.select(*keys, F.struct(*rest).alias(name), F.lit(True).alias(f"_{name}"))
+    a, b = side(recorded, "held"), side(recomputed, "anew")
+    j = a.join(b.select(*(F.col(k).alias(f"_k_{k}") for k in keys), "anew", "_anew"), [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], "full_outer")
+    problem = F.when(F.col("_held").isNull(), "missing").when(F.col("_anew").isNull(), "unexpected").when(~F.col("held").eqNullSafe(F.col("anew")), "different")
+    return j.select(*(F.coalesce(k, f"_k_{k}").alias(k) for k in keys), problem.alias("problem")).where("problem IS NOT NULL")
+
+
+def replay_run(bundle: Mapping[str, DataFrame], minimum: float, confidence: float, strata: int, most_defects: float, cases_per_slice: int, decimals: int = 9) -> DataFrame:
+    """(stage, n): how many rows of each recorded result computing it again from the recorded inputs does not bear out.
+
+    bundle: votes (record_id, reviewer, verdict, confidence; two reviewers), states, sample (record_id, stratum), evaluated,
+    cases, predictions, slices. Numbers count as equal to `decimals` places.
+    """
+    votes = bundle["votes"]
+    names = [r["reviewer"] for r in votes.select("reviewer").distinct().orderBy("reviewer").limit(3).collect()]  # two, by contract
+    if len(names) != 2:
+        raise ValueError("a run has two reviewers")
+    left, right = (votes.where(F.col("reviewer") == x) for x in names)
+    states = review.reconcile(left, right, minimum)
+    verdict = states.where("state <> 'incomplete'").select("record_id", F.when(F.col("state") == "accepted", "pass").otherwise("defect").alias("verdict"), F.lit(False).alias("severe"))
+    parts = {
+        "states": (states, ["record_id"]),
+        "evaluated": (review.evaluate_sample(bundle["sample"], verdict, confidence, strata, most_defects), ["stratum"]),
+        "slices": (review.slice_metrics(bundle["cases"], bundle["predictions"], cases_per_slice), ["family", "locale"]),
+    }
+    out = None
+    for name, (anew, keys) in parts.items():
+        same = lambda df: df.select(*(F.round(c, decimals).alias(c) if t == "double" else c for c, t in df.dtypes))
+        one = differing(same(bundle[name].select(*anew.columns)), same(anew), keys).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), "n")
+        out = one if out is None else out.unionAll(one)
+    return out
+
+
 @dataclass
 class Budget:
     """Ceilings that are reserved from before a request is made."""
@@ -68,12 +105,18 @@ def token_estimate(c: Column) -> Column:
     return F.greatest(F.lit(1), F.ceil(F.octet_length(c) / 4))
 
 
+#: Slices are configured pairs of family and locale; an artifact lists them by name.
+SLICES = 10_000
+
+
 def qualification(slices: DataFrame, accuracy: float, recall: float, false_accepts: float, stable: bool = True, **ids: str) -> dict:
     """A reviewer's decision from review.slice_metrics(): every slice must be supported, complete and within the thresholds."""
     good = F.col("supported") & (F.col("n_missing") == 0) & (F.col("accuracy") >= accuracy) & (F.col("defect_recall") >= recall) & (F.col("false_accept_rate") <= false_accepts)
     rows = slices.withColumn("_good", good)
     bad = rows.where("NOT _good").count()
-    passing = rows.where("_good").select("family", "locale").orderBy("family", "locale").limit(10_000).collect()  # slices are configured
+    passing = rows.where("_good").select("family", "locale").orderBy("family", "locale").limit(SLICES + 1).collect()
+    if len(passing) > SLICES:
+        raise ValueError(f"slices are configuration: at most {SLICES}")
     body = {"qualified_slices": [[r["family"], r["locale"]] for r in passing], **ids}
     return artifact(body, "qualified" if not bad and passing and stable else "rejected")
 
@@ -85,6 +128,29 @@ def check_roles(roles: Mapping[str, str], apart: list[tuple[str, str]]) -> None:
             raise ValueError(f"{a} and {b} must be served by different providers")
 
 
+def role_findings(qualifications: DataFrame, needed: list[str], apart: list[tuple[str, str, str]], bound: Mapping[str, str], now: str) -> DataFrame:
+    """(role, code): roles that are missing, not qualified, expired, bound to other hashes, or served by what must be apart from them.
+
+    qualifications: (role, status, valid_until, and the columns that `apart` and `bound` name), a row per role. apart:
+    (role, other role, column that must differ). bound: column to the value that it must have. now: ISO time.
+    """
+    spark = qualifications.sparkSession
+    want = spark.createDataFrame([(r,) for r in needed], "role string")
+    j = want.join(qualifications, "role", "left")
+    checks = {
+        "missing": F.col("status").isNull(),
+        "not-qualified": F.col("status") != "qualified",
+        "expired": F.col("valid_until").try_cast("timestamp") <= F.lit(now).cast("timestamp"),
+        **{f"binding:{c}": F.col("status").isNotNull() & ~F.col(c).eqNullSafe(F.lit(v)) for c, v in bound.items()},
+    }
+    out = j.select("role", F.explode(F.array_compact(F.array(*(F.when(bad, F.lit(code)) for code, bad in checks.items())))).alias("code"))
+    for a, b, column in apart:
+        x = qualifications.where(F.col("role") == a).select("role", F.col(column).alias("_x"))
+        y = qualifications.where(F.col("role") == b).select(F.col(column).alias("_y"))
+        out = out.unionByName(x.join(F.broadcast(y), F.col("_x") == F.col("_y")).select("role", F.lit(f"same-{column}:{b}").alias("code")))
+    return out
+
+
 def ungrounded(requests: DataFrame, responses: DataFrame) -> DataFrame:
     """record_id of responses (record_id, quotes array<string>) with a quote that the request's JSON (record_id, json) does not hold, or without a request."""
     j = responses.join(requests.select("record_id", "json"), "record_id", "left")
@@ -98,6 +164,16 @@ def families(changed: DataFrame) -> DataFrame:
     return changed.withColumn("family", F.when(F.col("predicate").isin(*LABELS.values()) & ~plain, "translation").otherwise(f))
 
 
+def routing_findings(records: DataFrame, contexts: DataFrame) -> DataFrame:
+    """(record_id, code) of changed records (record_id, family) that no reviewer can be given: without a family, a translation without its one source, an example without a definition.
+
+    contexts: (record_id, source, definition), as graph.record_contexts() gives it.
+    """
+    j = records.select("record_id", "family").join(contexts.select("record_id", "source", "definition"), "record_id", "left")
+    code = F.when(F.col("family").isNull(), "family").when((F.col("family") == "translation") & F.col("source").isNull(), "source").when((F.col("family") == "example") & F.col("definition").isNull(), "definition")
+    return j.select("record_id", code.alias("code")).where("code IS NOT NULL")
+
+
 def surveillance(records: DataFrame, left: DataFrame, right: DataFrame, seed: str, confidence: float, margin: float, census_at: int, most_defects: float, minimum: float, ceiling: int) -> tuple[dict, DataFrame]:
     """(outcome, evaluation per stratum) of records (record_id, stratum[, severe]) judged by two reviewers.
 
@@ -143,6 +219,90 @@ def corrections(proposals: DataFrame, votes: DataFrame, minimum: float, attempts
     return out.select("record_id", "state", F.when(keep, F.col("good")).alias("attempt"), F.when(keep, F.col("replacement")).alias("replacement"))
 
 
+def confirmed(votes: DataFrame) -> DataFrame:
+    """(record_id): records that exactly two votes, and none but those, call a defect."""
+    n = votes.groupBy("record_id").agg(F.count_if(F.col("verdict") == "defect").alias("defects"), F.count(F.lit(1)).alias("n"))
+    return n.where("defects = 2 AND n = 2").select("record_id")
+
+
+def correction_run(votes: DataFrame, proposals: DataFrame, checks: DataFrame, rereviews: DataFrame, minimum: float, attempts: int = 2) -> DataFrame:
+    """(record_id, state, attempt, replacement) of every confirmed record: verified, or quarantined.
+
+    votes: (record_id, verdict) of the first review. proposals, checks: as corrections() takes them. rereviews:
+    (record_id, attempt, reviewer, verdict, confidence) of what the verifiers passed: an attempt that two final reviewers
+    do not both pass is no longer one, and the next attempt has its turn.
+    """
+    due = confirmed(votes)
+    final = rereviews.groupBy("record_id", "attempt").agg((F.count_distinct("reviewer") == 2).alias("two"), F.min((F.col("verdict") == "pass") & (F.col("confidence") >= minimum)).alias("all_pass"))
+    fallen = final.where("NOT (two AND all_pass)").select("record_id", "attempt")
+    # A check of its own kind that fails takes the attempt out, yet leaves its text for the search of cycles.
+    veto = fallen.select("record_id", "attempt", F.lit("final").alias("verifier"), F.lit("defect").alias("verdict"), F.lit(1.0).alias("confidence"))
+    told = checks.select("record_id", "attempt", "verifier", "verdict", "confidence").unionByName(veto)
+    out = corrections(proposals.join(due, "record_id", "left_semi"), told, minimum, attempts)
+    return due.join(out, "record_id", "left").withColumn("state", F.coalesce("state", F.lit("quarantined")))
+
+
+def lineage_findings(ledger: DataFrame, verified: DataFrame, rereviews: DataFrame, minimum: float) -> DataFrame:
+    """(root_record_id, code): what a ledger of corrections (root_record_id, revision_id, replacement) lacks to be borne out.
+
+    Roots and revisions are unique, roots are those that converged (record_id, replacement), and two final reviewers pass each.
+    """
+    twice = lambda c: ledger.join(ledger.groupBy(c).count().where("count > 1").select(c), c, "left_semi").select("root_record_id").distinct()
+    code = lambda df, name: df.select("root_record_id", F.lit(name).alias("code"))
+    v = verified.select(F.col("record_id").alias("root_record_id"), F.col("replacement").alias("_text"))
+    j = ledger.select("root_record_id", "replacement").join(v, "root_record_id", "full_outer")
+    passed = rereviews.groupBy(F.col("record_id").alias("root_record_id")).agg((F.count_distinct("reviewer") == 2).alias("two"), F.min((F.col("verdict") == "pass") & (F.col("confidence") >= minimum)).alias("all_pass"))
+    weak = ledger.select("root_record_id").distinct().join(passed.where("two AND all_pass"), "root_record_id", "left_anti")
+    parts = {
+        "repeated-root": twice("root_record_id"), "repeated-revision": twice("revision_id"), "not-converged": j.where("_text IS NULL"), "not-in-ledger": j.where("replacement IS NULL"),
+        "other-text": j.where("replacement <> _text").distinct(), "final-review": weak,
+    }
+    out = None
+    for name, df in parts.items():
+        out = code(df, name) if out is None else out.unionAll(code(df, name))
+    return out
+
+
+def attest(report: Mapping, expires_at: str, **identity: str) -> dict:
+    """What a passing report is handed on with: whose it is, what it looked at, and until when it holds."""
+    check_artifact(report)
+    if report["payload"].get("decision") != "approved":
+        raise ValueError("only a passing report can be attested")
+    body = {"report_hash": report["artifact_hash"], "stage_hashes": report["payload"]["stage_hashes"], "candidate_hash": report["candidate_hash"], "expires_at": expires_at, **identity}
+    return {"predicate_hash": digest(body), **body}
+
+
+def check_attestation(predicate: Mapping, report: Mapping, candidate_hash: str, now: str, **identity: str) -> None:
+    """ValueError unless the predicate is unchanged, still holds, and names this identity, candidate and report."""
+    body = {k: v for k, v in predicate.items() if k != "predicate_hash"}
+    if digest(body) != predicate.get("predicate_hash"):
+        raise ValueError("the attestation was changed after it was hashed")
+    for k, v in identity.items():
+        if predicate.get(k) != v:
+            raise ValueError(f"the attestation is of another {k}")
+    if datetime.fromisoformat(now) >= datetime.fromisoformat(predicate["expires_at"]):
+        raise ValueError("the attestation has expired")
+    check_artifact(report)
+    if predicate["candidate_hash"] != candidate_hash or predicate["report_hash"] != report["artifact_hash"]:
+        raise ValueError("the attestation is of another candidate or report")
+
+
+def migration_receipt(debt: DataFrame, ledger: DataFrame, report: Mapping, final_hash: str) -> dict:
+    """The receipt that closes confirmed debt: only on a passing report, and only if every entry has a correction that stems from it.
+
+    Ids are hashed as sets, so that no list of them passes the driver.
+    """
+    if report["payload"].get("decision") != "approved":
+        raise ValueError("debt closes on a passing report alone")
+    rows = review.debt_lineage(debt, ledger)
+    lacking = rows.where("revisions = 0").orderBy("debt_id").first()
+    if lacking is not None:
+        raise ValueError(f"no correction stems from {lacking['debt_id']}")
+    one = lambda df, c: (review.population_hash(df.select(c), c, []).first() or {"population_hash": None})["population_hash"]
+    body = {"closed": rows.count(), "debt_hash": one(debt, "debt_id"), "revisions_hash": one(ledger, "revision_id"), "report_hash": report["artifact_hash"], "final_hash": final_hash}
+    return {"receipt_hash": digest(body), **body}
+
+
 def apply_corrections(values: DataFrame, chosen: DataFrame) -> DataFrame:
     """values (changes.VALUE) with each correction (VALUE, replacement) in place of exactly the value that it names; others fail the job."""
     named = chosen.select(*changes.VALUE)

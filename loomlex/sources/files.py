@@ -92,6 +92,68 @@ def read_senses(spark: SparkSession, path: str, kind: str = "parquet") -> DataFr
     return rows.select(*text, F.coalesce(F.col("sense_index").try_cast("int"), F.lit(0)).alias("sense_index"), "source")
 
 
+def read_sidecar(spark: SparkSession, path: str) -> DataFrame:
+    """The senses of a sidecar, one per id: the last in the file where an id repeats."""
+    rows = read_tsv(spark, path, SENSE_COLUMNS)
+    last = rows.groupBy("sense_id").agg(F.max_by(F.struct(*SENSE_COLUMNS), "row").alias("s"))
+    return last.select("s.*")
+
+
+CASES = "case_id string, family string, locale string, authority string, source_kind string, source_ref string, adjudication_hash string, input struct<source: string, candidate: string>, expected_verdict string, expected_defect_types array<string>"
+
+
+def read_cases(spark: SparkSession, path: str) -> DataFrame:
+    """Evaluation cases from JSON lines, with `expected` for the expected verdict; ValueError if review.case_findings() has any."""
+    from ..operators.review import case_findings
+
+    rows = spark.read.schema(CASES).option("mode", "FAILFAST").json(path).withColumnRenamed("expected_verdict", "expected")
+    bad = case_findings(rows).orderBy("case_id", "code").first()
+    if bad is not None:
+        raise ValueError(f"case {bad['case_id']}: {bad['code']}")
+    return rows
+
+
+def read_policy(path: str) -> dict:
+    """A policy file of nested settings: YAML, or JSON where no YAML reader is at hand. A configuration, read on the driver."""
+    with open(path, encoding="utf-8") as f:
+        text = f.read()
+    try:
+        import yaml
+    except ImportError:
+        return json.loads(text)
+    return yaml.safe_load(text) or {}
+
+
+DEBT = "debt_id string, subject string, predicate string, language string, datatype string, current_hash string, defect_class string, finding string, discovery string, state string, replacement string"
+
+
+def read_debt(spark: SparkSession, path: str) -> DataFrame:
+    """A ledger of confirmed debt from a JSON list; ValueError if review.debt_findings() has any."""
+    from ..operators.review import debt_findings
+
+    rows = spark.read.schema(DEBT).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    bad = debt_findings(rows).orderBy("debt_id", "code").first()
+    if bad is not None:
+        raise ValueError(f"debt {bad['debt_id']}: {bad['code']}")
+    return rows
+
+
+def read_canonical(path: str):
+    """A JSON artifact whose bytes are canonical, or ValueError. Artifacts are summaries and fit the driver."""
+    with open(path, "rb") as f:
+        raw = f.read()
+    value = json.loads(raw)
+    if raw.rstrip(b"\n") != canonical_bytes(value):
+        raise ValueError(f"{path} is not canonical JSON")
+    return value
+
+
+def project_schema(schema: dict, without: tuple[str, ...] = ("allOf", "if", "then", "else", "uniqueItems")) -> dict:
+    """A JSON schema without some keywords, at any depth."""
+    deep = lambda v: project_schema(v, without) if isinstance(v, dict) else [deep(x) for x in v] if isinstance(v, list) else v
+    return {k: deep(v) for k, v in schema.items() if k not in without}
+
+
 def check_pins(spark: SparkSession, pins: dict[str, str]) -> None:
     """Each file's sha-256 is the pinned one, or ValueError before anything is planned on it."""
     for path, want in pins.items():

@@ -11,7 +11,7 @@ import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 from urllib.parse import urljoin
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -132,6 +132,17 @@ def parse(source, base: str = "", prefix: str = "") -> Iterator[tuple]:
             g.out = []
 
 
+def parse_raw(source) -> Iterator[tuple]:
+    """Elements as they stand, before they mean anything: their name as predicate, own text, own language; subject and datatype are left out."""
+    root = None
+    for event, e in ET.iterparse(source, events=("start", "end")):
+        if root is None:
+            root = e
+        if event == "end":
+            yield ("", "iri", _iri(e.tag), e.text or "", "literal", e.get(XML + "lang"), None)
+            e.clear()
+
+
 class _File(InputPartition):
     def __init__(self, path: str, number: int):
         self.path, self.number = path, number
@@ -139,7 +150,7 @@ class _File(InputPartition):
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
-        self.path, self.base = options["path"], options.get("base", "")
+        self.path, self.base, self.raw = options["path"], options.get("base", ""), options.get("raw", "false") == "true"
 
     def partitions(self) -> list[InputPartition]:
         from pyarrow.fs import FileSelector, FileSystem, FileType
@@ -156,7 +167,7 @@ class _Reader(DataSourceReader):
 
         fs, _ = FileSystem.from_uri(self.path if "://" in self.path else "file://" + os.path.abspath(self.path))
         with fs.open_input_stream(part.path) as source:
-            yield from parse(source, self.base, f"f{part.number}.")
+            yield from parse_raw(source) if self.raw else parse(source, self.base, f"f{part.number}.")
 
 
 class RdfXmlSource(DataSource):
@@ -177,6 +188,13 @@ def read_rdfxml(spark: SparkSession, path: str, base: str = "") -> DataFrame:
     return spark.read.format("rdfxml").option("base", base).load(path).distinct()
 
 
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    """(predicate, lexical, language) of all elements of a file, or of a folder's files, as they stand; for checks that come before any meaning."""
+    spark.dataSource.register(RdfXmlSource)
+    rows = spark.read.format("rdfxml").option("raw", "true").load(path)
+    return rows.select("predicate", F.col("object").alias("lexical"), "language")
+
+
 def from_string(spark: SparkSession, text: str, base: str = "") -> DataFrame:
     """Triples of a document at hand, for small graphs."""
     import io
@@ -195,6 +213,13 @@ def findings_of_file(path: str) -> list[tuple[str, str]]:
     return []
 
 
+def unescape(c: Column) -> Column:
+    """XML text without its five named references, the ampersand's last."""
+    for name, to in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("amp", "&")):
+        c = F.replace(c, F.lit(f"&{name};"), F.lit(to))
+    return c
+
+
 def to_rdfxml(triples: DataFrame) -> Iterator[str]:
     """Lines of an RDF/XML document of named subjects, streamed to the driver in order."""
     from xml.sax.saxutils import escape, quoteattr

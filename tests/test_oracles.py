@@ -7,7 +7,9 @@ import os
 import duckdb
 import pytest
 
-from loomlex.plans.queries import ORACLES, QUERIES
+import loomlex.plans.reviews
+import loomlex.plans.vocabulary  # noqa: F401
+from loomlex.plans.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 

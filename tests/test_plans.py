@@ -5,7 +5,8 @@ import io
 
 import pytest
 
-from loomlex.plans.queries import QUERIES
+import loomlex.plans.queries  # noqa: F401
+from loomlex.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
