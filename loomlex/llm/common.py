@@ -1,4 +1,4 @@
-"""Helpers that the training-data operators share: planning sizes, shared folders, words and Arrow batches."""
+"""Helpers that the training-data operators share: planning sizes, shared folders and Arrow batches."""
 
 from __future__ import annotations
 
@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one step of the vectorised kernels holds, so that their arrays stay within a few tens of MB.
 STEP_BYTES = 1 << 20
+#: Spark's estimate for data whose size it can't tell is near the largest long; no table is so large.
+UNKNOWN = 1 << 60
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,10 +27,10 @@ def input_bytes(df: DataFrame) -> int:
 
 
 def parts_for(df: DataFrame, target: int) -> int:
-    """A partition count that follows the input's size, and never falls below the session's."""
+    """A partition count that follows the input's size, and never falls below the session's, which also stands where the size is not known."""
     spark = df.sparkSession
-    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(floor, min(100_000, -(-input_bytes(df) // target)))
+    floor, size = int(spark.conf.get("spark.sql.shuffle.partitions")), input_bytes(df)
+    return max(floor, -(-size // target)) if size < UNKNOWN else floor
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,17 +39,13 @@ def shared_dir(spark: SparkSession) -> str:
     if not at:
         at = spark.conf.get("spark.loomlex.shared.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors see")
         at = "file://" + tempfile.mkdtemp(prefix="loomlex-shared-")
         spark.conf.set("spark.loomlex.shared.dir", at)
     return at if "://" in at else f"file://{os.path.abspath(at.removeprefix('file:'))}"
 
 
-def ready_checkpoints(spark: SparkSession) -> None:
-    """checkpoint() needs the context to know the folder; it reads the setting of the session."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-
-
 def new_dir(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
@@ -75,11 +73,6 @@ def filesystem(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def words(text: bytes) -> list[bytes]:
-    """[^\\x20\\x09-\\x0D]+ over UTF-8: exactly what bytes.split() cuts at."""
-    return text.split()
-
-
 def texts(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """A string column as UTF-8, null as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -51,9 +51,10 @@ def fill(nodes: DataFrame, parent: list[str], name: str, budget: str = "budget")
     """Shares each parent's budget among its children (weight, cap): min(cap, weight * level), in whole tokens.
 
     Children are taken in order of cap per weight; one is full as long as its part of what is left for it and those
-    after it would reach its cap. The rest share what is left. Rounding leaves less than a token per child.
+    after it would reach its cap. The rest share what is left. Rounding leaves less than a token per child. A child of
+    weight 0 comes last and gets nothing.
     """
-    order = W.partitionBy(*(parent or [F.lit(0)])).orderBy((F.col("cap") / F.col("weight")), name)
+    order = W.partitionBy(*(parent or [F.lit(0)])).orderBy(F.asc_nulls_last(F.try_divide("cap", "weight")), name)
     before = order.rowsBetween(W.unboundedPreceding, -1)
     everyone = W.partitionBy(*(parent or [F.lit(0)]))
     big = lambda c: c.cast("decimal(19,0)")

@@ -329,9 +329,9 @@ def _near(f: np.ndarray, rows: np.ndarray, cols: np.ndarray, most: int, first: i
 
 
 def link_sketches(f: np.ndarray, most: int, first: int | None = None) -> np.ndarray:
-    """Each row's root under links of at most `most` differing bits; every pair that is not linked already is looked at.
+    """Each row's root under links of at most `most` differing bits in all, and `first` in the first fingerprint; every pair that is not linked already is looked at.
 
-    first: the most that the first of the fingerprints may differ in.
+    A pair at the similarity asked for differs in more than `first` bits (ten standard deviations of 64 draws) practically never.
     """
     n = len(f)
     first = min(64, most // f.shape[1] + 16) if first is None else first
@@ -502,8 +502,9 @@ def similar(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDE,
         return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("row_key"), nodes, raw], ["id", "row_key", "node", "sketch"])
 
     spark = docs.sparkSession
-    rows = text_of(docs, F.col(id_col).cast("long").alias("id"), row_key(id_col, text).alias("row_key"), text=text)
-    marked = written(map_batches(rows, kernel, "id long, row_key long, node long, sketch binary"), "sketches")
+    kind = dict(docs.dtypes)[id_col]
+    rows = text_of(docs, F.col(id_col).alias("id"), row_key(id_col, text).alias("row_key"), text=text)
+    marked = written(map_batches(rows, kernel, f"id {kind}, row_key long, node long, sketch binary"), "sketches")
     classes = written(marked.groupBy("node", "sketch").agg(F.min("id").alias("least"), F.min("row_key").alias("row_key")), "classes")
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts_for(classes, 1 << 18))
     rows = map_batches(classes.select("node", "sketch").repartition(n), _sketch_anchors(seeds), "anchor long, node long, sketch binary")

@@ -34,6 +34,8 @@ SEGMENT = 64
 #: Stands for a null id: no document is after it.
 LAST = (1 << 63) - 1
 CHUNK_BYTES = 8 << 20
+#: Up to so many chunks, a chunk packs its hashes by bucket, as many buckets as chunks; beyond, as rows of plain columns, whose number grows with the words alone.
+PACKED_CHUNKS = 2_048
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 _P = 0x9E3779B97F4A7C15
@@ -114,28 +116,48 @@ def _slices(key: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(cut, cut[1:], strict=False))
 
 
+def _least(table: pa.Table, window: int) -> tuple[np.ndarray, ...]:
+    """A chunk's hashes, sorted; of each the least document of the chunk that holds it, its place there, and whether several do."""
+    ids = _ids(table.column("id"))
+    m = minimizers(texts(table.column("text")), window)
+    doc = ids[m["doc"]]
+    order = np.lexsort((m["at"], doc, m["h"]))
+    h, doc, at = m["h"][order], doc[order], m["at"][order]
+    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.array([], np.int64)
+    last = np.concatenate([first[1:], [len(h)]]) - 1 if len(first) else first
+    return h[first], doc[first], at[first].astype(np.int32), doc[first] != doc[last]
+
+
 def _emit(buckets: int, window: int):
     """A chunk's hashes with the least document of the chunk that holds each, packed by bucket of the hash."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        ids = _ids(table.column("id"))
-        m = minimizers(texts(table.column("text")), window)
-        doc = ids[m["doc"]]
-        order = np.lexsort((m["at"], doc, m["h"]))
-        h, doc, at = m["h"][order], doc[order], m["at"][order]
-        new = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.array([], bool)
-        first = np.flatnonzero(new)
-        last = np.concatenate([first[1:], [len(h)]]) - 1 if len(first) else first
-        several = doc[first] != doc[last]
-        h, doc, at = h[first], doc[first], at[first]
+        h, doc, at, several = _least(table, window)
         bucket = ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
         cuts = _slices(bucket)
         pack = lambda x: pa.array([x[a:b].tobytes() for a, b in cuts], pa.binary())
-        return pa.table({"bucket": pa.array([int(bucket[a]) for a, _ in cuts], pa.int32()), "chunk": pa.array([key[0].as_py()] * len(cuts), pa.int32()), "h": pack(h), "doc": pack(doc), "at": pack(at.astype(np.int32)), "several": pack(several)})
+        return pa.table({"bucket": pa.array([int(bucket[a]) for a, _ in cuts], pa.int32()), "chunk": pa.array([key[0].as_py()] * len(cuts), pa.int32()), "h": pack(h), "doc": pack(doc), "at": pack(at), "several": pack(several)})
 
     return run
 
 
+def _emit_rows(window: int):
+    """The same as a row per hash."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        h, doc, at, several = _least(table, window)
+        return pa.table({"chunk": pa.array(np.full(len(h), key[0].as_py(), np.int32)), "h": pa.array(h.view(np.int64)), "doc": pa.array(doc), "at": pa.array(at), "several": pa.array(several)})
+
+    return run
+
+
+def _repeated_rows(emitted: DataFrame) -> DataFrame:
+    """_repeated() of plain rows: pre-aggregated per hash, and joined back to the chunks that hold it."""
+    least = emitted.groupBy("h").agg(F.min(F.struct("doc", "at")).alias("m"), F.max("doc").alias("last"), F.max("several").alias("several"))
+    more = least.where("several OR m.doc <> last").select("h", F.col("m.doc").alias("doc"), F.col("m.at").alias("at"))
+    return emitted.select("chunk", "h").join(more.hint("merge"), "h").select("chunk", "h", "doc", "at")
+
+
 def _repeated(_key: tuple, table: pa.Table) -> pa.Table:
     """Of one bucket: the hashes of two documents or more, with the least document and the place there, packed by chunk that holds them."""
     sizes = [len(x) // 8 for x in table.column("h").to_pylist()]
@@ -169,7 +191,11 @@ def _cut(window: int, segment: int):
         if not docs.num_rows or not back.num_rows:
             return empty
         ids, raws = _ids(docs.column("id")), texts(docs.column("text"))
-        cat = lambda name, kind: np.frombuffer(b"".join(back.column(name).to_pylist()), kind)
+
+        def cat(name: str, kind) -> np.ndarray:
+            column = back.column(name)
+            return np.frombuffer(b"".join(column.to_pylist()), kind) if pa.types.is_binary(column.type) else column.to_numpy().view(kind)
+
         h, ref, at = cat("h", np.uint64), cat("doc", np.int64), cat("at", np.int32)
         order = np.argsort(h)
         h, ref, part = h[order], ref[order], at[order] // segment
@@ -329,8 +355,11 @@ def removed(docs: DataFrame, finish, schema: str, window: int = WINDOW, segment:
     release(spark)
     table = spark.table(name)
     slim = table.select("chunk", "id", "text")
-    emitted = slim.groupBy("chunk").applyInArrow(_emit(chunks, window), "bucket int, chunk int, h binary, doc binary, at binary, several binary")
-    back = emitted.groupBy("bucket").applyInArrow(_repeated, "chunk int, h binary, doc binary, at binary")
+    if chunks <= PACKED_CHUNKS:
+        emitted = slim.groupBy("chunk").applyInArrow(_emit(chunks, window), "bucket int, chunk int, h binary, doc binary, at binary, several binary")
+        back = emitted.groupBy("bucket").applyInArrow(_repeated, "chunk int, h binary, doc binary, at binary")
+    else:
+        back = _repeated_rows(written(slim.groupBy("chunk").applyInArrow(_emit_rows(window), "chunk int, h long, doc long, at int, several boolean"), "hashes"))
     pieces = written(slim.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(_cut(window, segment), _PIECES), "pieces")
     release(spark)
     distinct = pieces.groupBy("ref", "segment", "piece").agg(F.min("least").alias("least"))

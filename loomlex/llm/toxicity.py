@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from . import gbt
 from .common import map_batches, text_of, texts, written
 
-#: At most this many labelled rows are learned from, chosen by a hash of their id; and at most so many lexicon entries kept.
+#: Parameters of fit(): at most this many labelled rows are learned from, chosen by a hash of their id; and the size of a
+#: lexicon, of which the entries with the most weight times log count are taken. Both bound the model, not what is scored.
 TRAIN_ROWS, LEXICON_ENTRIES = 30_000, 4_000
 #: An entry must occur in this many labelled texts and have these log-odds.
 MIN_TEXTS, MIN_LOG_ODDS = 2, 2.0
@@ -110,13 +111,13 @@ def _entries(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(entry, pa.string()), pa.array(kind, pa.int32()), pa.array(label, pa.int32())], ["entry", "kind", "y"])
 
 
-def _lexicons(part: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
+def _lexicons(part: DataFrame, entries: int) -> tuple[dict[str, float], dict[str, float]]:
     """Counts of labelled texts per entry, summed before they are shuffled; the best entries alone come to the driver."""
     totals = part.agg(F.sum("y"), F.count(F.lit(1))).first()
     pos, n = int(totals[0] or 0), int(totals[1])
     counts = map_batches(part.select("text", "y"), _entries, "entry string, kind int, y int").groupBy("kind", "entry").agg(F.sum("y").alias("p"), F.count(F.lit(1)).alias("n"))
     odds = F.log((F.col("p") + 0.5) / (pos + 1)) - F.log((F.col("n") - F.col("p") + 0.5) / (n - pos + 1))
-    best = counts.withColumn("w", odds).where((F.col("n") >= MIN_TEXTS) & (F.col("w") >= MIN_LOG_ODDS)).orderBy(F.desc(F.col("w") * F.log1p("p")), "kind", "entry").limit(LEXICON_ENTRIES)
+    best = counts.withColumn("w", odds).where((F.col("n") >= MIN_TEXTS) & (F.col("w") >= MIN_LOG_ODDS)).orderBy(F.desc(F.col("w") * F.log1p("p")), "kind", "entry").limit(entries)
     found = best.collect()
     return {r["entry"]: r["w"] for r in found if r["kind"] == 0}, {r["entry"]: r["w"] for r in found if r["kind"] == 1}
 
@@ -131,20 +132,20 @@ class Model:
         return np.clip(self.calibrate(self.trees.raw(x)), 0, 1)
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str = "toxic", text: str = "text") -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str = "toxic", text: str = "text", most_rows: int = TRAIN_ROWS, entries: int = LEXICON_ENTRIES) -> Model:
     """Learns from rows of labels whose id is learnable and that docs holds.
 
     Null labels and ids are ignored; of several labels of an id the greatest counts. Without labels, or with one class
-    only, the model gives the smoothed base rate.
+    only, the model gives the smoothed base rate. most_rows, entries: bounds of what is learned from and of a lexicon.
     """
     chosen = labels.where(learnable(id_col) & F.col(label).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label).cast("int").alias("y"))
-    chosen = chosen.orderBy(F.xxhash64("id"), "id").limit(TRAIN_ROWS)
-    # At most TRAIN_ROWS ids and labels: a few hundred KB, whatever the input.
+    chosen = chosen.orderBy(F.xxhash64("id"), "id").limit(most_rows)
+    # At most most_rows ids and labels: a few hundred KB, whatever the input.
     rows = text_of(docs, F.col(id_col).alias("id"), text=text).join(F.broadcast(chosen), "id")
     rows = written(rows.withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(5)).cast("int")), "labelled")
     halves = [F.col("part").isin(0, 1), F.col("part").isin(2, 3)]
-    made = [_features(rows.where(other), *_lexicons(rows.where(half))) for half, other in (halves, halves[::-1])]
-    words, begins = _lexicons(rows.where("part < 4"))
+    made = [_features(rows.where(other), *_lexicons(rows.where(half), entries)) for half, other in (halves, halves[::-1])]
+    words, begins = _lexicons(rows.where("part < 4"), entries)
     trees = gbt.fit(np.concatenate([x for x, _ in made]), np.concatenate([y for _, y in made]))
     x, y = _features(rows.where("part = 4"), words, begins)
     return Model(words, begins, trees, gbt.isotonic(trees.raw(x), y))

@@ -37,11 +37,12 @@ def split_url(url: str | None) -> tuple[str, str]:
 
 @dataclass
 class _Path:
-    """A node of whole path segments. rule: what ends here; open: rules that end within the next segment."""
+    """A node of whole path segments. rule: what ends here; open: rules that end within the next segment, by their last piece, and sizes the lengths of these pieces."""
 
     next: dict[str, _Path] = field(default_factory=dict)
     rule: tuple[int, int, bool, str] | None = None
     open: dict[str, tuple[int, int, bool, str]] = field(default_factory=dict)
+    sizes: set[int] = field(default_factory=set)
 
 
 @dataclass
@@ -75,6 +76,7 @@ class Trie:
                 at = at.next.setdefault(segment, _Path())
             if last:
                 at.open[last] = max(rule, at.open.get(last, rule))
+                at.sizes.add(len(last))
             else:
                 at.rule = max(rule, at.rule or rule)
 
@@ -94,8 +96,9 @@ class Trie:
             for i, segment in enumerate(segments):
                 if at.rule and (best is None or at.rule > best):
                     best = at.rule
-                for start, rule in at.open.items():
-                    if segment.startswith(start) and (best is None or rule > best):
+                for n in at.sizes:
+                    rule = at.open.get(segment[:n])
+                    if rule and (best is None or rule > best):
                         best = rule
                 if i + 1 == len(segments):  # no slash follows
                     break

@@ -60,7 +60,9 @@ def brute_removed(window=13):
     return sorted((k for k, n in out.items() for _ in range(n)), key=repr)
 
 
-def test_substring(docs, empty):
+@pytest.mark.parametrize("packed", [substring.PACKED_CHUNKS, 0])
+def test_substring(docs, empty, monkeypatch, packed):
+    monkeypatch.setattr(substring, "PACKED_CHUNKS", packed)
     assert rows(substring.digests(docs)) == brute_removed()
     assert substring.digests(empty).count() == 0
     out = substring.dedup(docs)
@@ -84,6 +86,13 @@ def test_similar(spark):
     assert {r["doc_id"]: r["component_id"] for r in simhash.similar(table).collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 5}
 
 
+def test_ids_that_are_no_numbers(docs):
+    named = docs.withColumn("doc_id", F.concat(F.lit("n"), F.col("doc_id").cast("string")))
+    kept = simhash.keep_one(named, simhash.similar(named))
+    assert kept.dtypes == named.dtypes and 0 < kept.count() < named.count()
+    assert {r["doc_id"] for r in simhash.near_duplicates(named).collect()} == {r["doc_id"] for r in named.select("doc_id").collect()}
+
+
 def test_token_files(docs, empty):
     got = tokenfile.write_and_read(docs, tokenfile.default_path()).orderBy("start").collect()
     assert len(got) == len(ROWS) and [r["doc_id"] for r in got] == sorted((r[0] for r in ROWS), key=lambda x: (x is not None, x))
@@ -132,6 +141,8 @@ def test_filling_shares_shortages_with_siblings(spark):
     leaves = spark.createDataFrame([("a", "x", "1", 10), ("a", "x", "2", 1000), ("b", "x", "1", 5)], "domain string, lang string, source string, supply long")
     got = {(r["domain"], r["source"]): r["allocated"] for r in mixing.allocate(leaves, F.lit(500), 1, {}).collect()}
     assert got == {("a", "1"): 10, ("a", "2"): 485, ("b", "1"): 5}
+    none = {(r["domain"], r["source"]): r["allocated"] for r in mixing.allocate(leaves, F.lit(500), 1, {("b",): 0}).collect()}
+    assert none == {("a", "1"): 10, ("a", "2"): 490, ("b", "1"): 0}
 
 
 def test_url_filter(spark):
