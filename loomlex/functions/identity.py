@@ -64,11 +64,6 @@ def from_curie(c: Column, prefix: str) -> Column:
     return F.when(F.startswith(c, F.lit(prefix)), F.substring(c, len(prefix) + 1, 1 << 30)).otherwise(wrong.cast("string"))
 
 
-def set_hash(ids: Column) -> Column:
-    """An aggregate: the hash of the sorted ids as a JSON list. It gathers the ids of a group; use it on bounded groups."""
-    return content_hash(F.concat(F.lit('["'), F.array_join(F.array_sort(F.collect_set(ids)), '","'), F.lit('"]')))
-
-
 def family(local_name: Column, families=FAMILIES, other: str = "nonconforming") -> Column:
     out = F.lit(other)
     for name, shape in reversed(families):

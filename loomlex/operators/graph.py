@@ -81,6 +81,20 @@ def siblings(edges: DataFrame) -> DataFrame:
     return edges.join(other, "parent").where("child <> sibling").select(F.col("child").alias("node"), "sibling").distinct()
 
 
+def first_siblings(edges: DataFrame, labels: DataFrame, most: int = 12) -> DataFrame:
+    """(node, label): the first `most` labels of each node's siblings, at least. labels: (subject, label).
+
+    Of a parent's children only the first labels, and one more for a node's own, meet its children, so that the rows are
+    bounded by the children and not by their pairs.
+    """
+    named = edges.distinct().join(labels.select(F.col("subject").alias("child"), "label").distinct(), "child")
+    # Of a label the number of children that have it, and one of them: a node's own label counts if another has it too.
+    held = named.groupBy("parent", "label").agg(F.count(F.lit(1)).alias("_n"), F.min("child").alias("_one"))
+    first = held.withColumn("_k", F.row_number().over(W.partitionBy("parent").orderBy("label"))).where(F.col("_k") <= most + 1)
+    met = edges.join(first, "parent").where((F.col("_n") > 1) | (F.col("_one") != F.col("child")))
+    return met.select(F.col("child").alias("node"), "label").distinct()
+
+
 def closure(edges: DataFrame) -> DataFrame:
     """(node, ancestor) over one edge or more; safe with cycles. Each round joins what is new with all found, so that paths double."""
     base = stored(edges.where("child is not null and parent is not null").select(F.col("child").alias("node"), F.col("parent").alias("ancestor")).distinct(), "closure")

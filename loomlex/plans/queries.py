@@ -596,9 +596,10 @@ SELECT node, array_to_string(a, '|') AS ancestors, array_to_string(CASE WHEN z T
 def q47_context_topk(spark, sf):
     """Sources within languages: short labels fit, long ones are cut to three, and the longest are flagged even then."""
     d = table(spark, sf, "documents").where("lang IS NOT NULL AND source IS NOT NULL").select("lang", F.concat_ws("/", "lang", "source").alias("node")).distinct()
-    near = graph.siblings(d.select(F.col("node").alias("child"), F.col("lang").alias("parent"))).withColumn("lang", F.split_part("node", F.lit("/"), F.lit(1)))
+    edges = d.select(F.col("node").alias("child"), F.col("lang").alias("parent"))
+    near = graph.first_siblings(edges, d.select(F.col("node").alias("subject"), F.expr(f"rpad(node, {_WIDTH}, '.')").alias("label")))
     up = d.select("node", F.concat(F.lit("language "), "lang").alias("label"))
-    out = graph.bounded_context(up, near.select("node", F.expr(f"rpad(sibling, {_WIDTH}, '.')").alias("label")))
+    out = graph.bounded_context(up, near)
     return out.select("node", F.array_join("ancestors", "|").alias("ancestors"), F.array_join("siblings", "|").alias("siblings"), "oversize")
 
 

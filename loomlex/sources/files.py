@@ -9,6 +9,7 @@ import tarfile
 import zipfile
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -154,12 +155,32 @@ def project_schema(schema: dict, without: tuple[str, ...] = ("allOf", "if", "the
     return {k: deep(v) for k, v in schema.items() if k not in without}
 
 
+def digests(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, sha256) of files in a store that all executors see; each is streamed by one task, whatever its size."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        from pyarrow.fs import FileSystem
+
+        for batch in batches:
+            found = []
+            for path in batch.column("path").to_pylist():
+                fs, at = FileSystem.from_uri(path if "://" in path else "file://" + os.path.abspath(path))
+                h = hashlib.sha256()
+                with fs.open_input_stream(at) as f:
+                    while block := f.read(1 << 20):
+                        h.update(block)
+                found.append(h.hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(found, pa.string())], ["path", "sha256"])
+
+    listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths)))
+    return listed.mapInArrow(run, "path string, sha256 string")
+
+
 def check_pins(spark: SparkSession, pins: dict[str, str]) -> None:
     """Each file's sha-256 is the pinned one, or ValueError before anything is planned on it."""
-    for path, want in pins.items():
-        got = spark.read.format("binaryFile").load(path).select(F.sha2("content", 256).alias("h")).first()["h"]
-        if got != want:
-            raise ValueError(f"{path}: expected {want}, got {got}")
+    for row in digests(spark, list(pins)).collect():  # a row per pinned file
+        if row["sha256"] != pins[row["path"]]:
+            raise ValueError(f"{row['path']}: expected {pins[row['path']]}, got {row['sha256']}")
 
 
 def fingerprint(df: DataFrame) -> str:
