@@ -34,7 +34,7 @@ _COARSE = f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+"
 #: The pre-tokenizer's pattern within such a run.
 _FINE = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WS}\p{{L}}\p{{N}}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+"
 #: Bytes of text whose runs are encoded together, each distinct one once.
-RUN_BYTES = 4 << 20
+RUN_BYTES = 2 << 20
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -289,7 +289,7 @@ def read_vocabulary(path: str) -> Compiled:
 class Codec:
     """Encoding as the tokenizers library does with a byte-level BPE file, without special tokens added, truncation or padding."""
 
-    def __init__(self, compiled: Compiled, memo: int = 800_000):
+    def __init__(self, compiled: Compiled, memo: int = 200_000):
         import re
 
         import regex
