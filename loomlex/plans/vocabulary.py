@@ -48,7 +48,7 @@ def triples_sql(version: int) -> str:
         part(n, _LABEL, "n_name", "nation", language="'EN-us'"), part(r, _LABEL, "r_name", "region"),
         part(c, _PREF, "c_name || ' and Co'", "customer", language="'en'", where="c_custkey % 4 = 0"),
         part(c, _ALT, "c_mktsegment", "customer", language="'en'", where="c_custkey % 5 <> 0" if new else ""),
-        part(c, _ALT, "'folio:' || c_mktsegment", "customer", where="c_custkey % 5 = 1 AND " + ("FALSE" if new else "TRUE")),
+        part(c, _ALT, "'rel:' || c_mktsegment", "customer", where="c_custkey % 5 = 1 AND " + ("FALSE" if new else "TRUE")),
         part(c, _HIDDEN, "lower(c_name)", "customer", where="c_custkey % 4 = 0 AND " + ("TRUE" if new else "c_custkey % 8 = 0")),
         part(c, _DEF, "c_name || ' buys ' || c_mktsegment" + (" || CASE WHEN c_custkey % 6 = 0 THEN ' daily' ELSE '' END" if new else ""), "customer", language="'en'"),
         part(c, _DEF, "'A customer in ' || c_mktsegment", "customer", language="'en'", where="c_custkey % 11 = 0 AND " + ("TRUE" if new else "FALSE")),
@@ -165,7 +165,7 @@ own AS (SELECT subject, object FROM ok WHERE predicate IN ('{_LABEL}', '{_PREF}'
   JOIN (SELECT subject, object, 1 AS v FROM t1 WHERE predicate = '{OWL}someValuesFrom' UNION ALL SELECT subject, object, 0 FROM t WHERE predicate = '{OWL}someValuesFrom') v ON v.subject = s.object AND v.v = s.v WHERE s.subject IN (SELECT subject FROM k)),
 m AS (SELECT 'new_classes' AS kind, subject, '' AS detail FROM (SELECT subject FROM oc EXCEPT SELECT subject FROM hc)
   UNION ALL SELECT 'new_alt_labels', subject, object FROM came WHERE predicate = '{_ALT}' UNION ALL SELECT 'new_hidden_labels', subject, object FROM came WHERE predicate = '{_HIDDEN}'
-  UNION ALL SELECT 'removed_labels', subject, object FROM gone WHERE predicate IN ('{_ALT}', '{_HIDDEN}') AND object_kind = 'literal' AND NOT starts_with(object, 'folio:') AND (subject, object) NOT IN (SELECT (subject, object) FROM own)
+  UNION ALL SELECT 'removed_labels', subject, object FROM gone WHERE predicate IN ('{_ALT}', '{_HIDDEN}') AND object_kind = 'literal' AND NOT starts_with(object, 'rel:') AND (subject, object) NOT IN (SELECT (subject, object) FROM own)
     AND (subject, predicate, object) NOT IN (SELECT (subject, predicate, object) FROM ok)
   UNION ALL SELECT 'definition_additions', subject, object FROM came WHERE predicate = '{_DEF}' AND subject NOT IN (SELECT subject FROM gone WHERE predicate = '{_DEF}')
   UNION ALL SELECT 'definition_updates', subject, object FROM came WHERE predicate = '{_DEF}' AND subject IN (SELECT subject FROM gone WHERE predicate = '{_DEF}')
@@ -174,7 +174,7 @@ m AS (SELECT 'new_classes' AS kind, subject, '' AS detail FROM (SELECT subject F
 
 
 def _merge_parts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return changes.merge_diff(vocabulary(spark, sf, 1), vocabulary(spark, sf, 0), "folio:")
+    return changes.merge_diff(vocabulary(spark, sf, 1), vocabulary(spark, sf, 0), "rel:")
 
 
 @query(_MERGE + " SELECT kind, subject, detail FROM m")
@@ -226,11 +226,11 @@ def q67_record_contexts(spark, sf):
     return graph.record_contexts(records, values, names, risks).withColumn("risks", F.array_join("risks", "|"))
 
 
-@query(f"WITH {_T}, {_T1}, {_C} SELECT DISTINCT subject, predicate, object FROM t1 WHERE predicate IN ('{_ALT}', '{_HIDDEN}') AND NOT starts_with(object, 'folio:') AND subject IN (SELECT subject FROM c)")
+@query(f"WITH {_T}, {_T1}, {_C} SELECT DISTINCT subject, predicate, object FROM t1 WHERE predicate IN ('{_ALT}', '{_HIDDEN}') AND NOT starts_with(object, 'rel:') AND subject IN (SELECT subject FROM c)")
 def q68_merge_applied(spark, sf):
     """The labels for search of the classes that both versions declare, after the merge of the newer into the older: those of the newer."""
-    ours, theirs = (vocabulary(spark, sf, v).where("NOT startswith(object, 'folio:')") for v in (1, 0))
-    merged = changes.apply_merge(ours, theirs, changes.merge_diff(ours, theirs, "folio:"))
+    ours, theirs = (vocabulary(spark, sf, v).where("NOT startswith(object, 'rel:')") for v in (1, 0))
+    merged = changes.apply_merge(ours, theirs, changes.merge_diff(ours, theirs, "rel:"))
     return merged.where(F.col("predicate").isin(_ALT, _HIDDEN)).join(graph.classes(theirs), "subject", "left_semi").select("subject", "predicate", "object").distinct()
 
 

@@ -58,20 +58,20 @@ def test_raw_elements_before_meaning(spark, tmp_path):
 
 
 def test_merge_applies_all_seven_kinds(spark):
-    ours = HEAD + """<owl:Class rdf:about="urn:x"><rdfs:label>X</rdfs:label><skos:notation>folio:X</skos:notation><skos:altLabel>new</skos:altLabel><skos:hiddenLabel>h</skos:hiddenLabel><skos:definition>d1</skos:definition>
+    ours = HEAD + """<owl:Class rdf:about="urn:x"><rdfs:label>X</rdfs:label><skos:notation>rel:X</skos:notation><skos:altLabel>new</skos:altLabel><skos:hiddenLabel>h</skos:hiddenLabel><skos:definition>d1</skos:definition>
 <rdfs:subClassOf><owl:Restriction><owl:onProperty rdf:resource="urn:p"/><owl:someValuesFrom rdf:resource="urn:y"/></owl:Restriction></rdfs:subClassOf></owl:Class>
 <owl:Class rdf:about="urn:z"><rdfs:label>Z</rdfs:label><skos:definition>a</skos:definition><skos:definition>b</skos:definition></owl:Class>
 <owl:Class rdf:about="urn:y"><rdfs:label>Y</rdfs:label><rdfs:subClassOf><owl:Restriction><owl:onProperty rdf:resource="urn:p"/><owl:hasValue>1</owl:hasValue></owl:Restriction></rdfs:subClassOf></owl:Class></rdf:RDF>"""
-    theirs = HEAD + """<owl:Class rdf:about="urn:x"><rdfs:label>folio:X</rdfs:label><skos:altLabel>old</skos:altLabel><skos:definition>d0</skos:definition></owl:Class>
+    theirs = HEAD + """<owl:Class rdf:about="urn:x"><rdfs:label>rel:X</rdfs:label><skos:altLabel>old</skos:altLabel><skos:definition>d0</skos:definition></owl:Class>
 <owl:Class rdf:about="urn:z"><rdfs:label>Z</rdfs:label><skos:definition>a</skos:definition></owl:Class></rdf:RDF>"""
     a, b = rdfxml.from_string(spark, ours), rdfxml.from_string(spark, theirs)
-    parts = changes.merge_diff(a, b, "folio:")
+    parts = changes.merge_diff(a, b, "rel:")
     assert {r["kind"]: r["n"] for r in changes.merge_summary(parts).collect()} == {
         "new_classes": 1, "new_alt_labels": 1, "new_hidden_labels": 1, "removed_labels": 1, "definition_additions": 1, "definition_updates": 1, "label_normalizations": 1, "new_restrictions": 1,
     }
     merged = tables.stored(changes.apply_merge(a, b, parts), "merged")
     assert changes.same(changes.canonical(merged), changes.canonical(a))
-    again = changes.merge_summary(changes.merge_diff(a, merged, "folio:"))
+    again = changes.merge_summary(changes.merge_diff(a, merged, "rel:"))
     assert {r["n"] for r in again.collect()} == {0}
     back = rdfxml.from_string(spark, "\n".join(rdfxml.to_rdfxml(merged)))
     assert changes.same(graph.named_only(back), graph.named_only(merged))
