@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, media, mixing, pages, periodic, quality, simhash, substring, tokenfile, toxicity, urlfilter
+from . import bpe, divergence, media, mixing, pages, periodic, quality, simhash, substring, tokenfile, toxicity, urlfilter
 from .common import table
 
 
@@ -56,6 +56,10 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digests(table(spark, sf_dir, "documents"))
 
@@ -65,4 +69,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filter": urlfilter.ORACLE, "op5_quality_ledger": quality.ORACLE, "op9_substring_dedup": substring.ORACLE, "op10_mix_sources": mixing.ORACLE}
+    return {"op3_url_filter": urlfilter.ORACLE, "op5_quality_ledger": quality.ORACLE, "op9_substring_dedup": substring.ORACLE, "op10_mix_sources": mixing.ORACLE, "op12_source_divergence": divergence.ORACLE}
