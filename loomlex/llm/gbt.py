@@ -31,8 +31,8 @@ class Trees:
         return 1 / (1 + np.exp(-self.raw(x)))
 
 
-def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: float = 0.2, bins: int = 64, l2: float = 1.0, min_weight: float = 1.0) -> Trees:
-    """Minimises log-loss. Without rows, or with one class only, the trees say what the smoothed base rate says."""
+def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: float = 0.2, bins: int = 64, l2: float = 1.0, min_weight: float = 1.0, rows: float = 1.0, columns: float = 1.0, seed: int = 0) -> Trees:
+    """Minimises log-loss. Each tree sees a share of the rows and of the columns, drawn by the seed. Without rows, or with one class only, the trees say what the smoothed base rate says."""
     n, width = x.shape
     y = y.astype(np.float64)
     rate_of_1 = (y.sum() + 0.5) / (n + 1)
@@ -44,22 +44,25 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: flo
     edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(width)]
     # A bin holds what is above its lower edge and not above its upper edge, as the trees' cuts do.
     binned = np.stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(edges)], axis=1)
-    score = np.full(n, base)
+    score, draw = np.full(n, base), np.random.default_rng(seed)
     for t in range(trees):
-        p = 1 / (1 + np.exp(-score))
-        g, h = p - y, np.maximum(p * (1 - p), 1e-9)
-        at = np.zeros(n, np.int64)
+        some = np.arange(n) if rows >= 1 else np.flatnonzero(draw.random(n) < rows)
+        wide = np.arange(width) if columns >= 1 else np.flatnonzero(draw.random(width) < columns)
+        p = 1 / (1 + np.exp(-score[some]))
+        g, h = p - y[some], np.maximum(p * (1 - p), 1e-9)
+        x_of, bins_of = x[some], binned[some]
+        at = np.zeros(len(some), np.int64)
         for level in range(depth):
             first, count = (1 << level) - 1, 1 << level
             local = at - first
             best = np.zeros(count)
             sums = np.bincount(local, g, count), np.bincount(local, h, count)
             whole = sums[0] ** 2 / (sums[1] + l2)
-            for j in range(width):
+            for j in wide:
                 k = len(edges[j]) + 1
                 if k < 2:
                     continue
-                key = local * k + binned[:, j]
+                key = local * k + bins_of[:, j]
                 gl = np.bincount(key, g, count * k).reshape(count, k).cumsum(axis=1)[:, :-1]
                 hl = np.bincount(key, h, count * k).reshape(count, k).cumsum(axis=1)[:, :-1]
                 gr, hr = sums[0][:, None] - gl, sums[1][:, None] - hl
@@ -70,10 +73,10 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: flo
                 best[won] = gain[np.arange(count), top][won]
                 feature[t, first : first + count][won] = j
                 cut[t, first : first + count][won] = edges[j][top[won]]
-            at = 2 * at + 1 + (x[np.arange(n), feature[t][at]] > cut[t][at])
+            at = 2 * at + 1 + (x_of[np.arange(len(some)), feature[t][at]] > cut[t][at])
         leaf = at - inner
         value[t] = -rate * np.bincount(leaf, g, leaves) / (np.bincount(leaf, h, leaves) + l2)
-        score += value[t][leaf]
+        score += value[t][leaf] if len(some) == n else Trees(feature[t : t + 1], cut[t : t + 1], value[t : t + 1], 0.0).raw(x)
     return Trees(feature, cut, value, base)
 
 

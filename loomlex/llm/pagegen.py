@@ -16,6 +16,13 @@ MARK = "\ue000"
 SHAPES = ("article", "div", "section", "body", "main", "td", "named", "nested")
 _SYLLABLES = "ka lo mi ter an dis ver su per ton ga re lin or ba che vo stra né ü ñ".split()
 _NAMED = ("content", "post", "entry-content", "article-body", "story", "main", "text", "page-content", "blog-post")
+#: Names that speak of the page's state, on bodies and wrappers of articles, and names of an article's own parts.
+_STATING = (
+    "has-sidebar", "no-sidebar", "comments-open", "comments-closed", "single-post with-header", "side-menu-closed", "modal-ready", "page-with-sidebar", "site has-footer", "layout sidebar-left", "content-sidebar-wrap", "with-banner", "nav-open",
+    "is-login", "sidebar-right", "header-fixed", "no-ads", "ad-layout-2", "cookie-hidden", "has-cookie-notice", "menu-left", "main-footer-wrap", "content-header-wrap", "page-template-sidebar", "widget-area-off", "sticky-header", "single-comments",
+)
+_ANY = ("ad", "sidebar", "nav", "header", "footer", "promo", "related", "comments", "menu")
+_OF_PARTS = ("side-by-side", "content-header", "post-header", "entry-footer", "article-header", "text-banner-wrap", "story-footer", "content-related-wrap")
 _NEUTRAL = ("wrap", "container", "row", "col-8", "x1", "outer", "inner", "site", "grid", "left", "r2")
 
 
@@ -53,6 +60,8 @@ class Writer:
         if r.random() < 0.2 and " " in s:
             a, b = s.split(" ", 1)
             s = r.choice(['<a href="/x">{}</a> {}', "<b>{}</b> {}", "<b>{} {}<br>", "<em>{}</em>\n {}", "<span don't>{}</span> {}"]).format(a, b)
+        if r.random() < (0.05 if tag[0] in "ph" else 0.02):  # a block that is one link
+            s = f'<a href="/y">{s}</a>' if r.random() < 0.6 or s[-1] not in ".!?" else f'<a href="/y">{s[:-1]}</a>{s[-1]}'
         attrs = r.choice([' class="lead"', ' id="p1"', " data-x='1'"]) if r.random() < 0.05 else ""
         return f"<{tag}{attrs}>{self.mark}{s}" + (f"</{tag}>" if close else "")
 
@@ -70,21 +79,21 @@ class Writer:
         short = self.sentence(1, 8)
         return self.r.choice([
             f"<header><h1>{short}</h1><p>{self.sentence(2, 8)}</p></header>", f"<header>{short}</header>", f"<header><a href=/>{short}</a>{self.menu()}</header>",
-            f"<div{_pick_name(self.r, 'header', 'masthead', 'topbar')}><a href=/>{short}</a> {self.sentence(1, 6)}</div>",
+            f"<div{_pick_name(self.r, 'header', 'masthead', 'topbar', 'header-top', 'fixed-header')}><a href=/>{short}</a> {self.sentence(1, 6)}</div>",
         ])
 
     def footer(self) -> str:
         s = self.prose(1, 3)
         return self.r.choice([
             f"<footer>&copy; {self.sentence(1, 4)} &middot; {s}</footer>", f"<footer><p>{s}</p><ul>{self.links(2, 4)}</ul></footer>", f"<footer><p>{s}</p></footer>", f"<footer>{s}</footer>",
-            f"<div{_pick_name(self.r, 'footer', 'copyright', 'legal')}><p>{s}</p></div>", f"<p{_pick_name(self.r, 'copyright', 'footer')}>{s}</p>",
+            f"<div{_pick_name(self.r, 'footer', 'copyright', 'legal', 'footer-wrap', 'footer-bottom')}><p>{s}</p></div>", f"<p{_pick_name(self.r, 'copyright', 'footer')}>{s}</p>",
         ])
 
     def aside(self) -> str:
         short, s = self.sentence(1, 4), self.prose(1, 4)
         return self.r.choice([
             f"<aside><h3>{short}</h3><p>{s}</p></aside>", f"<aside>{s}</aside>", f"<aside><ul>{self.links(3, 6)}</ul></aside>", f"<aside><p>{s}</p><p>{self.prose(1, 3)}</p></aside>",
-            f"<div{_pick_name(self.r, 'sidebar', 'widget', 'side')}><h3>{short}</h3><ul>{self.links(2, 5)}</ul><p>{s}</p></div>", f"<section{_pick_name(self.r, 'sidebar', 'related')}><h3>{short}</h3><p>{s}</p></section>",
+            f"<div{_pick_name(self.r, 'sidebar', 'widget', 'side', 'sidebar-left', 'right-sidebar', 'sidebar-wrap')}><h3>{short}</h3><ul>{self.links(2, 5)}</ul><p>{s}</p></div>", f"<section{_pick_name(self.r, 'sidebar', 'related')}><h3>{short}</h3><p>{s}</p></section>",
         ])
 
     def notice(self) -> str:
@@ -112,7 +121,7 @@ class Writer:
         r = self.r
         n = range(r.randint(1, 6))
         return r.choice([
-            lambda: f"<div{_pick_name(r, 'comments', 'comment-list', 'disqus')}><h3>{self.sentence(1, 3)}</h3>" + "".join(f'<div class="comment"><p>{self.prose(1, 3)}</p></div>' for _ in n) + "</div>",
+            lambda: f"<div{_pick_name(r, 'comments', 'comment-list', 'disqus', 'comments-wrap')}><h3>{self.sentence(1, 3)}</h3>" + "".join(f'<div class="comment"><p>{self.prose(1, 3)}</p></div>' for _ in n) + "</div>",
             lambda: f"<section{_pick_name(r, 'comments', 'respond')}>" + "".join(f"<p>{self.prose(1, 4)}</p>" for _ in n) + "</section>",
             lambda: f"<ol{_pick_name(r, 'comments', 'comment-list')}>" + "".join(f"<li><article{_pick_name(r, 'comment')}><p>{self.prose(1, 3)}</p></article></li>" for _ in n) + "</ol>",
             lambda: '<div id="comments">' + "".join(f"<div><b>{self.sentence(1, 2)}</b><p>{self.prose(1, 3)}</p></div>" for _ in n) + "</div>",
@@ -130,8 +139,8 @@ class Writer:
     def article(self, shape: str) -> str:
         r, parts = self.r, []
         if r.random() < 0.85:
-            title = self.block("h1", 1, 1)
-            parts.append(title if shape == "body" or r.random() < 0.75 else f"<header>{title}</header>")
+            title, u = self.block("h1", 1, 1), r.random()
+            parts.append(title if shape == "body" or u < 0.7 else f"<header>{title}</header>" if u < 0.9 else f"<div{_pick_name(r, *_OF_PARTS)}>{title}</div>")
         for _ in range(r.randint(1, 4) if r.random() < 0.3 else r.randint(2, 12) if r.random() < 0.7 else r.randint(8, 30)):
             u = r.random()
             if u < 0.8:
@@ -147,7 +156,7 @@ class Writer:
             elif u < 0.95:
                 parts.append("<figure>" + self.block("figcaption", 1, 1) + "</figure>")
             elif u < 0.96:
-                parts.append("<div>" + self.block("p", 1, 3) + self.block("p", 1, 3) + "</div>")
+                parts.append(f"<div{_pick_name(r, *_OF_PARTS) if r.random() < 0.5 else ''}>" + self.block("p", 1, 3) + self.block("p", 1, 3) + "</div>")
             else:
                 parts.append(r.choice([self.advert, self.share, self.form, self.script, self.aside])())
         if shape != "body" and r.random() < 0.25:
@@ -171,15 +180,17 @@ class Writer:
 
     def page(self, shape: str) -> str:
         r, plain = self.r, self.r.random() < 0.3
+        stating = r.random() < 0.5
         top = self.menu() + (self.advert() if r.random() < 0.7 else self.header() if r.random() < 0.5 else "") if plain else self.some(4, self.menu, self.menu, self.header, self.header, self.notice, self.advert, self.script, self.form, self.aside)
         body = self.contained(shape)
         if shape not in ("body", "td") and not plain:
             for _ in range(r.randint(0, 2)):
                 before, after = self.some(1, self.menu, self.notice, self.advert, self.script), self.some(1, self.aside, self.share, self.comments, self.advert, self.form)
-                body = f"<div{_pick_name(r, *_NEUTRAL) if r.random() < 0.6 else ''}>{before}{body}{after}</div>"
+                name = _pick_name(r, *_STATING, f"x{r.randint(1, 9)}-{r.choice(_ANY)}-{r.choice(['box', 'y', 'page', 'area'])}") if stating and r.random() < 0.6 else _pick_name(r, *_NEUTRAL) if r.random() < 0.6 else ""
+                body = f"<div{name}>{before}{body}{after}</div>"
         bottom = self.footer() if plain else self.some(4, self.footer, self.footer, self.comments, self.share, self.form, self.aside, self.advert, self.notice)
         head = f"<head><title>{self.sentence(3, 9)}</title><style>p{{}}</style></head>" if r.random() < 0.95 else ""
-        return f"<!DOCTYPE html><html>{head}<body>{top}{body}{bottom}" + ("</body></html>" if r.random() < 0.9 else "")
+        return f"<!DOCTYPE html><html>{head}<body{_pick_name(r, *_STATING) if stating and r.random() < 0.7 else ''}>{top}{body}{bottom}" + ("</body></html>" if r.random() < 0.9 else "")
 
 
 def generate(r: random.Random, shape: str | None = None, mark: bool = False) -> tuple[str, str]:

@@ -24,7 +24,7 @@ from . import gbt, pagegen
 from .common import steps
 
 #: Pages that the trees are fitted on; a bound of the generator, not of what is read.
-TRAIN_PAGES, SEED = 800, 11
+TRAIN_PAGES, SEED = 1200, 11
 _S = " \t\n\r\f"
 #: An attribute as HTML reads it: a quote opens a value only after "=", and only if it is closed somewhere.
 _PAIR = rf"[^{_S}/>][^{_S}/>=]*+(?:[{_S}]*+=[{_S}]*+(?:\"[^\"]*\"|'[^']*'|[^{_S}>]*+))?+"
@@ -58,17 +58,21 @@ GOOD = frozenset("article post entry content story main body text prose blog hen
 BAD = frozenset(
     "ad ads advert advertisement sponsor sponsored promo banner nav navbar navigation menu breadcrumb breadcrumbs sidebar side aside widget footer foot header masthead topbar cookie cookies consent notice gdpr alert modal popup overlay comment comments respond reply disqus share sharing social follow related recommended more links tags tag cloud subscribe newsletter signup login form search copyright legal toolbar pagination pager skip".split()
 )
+#: Parts of a compound name by which it states something about the page or a place in it, as in has-sidebar.
+STATES = frozenset("has no not with without is by on off open opened closed hidden visible ready enabled disabled active inactive fixed sticky left right top bottom single multi layout template wrap wrapper container mode type".split())
 _GROUPS = ("#text", "p", "h1 h2 h3 h4 h5 h6", "li dt dd", "ul ol dl menu", "div center", "section", "article", "main", "nav", "header", "footer", "aside", "form fieldset button legend", "table tbody tr td th", "blockquote pre figure figcaption", "body html", "dialog details summary")
 _GROUP_OF = {t: i for i, g in enumerate(_GROUPS) for t in g.split()}
 _OVER = ("nav", "header", "footer", "aside", "form", "article", "main", "li")
-N_FEATURES = len(_GROUPS) + len(_OVER) + 36
+N_FEATURES = len(_GROUPS) + len(_OVER) + 43
+#: Text of which a node holds so much is the page's own: names on it speak of the page.
+HEAVY = 0.5
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "good", "bad", "parts", "linked", "text", "near", "open", "chars", "links", "size", "words", "stops", "paras", "longest")
+    __slots__ = ("tag", "parent", "kids", "good", "bad", "whole", "hedged", "mixed", "parts", "linked", "text", "near", "open", "chars", "links", "size", "words", "stops", "paras", "longest")
 
-    def __init__(self, tag: str, parent: Node | None, good: int = 0, bad: int = 0):
-        self.tag, self.parent, self.good, self.bad = tag, parent, good, bad
+    def __init__(self, tag: str, parent: Node | None, good: int = 0, bad: int = 0, whole: int = 0, hedged: int = 0, mixed: int = 0):
+        self.tag, self.parent, self.good, self.bad, self.whole, self.hedged, self.mixed = tag, parent, good, bad, whole, hedged, mixed
         self.kids: list[Node] = []
         self.parts: list[str] = []
         self.linked = 0
@@ -78,14 +82,21 @@ class Node:
         self.open: dict[str, int] = {}
 
 
-def _tokens_of(attributes: str) -> tuple[int, int]:
-    good = bad = 0
+def _tokens_of(attributes: str) -> tuple[int, int, int, int, int]:
+    """Names of class, id and role that speak for main text, against it (by a part; as a whole), against it but for stating something, and those that hold both kinds."""
+    good = bad = whole = hedged = mixed = 0
     for a in _ATTR.finditer(attributes):
         if a[1].lower() in ("class", "id", "role", "itemprop"):
-            for t in _NAME_PART.findall((a[2] or a[3] or a[4] or "").lower()):
-                good += t in GOOD
-                bad += t in BAD
-    return good, bad
+            for name in (a[2] or a[3] or a[4] or "").lower().split():
+                parts = _NAME_PART.findall(name)
+                for_, against = sum(t in GOOD for t in parts), sum(t in BAD for t in parts)
+                if against and for_:
+                    mixed += 1
+                elif against and not STATES.isdisjoint(parts):
+                    hedged += 1
+                else:
+                    good, bad, whole = good + for_, bad + against, whole + (name in BAD)
+    return good, bad, whole, hedged, mixed
 
 
 def parse(page: str) -> list[Node]:
@@ -170,7 +181,9 @@ def parse(page: str) -> list[Node]:
             if up is not None and up.tag in _FAMILIES[family][0]:
                 close(up)
         up = at
-        at = Node(name, up, *(_tokens_of(m[3]) if m[3] else (0, 0)))
+        at = Node(name, up, *(_tokens_of(m[3]) if m[3] else (0, 0, 0, 0, 0)))
+        if name == "body":  # never junk, whatever its names
+            at.bad, at.whole, at.hedged = 0, 0, at.bad + at.hedged
         up.kids.append(at)
         nodes.append(at)
         up.open[name] = up.open.get(name, 0) + 1
@@ -215,7 +228,7 @@ def features(nodes: list[Node]) -> np.ndarray:
     groups, over = len(_GROUPS), len(_OVER)
     out = np.zeros((len(nodes), N_FEATURES))
     out[np.arange(len(nodes)), _kinds(nodes)] = 1
-    above: dict[int, tuple] = {id(root): (-1, (0,) * over, 0, 0, 0)}
+    above: dict[int, tuple] = {id(root): (-1, (0,) * over, 0, 0, 0, 0, 0, 0)}
     place: dict[int, int] = {}
     clean: dict[int, tuple[int, int]] = {}  # of a node's children: text outside of links and of named junk, and how many are p
     for x in nodes:
@@ -225,18 +238,22 @@ def features(nodes: list[Node]) -> np.ndarray:
     for i, x in enumerate(nodes):
         up = x.parent
         if up is not None:
-            d, flags, good, bad, named = above[id(up)]
+            d, flags, good, bad, hedged, of_page, hedged_of_page, named = above[id(up)]
             if up.tag in _OVER:
                 flags = tuple(int(f or t == up.tag) for f, t in zip(flags, _OVER, strict=True))
-            good, bad = good + up.good, bad + up.bad
-            above[id(x)] = (d + 1, flags, good, bad, named or int(up.good > up.bad))
-        d, flags, good, bad, named = above[id(x)]
+            good += up.good
+            if up.chars >= HEAVY * total:
+                of_page, hedged_of_page = of_page + up.whole, hedged_of_page + up.bad - up.whole + up.hedged
+            else:
+                bad, hedged = bad + up.bad, hedged + up.hedged
+            above[id(x)] = (d + 1, flags, good, bad, hedged, of_page, hedged_of_page, named or int(up.good > up.bad))
+        d, flags, good, bad, hedged, of_page, hedged_of_page, named = above[id(x)]
         sibs = up.kids if up is not None else [x]
         k = place.get(id(x), 0)
         before, after = (sibs[k - 1] if k else None), (sibs[k + 1] if k + 1 < len(sibs) else None)
         chars = x.chars or 1
         out[i, groups:] = (
-            *flags, x.good, x.bad, good, bad, named, d, len(x.kids), x.chars, x.links / chars, x.chars / x.size, x.words, x.stops, x.stops / max(1, x.words), x.longest, x.chars / total, x.paras, x.paras / paras,
+            *flags, x.good, x.bad, x.whole, x.hedged, x.mixed, good, bad, hedged, of_page, hedged_of_page, named, int(x.chars >= HEAVY * total), d, len(x.kids), x.chars, x.links / chars, x.chars / x.size, x.words, x.stops, x.stops / max(1, x.words), x.longest, x.chars / total, x.paras, x.paras / paras,
             k, len(sibs), *((before.words, before.bad, _GROUP_OF.get(before.tag, 5)) if before is not None else (-1, -1, -1)), *((after.words, after.bad, _GROUP_OF.get(after.tag, 5)) if after is not None else (-1, -1, -1)),
             *((up.chars, up.links / (up.chars or 1), x.chars / (up.chars or 1), _GROUP_OF.get(up.tag, 5), *clean[id(up)]) if up is not None else (-1, 0, 1, -1, 0, 0)), i / len(nodes), *has,
         )
@@ -287,7 +304,7 @@ def model(pages: int = TRAIN_PAGES, seed: int = SEED) -> gbt.Trees:
                     up = up.parent
         xs.append(features(nodes))
         ys.append([y[id(x)] for x in nodes])
-    return gbt.fit(np.concatenate(xs), np.concatenate(ys), trees=50, depth=5, rate=0.25)
+    return gbt.fit(np.concatenate(xs), np.concatenate(ys), trees=90, depth=6, rate=0.2, rows=0.3, columns=0.4, seed=seed)
 
 
 def extract_many(pages: list[str | None], trees: gbt.Trees) -> Iterator[str]:

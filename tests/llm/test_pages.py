@@ -44,6 +44,22 @@ def test_ordinary_english_in_any_container(trees, around):
     assert sum(a == b for a, b in zip(texts(found, trees), want, strict=True)) >= 38
 
 
+STATED = ["", "has-sidebar", "no-sidebar", "comments-open", "single-post with-header", "side-menu-closed", "modal-ready", "page-with-sidebar", "site has-footer", "layout sidebar-left", "content-sidebar-wrap", "sidebar-container", "x-ad-y", "js no-touch menu-collapsed"]
+
+
+@pytest.mark.parametrize("name", STATED)
+@pytest.mark.parametrize("around", ["<body class='{n}'>{t}<article>{a}</article>{e}</body>", "<body>{t}<div class='{n}'><article>{a}</article></div>{e}</body>", "<body class={n!r}>{t}<div id='{n}'><div>{a}</div></div>{e}</body>"])
+def test_names_on_bodies_and_wrappers_lose_no_article(trees, around, name):
+    blocks = [
+        "<h1>The annual budget meeting</h1>", "<p>The committee members discussed the annual budget proposals, and residents gathered near the river to watch.</p>", "<h2><a href=/x>More about the boats</a></h2>",
+        "<p>While the quick brown fox jumps over the lazy dog, the council voted on the new plan for boats and bridges.</p>", "<p><a href=/x>Read the whole report here</a>.</p>",
+        "<div class='side-by-side'><p>One side of the story is told here in a few plain words.</p></div>", "<div class='content-header'><p>Another part of the story is told in a few words here.</p></div>", "<p>The last words were spoken by the mayor, who was there.</p>",
+    ]
+    top, end = "<nav><ul><li><a href=/>Home</a></li><li><a href=/b>News</a></li></ul></nav>", "<footer>Copyright 2024 Daily Site. All rights reserved.</footer>"
+    page = "<html>" + around.format(n=name, t=top, a="".join(blocks), e=end) + "</html>"
+    assert texts([page], trees) == ["\n".join(re.sub(r"<[^>]+>", "", b) for b in blocks)]
+
+
 def test_every_supplied_page(spark, trees):
     rows = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("html").collect()
     out = texts([r[0] for r in rows], trees)
