@@ -1,9 +1,9 @@
 """Audit of how the sources of a language differ in their terms, by sorted streams.
 
-1. Tasks count each partition's terms per (lang, source) before anything is shuffled: in how many documents a term
-   stands, and how often. The rows are dealt out by (lang, term) and sorted within each partition by (lang, term, source,
-   place of origin); a scan of runs then yields each term's document frequency and its count per source. So a term that
-   every document holds gives one row per task and source, not one per document.
+1. Tasks count each partition's terms before anything is shuffled: in how many documents of a language a term stands,
+   and how often in each source. These rows are dealt out by (lang, term) and sorted within each partition; a scan of
+   runs then sums each term's documents and its counts per source. So a term that every document holds gives one row
+   per task, not one per document, and a document is told from others where its text lies, before the sort.
 2. Terms of enough documents are kept as a table, from which come each group's total and each language's vocabulary.
 3. A second scan over that table gives, per task, partial sums for each pair of sources and each group's best terms,
    which are then summed and ranked.
@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from .common import parts_for, written
 #: A term is kept if so many documents of its language hold it; shares are of a billion; ranks of the terms.
 LEAST_DOCUMENTS, SCALE, TOP = 3, 1_000_000_000, 200
 #: Different (lang, source, term) that a task counts before it hands them on.
-HELD = 400_000
+HELD = 600_000
 #: Cells of the matrices that a scan works on at once.
 CELLS = 1 << 19
 PARTITION_BYTES = 32 << 20
@@ -42,32 +43,68 @@ def terms_of(text: str) -> list[bytes]:
     return text.encode().translate(_TERMS).split()
 
 
+#: One row for each term of a language that a task has counted: its documents, and per source its count there.
+_COUNTED = "lang string, term string, docs long, sources array<string>, counts array<long>"
+_NAMES = ["lang", "term", "docs", "sources", "counts"]
+
+
+def _lists(at: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), values)
+
+
+def _collapse(rows: pa.Table) -> pa.Table:
+    """Rows sorted by (lang, term) to one for each: documents and each source's counts are summed."""
+    lang, term, docs, sources, counts = (rows.column(c).combine_chunks() for c in _NAMES)
+    n = len(lang)
+    new = np.ones(n, bool)
+    if n > 1:
+        new[1:] = np.asarray(pc.or_(pc.not_equal(lang[1:], lang[:-1]), pc.not_equal(term[1:], term[:-1])))
+    first = np.flatnonzero(new)
+    names = sources.flatten().dictionary_encode()
+    run = (np.cumsum(new) - 1)[np.asarray(sources.value_parent_indices())]
+    key = run * max(1, len(names.dictionary)) + np.asarray(names.indices)
+    order = np.argsort(key, kind="stable")
+    cut = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
+    sums = np.add.reduceat(np.asarray(counts.flatten())[order], cut)
+    at = np.searchsorted(run[order][cut], np.arange(len(first) + 1))
+    kept = names.dictionary.take(names.indices.take(pa.array(order[cut])))
+    return pa.table([lang.take(pa.array(first)), term.take(pa.array(first)), pa.array(np.add.reduceat(np.asarray(docs), first)), _lists(at, kept), _lists(at, pa.array(sums))], names=_NAMES)
+
+
 def _count(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """A partition's counts per (lang, source, term); a group without terms gives one row of the null term."""
-    docs: dict[tuple, Counter] = {}
+    """A partition's counts per (lang, term) and source, in rows of _COUNTED."""
+    docs: dict[str, Counter] = {}
     times: dict[tuple, Counter] = {}
     held = 0
 
     def flush() -> Iterator[pa.RecordBatch]:
-        for (lang, source), count in times.items():
-            known = docs[lang, source]
-            names = [None, *count]
-            n = len(names)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * n), pa.array([source] * n), pa.array(names, pa.binary()).cast(pa.string()), pa.array([0, *map(known.__getitem__, count)], pa.int64()), pa.array([0, *count.values()], pa.int64())],
-                ["lang", "source", "term", "docs", "times"],
-            )
+        for lang, known in docs.items():
+            by_term: dict[bytes, list] = {t: [] for t in known}
+            names, counts = [], []
+            for (of, source), count in times.items():
+                if of == lang:
+                    names.append(source)
+                    counts.append(count)
+                    for t in count:
+                        by_term[t].append(len(names) - 1)
+            at = np.cumsum([0, *map(len, by_term.values())])
+            which = [k for ks in by_term.values() for k in ks]
+            sums = [counts[k][t] for t, ks in by_term.items() for k in ks]
+            cols = [pa.array([lang] * len(known), pa.string()), pa.array(list(known), pa.binary()).cast(pa.string()), pa.array(list(known.values()), pa.int64()), _lists(at, pa.array(names, pa.string()).take(pa.array(which, pa.int64()))), _lists(at, pa.array(sums, pa.int64()))]
+            yield pa.RecordBatch.from_arrays(cols, _NAMES)
         docs.clear()
         times.clear()
 
     for batch in batches:
         for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text")), strict=True):
-            if (lang, source) not in times:
-                docs[lang, source], times[lang, source] = Counter(), Counter()
-            words, count = terms_of(text), times[lang, source]
+            if not (words := terms_of(text)):
+                continue
+            if (count := times.get((lang, source))) is None:
+                count = times[lang, source] = Counter()
+                docs.setdefault(lang, Counter())
             held -= len(count)
             count.update(words)
-            docs[lang, source].update(set(words))
+            docs[lang].update(set(words))
             held += len(count)
             if held > most:
                 yield from flush()
@@ -76,36 +113,23 @@ def _count(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBa
 
 
 def _runs(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (lang, term, source): a row for each term of `least` documents or more, with its sources and its counts there."""
-    key, documents, sources, counts = None, 0, [], []
-    out: list[tuple] = []
+    """Of rows sorted by (lang, term): one for each term of `least` documents or more. The last of a batch waits, summed, for the next batch."""
+    held = None
+    for batch in batches:
+        if batch.num_rows:
+            now = pa.Table.from_batches([batch]).cast(_ARROW)
+            rows = _collapse(now if held is None else pa.concat_tables([held, now]))
+            held = rows.slice(len(rows) - 1)
+            yield from _kept(rows.slice(0, len(rows) - 1), least)
+    if held is not None:
+        yield from _kept(held, least)
 
-    def close() -> None:
-        if key is not None and documents >= least:
-            out.append((*key, sources, counts))
 
-    def pack() -> pa.RecordBatch:
-        cols = list(zip(*out, strict=True))
-        kinds = [pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int64())]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["lang", "term", "sources", "counts"])
+_ARROW = pa.schema([("lang", pa.string()), ("term", pa.string()), ("docs", pa.int64()), ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
 
-    for batch in batches:
-        for lang, term, source, d, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "term", "source", "docs", "times")), strict=True):
-            if (lang, term) != key:
-                close()
-                key, documents, sources, counts = (lang, term), 0, [], []
-            documents += d
-            if sources and sources[-1] == source:
-                counts[-1] += n
-            else:
-                sources.append(source)
-                counts.append(n)
-        if len(out) > 5000:
-            yield pack()
-            out.clear()
-    close()
-    if out:
-        yield pack()
+
+def _kept(rows: pa.Table, least: int) -> list[pa.RecordBatch]:
+    return rows.filter(pc.greater_equal(rows.column("docs"), least)).drop_columns("docs").combine_chunks().to_batches()
 
 
 def shares(count: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -213,12 +237,13 @@ def audit(
     spark = docs.sparkSession
     parts = parts_for(docs, PARTITION_BYTES)
     clean = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
-    counted = docs.select(clean(lang).alias("lang"), clean(source).alias("source"), clean(text).alias("text")).mapInArrow(lambda batches: _count(batches, held), "lang string, source string, term string, docs long, times long")
-    counted = written(counted, "terms")
-    dealt = counted.where("term IS NOT NULL").repartition(parts, "lang", "term").sortWithinPartitions("lang", "term", "source")
+    rows = docs.select(clean(lang).alias("lang"), clean(source).alias("source"), clean(text).alias("text"))
+    counted = rows.mapInArrow(lambda batches: _count(batches, held), _COUNTED)
+    # The hash comes first, as longs compare faster than strings; terms that share one are told apart behind it.
+    dealt = counted.withColumn("h", F.xxhash64("lang", "term")).repartition(parts, "h").sortWithinPartitions("h", "lang", "term").drop("h")
     kept = written(dealt.mapInArrow(lambda batches: _runs(batches, least), "lang string, term string, sources array<string>, counts array<long>"), "kept-terms")
 
-    groups = counted.select("lang", "source").distinct()
+    groups = rows.select("lang", "source").distinct()
     times = kept.select("lang", F.explode(F.arrays_zip("sources", "counts")).alias("x")).groupBy("lang", F.col("x.sources").alias("source")).agg(F.sum("x.counts").alias("n"))
     totals = groups.join(times, ["lang", "source"], "left").select("lang", "source", F.coalesce("n", F.lit(0)).alias("n")).orderBy("lang", "source").collect()
     sizes = {r[0]: r[1] for r in kept.groupBy("lang").count().collect()}
