@@ -1,21 +1,27 @@
 """RDF/XML as a data source: format("rdfxml").load(path) gives triples.
 
-Each file is one partition, parsed as a stream. Only local paths and what the session's store names are read; nothing
-that a file refers to is fetched. Nodes without a name are called by file and place.
+A file is read by ranges of its bytes, each cut at children of the root (xmlranges). find() hands the subjects or predicates
+it looks for down to the scan: children whose bytes can't hold them are not parsed. They go as options of a read of its
+own, since Spark 4.1 lets two uses of one read in a plan overwrite each other's pushed filters. Only local paths and what the session's store names
+are read; nothing that a file refers to is fetched. Nodes without a name are called by file and the place of their child
+of the root, so that they are the same at every size of range.
 """
 
 from __future__ import annotations
 
-import os
+import json
+import re
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 from urllib.parse import urljoin
+from xml.parsers import expat
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from ..operators.tables import RDF, TRIPLES
+from ..operators.tables import RDF, TRIPLES, stored
+from . import xmlranges
 
 XML = "{http://www.w3.org/XML/1998/namespace}"
 _R = "{" + RDF + "}"
@@ -34,11 +40,11 @@ def _iri(tag: str) -> str:
 
 class _Graph:
     def __init__(self, base: str, prefix: str):
-        self.base, self.prefix, self.count, self.out = base, prefix, 0, []
+        self.base, self.prefix, self.place, self.count, self.out = base, prefix, "", 0, []
 
     def fresh(self) -> tuple[str, str]:
         self.count += 1
-        return f"_:{self.prefix}n{self.count}", "bnode"
+        return f"_:{self.prefix}{self.place}{self.count}", "bnode"  # no rdf:nodeID begins with a digit
 
     def resolve(self, value: str, base: str) -> str:
         return urljoin(base, value) if base else value
@@ -143,31 +149,119 @@ def parse_raw(source) -> Iterator[tuple]:
             e.clear()
 
 
-class _File(InputPartition):
-    def __init__(self, path: str, number: int):
-        self.path, self.number = path, number
+class _Part(InputPartition):
+    """A range of a file, or the whole file where its root is no list of nodes or its bytes can't be cut."""
+
+    def __init__(self, number: int, file: str, range_: tuple | None):
+        self.number, self.file, self.range = number, file, range_
+
+
+class Head:
+    """What a file's head says: the root's name, base, language, and the namespaces by prefix."""
+
+    def __init__(self, raw: bytes):
+        self.raw, self.names = raw, {}
+        parser = ET.XMLPullParser(events=("start", "start-ns"))
+        parser.feed(raw)
+        parser.flush()
+        for event, e in parser.read_events():
+            if event == "start-ns":
+                self.names[e[0]] = e[1]
+            else:
+                self.root = e
+        self.is_list = self.root.tag == _R + "RDF"
+        self.end = b"</" + re.search(rb"<([^\s<>/!?]+)(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>\s*\Z", raw)[1] + b">"
+
+
+def head_at(fs, file: str, size: int) -> Head | None:
+    """The head of a list of nodes; None for other roots, and for encodings whose bytes can't be cut."""
+    with fs.open_input_stream(file) as f:
+        raw = f.read(size)
+    if raw[:2] in (b"\xff\xfe", b"\xfe\xff") or raw.rstrip().endswith(b"/>"):
+        return None
+    head = Head(raw)
+    return head if head.is_list else None
+
+
+def may_hold(raw: bytes, head: Head, subject: str | None, predicate: str | None) -> bool:
+    """Whether a child of the root can give triples of a subject or predicate; False only if its bytes rule it out.
+
+    A name's last letters and digits stand in the bytes as they are, unless they come from a reference, an empty
+    reference to the base, or the head.
+    """
+    if re.search(rb"&(?!(?:amp|lt|gt|quot|apos);)", raw):
+        return True
+    if subject is not None and not subject.startswith("_:"):
+        tail = re.search(r"[A-Za-z0-9]*\Z", subject)[0].encode()
+        if tail and tail not in raw and tail not in head.raw:
+            return False
+    if predicate is not None and not predicate.startswith(RDF) and b"xmlns" not in raw:
+        written = [(p + ":" if p else "") + predicate[len(ns) :] for p, ns in head.names.items() if predicate.startswith(ns) and len(ns) < len(predicate)]
+        return any(w.encode() in raw for w in written)
+    return True
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.base, self.raw = options["path"], options.get("base", ""), options.get("raw", "false") == "true"
+        self.ranges = options.get("ranges")
+        self.subjects, self.predicates = (json.loads(options.get(c, "null")) for c in ("subjects", "predicates"))
+        self.parsed = 0
 
     def partitions(self) -> list[InputPartition]:
-        from pyarrow.fs import FileSelector, FileSystem, FileType
-
-        fs, at = FileSystem.from_uri(self.path if "://" in self.path else "file://" + os.path.abspath(self.path))
-        info = fs.get_file_info(at)
-        files = [f.path for f in fs.get_file_info(FileSelector(at)) if f.type == FileType.File and not f.base_name.startswith(("_", "."))] if info.type == FileType.Directory else [at]
-        return [_File(f, i) for i, f in enumerate(sorted(files))]
-
-    def read(self, part: _File | None) -> Iterator[tuple]:
+        fs, _ = xmlranges.filesystem(self.path)
+        files = [f for f, _ in xmlranges.files_of(self.path)]
+        number = {f: i for i, f in enumerate(files)}
+        if self.ranges:
+            import pyarrow.parquet as pq
+
+            at_fs, at = xmlranges.filesystem(self.ranges)
+            rows = pq.read_table(at, filesystem=at_fs).to_pylist()
+            found = [(r["file"], r["number"], r["start"], r["stop"], r["head"], r["at"], r["depth"]) for r in rows]
+        else:
+            found = [(r.file, r.number, r.start, r.stop, r.head, r.head, 1) for r in xmlranges.plan(self.path, 1 << 62)]
+        cut = {}
+        for f, _, _, _, size, _, _ in found:
+            if f not in cut:
+                cut[f] = not self.raw and head_at(fs, f, size) is not None
+        return [_Part(number[r[0]], r[0], r if cut[r[0]] else None) for r in sorted(found) if cut[r[0]] or r[1] == 0]
+
+    def read(self, part: _Part | None) -> Iterator[tuple]:
         if part is None:  # Spark's stand-in for no partitions
             return
-        from pyarrow.fs import FileSystem
-
-        fs, _ = FileSystem.from_uri(self.path if "://" in self.path else "file://" + os.path.abspath(self.path))
-        with fs.open_input_stream(part.path) as source:
-            yield from parse_raw(source) if self.raw else parse(source, self.base, f"f{part.number}.")
+        fs, _ = xmlranges.filesystem(self.path)
+        if part.range is None:
+            with fs.open_input_stream(part.file) as source:
+                yield from parse_raw(source) if self.raw else parse(source, self.base, f"f{part.number}.")
+            return
+        r = xmlranges.Range(*part.range)
+        with fs.open_input_file(part.file) as file:
+            head = head_at(fs, part.file, r.head)
+            pairs = [(s, p) for s in self.subjects or [None] for p in self.predicates or [None]]
+            kept = (e for e in xmlranges.elements(file, r) if any(may_hold(e.raw, head, s, p) for s, p in pairs))
+            for _, _, _, triples in parse_elements(head, kept, self.base, f"f{part.number}."):
+                self.parsed += 1
+                yield from triples
+
+
+def parse_elements(head: Head, found: Iterator[xmlranges.Element], base: str = "", prefix: str = "") -> Iterator[tuple[xmlranges.Element, ET.Element, str, list[tuple]]]:
+    """(element, its tree, its base, its triples) of children of the root, which one parser reads after the head."""
+    parser = ET.XMLPullParser(events=("start", "end"))
+    parser.feed(head.raw)
+    parser.flush()
+    root = next(e for _, e in parser.read_events())
+    g = _Graph(root.get(XML + "base", base), prefix)
+    depth = 1
+    for e in found:
+        parser.feed(e.raw)
+        parser.flush()
+        for event, node in parser.read_events():
+            depth += 1 if event == "start" else -1
+            if event == "end" and depth == 1:
+                g.place, g.count, g.out = f"{e.start}.", 0, []
+                g.node(node, g.base, root.get(XML + "lang"))
+                yield e, node, g.base, g.out
+                root.clear()
 
 
 class RdfXmlSource(DataSource):
@@ -182,10 +276,29 @@ class RdfXmlSource(DataSource):
         return _Reader(self.options)
 
 
-def read_rdfxml(spark: SparkSession, path: str, base: str = "") -> DataFrame:
-    """The distinct triples of a file, or of a folder's files."""
+def scan(spark: SparkSession, path: str, base: str = "", size: int = xmlranges.RANGE_BYTES, **options: str) -> DataFrame:
+    """The triples of a file, or of a folder's files, by ranges of `size` bytes; a triple that is stated twice comes twice.
+
+    Files that need more than one range are first read once for where their ranges begin.
+    """
     spark.dataSource.register(RdfXmlSource)
-    return spark.read.format("rdfxml").option("base", base).load(path).distinct()
+    if any(n > size for _, n in xmlranges.files_of(path)):
+        options["ranges"] = stored(xmlranges.ranges(spark, path, size), "xml-ranges").inputFiles()[0].rpartition("/")[0]
+    return spark.read.format("rdfxml").options(base=base, **options).load(path)
+
+
+def find(spark: SparkSession, path: str, subjects: list[str] | None = None, predicates: list[str] | None = None, base: str = "", size: int = xmlranges.RANGE_BYTES) -> DataFrame:
+    """The distinct triples of some subjects, some predicates, or both; what can't hold any is not parsed. None stands for all, an empty list for none."""
+    found = scan(spark, path, base, size, **{k: json.dumps(v) for k, v in (("subjects", subjects), ("predicates", predicates)) if v})
+    for c, values in (("subject", subjects), ("predicate", predicates)):
+        if values is not None:
+            found = found.where(F.col(c).isin(values))
+    return found.distinct()
+
+
+def read_rdfxml(spark: SparkSession, path: str, base: str = "", size: int = xmlranges.RANGE_BYTES) -> DataFrame:
+    """The distinct triples of a file, or of a folder's files."""
+    return scan(spark, path, base, size).distinct()
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -204,11 +317,11 @@ def from_string(spark: SparkSession, text: str, base: str = "") -> DataFrame:
 
 
 def findings_of_file(path: str) -> list[tuple[str, str]]:
-    """(code, message) if a file is not well-formed."""
+    """(code, message) if a file is not well-formed; nothing of it is kept."""
     try:
-        for _ in ET.iterparse(path):
-            pass
-    except ET.ParseError as e:
+        with open(path, "rb") as f:
+            expat.ParserCreate().ParseFile(f)
+    except expat.ExpatError as e:
         return [("malformed_xml", str(e))]
     return []
 
@@ -220,19 +333,62 @@ def unescape(c: Column) -> Column:
     return c
 
 
+_LOCAL = r"[A-Za-z_\u00C0-\uFFFD][A-Za-z0-9_.\u00B7-\uFFFD-]*$"
+HEADER = '<?xml version="1.0" encoding="utf-8"?>\n<rdf:RDF xmlns:rdf="' + RDF + '">\n'
+FOOTER = "</rdf:RDF>\n"
+
+
+def _escaped(c: Column, quoted: bool = False) -> Column:
+    """XML text, or an attribute's value, of a string."""
+    for of, to in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("\r", "&#13;"), *((('"', "&quot;"), ("\n", "&#10;"), ("\t", "&#9;")) if quoted else ())):
+        c = F.replace(c, F.lit(of), F.lit(to))
+    return c
+
+
+def _node_id(c: Column) -> Column:
+    """A name that a file can give to a nameless node, another for each."""
+    return F.concat(F.lit("b"), F.base64(F.encode(c, "utf-8")).cast("string"))
+
+
+def node_name(c: Column) -> Column:
+    plain = F.replace(F.replace(F.replace(_node_id(c), F.lit("+"), F.lit("-")), F.lit("/"), F.lit("_")), F.lit("="), F.lit("."))
+    return F.regexp_replace(plain, r"\s", "")
+
+
+def lines(triples: DataFrame) -> DataFrame:
+    """(subject, line): each triple as an element of its own; nameless nodes are called by rdf:nodeID.
+
+    A predicate that ends in no name, or a literal with characters that XML has not, fails.
+    """
+    name = F.regexp_extract("predicate", "(" + _LOCAL + ")", 1)
+    space = F.col("predicate").substr(F.lit(1), F.length("predicate") - F.length(name))
+    fail = lambda what, c: F.raise_error(F.concat(F.lit(what), c))
+    about = F.when(F.col("subject_kind") == "bnode", F.concat(F.lit('rdf:nodeID="'), node_name(F.col("subject")))).otherwise(F.concat(F.lit('rdf:about="'), _escaped(F.col("subject"), True)))
+    tag = F.concat(F.lit('"><p:'), name, F.lit(' xmlns:p="'), _escaped(space, True), F.lit('"'))
+    kind = F.when(F.col("language").isNotNull(), F.concat(F.lit(' xml:lang="'), _escaped(F.col("language"), True), F.lit('"'))).when(F.col("datatype").isNotNull(), F.concat(F.lit(' rdf:datatype="'), _escaped(F.col("datatype"), True), F.lit('"'))).otherwise("")
+    value = (
+        F.when(F.col("object_kind") == "iri", F.concat(F.lit(' rdf:resource="'), _escaped(F.col("object"), True), F.lit('"/>')))
+        .when(F.col("object_kind") == "bnode", F.concat(F.lit(' rdf:nodeID="'), node_name(F.col("object")), F.lit('"/>')))
+        .when(F.col("object").rlike(r"[\x00-\x08\x0B\x0C\x0E-\x1F\uFFFE\uFFFF]"), fail("no XML text: ", F.col("object")))
+        .otherwise(F.concat(kind, F.lit(">"), _escaped(F.col("object")), F.lit("</p:"), name, F.lit(">")))
+    )
+    line = F.when(F.length(name) == 0, fail("no XML name: ", F.col("predicate"))).otherwise(F.concat(F.lit("<rdf:Description "), about, tag, value, F.lit("</rdf:Description>")))
+    return triples.select("subject", line.alias("line"))
+
+
+_ORDER = ("subject", "predicate", "object", "language", "datatype")
+
+
 def to_rdfxml(triples: DataFrame) -> Iterator[str]:
-    """Lines of an RDF/XML document of named subjects, streamed to the driver in order."""
-    from xml.sax.saxutils import escape, quoteattr
-
-    yield '<?xml version="1.0" encoding="utf-8"?>\n<rdf:RDF xmlns:rdf="' + RDF + '">'
-    rows = triples.where(F.col("subject_kind") == "iri").orderBy("subject", "predicate", "object", "language", "datatype")
-    for r in rows.toLocalIterator():
-        cut = max(r["predicate"].rfind("#"), r["predicate"].rfind("/")) + 1
-        ns, name = r["predicate"][:cut], r["predicate"][cut:]
-        head = f"<rdf:Description rdf:about={quoteattr(r['subject'])}><p:{name} xmlns:p={quoteattr(ns)}"
-        if r["object_kind"] == "iri":
-            yield f"{head} rdf:resource={quoteattr(r['object'])}/></rdf:Description>"
-        elif r["object_kind"] == "literal":
-            tag = f" xml:lang={quoteattr(r['language'])}" if r["language"] else f" rdf:datatype={quoteattr(r['datatype'])}" if r["datatype"] else ""
-            yield f"{head}{tag}>{escape(r['object'])}</p:{name}></rdf:Description>"
-    yield "</rdf:RDF>"
+    """An RDF/XML document line by line, in order, for graphs that one reader takes; write_rdfxml() is for the others."""
+    yield HEADER.rstrip("\n")
+    for r in lines(triples.orderBy(*_ORDER)).toLocalIterator():
+        yield r["line"]
+    yield FOOTER.rstrip("\n")
+
+
+def write_rdfxml(triples: DataFrame, path: str) -> dict:
+    """Publishes triples as one document in parts (publish_lines), sorted by ranges of subjects; the manifest."""
+    from .publish import publish_lines
+
+    return publish_lines(lines(triples.distinct().orderBy(*_ORDER)).select("line"), path, HEADER, FOOTER, ".rdf")
