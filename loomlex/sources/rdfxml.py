@@ -9,6 +9,7 @@ of the root, so that they are the same at every size of range.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import xml.etree.ElementTree as ET
@@ -152,8 +153,13 @@ def parse_raw(source) -> Iterator[tuple]:
 class _Part(InputPartition):
     """A range of a file, or the whole file where its root is no list of nodes or its bytes can't be cut."""
 
-    def __init__(self, number: int, file: str, range_: tuple | None):
-        self.number, self.file, self.range = number, file, range_
+    def __init__(self, file: str, range_: tuple | None):
+        self.file, self.range = file, range_
+
+
+def prefix_of(file: str) -> str:
+    """What begins the names of a file's nameless nodes, so that those of two files never meet."""
+    return f"f{hashlib.md5(file.encode()).hexdigest()[:10]}."
 
 
 class Head:
@@ -210,8 +216,6 @@ class _Reader(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         fs, _ = xmlranges.filesystem(self.path)
-        files = [f for f, _ in xmlranges.files_of(self.path)]
-        number = {f: i for i, f in enumerate(files)}
         if self.ranges:
             import pyarrow.parquet as pq
 
@@ -224,7 +228,7 @@ class _Reader(DataSourceReader):
         for f, _, _, _, size, _, _ in found:
             if f not in cut:
                 cut[f] = not self.raw and head_at(fs, f, size) is not None
-        return [_Part(number[r[0]], r[0], r if cut[r[0]] else None) for r in sorted(found) if cut[r[0]] or r[1] == 0]
+        return [_Part(r[0], r if cut[r[0]] else None) for r in sorted(found) if cut[r[0]] or r[1] == 0]
 
     def read(self, part: _Part | None) -> Iterator[tuple]:
         if part is None:  # Spark's stand-in for no partitions
@@ -232,14 +236,14 @@ class _Reader(DataSourceReader):
         fs, _ = xmlranges.filesystem(self.path)
         if part.range is None:
             with fs.open_input_stream(part.file) as source:
-                yield from parse_raw(source) if self.raw else parse(source, self.base, f"f{part.number}.")
+                yield from parse_raw(source) if self.raw else parse(source, self.base, prefix_of(part.file))
             return
         r = xmlranges.Range(*part.range)
         with fs.open_input_file(part.file) as file:
             head = head_at(fs, part.file, r.head)
             pairs = [(s, p) for s in self.subjects or [None] for p in self.predicates or [None]]
             kept = (e for e in xmlranges.elements(file, r) if any(may_hold(e.raw, head, s, p) for s, p in pairs))
-            for _, _, _, triples in parse_elements(head, kept, self.base, f"f{part.number}."):
+            for _, _, _, triples in parse_elements(head, kept, self.base, prefix_of(part.file)):
                 self.parsed += 1
                 yield from triples
 
