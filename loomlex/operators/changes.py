@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import identity, text
+from . import nameless
 from .tables import OWL, RDFS, SKOS, XSD, json_lines, null_safe, stored
 
 VALUE = ["subject", "predicate", "lexical", "language", "datatype"]
@@ -170,33 +171,9 @@ def merge_summary(parts: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def node_hashes(triples: DataFrame) -> DataFrame:
-    """(node, hash) of nodes without a name by what they say, bottom up, until nothing changes.
-
-    Each round settles at least the nodes one step higher up, so fewer nodes change than in the round before; where as
-    many do, nodes refer to each other in a circle, which hashes bottom up can't tell apart: ValueError.
-    """
-    own = triples.where(F.col("subject_kind") == "bnode")
-    spoken = F.when(F.col("object_kind") == "bnode", F.col("_h")).otherwise(F.col("object"))
-    say = F.concat_ws("\x1f", "predicate", spoken, "object_kind", F.coalesce("language", F.lit("")), F.coalesce("datatype", F.lit("")))
-    hashes = own.select(F.col("subject").alias("node"), F.lit("").alias("hash")).distinct()
-    before = None
-    while True:
-        named = own.join(hashes.select(F.col("node").alias("object"), F.col("hash").alias("_h")), "object", "left")
-        fresh = named.withColumn("_say", say).groupBy(F.col("subject").alias("node")).agg(F.sha2(F.array_join(F.array_sort(F.collect_set("_say")), "\x1e"), 256).alias("hash"))
-        fresh = stored(fresh, "node-hashes")
-        moved = fresh.join(hashes.withColumnRenamed("hash", "_old"), "node").where("hash <> _old").count()
-        hashes = fresh
-        if not moved:
-            return hashes
-        if before is not None and moved >= before:
-            raise ValueError("nodes without a name refer to each other in a circle")
-        before = moved
-
-
 def canonical(triples: DataFrame) -> DataFrame:
     """triples with hashes for names of nameless nodes, so that two graphs compare as tables."""
-    h = node_hashes(triples)
+    h = nameless.names(triples)
     s = h.select(F.col("node").alias("subject"), F.col("hash").alias("_s"))
     o = h.select(F.col("node").alias("object"), F.col("hash").alias("_o"))
     rows = triples.join(s, "subject", "left").join(o, "object", "left")

@@ -108,13 +108,64 @@ def closure(edges: DataFrame) -> DataFrame:
     return found
 
 
+def _through(pairs: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, ancestor) of all paths that use one of the edges, with pairs before and after it."""
+    below = pairs.select("node", F.col("ancestor").alias("child"))
+    above = pairs.select(F.col("node").alias("parent"), "ancestor")
+    up = edges.join(above, "parent").select("child", "ancestor").union(edges.select("child", "parent"))
+    return up.join(below, "child").select("node", "ancestor").union(up.select("child", "ancestor")).distinct()
+
+
+def closure_after(pairs: DataFrame, edges: DataFrame, removed: DataFrame, added: DataFrame) -> DataFrame:
+    """The closure after a change of edges, from the closure before it; edges, removed, added: (child, parent).
+
+    Pairs that some path through a removed edge gives are taken back, and those of them that other paths still give are
+    found again, edge by edge from what stays; then paths through added edges come in. Work follows the pairs that the
+    change concerns; an edge that is removed but not there, or added but there, changes nothing.
+    """
+    clean = lambda e: e.select("child", "parent").where("child is not null and parent is not null").distinct()
+    edges, removed, added = (clean(e) for e in (edges, removed, added))
+    gone = stored(removed.join(edges, ["child", "parent"], "left_semi").join(added, ["child", "parent"], "left_anti"), "edges-gone")
+    left = edges.join(gone, ["child", "parent"], "left_anti")
+    doubtful = stored(_through(pairs, gone).join(pairs, ["node", "ancestor"], "left_semi"), "pairs-doubtful")
+    kept = stored(pairs.join(doubtful, ["node", "ancestor"], "left_anti"), "pairs-kept")
+    near = stored(left.join(doubtful.select(F.col("node").alias("child")).distinct(), "child", "left_semi"), "edges-near")
+    step = near.select(F.col("child").alias("node"), F.col("parent").alias("via"))
+    first = near.select(F.col("child").alias("node"), F.col("parent").alias("ancestor")).union(step.join(kept.select(F.col("node").alias("via"), "ancestor"), "via").select("node", "ancestor"))
+    fresh = stored(first.distinct().join(doubtful, ["node", "ancestor"], "left_semi"), "pairs-again")
+    again = fresh
+    while not fresh.isEmpty():
+        more = step.join(fresh.select(F.col("node").alias("via"), "ancestor"), "via").select("node", "ancestor").distinct()
+        fresh = stored(more.join(doubtful, ["node", "ancestor"], "left_semi").join(again, ["node", "ancestor"], "left_anti"), "pairs-again")
+        again = again.union(fresh)
+    found = kept.union(again)
+    new = stored(added.join(left, ["child", "parent"], "left_anti"), "edges-new")
+    while True:
+        fresh = stored(_through(found, new).join(found, ["node", "ancestor"], "left_anti"), "pairs-new")
+        if fresh.isEmpty():
+            return found
+        found = found.union(fresh)
+
+
 def branches(edges: DataFrame, active: DataFrame, root: str = OWL + "Thing") -> DataFrame:
-    """(subject, branches): every ancestor-or-self, through active classes alone, that stands right below the root."""
+    """(subject, branches): every ancestor-or-self, through active classes alone, that stands right below the root.
+
+    Each branch has a bit; sets of bits go down the edges, and only bits that are new to a class go on from it. So rows
+    grow with the classes, and rounds with the depth; no pair of class and ancestor is made.
+    """
     inner = edges.join(active.select(F.col("subject").alias("child")), "child", "left_semi")
-    top = inner.where(F.col("parent") == root).select(F.col("child").alias("branch")).distinct()
-    within = inner.join(active.select(F.col("subject").alias("parent")), "parent", "left_semi").where(F.col("parent") != root).select("child", "parent")
-    up = closure(within).select(F.col("node").alias("subject"), F.col("ancestor").alias("branch")).unionAll(active.select("subject", F.col("subject").alias("branch")))
-    hit = up.join(top, "branch", "left_semi").groupBy("subject").agg(F.array_sort(F.collect_set("branch")).alias("branches"))
+    top = stored(inner.where(F.col("parent") == root).select(F.col("child").alias("branch")).distinct().withColumn("i", F.monotonically_increasing_id()), "branches")
+    within = stored(inner.join(active.select(F.col("subject").alias("parent")), "parent", "left_semi").where((F.col("parent") != root) & (F.col("parent") != F.col("child"))).select("child", "parent").distinct(), "within")
+    bits = F.expr("shiftleft(1L, cast(pmod(i, 64) AS int))")
+    fresh = known = stored(top.select(F.col("branch").alias("subject"), F.expr("i div 64").alias("block"), bits.alias("bits")), "branch-bits")
+    while not fresh.isEmpty():
+        sent = within.join(fresh.withColumnRenamed("subject", "parent"), "parent").groupBy(F.col("child").alias("subject"), "block").agg(F.bit_or("bits").alias("bits"))
+        held = known.groupBy("subject", "block").agg(F.bit_or("bits").alias("_held"))
+        fresh = sent.join(held, ["subject", "block"], "left").select("subject", "block", F.col("bits").bitwiseAND(F.bitwise_not(F.coalesce("_held", F.lit(0).cast("long")))).alias("bits"))
+        fresh = stored(fresh.where("bits <> 0"), "branch-bits")
+        known = known.unionAll(fresh)
+    one = known.select("subject", "block", F.explode(F.filter(F.sequence(F.lit(0), F.lit(63)), lambda k: F.getbit("bits", k) == 1)).alias("k"))
+    hit = one.select("subject", (F.col("block") * 64 + F.col("k")).alias("i")).join(top, "i").groupBy("subject").agg(F.array_sort(F.collect_set("branch")).alias("branches"))
     return active.select("subject").join(hit, "subject", "left").withColumn("branches", F.coalesce("branches", F.array().cast("array<string>")))
 
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text
+from .changes import both_ways
+from .tables import stored
 
 #: Fixed values of the method.
 EXACT, LEAD, OTHER_PHRASE, PHRASE_FLOOR, WORD, WORD_FACTOR, GAP_PRIOR = 0.60, 0.05, 0.55, 0.40, 0.45, 0.8, 0.7
@@ -163,6 +167,53 @@ def match(labels: DataFrame, concepts: DataFrame, senses: DataFrame, priors: dic
     return strongest(links), gaps(labels, concepts, senses, links, priors, ascii_only)
 
 
+@dataclass
+class Linked:
+    """A vocabulary's links with what they came from: labels, concepts, senses as match() takes them, and (subject, lookup)."""
+
+    labels: DataFrame
+    concepts: DataFrame
+    senses: DataFrame
+    looked: DataFrame
+    links: DataFrame
+
+
+def _index(labels: DataFrame, ascii_only: bool) -> DataFrame:
+    return lookups(surface_forms(labels, ascii_only)).select("subject", "lookup").distinct()
+
+
+def linked(labels: DataFrame, concepts: DataFrame, senses: DataFrame, priors: dict = PRIORS, ascii_only: bool = False) -> Linked:
+    """All links from scratch, stored as refresh() needs them."""
+    labels, concepts, senses = stored(labels, "labels"), stored(concepts, "concepts"), stored(senses, "senses")
+    return Linked(labels, concepts, senses, stored(_index(labels, ascii_only), "looked"), stored(match(labels, concepts, senses, priors, ascii_only)[0], "links"))
+
+
+def refresh(held: Linked, labels: DataFrame, concepts: DataFrame, senses: DataFrame, priors: dict = PRIORS, ascii_only: bool = False) -> tuple[Linked, DataFrame]:
+    """The links after a change of inputs, and the (subject) that were looked at anew.
+
+    A concept's links depend on its own labels and context, and on the senses that its forms look up. So only concepts
+    with changed labels or contexts, and those that look up the head of a changed sense, lose their links and are ranked
+    again, against the senses that they look up; all other links stay as they are.
+    """
+    labels, concepts, senses = stored(labels, "labels"), stored(concepts, "concepts"), stored(senses, "senses")
+    moved = _moved(held.labels, labels).select("subject").union(_moved(held.concepts, concepts).select("subject")).distinct()
+    moved = stored(moved, "moved")
+    fresh = _index(labels.join(moved, "subject", "left_semi"), ascii_only)
+    looked = stored(held.looked.join(moved, "subject", "left_anti").union(fresh), "looked")
+    heads = _moved(held.senses, senses).select(F.col("norm_headword").alias("lookup")).distinct()
+    touched = stored(moved.union(looked.join(heads, "lookup", "left_semi").select("subject")).distinct(), "touched")
+    mine = looked.join(touched, "subject", "left_semi").select(F.col("lookup").alias("norm_headword")).distinct()
+    again = match(labels.join(touched, "subject", "left_semi"), concepts.join(touched, "subject", "left_semi"), senses.join(mine, "norm_headword", "left_semi"), priors, ascii_only)[0]
+    links = held.links.join(touched, "subject", "left_anti").unionByName(again)
+    return Linked(labels, concepts, senses, looked, stored(links, "links")), touched
+
+
+def _moved(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows that one of two tables has and the other has not, with arrays in any order."""
+    flat = lambda df: df.select(*(F.array_sort(F.col(f"`{n}`")).alias(n) if t.startswith("array") else F.col(f"`{n}`") for n, t in old.dtypes))
+    return both_ways(flat(old), flat(new)).drop("side")
+
+
 def mapping_rows(links: DataFrame, concepts: DataFrame, subject_prefix: str = "", subject_curie: str = "", object_curie: str = "OGS:", priors: dict = PRIORS) -> DataFrame:
     """The eleven string columns of a mapping set."""
     subject = F.when(F.lit(bool(subject_prefix)) & F.startswith("subject", F.lit(subject_prefix)), F.concat(F.lit(subject_curie), F.substring("subject", len(subject_prefix) + 1, 1 << 30))).otherwise(F.col("subject"))

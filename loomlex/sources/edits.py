@@ -320,7 +320,7 @@ def merge(spark: SparkSession, path: str, to: str, ours: DataFrame, relation_pre
     from ..operators import changes
     from .rdfxml import read_rdfxml
 
-    theirs = stored(read_rdfxml(spark, path), "theirs")
+    ours, theirs = stored(ours, "ours"), stored(read_rdfxml(spark, path), "theirs")
     merged = stored(changes.apply_merge(ours, theirs, changes.merge_diff(ours, theirs, relation_prefix)), "merged")
     before = _plain(theirs).select(*merged.columns)
     return change(spark, path, to, changes.difference(before, merged), changes.difference(merged, before))

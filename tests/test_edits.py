@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomlex.operators import changes, graph
-from loomlex.operators.tables import OWL, RDFS, SKOS, TRIPLES, XSD
+from loomlex.operators.tables import OWL, RDFS, SKOS, TRIPLES, XSD, stored
 from loomlex.sources import edits, rdfxml
 
 HEAD = """<?xml version="1.0"?>
@@ -73,7 +73,7 @@ def test_random_changes_give_the_same_triples(spark, tmp_path, seed, size):
         nodes.append(cls(f"c{i}", *own) if r.random() < 0.7 else f'<owl:Class rdf:about="urn:c{i}">' + "".join(own) + "</owl:Class>" if own else f'<owl:Class rdf:about="urn:c{i}"/>')
     text = HEAD + "\n".join(nodes) + TAIL
     (tmp_path / "in.owl").write_text(text)
-    before = rdfxml.read_rdfxml(spark, str(tmp_path / "in.owl"))
+    before = stored(rdfxml.read_rdfxml(spark, str(tmp_path / "in.owl")), "triples")
     stated = [tuple(x) for x in before.where("subject_kind = 'iri' AND predicate <> 'http://www.w3.org/1999/02/22-rdf-syntax-ns#type'").collect()]
     removed = r.sample(sorted(stated, key=repr), 15)
     added = list({t(f"c{r.randrange(70)}", r.choice([ALT, DEF]), f"n{r.randrange(40)}", r.choice([None, "en"])) for _ in range(30)})
@@ -94,11 +94,10 @@ def test_merge_into_several_files(spark, tmp_path):
     (tmp_path / "in" / "a.owl").write_text(HEAD + cls("a", "<skos:altLabel>old</skos:altLabel>", restriction.format("a"), "<skos:definition>was</skos:definition>") + TAIL)
     (tmp_path / "in" / "b.owl").write_text(HEAD + cls("b", "<rdfs:label>rel:B</rdfs:label>") + TAIL)
     (tmp_path / "ours.owl").write_text(HEAD + cls("a", "<skos:altLabel>new</skos:altLabel>", restriction.format("b"), "<skos:definition>is</skos:definition>") + cls("b", "<rdfs:label>B</rdfs:label>", "<skos:notation>rel:B</skos:notation>") + cls("c", restriction.format("a"), "<rdfs:label>C</rdfs:label>") + TAIL)
-    ours = rdfxml.read_rdfxml(spark, str(tmp_path / "ours.owl"))
-    theirs = rdfxml.read_rdfxml(spark, str(tmp_path / "in"))
+    ours, theirs = (stored(rdfxml.read_rdfxml(spark, str(tmp_path / x)), "triples") for x in ("ours.owl", "in"))
     want = changes.apply_merge(ours, theirs, changes.merge_diff(ours, theirs, "rel:"))
     _, unmatched = edits.merge(spark, str(tmp_path / "in"), str(tmp_path / "out"), ours, "rel:")
-    got = rdfxml.read_rdfxml(spark, str(tmp_path / "out"))
+    got, want = stored(rdfxml.read_rdfxml(spark, str(tmp_path / "out")), "triples"), stored(want, "triples")
     rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
     assert unmatched.count() == 0 and rows(changes.canonical(got)) == rows(changes.canonical(want))
     assert rows(graph.restrictions(got)) == rows(graph.restrictions(want)) and graph.restrictions(got).count() == 3

@@ -7,6 +7,7 @@ import os
 import duckdb
 import pytest
 
+import loomlex.plans.documents
 import loomlex.plans.reviews
 import loomlex.plans.vocabulary  # noqa: F401
 from loomlex.plans.registry import ORACLES, QUERIES
