@@ -87,7 +87,7 @@ def allocate(leaves: DataFrame, budget: Column, epochs: int, weights: Mapping[tu
 
 
 def select(rows: DataFrame, leaves: DataFrame, seed: str) -> DataFrame:
-    """rows (id, domain, lang, source, n_tokens) times the epochs in which each is taken.
+    """rows (id, t, domain, lang, source, n_tokens) times the epochs in which each is taken; t is the text's digest.
 
     The partial epoch's prefix is found from sums per leading digits of the order, so that no task sorts a whole leaf.
     """
@@ -95,7 +95,7 @@ def select(rows: DataFrame, leaves: DataFrame, seed: str) -> DataFrame:
     spend = leaves.where("supply > 0").select(
         *leaf, F.expr("allocated div supply").cast("int").alias("whole"), F.expr("allocated - (allocated div supply) * supply").alias("left")
     )
-    placed = rows.join(spend, leaf).withColumn("key", F.md5(F.concat_ws(":", F.lit(seed), F.col("whole").cast("string"), F.coalesce(F.col("id").cast("string"), F.lit(NONE)))))
+    placed = rows.join(spend, leaf).withColumn("key", F.md5(F.concat_ws(":", F.lit(seed), F.col("whole").cast("string"), F.coalesce(F.col("id").cast("string"), F.lower(F.hex("t"))))))
     bounds = spend.select(*leaf, F.lit("").alias("prefix"), "left")
     for step in range(STEPS):
         here = placed.select(*leaf, "key", "n_tokens").join(bounds.select(*leaf, "prefix"), leaf).where(F.substring("key", 1, DIGITS * step) == F.col("prefix"))
@@ -107,12 +107,16 @@ def select(rows: DataFrame, leaves: DataFrame, seed: str) -> DataFrame:
     bounds = written(bounds, "bounds")
     at = placed.drop("left").join(bounds, leaf).withColumn("side", F.substring("key", 1, DIGITS * STEPS))
     out = [*rows.columns]
-    edge = at.where("side = prefix").withColumn("to", F.sum("n_tokens").over(W.partitionBy(*leaf).orderBy("key", "id")))
+    edge = at.where("side = prefix").withColumn("to", F.sum("n_tokens").over(W.partitionBy(*leaf).orderBy("key", "id", "t")))
     partial = at.where("side < prefix").select(*out, F.col("whole").alias("epoch")).unionAll(edge.where("to <= left").select(*out, F.col("whole").alias("epoch")))
     full = placed.where("whole > 0").select(*out, F.explode(F.sequence(F.lit(0), F.col("whole") - 1)).alias("epoch"))
     return full.unionAll(partial)
 
 
+def _digest(text: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
+
+
 def plan(
     docs: DataFrame, fraction: tuple[int, int] = (3, 5), epochs: int = 2, weights: Mapping[tuple[str, ...], int] = WEIGHTS,
     domain: Column | None = None, seed: str = SEED, id_col: str = "doc_id", text: str = "text",
@@ -120,22 +124,28 @@ def plan(
     """Which document is taken in which epoch: id, domain, lang, source, n_tokens (words), epoch.
 
     The budget is fraction[0] / fraction[1] of all tokens. Null lang or source count as "(none)". Texts without words
-    are taken where they fall within a prefix; a leaf of nothing but such texts is never taken. Rows that repeat an id
-    within a leaf are taken or left together. An empty table gives an empty result; other columns are ignored.
+    are taken where they fall within a prefix; a leaf of nothing but such texts is never taken. A row stands in the order
+    by its id, or by its text's digest where it has none, and rows of one id by their texts; only rows of one leaf, id and
+    text are taken or left together. An empty table gives an empty result; other columns are ignored.
     """
+    return _planned(docs, fraction, epochs, weights, domain, seed, id_col, text).drop("t").withColumnRenamed("id", id_col)
+
+
+def _planned(docs: DataFrame, fraction: tuple[int, int], epochs: int, weights: Mapping[tuple[str, ...], int], domain: Column | None, seed: str, id_col: str, text: str) -> DataFrame:
     label = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(NONE)).alias(c)
     domain = domain_of_source() if domain is None else domain
-    rows = written(docs.select(F.col(id_col).alias("id"), domain.alias("domain"), label("lang"), label("source"), word_count(text).alias("n_tokens")), "mix-rows")
+    rows = written(docs.select(F.col(id_col).alias("id"), _digest(text).alias("t"), domain.alias("domain"), label("lang"), label("source"), word_count(text).alias("n_tokens")), "mix-rows")
     leaves = rows.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("supply"))
     budget = F.expr(f"coalesce(sum(supply), 0) * {int(fraction[0])} div {int(fraction[1])}")
     allocated = written(allocate(leaves, budget, epochs, weights), "mix-leaves")
-    return select(rows, allocated, seed).withColumnRenamed("id", id_col)
+    return select(rows, allocated, seed)
 
 
 def mix(docs: DataFrame, fraction: tuple[int, int] = (4, 5), weights: Mapping[tuple[str, ...], int] = WEIGHTS, seed: str = SEED, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs, unchanged, that one epoch takes. Rows that repeat an id are taken if any of them is."""
-    taken = plan(docs, fraction, 1, weights, None, seed, id_col, text).select(F.col(id_col).alias("_taken")).distinct().hint("merge")
-    return docs.join(taken, docs[id_col].eqNullSafe(taken["_taken"]), "left_semi")
+    """The rows of docs, unchanged, that one epoch takes: by leaf, id and text, so that rows of one id, or of none, are told apart by their texts."""
+    taken = _planned(docs, fraction, 1, weights, None, seed, id_col, text).select(F.col("id").alias("_taken"), "t", *(F.col(c).alias(f"_{c}") for c in LEVELS[1:])).distinct().hint("merge")
+    same = [docs[id_col].eqNullSafe(taken["_taken"]), _digest(text) == taken["t"], *(F.coalesce(docs[c].cast("string"), F.lit(NONE)) == taken[f"_{c}"] for c in LEVELS[1:])]
+    return docs.join(taken, same, "left_semi")
 
 
 ORACLE = r"""
@@ -143,7 +153,7 @@ WITH d AS (
   SELECT doc_id, coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source,
          CASE WHEN regexp_full_match(coalesce(source, ''), 'src[0-9]{1,9}')
               THEN ['web', 'books', 'reference'][CAST(substr(source, 4) AS BIGINT) % 3 + 1] ELSE '(none)' END AS domain,
-         CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS HUGEINT) AS n_tokens
+         md5(coalesce(text, '')) AS t, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS HUGEINT) AS n_tokens
   FROM documents),
 leaf AS (SELECT domain, lang, source, sum(n_tokens) AS supply, sum(n_tokens) * 2 AS cap,
                 CASE WHEN domain = 'web' AND source = 'src0' AND lang IN ('en', 'de', 'fr', 'es') THEN 3 ELSE 1 END AS weight FROM d GROUP BY ALL),
@@ -165,7 +175,7 @@ m3 AS (SELECT *, cap * (sum(weight) OVER (PARTITION BY domain, lang) - coalesce(
 a3 AS (SELECT domain, lang, source, supply, CASE WHEN is_full THEN cap ELSE weight * (budget - sum(CASE WHEN is_full THEN cap ELSE 0 END) OVER (PARTITION BY domain, lang))
               // greatest(sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER (PARTITION BY domain, lang), 1) END AS allocated FROM m3),
 p AS (SELECT d.*, allocated // supply AS whole, allocated % supply AS rest FROM d JOIN a3 USING (domain, lang, source) WHERE supply > 0),
-o AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5('mix-1:' || whole || ':' || coalesce(CAST(doc_id AS VARCHAR), '(none)')), doc_id) AS upto FROM p)
+o AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5('mix-1:' || whole || ':' || coalesce(CAST(doc_id AS VARCHAR), t)), doc_id, t) AS upto FROM p)
 SELECT doc_id, domain, lang, source, CAST(n_tokens AS BIGINT) AS n_tokens, CAST(epoch AS INTEGER) AS epoch
 FROM (SELECT *, unnest(generate_series(0, CAST(whole AS BIGINT) - 1)) AS epoch FROM o
       UNION ALL SELECT *, whole AS epoch FROM o WHERE upto <= rest)

@@ -4,6 +4,8 @@ import glob
 import hashlib
 import os
 import re
+from collections import Counter
+from fractions import Fraction
 
 import duckdb
 import numpy as np
@@ -12,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from loomlex.llm import bpe, queries, simhash, substring
+from loomlex.llm import bpe, mixing, queries, simhash, substring
 
 SF = "/root/testdata/sf0.001"
 BASE = " ".join(f"word{i}" for i in range(80))
@@ -81,6 +83,69 @@ def without_repeats(found, window=13):
     return out
 
 
+def good(text):
+    """Whether the current policy keeps a text, by its rules in plain Python."""
+    t = text or ""
+    ws = t.encode().split()
+    windows = [tuple(ws[i : i + 3]) for i in range(len(ws) - 2)]
+    twice = {w for w, n in Counter(windows).items() if n > 1}
+    repeated = len({j for i, w in enumerate(windows) if w in twice for j in (i, i + 1, i + 2)})
+    lines = [x for x in t.split("\n") if x.encode().split()]
+    n, chars, letters = len(ws), len(b"".join(ws).decode()), re.findall("[A-Za-z]", t)
+    upper = re.findall("[A-Z]", t)
+    return not (
+        n < 50 or 100 * repeated > 50 * n or 10 * len(re.findall(r"[#*$%&|<>]", t)) > 3 * n or len(lines) >= 4 and 100 * (len(lines) - len(set(lines))) > 40 * len(lines)
+        or len(letters) >= 50 and 2 * len(upper) > len(letters) or n > 0 and (chars < 2 * n or chars > 30 * n)
+    )
+
+
+def shared(children, budget):
+    """children (name: (cap, weight)): what each gets of a budget, the fullest first."""
+    order = sorted(children, key=lambda k: (children[k][1] == 0, Fraction(children[k][0], children[k][1]) if children[k][1] else 0, k))
+    left, rest, out = budget, sum(w for _, w in children.values()), {}
+    open_ = []
+    for k in order:
+        cap, w = children[k]
+        if w > 0 and cap * rest <= w * left:
+            out[k] = cap
+        else:
+            open_.append(k)
+        left, rest = left - cap, rest - w
+    over, weight = budget - sum(out.values()), max(1, sum(children[k][1] for k in open_))
+    return out | {k: children[k][1] * over // weight for k in open_}
+
+
+def mixed(found, fraction=(4, 5)):
+    """The rows that one epoch of the mix takes of rows (doc_id, text, lang, source, n_chars)."""
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    leaves = {}
+    for r in found:
+        number = re.fullmatch("src([0-9]{1,9})", r[3] or "")
+        leaves.setdefault((mixing.DOMAINS[int(number[1]) % 3] if number else mixing.NONE, r[2] if r[2] is not None else mixing.NONE, r[3] if r[3] is not None else mixing.NONE), []).append(r)
+    size = lambda r: len((r[1] or "").encode().split())
+    supply = {k: sum(map(size, rs)) for k, rs in leaves.items()}
+    given = {(): sum(supply.values()) * fraction[0] // fraction[1]}
+    for depth in (1, 2, 3):
+        for parent in {k[: depth - 1] for k in supply}:
+            names = {k[:depth] for k in supply if k[: depth - 1] == parent}
+            given |= shared({n: (sum(v for k, v in supply.items() if k[:depth] == n), mixing.WEIGHTS.get(n, 1)) for n in names}, given[parent])
+    out = []
+    for k, rs in leaves.items():
+        if supply[k]:
+            whole, left = divmod(given[k], supply[k])
+            place = lambda r: (md5(f"{mixing.SEED}:{whole}:{r[0] if r[0] is not None else md5(r[1] or '')}"), r[0] if r[0] is not None else -1, md5(r[1] or ""))  # noqa: B023, E731
+            out += rs if whole else [r for r in rs if sum(size(x) for x in rs if place(x) <= place(r)) <= left]
+    return out
+
+
+def test_mixing_keeps_the_budget_without_ids(spark):
+    df = spark.createDataFrame([(None if lang != "es" else i, f"{'w ' * 6}{lang}{i}", lang, "src0", 1) for lang, n in (("en", 20), ("de", 200), ("es", 200)) for i in range(n)], SCHEMA)
+    found = rows(df, "doc_id", "text", "lang", "source", "n_chars")
+    got = rows(mixing.mix(df, (2, 5)), "doc_id", "text", "lang", "source", "n_chars")
+    assert got == sorted(mixed(found, (2, 5)), key=repr)
+    assert 0.95 * 1176 <= sum(len(r[1].split()) for r in got) <= 1176 and any(r[0] is None for r in got) and len(got) < 200
+
+
 @pytest.mark.parametrize("name", ["whole", "odd", "one", "none"])
 def test_stages_against_plain_python(spark, tables, name):
     docs = spark.read.parquet(f"{tables[name]}/documents.parquet")
@@ -99,8 +164,10 @@ def test_stages_against_plain_python(spark, tables, name):
         elif stage == "substring_dedup":
             want = [(i, ws) for i, ws, cut in without_repeats(before) if ws or not cut]
             assert sorted(((r[0], (r[1] or "").split()) for r in after), key=repr) == sorted(want, key=repr)
-        else:  # rules and mixing choose among rows and change none
-            assert set(after) <= set(before)
+        elif stage == "quality_rules":
+            assert after == [r for r in before if good(r[1])]
+        else:
+            assert after == sorted(mixed(before), key=repr)
         docs = out
     from tokenizers import Tokenizer
 
@@ -120,11 +187,13 @@ def test_recall_of_near_copies_by_pairs(spark):
     found = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
     sets = {i: shingle_set(t) for i, t in found}
     group = {r["doc_id"]: r["group"] for r in simhash.similar(spark.createDataFrame(found, "doc_id long, text string")).collect()}
-    by: dict = {}
-    for i, s in sets.items():
-        for x in s:
-            by.setdefault(x, []).append(i)
-    pairs = {(a, b) for ids in by.values() for a in ids[:40] for b in ids if a < b}
+    order = sorted(sets, key=lambda i: len(sets[i]))
+    pairs = []
+    for k, a in enumerate(order):
+        for b in order[k + 1 :]:
+            if 0.8 * len(sets[b]) > len(sets[a]):
+                break  # no larger set can be as similar
+            pairs.append((a, b))
     near = [(a, b) for a, b in pairs if sets[a] != sets[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
     assert all(group[a] == group[b] for a, b in pairs if sets[a] == sets[b])
     assert sum(group[a] == group[b] for a, b in near) >= 0.9 * len(near)
