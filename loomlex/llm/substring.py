@@ -18,12 +18,13 @@ which has no bound, so automata are not broadcast whole: each is built in the ta
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import new_dir, parts_for, release, steps, texts, written
@@ -34,8 +35,10 @@ SEGMENT = 64
 #: Stands for a null id: no document is after it.
 LAST = (1 << 63) - 1
 CHUNK_BYTES = 8 << 20
-#: Up to so many chunks, a chunk packs its hashes by bucket, as many buckets as chunks; beyond, as rows of plain columns, whose number grows with the words alone.
-PACKED_CHUNKS = 2_048
+#: Buckets of the table of chunks, and parts that hashes are dealt to, at most; each then holds several chunks, taken one by one.
+MOST_PARTS = 16_384
+#: What begins the names of the tables of chunks in the session's catalogue.
+CHUNKS = "chunks_"
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 _P = 0x9E3779B97F4A7C15
@@ -108,14 +111,6 @@ def _ids(column) -> np.ndarray:
     return np.array([LAST if x is None else x for x in column.to_pylist()], np.int64)
 
 
-def _slices(key: np.ndarray) -> list[tuple[int, int]]:
-    """Runs of equal values in a sorted array."""
-    if not len(key):
-        return []
-    cut = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
-    return list(zip(cut, cut[1:], strict=False))
-
-
 def _least(table: pa.Table, window: int) -> tuple[np.ndarray, ...]:
     """A chunk's hashes, sorted; of each the least document of the chunk that holds it, its place there, and whether several do."""
     ids = _ids(table.column("id"))
@@ -128,21 +123,8 @@ def _least(table: pa.Table, window: int) -> tuple[np.ndarray, ...]:
     return h[first], doc[first], at[first].astype(np.int32), doc[first] != doc[last]
 
 
-def _emit(buckets: int, window: int):
-    """A chunk's hashes with the least document of the chunk that holds each, packed by bucket of the hash."""
-
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        h, doc, at, several = _least(table, window)
-        bucket = ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-        cuts = _slices(bucket)
-        pack = lambda x: pa.array([x[a:b].tobytes() for a, b in cuts], pa.binary())
-        return pa.table({"bucket": pa.array([int(bucket[a]) for a, _ in cuts], pa.int32()), "chunk": pa.array([key[0].as_py()] * len(cuts), pa.int32()), "h": pack(h), "doc": pack(doc), "at": pack(at), "several": pack(several)})
-
-    return run
-
-
-def _emit_rows(window: int):
-    """The same as a row per hash."""
+def _emit(window: int):
+    """A chunk's hashes with the least document of the chunk that holds each."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         h, doc, at, several = _least(table, window)
@@ -151,31 +133,32 @@ def _emit_rows(window: int):
     return run
 
 
-def _repeated_rows(emitted: DataFrame) -> DataFrame:
-    """_repeated() of plain rows: pre-aggregated per hash, and joined back to the chunks that hold it."""
-    least = emitted.groupBy("h").agg(F.min(F.struct("doc", "at")).alias("m"), F.max("doc").alias("last"), F.max("several").alias("several"))
-    more = least.where("several OR m.doc <> last").select("h", F.col("m.doc").alias("doc"), F.col("m.at").alias("at"))
-    return emitted.select("chunk", "h").join(more.hint("merge"), "h").select("chunk", "h", "doc", "at")
-
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by (h, doc, at): those whose hash two documents or more hold, with the least document and the place there.
 
-def _repeated(_key: tuple, table: pa.Table) -> pa.Table:
-    """Of one bucket: the hashes of two documents or more, with the least document and the place there, packed by chunk that holds them."""
-    sizes = [len(x) // 8 for x in table.column("h").to_pylist()]
-    cat = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-    h, doc, at, several = cat("h", np.uint64), cat("doc", np.int64), cat("at", np.int32), cat("several", bool)
-    chunk = np.repeat(np.asarray(table.column("chunk")), sizes)
-    order = np.lexsort((at, doc, h))
-    h, doc, at, several, chunk = h[order], doc[order], at[order], several[order], chunk[order]
-    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.array([], np.int64)
-    count = np.diff(np.concatenate([first, [len(h)]]))
-    more = (np.add.reduceat(several.astype(np.int64), first) > 0) | (doc[first] != doc[first + count - 1]) if len(first) else np.array([], bool)
-    group = np.repeat(np.arange(len(first)), count)
-    keep = np.flatnonzero(more[group]) if len(first) else np.array([], np.int64)
-    keep = keep[np.argsort(chunk[keep], kind="stable")]
-    lead = first[group[keep]] if len(first) else keep
-    cuts = _slices(chunk[keep])
-    pack = lambda x: pa.array([x[a:b].tobytes() for a, b in cuts], pa.binary())
-    return pa.table({"chunk": pa.array([int(chunk[keep[a]]) for a, _ in cuts], pa.int32()), "h": pack(h[keep]), "doc": pack(doc[lead]), "at": pack(at[lead])})
+    A hash that all chunks hold streams through: of the run that a batch ends in only its first row is held, and whether
+    a second document has been seen. Rows that follow with the first row's document are of null ids, which are the last.
+    """
+    held: tuple | None = None  # h, doc, at, chunk of the run's first row; whether the run is of several documents
+    names, kinds = ("h", "doc", "at", "chunk", "several"), (np.int64, np.int64, np.int32, np.int32, bool)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        h, doc, at, chunk, several = (np.asarray(batch.column(c).to_numpy(zero_copy_only=False), k) for c, k in zip(names, kinds, strict=True))
+        on = held is not None and h[0] == held[0]
+        if on:  # the first row comes once more, as one that is already told of if the run is of several
+            h, doc, at, chunk, several = (np.concatenate([np.array([x], v.dtype), v]) for x, v in zip((*held[:4], held[4]), (h, doc, at, chunk, several), strict=True))
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        run = np.cumsum(np.concatenate([[0], h[1:] != h[:-1]]))
+        lead = first[run]
+        more = np.logical_or.reduceat(several | (doc != doc[lead]), first)
+        keep = more[run]
+        if on and held[4]:
+            keep[0] = False
+        start = int(first[-1])
+        held = (h[start], doc[start], at[start], chunk[start], bool(more[-1]))
+        k = np.flatnonzero(keep)
+        yield pa.RecordBatch.from_arrays([pa.array(chunk[k]), pa.array(h[k]), pa.array(doc[lead[k]]), pa.array(at[lead[k]])], ["chunk", "h", "doc", "at"])
 
 
 _PIECES = "chunk int, ref long, segment int, piece binary, least long, docs binary, starts binary"
@@ -192,11 +175,7 @@ def _cut(window: int, segment: int):
             return empty
         ids, raws = _ids(docs.column("id")), texts(docs.column("text"))
 
-        def cat(name: str, kind) -> np.ndarray:
-            column = back.column(name)
-            return np.frombuffer(b"".join(column.to_pylist()), kind) if pa.types.is_binary(column.type) else column.to_numpy().view(kind)
-
-        h, ref, at = cat("h", np.uint64), cat("doc", np.int64), cat("at", np.int32)
+        h, ref, at = back.column("h").to_numpy().view(np.uint64), back.column("doc").to_numpy(), back.column("at").to_numpy()
         order = np.argsort(h)
         h, ref, part = h[order], ref[order], at[order] // segment
         m = minimizers(raws, window)
@@ -350,20 +329,18 @@ def removed(docs: DataFrame, finish, schema: str, window: int = WINDOW, segment:
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"), *carried.values())
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("id", F.when(F.col("id").isNull(), F.col("text"))), F.lit(chunks)).cast("int"))
     # Dealt once, as a table in buckets: the three passes over the texts read it where it lies.
-    name, at = f"chunks_{uuid.uuid4().hex}", new_dir(spark, "chunks")
-    rows.repartition(chunks, "chunk").sortWithinPartitions("chunk", "id", "text").write.bucketBy(chunks, "chunk").sortBy("chunk").option("path", at).option("compression", "zstd").saveAsTable(name)
+    parts = min(chunks, MOST_PARTS)
+    name, at = f"{CHUNKS}{uuid.uuid4().hex}", new_dir(spark, "chunks")
+    rows.repartition(parts, "chunk").sortWithinPartitions("chunk", "id", "text").write.bucketBy(parts, "chunk").sortBy("chunk").option("path", at).option("compression", "zstd").saveAsTable(name)
     release(spark)
     table = spark.table(name)
     slim = table.select("chunk", "id", "text")
-    if chunks <= PACKED_CHUNKS:
-        emitted = slim.groupBy("chunk").applyInArrow(_emit(chunks, window), "bucket int, chunk int, h binary, doc binary, at binary, several binary")
-        back = emitted.groupBy("bucket").applyInArrow(_repeated, "chunk int, h binary, doc binary, at binary")
-    else:
-        back = _repeated_rows(written(slim.groupBy("chunk").applyInArrow(_emit_rows(window), "chunk int, h long, doc long, at int, several boolean"), "hashes"))
+    emitted = slim.groupBy("chunk").applyInArrow(_emit(window), "chunk int, h long, doc long, at int, several boolean")
+    back = emitted.repartition(parts, "h").sortWithinPartitions("h", "doc", "at").mapInArrow(_repeated, "chunk int, h long, doc long, at int")
     pieces = written(slim.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(_cut(window, segment), _PIECES), "pieces")
     release(spark)
     distinct = pieces.groupBy("ref", "segment", "piece").agg(F.min("least").alias("least"))
-    dealt = distinct.withColumn("deal", F.pmod(F.xxhash64("ref", "segment"), F.lit(4 * chunks)).cast("int"))
+    dealt = distinct.withColumn("deal", F.pmod(F.xxhash64("ref", "segment"), F.lit(4 * parts)).cast("int"))
     answers = written(dealt.groupBy("deal").applyInArrow(_answer(window), "ref long, segment int, digest binary, first binary"), "answers")
     release(spark)
     told = _with_digest(pieces).join(answers, ["ref", "segment", "digest"]).select("chunk", "docs", "starts", "first")
@@ -375,6 +352,13 @@ def removed(docs: DataFrame, finish, schema: str, window: int = WINDOW, segment:
     return table.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(run, schema)
 
 
+def drop_chunks(spark: SparkSession) -> None:
+    """Takes the tables of chunks of all runs so far out of the catalogue; their results can't be read again afterwards, unless they were written."""
+    for t in spark.catalog.listTables():
+        if re.fullmatch(CHUNKS + "[0-9a-f]{32}", t.name):
+            spark.sql(f"DROP TABLE {t.name}")
+
+
 def digests(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_words, n_removed, kept_sha256): which words go, by the digest of what stays, joined by one space.
 

@@ -1,8 +1,10 @@
 """The operators on small tables with nulls, empty and long texts, ties, repeated rows, clashing names and no rows."""
 
 import hashlib
+import random
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,9 +62,11 @@ def brute_removed(window=13):
     return sorted((k for k, n in out.items() for _ in range(n)), key=repr)
 
 
-@pytest.mark.parametrize("packed", [substring.PACKED_CHUNKS, 0])
-def test_substring(docs, empty, monkeypatch, packed):
-    monkeypatch.setattr(substring, "PACKED_CHUNKS", packed)
+@pytest.mark.parametrize("chunk_bytes, parts", [(substring.CHUNK_BYTES, substring.MOST_PARTS), (200, 3)])
+def test_substring(docs, empty, monkeypatch, chunk_bytes, parts):
+    """As one chunk, and as many that share few buckets."""
+    monkeypatch.setattr(substring, "CHUNK_BYTES", chunk_bytes)
+    monkeypatch.setattr(substring, "MOST_PARTS", parts)
     assert rows(substring.digests(docs)) == brute_removed()
     assert substring.digests(empty).count() == 0
     out = substring.dedup(docs)
@@ -70,6 +74,33 @@ def test_substring(docs, empty, monkeypatch, packed):
     assert out.where("doc_id = 1").first()["text"] == ROWS[0][1] and out.where("doc_id = 2").first()["text"] == "beta"
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_repeated_hashes_in_batches_of_any_size(seed):
+    """Rows of hashes sorted as Spark sorts them, against the same in plain Python."""
+    r = random.Random(seed)
+    found = set()
+    for doc in [*range(12), substring.LAST]:
+        for h in r.sample(range(-3, 12), r.randint(1, 9)):
+            for chunk in {doc % 4} if doc != substring.LAST else set(r.sample(range(4), 2)):
+                found.add((h, doc, r.randrange(9), chunk, r.random() < 0.1 and doc != substring.LAST))
+    ordered = sorted(found)
+    by = {}
+    for x in ordered:
+        by.setdefault(x[0], []).append(x)
+    want = [(c, h, xs[0][1], xs[0][2]) for h, xs in by.items() if len({x[1] for x in xs}) > 1 or any(x[4] for x in xs) for _, _, _, c, _ in xs]
+    for size in (1, 2, 5, 1000):
+        cut = [ordered[i : i + size] for i in range(0, len(ordered), size)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*b, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()), strict=True)], ["h", "doc", "at", "chunk", "several"]) for b in cut]
+        got = [tuple(x.values()) for b in substring._repeated(iter(batches)) for x in b.to_pylist()]
+        assert sorted(got) == sorted(want)
+
+
+def test_chunks_are_dropped_on_request(spark, docs):
+    substring.digests(docs).count()
+    substring.drop_chunks(spark)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(substring.CHUNKS)]
+
+
 def test_simhash(docs, empty):
     got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()}
     assert got[1] == got[5] == 1 and got[3] == got[4] == got[8] == 3 and got[2] == 2
