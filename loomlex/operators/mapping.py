@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .tables import stored
+
 COLUMNS = "subject_id subject_label predicate_id object_id object_label mapping_justification confidence subject_match_field object_match_field match_string comment".split()
 SENSE_COLUMNS = "sense_id lexeme_id headword pos sense_index domain gloss".split()
 GAP_COLUMNS = "subject_id subject_label match_string headword_senses_domains".split()
@@ -41,10 +43,21 @@ def row_findings(rows: DataFrame, subject_shape: str, object_shape: str = OBJECT
 
 
 def order_findings(rows: DataFrame, keys: list[str], number: str = "row", group: list[str] | None = None) -> DataFrame:
-    """Rows whose keys come before those of the row above; within groups, so that no task holds all rows."""
-    w = W.partitionBy(*(group or [F.lit(0)])).orderBy(number)
+    """Rows whose keys come before those of the row above, within groups or, without any, in the whole table.
+
+    A whole table is dealt by ranges of the number; a range's last keys, one row for each, are handed on to the next.
+    """
     key = F.struct(*keys)
-    return rows.withColumn("_above", F.lag(key).over(w)).where(key < F.col("_above")).drop("_above")
+    if group:
+        w = W.partitionBy(*group).orderBy(number)
+        return rows.withColumn("_above", F.lag(key).over(w)).where(key < F.col("_above")).drop("_above")
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = stored(rows.repartitionByRange(parts, number).withColumn("_part", F.spark_partition_id()), "ordered")
+    last = dealt.groupBy("_part").agg(F.max_by(key, number).alias("_last"))
+    edge = last.select(F.col("_part").alias("_p"), F.lag("_last").over(W.orderBy("_part")).alias("_before"))
+    above = F.coalesce(F.lag(key).over(W.partitionBy("_part").orderBy(number)), F.col("_before"))
+    placed = dealt.join(F.broadcast(edge), F.col("_part") == F.col("_p")).withColumn("_above", above)
+    return placed.where(key < F.col("_above")).select(*rows.columns)
 
 
 def duplicate_findings(rows: DataFrame, keys: list[str], number: str = "row") -> DataFrame:

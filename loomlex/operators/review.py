@@ -396,8 +396,9 @@ def dispatch(requests: DataFrame, receipts: DataFrame, prices: dict[str, tuple[f
     """(request_id, status, tokens, cost): which requests are answered by a receipt, which may be made, and which no ceiling leaves room for.
 
     requests: (request_id, place, route, size), size in bytes; receipts: (request_id, route). A receipt of another route
-    is refused as such. Misses are admitted in order of place while the running sums of requests, tokens and cost stay
-    within the ceilings (requests, tokens, cost); from the first that does not, all are refused.
+    is refused as such. Misses are admitted in order of place while the running sums of requests, tokens, tokens of
+    answers (most_output each) and cost stay within the ceilings (requests, tokens, output_tokens, cost; one that is not
+    given is none); from the first that does not, all are refused.
     """
     per = F.create_map(*(F.lit(x) for k, (a, b) in prices.items() for x in (k, F.struct(F.lit(float(a)).alias("a"), F.lit(float(b)).alias("b")))))
     tokens = F.greatest(F.lit(1), F.ceil(F.col("size") / 4)).cast("long")
@@ -405,7 +406,10 @@ def dispatch(requests: DataFrame, receipts: DataFrame, prices: dict[str, tuple[f
     rows = rows.withColumn("cost", (F.col("tokens") * per[F.col("route")]["a"] + F.lit(most_output) * per[F.col("route")]["b"]) / 1e6)
     held = rows.where("_served IS NOT NULL").select("request_id", F.when(F.col("_served") == F.col("route"), "receipt").otherwise("route-mismatch").alias("status"), "tokens", "cost")
     misses = running_sums(rows.where("_served IS NULL").withColumn("_one", F.lit(1)), "place", {"_requests": "_one", "_tokens": "tokens", "_cost": "cost"})
-    fits = (F.col("_requests") <= ceilings["requests"]) & (F.col("_tokens") <= ceilings["tokens"]) & (F.col("_cost") <= ceilings["cost"] + 1e-12)
+    used = {"requests": F.col("_requests"), "tokens": F.col("_tokens"), "output_tokens": F.col("_requests") * most_output, "cost": F.col("_cost") - 1e-12}
+    fits = F.lit(True)
+    for name, most in ceilings.items():
+        fits = fits & (used[name] <= most)
     return held.unionByName(misses.select("request_id", F.when(fits, "admitted").otherwise("refused").alias("status"), "tokens", "cost"))
 
 

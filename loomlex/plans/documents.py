@@ -6,9 +6,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import changes, graph, lexical
+from ..functions import schemas
+from ..operators import changes, graph, lexical, mapping, review
 from ..operators.tables import OWL, shared_dir, stored
 from ..sources import edits, publish, rdfxml
+from . import release
 from .queries import _LEX, PRIORS, part_concepts, part_labels, part_senses
 from .registry import query, table
 from .vocabulary import _ALT, _C, _E, _HIDDEN, _T, _T1, U, derived, plain, vocabulary
@@ -89,3 +91,49 @@ def q113_links_followed(spark, sf):
     held = lexical.linked(part_labels(older), part_concepts(older), was, PRIORS, True)
     now, _ = lexical.refresh(held, part_labels(part), part_concepts(part), senses, PRIORS, True)
     return now.links.select("subject", "sense_id", "predicate", F.col("confidence").cast("double").alias("confidence"), F.round("score", 6).alias("score"))
+
+
+_RECORD = {
+    "type": "object", "additionalProperties": False, "required": ["id", "lang", "n", "tags"],
+    "properties": {"id": {"type": "string", "pattern": "^[0-9]+$"}, "lang": {"enum": ["en", "de", "fr"]}, "n": {"type": "integer", "maximum": 4000}, "tags": {"type": "array", "uniqueItems": True, "items": {"$ref": "#/$defs/tag"}}},
+    "if": {"properties": {"lang": {"const": "de"}}}, "then": {"properties": {"n": {"maximum": 1000}}}, "$defs": {"tag": {"type": "string", "maxLength": 4}},
+}
+
+
+@query("""WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, n_chars AS n, coalesce(source, '') AS source FROM documents)
+SELECT doc_id, '$.lang' AS path, 'enum' AS keyword FROM d WHERE lang NOT IN ('en', 'de', 'fr') UNION ALL SELECT doc_id, '$.n', 'maximum' FROM d WHERE n > 4000 OR lang = 'de' AND n > 1000
+UNION ALL SELECT doc_id, '$.n', 'type' FROM d WHERE n IS NULL UNION ALL SELECT doc_id, '$.tags', 'uniqueItems' FROM d WHERE length(source) <= 4 UNION ALL SELECT doc_id, '$.tags[]', 'maxLength' FROM d WHERE length(source) > 4""")
+def q114_schema_findings(spark, sf):
+    """Documents' records as JSON against a schema."""
+    n, s = F.col("n_chars"), F.coalesce("source", F.lit(""))
+    record = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.coalesce("lang", F.lit("")).alias("lang"), n.alias("n"), F.array(s, F.substring(s, 1, 4)).alias("tags")), {"ignoreNullFields": "false"})
+    return schemas.findings(table(spark, sf, "documents").select("doc_id", record.alias("json")), "json", _RECORD, "doc_id")
+
+
+_ROLES = "SELECT CASE n_regionkey WHEN 0 THEN 'correction-proposer' WHEN 1 THEN 'correction-verifier-1' ELSE 'correction-verifier-2' END AS role, n_name AS route_id, md5(n_name) AS qualification_hash, CASE WHEN n_name < 'F' THEN 'rejected' ELSE 'qualified' END AS status FROM {nation}"
+_NAMED = """SELECT s_suppkey AS root_record_id, n_name AS proposer_route, array(n_name, CASE WHEN s_acctbal < 0 THEN 'elsewhere' ELSE other END) AS verifier_routes, array(md5(n_name), md5(CASE WHEN s_acctbal > 9000 THEN s_name ELSE other END)) AS verifier_qualification_hashes
+FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey JOIN (SELECT n_nationkey AS k, n_name AS other FROM {nation}) ON k = (s_nationkey + 1) % 25"""
+
+
+@query(f"""WITH q AS ({plain(_ROLES)}), l AS ({plain(_NAMED).replace("array(", "list_value(")}), v AS (SELECT root_record_id, unnest(['correction-verifier-1', 'correction-verifier-2']) AS want, unnest(verifier_routes) AS named, unnest(verifier_qualification_hashes) AS hash FROM l)
+SELECT DISTINCT root_record_id, CASE WHEN role IS NULL THEN 'unknown' WHEN role <> want THEN 'role' WHEN status <> 'qualified' THEN 'status' ELSE 'route' END || ':' || want AS code FROM v LEFT JOIN q ON q.qualification_hash = v.hash WHERE role IS NULL OR role <> want OR status <> 'qualified' OR named <> route_id
+UNION ALL SELECT root_record_id, 'route:correction-proposer' FROM l WHERE proposer_route NOT IN (SELECT route_id FROM q WHERE role = 'correction-proposer')""")
+def q115_correction_bindings(spark, sf):
+    """Corrections joined with the qualifications that they name."""
+    return release.binding_findings(derived(spark, sf, _NAMED), derived(spark, sf, _ROLES))
+
+
+@query("SELECT doc_id FROM (SELECT doc_id, lang, source, lag(lang) OVER w AS l, lag(source) OVER w AS s FROM documents WINDOW w AS (ORDER BY doc_id)) WHERE lang < l OR lang = l AND source < s")
+def q116_order_of_whole_table(spark, sf):
+    """Rows out of order in a table without groups, found range by range."""
+    return mapping.order_findings(table(spark, sf, "documents").select("doc_id", "lang", "source"), ["lang", "source"], "doc_id").select("doc_id")
+
+
+@query("""WITH r AS (SELECT o_orderkey, greatest(1, ceil(floor(o_totalprice) / 4))::BIGINT AS tokens, count(*) OVER w AS n FROM orders WINDOW w AS (ORDER BY o_orderkey))
+SELECT o_orderkey AS request_id, CASE WHEN n * 4096 <= 9000000 THEN 'admitted' ELSE 'refused' END AS status, tokens FROM r""")
+def q117_answers_within_ceiling(spark, sf):
+    """A plan whose ceiling on the tokens of answers is the one that binds."""
+    o = table(spark, sf, "orders")
+    requests = o.select(F.col("o_orderkey").alias("request_id"), F.col("o_orderkey").alias("place"), F.lit("x").alias("route"), F.floor("o_totalprice").alias("size"))
+    none = o.where("o_orderkey IS NULL").select(F.col("o_orderkey").alias("request_id"), F.lit("x").alias("route"))
+    return review.dispatch(requests, none, {"x": (1.0, 2.0)}, 4096, {"requests": 1e12, "output_tokens": 9_000_000}).select("request_id", "status", "tokens")

@@ -9,7 +9,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -79,27 +79,6 @@ def replay_run(bundle: Mapping[str, DataFrame], minimum: float, confidence: floa
     return out
 
 
-@dataclass
-class Budget:
-    """Ceilings that are reserved from before a request is made."""
-
-    requests: int
-    input_tokens: int
-    output_tokens: int
-    cost: float
-    prices: Mapping[str, tuple[float, float]]
-    used: dict = field(default_factory=lambda: {"requests": 0, "input_tokens": 0, "output_tokens": 0, "cost": 0.0})
-
-    def reserve(self, route: str, input_tokens: int, output_tokens: int) -> None:
-        a, b = self.prices[route]
-        want = {"requests": 1, "input_tokens": input_tokens, "output_tokens": output_tokens, "cost": (input_tokens * a + output_tokens * b) / 1e6}
-        for k, v in want.items():
-            if self.used[k] + v > getattr(self, k):
-                raise RuntimeError(f"the ceiling of {k} is reached")
-        for k, v in want.items():
-            self.used[k] += v
-
-
 def token_estimate(c: Column) -> Column:
     """A quarter of the bytes, rounded up, and one at least."""
     return F.greatest(F.lit(1), F.ceil(F.octet_length(c) / 4))
@@ -109,8 +88,20 @@ def token_estimate(c: Column) -> Column:
 SLICES = 10_000
 
 
-def qualification(slices: DataFrame, accuracy: float, recall: float, false_accepts: float, stable: bool = True, **ids: str) -> dict:
-    """A reviewer's decision from review.slice_metrics(): every slice must be supported, complete and within the thresholds."""
+def unstable(first: DataFrame, second: DataFrame, most: float = 0.0) -> DataFrame:
+    """(family, locale, changed) of slices in which a second run answers more than a share of the cases otherwise than the first.
+
+    first, second: (case_id, family, locale, predicted); a case that one run lacks counts as answered otherwise.
+    """
+    b = second.select("case_id", "family", "locale", F.col("predicted").alias("_again"))
+    j = first.select("case_id", "family", "locale", "predicted").join(b, ["case_id", "family", "locale"], "full")
+    other = (~F.col("predicted").eqNullSafe(F.col("_again")) | F.col("predicted").isNull()).cast("int")
+    return j.groupBy("family", "locale").agg(F.avg(other).alias("changed")).where(F.col("changed") > most)
+
+
+def qualification(slices: DataFrame, accuracy: float, recall: float, false_accepts: float, stable: bool = True, runs: tuple[DataFrame, DataFrame] | None = None, **ids: str) -> dict:
+    """A reviewer's decision from review.slice_metrics(): every slice must be supported, complete and within the thresholds, and stable between two runs, where they are given."""
+    stable = stable and (runs is None or unstable(*runs).isEmpty())
     good = F.col("supported") & (F.col("n_missing") == 0) & (F.col("accuracy") >= accuracy) & (F.col("defect_recall") >= recall) & (F.col("false_accept_rate") <= false_accepts)
     rows = slices.withColumn("_good", good)
     bad = rows.where("NOT _good").count()
@@ -151,6 +142,32 @@ def role_findings(qualifications: DataFrame, needed: list[str], apart: list[tupl
     return out
 
 
+def binding_findings(ledger: DataFrame, qualifications: DataFrame, proposer: str = "correction-proposer", verifiers: tuple[str, ...] = ("correction-verifier-1", "correction-verifier-2")) -> DataFrame:
+    """(root_record_id, code) of corrections that name other routes or qualifications than those of their roles.
+
+    ledger: (root_record_id, proposer_route, verifier_routes and verifier_qualification_hashes, arrays in the roles'
+    order). qualifications: (role, route_id, qualification_hash, status), joined by the hash that a correction names:
+    unknown is one that no qualification has, role one of another role, status one that is not qualified, and route a
+    route that is not the qualification's own.
+    """
+    named = ledger.select("root_record_id", F.posexplode(F.arrays_zip(F.col("verifier_routes").alias("route"), F.col("verifier_qualification_hashes").alias("hash"))).alias("_i", "_v"))
+    role = F.element_at(F.array(*map(F.lit, verifiers)), F.least(F.col("_i") + 1, F.lit(len(verifiers))))
+    held = qualifications.select(F.col("qualification_hash").alias("_hash"), F.col("role").alias("_role"), F.col("route_id").alias("_route"), F.col("status").alias("_status"))
+    j = named.select("root_record_id", "_i", role.alias("_want"), F.col("_v.route").alias("_named"), F.col("_v.hash").alias("_hash")).join(held, "_hash", "left")
+    code = F.when(F.col("_role").isNull(), "unknown").when(F.col("_role") != F.col("_want"), "role").when(F.col("_status") != "qualified", "status").when(~F.col("_named").eqNullSafe(F.col("_route")), "route")
+    out = j.select("root_record_id", F.concat(code, F.lit(":"), "_want").alias("code")).where("code IS NOT NULL")
+    count = ledger.where((F.coalesce(F.size("verifier_routes"), F.lit(-1)) != len(verifiers)) | (F.coalesce(F.size("verifier_qualification_hashes"), F.lit(-1)) != len(verifiers))).select("root_record_id", F.lit("verifiers").alias("code"))
+    routes = qualifications.where(F.col("role") == proposer).select(F.col("route_id").alias("proposer_route"))
+    other = ledger.join(routes, "proposer_route", "left_anti").select("root_record_id", F.lit(f"route:{proposer}").alias("code"))
+    return out.unionByName(count).unionByName(other).distinct()
+
+
+def sample_against(evaluated: DataFrame, ceiling: int) -> DataFrame:
+    """(sampled, ceiling, within): the total of all strata's samples against what may be reviewed."""
+    total = F.coalesce(F.sum("sample"), F.lit(0)).cast("long")
+    return evaluated.agg(total.alias("sampled")).select("sampled", F.lit(ceiling).cast("long").alias("ceiling"), (F.col("sampled") <= ceiling).alias("within"))
+
+
 def ungrounded(requests: DataFrame, responses: DataFrame) -> DataFrame:
     """record_id of responses (record_id, quotes array<string>) with a quote that the request's JSON (record_id, json) does not hold, or without a request."""
     j = responses.join(requests.select("record_id", "json"), "record_id", "left")
@@ -201,11 +218,13 @@ def surveillance(records: DataFrame, left: DataFrame, right: DataFrame, seed: st
 def corrections(proposals: DataFrame, votes: DataFrame, minimum: float, attempts: int = 2) -> DataFrame:
     """(record_id, state, attempt, replacement): the first of the attempts that two verifiers pass; a repeated replacement is a cycle.
 
-    proposals: (record_id, attempt, replacement); votes: (record_id, attempt, verifier, verdict, confidence).
+    proposals: (record_id, attempt, replacement); votes: (record_id, attempt, verifier, verdict, confidence), and
+    proposed_replacement, where verifiers may propose: one that does has not passed the attempt.
     """
-    passed = votes.groupBy("record_id", "attempt").agg(
-        (F.count_distinct("verifier") == 2).alias("two"), F.min((F.col("verdict") == "pass") & (F.col("confidence") >= minimum)).alias("all_pass")
-    )
+    good = (F.col("verdict") == "pass") & (F.col("confidence") >= minimum)
+    if "proposed_replacement" in votes.columns:
+        good = good & F.col("proposed_replacement").isNull()
+    passed = votes.groupBy("record_id", "attempt").agg((F.count_distinct("verifier") == 2).alias("two"), F.min(good).alias("all_pass"))
     rows = proposals.where(F.col("attempt") <= attempts).join(passed, ["record_id", "attempt"], "left")
     usable = F.trim(F.coalesce("replacement", F.lit(""))) != ""
     rows = rows.withColumn("ok", usable & F.coalesce(F.col("two") & F.col("all_pass"), F.lit(False)))
@@ -237,7 +256,7 @@ def correction_run(votes: DataFrame, proposals: DataFrame, checks: DataFrame, re
     fallen = final.where("NOT (two AND all_pass)").select("record_id", "attempt")
     # A check of its own kind that fails takes the attempt out, yet leaves its text for the search of cycles.
     veto = fallen.select("record_id", "attempt", F.lit("final").alias("verifier"), F.lit("defect").alias("verdict"), F.lit(1.0).alias("confidence"))
-    told = checks.select("record_id", "attempt", "verifier", "verdict", "confidence").unionByName(veto)
+    told = checks.select("record_id", "attempt", "verifier", "verdict", "confidence", *(c for c in checks.columns if c == "proposed_replacement")).unionByName(veto, allowMissingColumns=True)
     out = corrections(proposals.join(due, "record_id", "left_semi"), told, minimum, attempts)
     return due.join(out, "record_id", "left").withColumn("state", F.coalesce("state", F.lit("quarantined")))
 

@@ -11,14 +11,6 @@ def test_artifacts_and_replay():
         release.check_artifact({**a, "status": "stale"})
 
 
-def test_budget():
-    b = release.Budget(2, 100, 100, 1.0, {"x": (1.0, 1.0)})
-    b.reserve("x", 60, 10)
-    with pytest.raises(RuntimeError, match="input_tokens"):
-        b.reserve("x", 60, 10)
-    assert b.used["requests"] == 1
-
-
 def test_roles():
     release.check_roles({"a": "p", "b": "q"}, [("a", "b")])
     with pytest.raises(ValueError):
@@ -80,3 +72,44 @@ def test_families_and_qualification(spark):
     assert [r["family"] for r in release.families(rows).collect()] == ["translation", None, "example"]
     m = spark.createDataFrame([("f", "en", 5, 0, 1.0, 1.0, 0.0, True)], "family string, locale string, n_scored int, n_missing int, accuracy double, defect_recall double, false_accept_rate double, supported boolean")
     assert release.qualification(m, 0.9, 0.9, 0.1)["status"] == "qualified" and release.qualification(m, 0.9, 0.9, 0.1, False)["status"] == "rejected"
+
+
+def test_a_verifier_that_proposes_has_not_passed(spark):
+    proposals = spark.createDataFrame([("r", 1, "a"), ("r", 2, "b")], "record_id string, attempt int, replacement string")
+    votes = spark.createDataFrame([("r", n, v, "pass", 0.9, "other" if (n, v) == (1, "y") else None) for n in (1, 2) for v in "xy"], "record_id string, attempt int, verifier string, verdict string, confidence double, proposed_replacement string")
+    assert [tuple(r) for r in release.corrections(proposals, votes, 0.8).collect()] == [("r", "verified", 2, "b")]
+    assert [tuple(r) for r in release.corrections(proposals, votes.drop("proposed_replacement"), 0.8).collect()] == [("r", "verified", 1, "a")]
+
+
+def test_bindings_of_corrections(spark):
+    q = spark.createDataFrame([("correction-proposer", "p", "h0", "qualified"), ("correction-verifier-1", "v", "h1", "qualified"), ("correction-verifier-2", "w", "h2", "rejected"), ("correction-verifier-2", "w", "h3", "qualified")], "role string, route_id string, qualification_hash string, status string")
+    ledger = spark.createDataFrame(
+        [("ok", "p", ["v", "w"], ["h1", "h3"]), ("swapped", "p", ["w", "v"], ["h3", "h1"]), ("old", "p", ["v", "w"], ["h1", "h2"]), ("none", "x", ["v", "u"], ["h9", "h3"]), ("one", "p", ["v"], ["h1"]), ("null", "p", None, None)],
+        "root_record_id string, proposer_route string, verifier_routes array<string>, verifier_qualification_hashes array<string>",
+    )
+    assert sorted(map(tuple, release.binding_findings(ledger, q).collect())) == [
+        ("none", "route:correction-proposer"), ("none", "route:correction-verifier-2"), ("none", "unknown:correction-verifier-1"), ("null", "verifiers"), ("old", "status:correction-verifier-2"), ("one", "verifiers"), ("swapped", "role:correction-verifier-1"), ("swapped", "role:correction-verifier-2"),
+    ]
+
+
+def test_runs_that_differ_are_unstable(spark):
+    schema = "case_id int, family string, locale string, predicted string"
+    first = spark.createDataFrame([(i, "f", "en" if i < 5 else "de", "pass") for i in range(10)], schema)
+    second = spark.createDataFrame([(i, "f", "en" if i < 5 else "de", "defect" if i == 7 else "pass") for i in range(9)], schema)
+    assert [tuple(r) for r in release.unstable(first, second).collect()] == [("f", "de", 0.4)]
+    assert release.unstable(first, first).count() == 0 and release.unstable(first, second, 0.5).count() == 0
+
+
+def test_totals_against_the_ceiling(spark):
+    seen = spark.createDataFrame([("a", 5), ("b", 7)], "stratum string, sample long")
+    assert [tuple(r) for r in release.sample_against(seen, 11).collect()] == [(12, 11, False)]
+    assert [tuple(r) for r in release.sample_against(seen.limit(0), 0).collect()] == [(0, 0, True)]
+
+
+def test_answers_have_a_ceiling_too(spark):
+    from loomlex.operators import review
+
+    requests = spark.createDataFrame([(i, i, "x", 40) for i in range(6)], "request_id int, place int, route string, size long")
+    none = spark.createDataFrame([], "request_id int, route string")
+    admitted = lambda **c: review.dispatch(requests, none, {"x": (1.0, 1.0)}, 100, c).where("status = 'admitted'").count()
+    assert admitted(output_tokens=350) == 3 and admitted(requests=5, output_tokens=1000) == 5 and admitted(tokens=25) == 2
