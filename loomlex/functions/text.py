@@ -18,32 +18,27 @@ SUFFIXES = (("ies", "y"), ("es", ""), ("s", ""), ("ing", ""), ("ed", ""), ("ly",
 MIN_STEM = 3
 HEAD_PREPOSITIONS = ("of", "for", "in", "on", "to", "under")
 ENGLISH = ("", "en", "en-us", "en-gb")
+_BLANKS = "".join(f"\\u{c:04x}" for c in range(0x10000) if chr(c).isspace() and c != 0x20)
 _SPACES = "[" + "".join(f"\\u{c:04x}" for c in range(0x10000) if chr(c).isspace()) + "]"
 
 
 @F.pandas_udf(T.StringType())
 def _fold(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: x if x is None else unicodedata.normalize("NFKC", x).casefold())
+    return s.map(lambda x: x if x is None else x.lower() if x.isascii() else unicodedata.normalize("NFKC", x).casefold())
 
 
 @F.pandas_udf(T.StringType())
 def _nfc(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: x if x is None else unicodedata.normalize("NFC", x))
-
-
-def _beyond_ascii(c: Column, kernel, plain: Column) -> Column:
-    """kernel(c), for which only texts with other characters than ASCII go to Python; plain for the others."""
-    ascii_ = c.rlike(r"\A\p{ASCII}*\z")
-    return F.when(ascii_, plain).otherwise(kernel(F.when(~ascii_, c)))
+    return s.map(lambda x: x if x is None or x.isascii() else unicodedata.normalize("NFC", x))
 
 
 def fold(c: Column) -> Column:
-    """NFKC, then case folding: what Spark has no function for. ASCII values are only lowered."""
-    return _beyond_ascii(c, _fold, F.lower(c))
+    """NFKC, then case folding: what Spark has no function for. ASCII values are only lowered, in the same pass."""
+    return _fold(c)
 
 
 def nfc(c: Column) -> Column:
-    return _beyond_ascii(c, _nfc, c)
+    return _nfc(c)
 
 
 @F.pandas_udf(T.StringType())
@@ -53,14 +48,14 @@ def three_decimals(s: pd.Series) -> pd.Series:
 
 
 def squeeze(c: Column) -> Column:
-    """White space to single spaces, trimmed."""
-    return F.trim(F.regexp_replace(c, f"{_SPACES}+", " "))
+    """White space to single spaces, trimmed. Single spaces, which are most, are not rewritten."""
+    return F.trim(F.regexp_replace(c, f"{_SPACES}{{2,}}|[{_BLANKS}]", " "))
 
 
 def normalize(c: Column, folded: Column | None = None) -> Column:
     """Folded text without one trailing "(...)", hyphens, slashes and underscores as spaces. folded: fold(c) where it is at hand, or lower(c) for ASCII."""
-    c = squeeze(fold(c) if folded is None else folded)
-    return squeeze(F.regexp_replace(F.regexp_replace(c, r"\s*\([^()]*\)\s*$", ""), "[-/_]", " "))
+    c = fold(c) if folded is None else folded
+    return squeeze(F.translate(F.regexp_replace(c, rf"\([^()]*\){_SPACES}*\z", ""), "-/_", "   "))
 
 
 def trim_marks(c: Column) -> Column:

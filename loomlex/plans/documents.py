@@ -10,9 +10,10 @@ from ..functions import schemas
 from ..operators import changes, graph, lexical, mapping, review
 from ..operators.tables import OWL, shared_dir, stored
 from ..sources import edits, publish, rdfxml
-from . import release
+from . import batch, release
 from .queries import _LEX, PRIORS, part_concepts, part_labels, part_senses
 from .registry import query, table
+from .reviews import _RUN, _correction_tables
 from .vocabulary import _ALT, _C, _E, _HIDDEN, _T, _T1, U, derived, plain, vocabulary
 
 
@@ -137,3 +138,26 @@ def q117_answers_within_ceiling(spark, sf):
     requests = o.select(F.col("o_orderkey").alias("request_id"), F.col("o_orderkey").alias("place"), F.lit("x").alias("route"), F.floor("o_totalprice").alias("size"))
     none = o.where("o_orderkey IS NULL").select(F.col("o_orderkey").alias("request_id"), F.lit("x").alias("route"))
     return review.dispatch(requests, none, {"x": (1.0, 2.0)}, 4096, {"requests": 1e12, "output_tokens": 9_000_000}).select("request_id", "status", "tokens")
+
+
+@query(f"WITH {_RUN}, v AS (SELECT s.d, p.replacement FROM s JOIN p ON p.d = s.d AND p.attempt = s.attempt) SELECT CAST(doc_id AS VARCHAR) AS subject, sha256(coalesce(replacement, text)) AS lexical_hash FROM documents LEFT JOIN v ON d = doc_id")
+def q118_corrected_batch(spark, sf):
+    """The values that a batch of corrections publishes, read back from its lines."""
+    votes, proposals, checks, rereviews = _correction_tables(spark, sf)
+    second = proposals.where("attempt = 2").select("record_id", "attempt", F.explode(F.array(F.lit("r"), F.lit("s"))).alias("reviewer"), F.lit("pass").alias("verdict"), F.lit(0.95).alias("confidence"))
+    values = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("subject"), F.lit("text").alias("predicate"), F.col("text").alias("lexical"), F.col("lang").alias("language"), F.lit(None).cast("string").alias("datatype"))
+    records = values.withColumn("record_id", F.col("subject").cast("long"))
+    routes = records.select("record_id", F.lit("p").alias("proposer_route"), F.array(F.lit("v"), F.lit("w")).alias("verifier_routes"), F.array(F.lit("h1"), F.lit("h2")).alias("verifier_qualification_hashes"))
+    roles = [("correction-proposer", "p", "h0", "qualified"), ("correction-verifier-1", "v", "h1", "qualified"), ("correction-verifier-2", "w", "h2", "qualified")]
+    held = spark.createDataFrame(roles, "role string, route_id string, qualification_hash string, status string")
+    path = f"{shared_dir(spark).rstrip('/')}/batch-{uuid.uuid4().hex}"
+    batch.corrected_batch(values, records, votes, proposals, checks, rereviews.unionByName(second), routes, held, 0.8, path)
+    return spark.read.schema("subject string, lexical string").json(f"{path}/values/part-*").select("subject", F.sha2("lexical", 256).alias("lexical_hash"))
+
+
+@query("""SELECT 'customers' AS stage, '{"c_custkey":' || c_custkey || '}' AS key, CASE WHEN c_mktsegment = 'MACHINERY' THEN 'missing' ELSE 'different' END AS problem FROM customer WHERE c_acctbal < -900 OR c_mktsegment = 'MACHINERY' AND c_acctbal < 0""")
+def q119_replay_located(spark, sf):
+    """A recorded table that lacks some rows and has others changed, against the one computed anew: which rows, found by hash trees."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    record = c.where("NOT (c_mktsegment = 'MACHINERY' AND c_acctbal < 0)").withColumn("c_name", F.when(F.col("c_acctbal") < -900, F.lower("c_name")).otherwise(F.col("c_name")))
+    return batch.replayed({"customers": record}, {"customers": (c, ["c_custkey"])})
