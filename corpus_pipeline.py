@@ -34,7 +34,7 @@ def repeated_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that one epoch of the target mix takes, within a budget of four fifths of all tokens; null languages and sources are leaves of their own."""
+    """Documents that one epoch of the target mix takes, within a budget of four fifths of all tokens; null languages and sources are leaves of their own, and rows that share an id, or have none, are told apart by their texts."""
     return mixing.mix(docs.select(*COLUMNS))
 
 
