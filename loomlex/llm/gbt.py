@@ -43,14 +43,14 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: flo
         return Trees(feature, cut, value, base)
     edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(width)]
     # A bin holds what is above its lower edge and not above its upper edge, as the trees' cuts do.
-    binned = np.stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(edges)], axis=1)
+    binned = np.stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(edges)])
     score, draw = np.full(n, base), np.random.default_rng(seed)
     for t in range(trees):
         some = np.arange(n) if rows >= 1 else np.flatnonzero(draw.random(n) < rows)
         wide = np.arange(width) if columns >= 1 else np.flatnonzero(draw.random(width) < columns)
         p = 1 / (1 + np.exp(-score[some]))
         g, h = p - y[some], np.maximum(p * (1 - p), 1e-9)
-        x_of, bins_of = x[some], binned[some]
+        bins_of = {j: binned[j] if len(some) == n else binned[j, some] for j in wide}
         at = np.zeros(len(some), np.int64)
         for level in range(depth):
             first, count = (1 << level) - 1, 1 << level
@@ -62,7 +62,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: flo
                 k = len(edges[j]) + 1
                 if k < 2:
                     continue
-                key = local * k + bins_of[:, j]
+                key = local * k + bins_of[j]
                 gl = np.bincount(key, g, count * k).reshape(count, k).cumsum(axis=1)[:, :-1]
                 hl = np.bincount(key, h, count * k).reshape(count, k).cumsum(axis=1)[:, :-1]
                 gr, hr = sums[0][:, None] - gl, sums[1][:, None] - hl
@@ -73,7 +73,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: flo
                 best[won] = gain[np.arange(count), top][won]
                 feature[t, first : first + count][won] = j
                 cut[t, first : first + count][won] = edges[j][top[won]]
-            at = 2 * at + 1 + (x_of[np.arange(len(some)), feature[t][at]] > cut[t][at])
+            at = 2 * at + 1 + (x[some, feature[t][at]] > cut[t][at])
         leaf = at - inner
         value[t] = -rate * np.bincount(leaf, g, leaves) / (np.bincount(leaf, h, leaves) + l2)
         score += value[t][leaf] if len(some) == n else Trees(feature[t : t + 1], cut[t : t + 1], value[t : t + 1], 0.0).raw(x)
