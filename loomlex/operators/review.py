@@ -400,17 +400,29 @@ def dispatch(requests: DataFrame, receipts: DataFrame, prices: dict[str, tuple[f
     answers (most_output each) and cost stay within the ceilings (requests, tokens, output_tokens, cost; one that is not
     given is none); from the first that does not, all are refused.
     """
-    per = F.create_map(*(F.lit(x) for k, (a, b) in prices.items() for x in (k, F.struct(F.lit(float(a)).alias("a"), F.lit(float(b)).alias("b")))))
-    tokens = F.greatest(F.lit(1), F.ceil(F.col("size") / 4)).cast("long")
-    rows = requests.join(receipts.select("request_id", F.col("route").alias("_served")), "request_id", "left").withColumn("tokens", tokens)
-    rows = rows.withColumn("cost", (F.col("tokens") * per[F.col("route")]["a"] + F.lit(most_output) * per[F.col("route")]["b"]) / 1e6)
+    rows = priced(requests.join(receipts.select("request_id", F.col("route").alias("_served")), "request_id", "left"), prices, most_output)
     held = rows.where("_served IS NOT NULL").select("request_id", F.when(F.col("_served") == F.col("route"), "receipt").otherwise("route-mismatch").alias("status"), "tokens", "cost")
-    misses = running_sums(rows.where("_served IS NULL").withColumn("_one", F.lit(1)), "place", {"_requests": "_one", "_tokens": "tokens", "_cost": "cost"})
-    used = {"requests": F.col("_requests"), "tokens": F.col("_tokens"), "output_tokens": F.col("_requests") * most_output, "cost": F.col("_cost") - 1e-12}
+    misses = admitted(rows.where("_served IS NULL"), most_output, ceilings)
+    return held.unionByName(misses.select("request_id", "status", "tokens", "cost"))
+
+
+def priced(requests: DataFrame, prices: dict[str, tuple[float, float]], most_output: int) -> DataFrame:
+    """requests (route, size) with tokens and cost: prices per million tokens in and out, answers at their longest."""
+    per = F.create_map(*(F.lit(x) for k, (a, b) in prices.items() for x in (k, F.struct(F.lit(float(a)).alias("a"), F.lit(float(b)).alias("b")))))
+    rows = requests.withColumn("tokens", F.greatest(F.lit(1), F.ceil(F.col("size") / 4)).cast("long"))
+    return rows.withColumn("cost", (F.col("tokens") * per[F.col("route")]["a"] + F.lit(most_output) * per[F.col("route")]["b"]) / 1e6)
+
+
+def admitted(misses: DataFrame, most_output: int, ceilings: dict[str, float], before: dict[str, float] | None = None) -> DataFrame:
+    """Priced misses with status, admitted or refused in order of place; before: the sums (requests, tokens, cost) of misses that came earlier."""
+    before = before or {}
+    summed = running_sums(misses.withColumn("_one", F.lit(1)), "place", {"_requests": "_one", "_tokens": "tokens", "_cost": "cost"})
+    requests, tokens, cost = (F.col(f"_{k}") + F.lit(before.get(k, 0)) for k in ("requests", "tokens", "cost"))
+    used = {"requests": requests, "tokens": tokens, "output_tokens": requests * most_output, "cost": cost - 1e-12}
     fits = F.lit(True)
     for name, most in ceilings.items():
         fits = fits & (used[name] <= most)
-    return held.unionByName(misses.select("request_id", F.when(fits, "admitted").otherwise("refused").alias("status"), "tokens", "cost"))
+    return summed.withColumn("status", F.when(fits, "admitted").otherwise("refused")).select(*misses.columns, "status")
 
 
 def running_sums(records: DataFrame, order: str, sums: dict[str, str]) -> DataFrame:

@@ -10,10 +10,11 @@ from ..functions import schemas
 from ..operators import changes, graph, lexical, mapping, review
 from ..operators.tables import OWL, shared_dir, stored
 from ..sources import edits, publish, rdfxml
+from ..streaming.requests import ROWS, Dispatcher
 from . import batch, release
 from .queries import _LEX, PRIORS, part_concepts, part_labels, part_senses
 from .registry import query, table
-from .reviews import _RUN, _correction_tables
+from .reviews import _PRICES, _RUN, _correction_tables
 from .vocabulary import _ALT, _C, _E, _HIDDEN, _T, _T1, U, derived, plain, vocabulary
 
 
@@ -161,3 +162,23 @@ def q119_replay_located(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
     record = c.where("NOT (c_mktsegment = 'MACHINERY' AND c_acctbal < 0)").withColumn("c_name", F.when(F.col("c_acctbal") < -900, F.lower("c_name")).otherwise(F.col("c_name")))
     return batch.replayed({"customers": record}, {"customers": (c, ["c_custkey"])})
+
+
+@query("""WITH q AS (SELECT CAST(o_orderkey AS VARCHAR) AS request_id, o_orderkey, o_orderdate AS asked, o_orderstatus AS route, greatest(1, ceil(floor(o_totalprice) / 4))::BIGINT AS tokens FROM orders),
+s AS (SELECT request_id, bool_or(l_linestatus = route) AS same, count(l_orderkey) AS told FROM q LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_shipdate BETWEEN asked - INTERVAL 400 DAY AND asked + INTERVAL 400 DAY GROUP BY request_id),
+c AS (SELECT *, (tokens * CASE route WHEN 'F' THEN 1.0 WHEN 'O' THEN 0.5 ELSE 2.0 END + 4096 * CASE route WHEN 'F' THEN 2.0 WHEN 'O' THEN 1.0 ELSE 4.0 END)::DOUBLE / 1e6 AS cost FROM q JOIN s USING (request_id)),
+m AS (SELECT *, row_number() OVER (ORDER BY asked, request_id) AS place FROM c WHERE told = 0)
+SELECT request_id, CASE WHEN same THEN 'receipt' ELSE 'route-mismatch' END AS status, tokens, round(cost, 7) AS cost FROM c WHERE told > 0 UNION ALL SELECT request_id, CASE WHEN place <= 300 THEN 'admitted' ELSE 'refused' END, tokens, round(cost, 7) FROM m""")
+def q120_requests_as_stream(spark, sf):
+    """Orders as requests, their lines as receipts, settled by id in a stream; what none answers is admitted by time."""
+    orders, lines = table(spark, sf, "orders"), table(spark, sf, "lineitem")
+    asked = orders.select(F.col("o_orderdate").cast("timestamp").alias("at"), F.lit("request").alias("kind"), F.col("o_orderkey").cast("string").alias("request_id"), F.col("o_orderstatus").alias("route"), F.floor("o_totalprice").alias("size"))
+    told = lines.select(F.col("l_shipdate").cast("timestamp").alias("at"), F.lit("receipt").alias("kind"), F.col("l_orderkey").cast("string").alias("request_id"), F.col("l_linestatus").alias("route"), F.lit(None).cast("long").alias("size"))
+    rows = stored(asked.unionByName(told), "stream")
+    late = rows.agg(F.datediff(F.max("at"), F.min("at"))).first()[0] or 0
+    path = f"{shared_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    seal = rows.groupBy().agg((F.max("at") + F.make_dt_interval(F.lit(late + 802))).alias("at")).where("at IS NOT NULL").withColumn("kind", F.lit("seal"))
+    rows.unionByName(seal, allowMissingColumns=True).write.parquet(f"{path}/in")  # the seal moves time past the last request
+    run = Dispatcher(spark, f"{path}/out", _PRICES, 4096, {"requests": 300})
+    run.run(spark.readStream.schema(ROWS).parquet(f"{path}/in"), f"{path}/check", "400 days", f"{late + 1} days")
+    return run.statuses().select("request_id", "status", "tokens", F.round("cost", 7).alias("cost"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Callable
 
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators import lexical
 from ..operators.changes import difference
-from ..sources.xmlranges import filesystem
+from . import pointers
 from .census import run_available
 
 #: A change of a label: seq orders changes, op is "add" or "remove".
@@ -35,21 +34,11 @@ class Follower:
         name = f"{number:08d}-{uuid.uuid4().hex}"
         for t in _TABLES:
             getattr(now, t).write.parquet(f"{self.at}/{name}/{t}")
-        fs, at = filesystem(self.at)
-        with fs.open_output_stream(f"{at}/{name}.tmp") as out:
-            out.write(json.dumps({"batch": number, "tables": name, "touched": touched}).encode())
-        fs.move(f"{at}/{name}.tmp", f"{at}/batch-{number:08d}.json")
+        pointers.put(self.at, number, {"batch": number, "tables": name, "touched": touched})
 
     def pointer(self) -> dict | None:
         """The last batch that is whole: its number (0 for the start), tables, and how many concepts it looked at."""
-        from pyarrow.fs import FileSelector
-
-        fs, at = filesystem(self.at)
-        found = sorted(f.path for f in fs.get_file_info(FileSelector(at, allow_not_found=True)) if f.base_name.startswith("batch-"))
-        if not found:
-            return None
-        with fs.open_input_stream(found[-1]) as f:
-            return json.loads(f.read())
+        return next(iter(pointers.held(self.at, 1)), None)
 
     def state(self) -> lexical.Linked:
         name = self.pointer()["tables"]

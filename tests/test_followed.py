@@ -81,14 +81,14 @@ def test_refreshed_links_equal_links_from_scratch(spark):
     glosses = {(w, k, " ".join(r.sample(WORDS, 3))) for w in WORDS for k in range(2)}
     held = lexical.linked(*(lambda x: (x[0], concepts(x[0]), x[1]))(tables(spark, texts, glosses)), PRIORS, True)
     for step in range(2):
-        changed = set(r.sample(sorted(texts), 3))
-        texts = texts - changed | {(s, r.choice(WORDS), f) for s, _, f in changed} | {(f"new{step}", "court plan", "rdfs:label")}
+        changed, before = r.sample(sorted(texts), 3), texts
+        texts = texts - set(changed) | {(s, r.choice(WORDS), f) for s, _, f in changed} | {(f"new{step}", "court plan", "rdfs:label")}
         word = WORDS[step]
         glosses = {g for g in glosses if g[0] != word} | {(word, 0, f"{word} of all"), (word, 5, "other")} if step else glosses
         labels, senses = tables(spark, texts, glosses)
         held, touched = lexical.refresh(held, labels, concepts(labels), senses, PRIORS, True)
         assert links(held.links) == links(lexical.linked(labels, concepts(labels), senses, PRIORS, True).links)
-        near = {s for s, x, _ in texts if step and word in x.split()} | {s for s, _, _ in changed} | {f"new{step}"}
+        near = {s for s, x, _ in texts if step and word in x.split()} | {s for s, _, _ in before ^ texts}
         assert {x.subject for x in touched.collect()} == near
 
 
