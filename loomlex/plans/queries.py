@@ -341,7 +341,7 @@ def q21_reconcile(spark, sf):
 
 
 @query("""
-WITH j AS (SELECT source AS family, lang AS locale, CASE WHEN quality = 1 THEN 'pass' ELSE 'defect' END AS expected, CASE WHEN n_chars % 2 = 0 THEN CASE WHEN toxic = 0 THEN 'pass' ELSE 'defect' END END AS predicted FROM labels JOIN documents USING (doc_id))
+WITH j AS (SELECT source AS family, lang AS locale, CASE WHEN quality = 1 THEN 'pass' ELSE 'defect' END AS expected, CASE WHEN n_chars < 2000 THEN CASE WHEN toxic = 0 THEN 'pass' ELSE 'defect' END END AS predicted FROM labels JOIN documents USING (doc_id))
 SELECT family, locale, count(*) AS n_scored, count(*) FILTER (predicted IS NULL) AS n_missing, round(count(*) FILTER (predicted = expected) / count(*), 6) AS accuracy,
   round(coalesce((count(*) FILTER (expected = 'defect') - count(*) FILTER (expected = 'defect' AND predicted = 'pass')) / nullif(count(*) FILTER (expected = 'defect'), 0), 0.0), 6) AS defect_recall,
   round(coalesce(count(*) FILTER (expected = 'defect' AND predicted = 'pass') / nullif(count(*) FILTER (expected = 'defect'), 0), 0.0), 6) AS false_accept_rate, count(*) >= 5 AS supported FROM j GROUP BY ALL
@@ -349,7 +349,7 @@ SELECT family, locale, count(*) AS n_scored, count(*) FILTER (predicted IS NULL)
 def q22_eval_slices(spark, sf):
     j = table(spark, sf, "labels").join(table(spark, sf, "documents").select("doc_id", "source", "lang", "n_chars"), "doc_id")
     cases = j.select(F.col("doc_id").alias("case_id"), F.col("source").alias("family"), F.col("lang").alias("locale"), F.when(F.col("quality") == 1, "pass").otherwise("defect").alias("expected"))
-    told = j.where("n_chars % 2 = 0").select(F.col("doc_id").alias("case_id"), F.when(F.col("toxic") == 0, "pass").otherwise("defect").alias("predicted"))
+    told = j.where("n_chars < 2000").select(F.col("doc_id").alias("case_id"), F.when(F.col("toxic") == 0, "pass").otherwise("defect").alias("predicted"))
     out = review.slice_metrics(cases, told, 5)
     return out.select("family", "locale", "n_scored", "n_missing", *(F.round(c, 6).alias(c) for c in ("accuracy", "defect_recall", "false_accept_rate")), "supported")
 

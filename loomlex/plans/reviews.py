@@ -53,7 +53,7 @@ def q78_census_status(spark, sf):
 # Evaluation of reviewers.
 
 _CASES = """c AS (SELECT CAST(doc_id AS VARCHAR) AS case_id, source AS family, lang AS locale, CASE doc_id % 5 WHEN 0 THEN 'unscored-challenge' WHEN 4 THEN 'source-grounded-silver' ELSE 'deterministic-gold' END AS authority,
-  CASE WHEN doc_id % 5 <> 0 THEN CASE WHEN quality = 1 THEN 'pass' ELSE 'defect' END END AS expected, CASE WHEN n_chars % 2 = 0 THEN CASE WHEN toxic = 0 THEN 'pass' ELSE 'defect' END END AS predicted FROM labels JOIN documents USING (doc_id))"""
+  CASE WHEN doc_id % 5 <> 0 THEN CASE WHEN quality = 1 THEN 'pass' ELSE 'defect' END END AS expected, CASE WHEN n_chars < 2000 THEN CASE WHEN toxic = 0 THEN 'pass' ELSE 'defect' END END AS predicted FROM labels JOIN documents USING (doc_id))"""
 
 
 def _cases(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -62,7 +62,7 @@ def _cases(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     authority = F.when(k == 0, "unscored-challenge").when(k == 4, "source-grounded-silver").otherwise("deterministic-gold")
     expected = F.when(k != 0, F.when(F.col("quality") == 1, "pass").otherwise("defect"))
     cases = j.select(F.col("doc_id").cast("string").alias("case_id"), F.col("source").alias("family"), F.col("lang").alias("locale"), authority.alias("authority"), expected.alias("expected"))
-    return cases, j.where("n_chars % 2 = 0").select(F.col("doc_id").cast("string").alias("case_id"), F.when(F.col("toxic") == 0, "pass").otherwise("defect").alias("predicted"))
+    return cases, j.where("n_chars < 2000").select(F.col("doc_id").cast("string").alias("case_id"), F.when(F.col("toxic") == 0, "pass").otherwise("defect").alias("predicted"))
 
 
 @query(f"""WITH {_CASES}, s AS (SELECT * FROM c WHERE authority <> 'unscored-challenge') SELECT count(*) AS scored, (SELECT count(*) FROM c) - count(*) AS challenges, count(*) FILTER (predicted IS NULL) AS missing,
@@ -108,7 +108,7 @@ def q83_population_hash(spark, sf):
 
 # Confirmed debt: entries on the older version of the documents' annotations.
 
-_DEBT = f"""{_VERSIONS}, b AS (SELECT 'd' || subject AS debt_id, subject, predicate, lower(language) AS language, CASE WHEN CAST(subject AS BIGINT) % 7 = 4 THEN 'stale' ELSE sha256({_JSON_VALUE('v0')}) END AS current_hash FROM v0 WHERE CAST(subject AS BIGINT) % 7 IN (0, 1, 2, 4, 5)),
+_DEBT = f"""{_VERSIONS}, b AS (SELECT 'd' || subject AS debt_id, subject, predicate, lower(language) AS language, CASE WHEN CAST(subject AS BIGINT) % 7 = 4 THEN 'stale' ELSE sha256({_JSON_VALUE('v0')}) END AS current_hash FROM v0),
 p0 AS (SELECT subject, predicate, lower(language) AS language, sha256({_JSON_VALUE('v0')}) AS h FROM v0), p1 AS (SELECT subject, predicate, lower(language) AS language, sha256({_JSON_VALUE('v1')}) AS h FROM v1)"""
 
 
@@ -116,7 +116,7 @@ def _debt(spark: SparkSession, sf: str) -> DataFrame:
     old, _ = versions(spark, sf)
     k = F.col("subject").cast("long") % 7
     hashed = identity.value_hash(*(F.col(c) for c in changes.VALUE))
-    return old.where(k.isin(0, 1, 2, 4, 5)).select(F.concat(F.lit("d"), "subject").alias("debt_id"), "subject", "predicate", F.lower("language").alias("language"), "datatype", F.when(k == 4, "stale").otherwise(hashed).alias("current_hash"), F.lit("open").alias("state"))
+    return old.select(F.concat(F.lit("d"), "subject").alias("debt_id"), "subject", "predicate", F.lower("language").alias("language"), "datatype", F.when(k == 4, "stale").otherwise(hashed).alias("current_hash"), F.lit("open").alias("state"))
 
 
 @query(f"WITH {_DEBT} SELECT debt_id, count(p0.h) AS n FROM b LEFT JOIN p0 ON b.subject = p0.subject AND b.predicate = p0.predicate AND b.language IS NOT DISTINCT FROM p0.language AND b.current_hash = p0.h GROUP BY debt_id")
@@ -277,13 +277,13 @@ def q97_surveillance(spark, sf):
 _PRICES = {"F": (1.0, 2.0), "O": (0.5, 1.0), "P": (2.0, 4.0)}
 
 
-@query("""WITH r AS (SELECT o_orderkey, o_orderstatus AS route, greatest(1, ceil(floor(o_totalprice) / 4))::BIGINT AS tokens, CASE WHEN o_custkey % 5 = 0 THEN CASE WHEN o_custkey % 10 = 0 THEN o_orderstatus ELSE 'X' END END AS served FROM orders),
+@query("""WITH r AS (SELECT o_orderkey, o_orderstatus AS route, greatest(1, ceil(floor(o_totalprice) / 4))::BIGINT AS tokens, CASE WHEN o_orderpriority = '1-URGENT' THEN CASE WHEN o_totalprice < 250000 THEN o_orderstatus ELSE 'X' END END AS served FROM orders),
 c AS (SELECT *, (tokens * CASE route WHEN 'F' THEN 1.0 WHEN 'O' THEN 0.5 ELSE 2.0 END + 4096 * CASE route WHEN 'F' THEN 2.0 WHEN 'O' THEN 1.0 ELSE 4.0 END)::DOUBLE / 1e6 AS cost FROM r), m AS (SELECT *, count(*) OVER w AS n, sum(tokens) OVER w AS s FROM c WHERE served IS NULL WINDOW w AS (ORDER BY o_orderkey))
 SELECT o_orderkey AS request_id, CASE WHEN served = route THEN 'receipt' ELSE 'route-mismatch' END AS status, tokens, round(cost, 7) AS cost FROM c WHERE served IS NOT NULL UNION ALL SELECT o_orderkey, CASE WHEN n <= 5000 AND s <= 40000000 THEN 'admitted' ELSE 'refused' END, tokens, round(cost, 7) FROM m""")
 def q98_dispatch(spark, sf):
     o = table(spark, sf, "orders")
     requests = o.select(F.col("o_orderkey").alias("request_id"), F.col("o_orderkey").alias("place"), F.col("o_orderstatus").alias("route"), F.floor("o_totalprice").alias("size"))
-    receipts = o.where("o_custkey % 5 = 0").select(F.col("o_orderkey").alias("request_id"), F.when(F.col("o_custkey") % 10 == 0, F.col("o_orderstatus")).otherwise("X").alias("route"))
+    receipts = o.where("o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").alias("request_id"), F.when(F.col("o_totalprice") < 250000, F.col("o_orderstatus")).otherwise("X").alias("route"))
     out = review.dispatch(requests, receipts, _PRICES, 4096, {"requests": 5000, "tokens": 40_000_000, "cost": 1e12})
     return out.withColumn("cost", F.round("cost", 7))
 
@@ -357,7 +357,7 @@ def q104_reconciliation_status(spark, sf):
     return review.reconciliation_status(review.reconcile(vote(F.col("quality") == 1), vote(F.col("toxic") == 0), 0.7))
 
 
-@query("""WITH g AS (SELECT source AS family, lang AS locale, count(*) FILTER (n_chars % 2 <> 0) AS missing, count(*) FILTER (n_chars % 2 = 0 AND (quality = 1) = (toxic = 0)) / count(*) AS acc FROM labels JOIN documents USING (doc_id) GROUP BY ALL)
+@query("""WITH g AS (SELECT source AS family, lang AS locale, count(*) FILTER (n_chars >= 2000) AS missing, count(*) FILTER (n_chars < 2000 AND (quality = 1) = (toxic = 0)) / count(*) AS acc FROM labels JOIN documents USING (doc_id) GROUP BY ALL)
 SELECT CASE WHEN count(*) FILTER (NOT (missing = 0 AND acc >= 0.5)) = 0 THEN 'qualified' ELSE 'rejected' END AS status, count(*) FILTER (missing = 0 AND acc >= 0.5) AS n FROM g""")
 def q105_qualification(spark, sf):
     cases, told = _cases_all(spark, sf)
@@ -368,7 +368,7 @@ def q105_qualification(spark, sf):
 def _cases_all(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     j = table(spark, sf, "labels").join(table(spark, sf, "documents").select("doc_id", "source", "lang", "n_chars"), "doc_id")
     cases = j.select(F.col("doc_id").alias("case_id"), F.col("source").alias("family"), F.col("lang").alias("locale"), F.when(F.col("quality") == 1, "pass").otherwise("defect").alias("expected"))
-    return cases, j.where("n_chars % 2 = 0").select(F.col("doc_id").alias("case_id"), F.when(F.col("toxic") == 0, "pass").otherwise("defect").alias("predicted"))
+    return cases, j.where("n_chars < 2000").select(F.col("doc_id").alias("case_id"), F.when(F.col("toxic") == 0, "pass").otherwise("defect").alias("predicted"))
 
 
 @query("""WITH s AS (SELECT CASE WHEN (quality = 1) = (toxic = 0) THEN CASE WHEN quality = 1 THEN 'accepted' ELSE 'defect_confirmed' END ELSE 'quarantined' END AS state FROM labels), n AS (SELECT count(DISTINCT state) FILTER (state <> 'accepted') AS other FROM s)
@@ -381,11 +381,11 @@ def q106_release_report(spark, sf):
     return spark.createDataFrame([(found["payload"]["decision"], found["status"], "|".join(found["payload"]["held_by"]))], "decision string, status string, held_by string")
 
 
-@query("""WITH a AS (SELECT DISTINCT o_custkey, o_orderpriority, o_orderkey FROM orders), b AS (SELECT * FROM a WHERE o_orderkey % 8 <> 0)
-SELECT CASE WHEN (SELECT count(*) FROM b) < (SELECT count(*) FROM a) * 0.9 THEN 'review' ELSE 'auto' END AS decision, (SELECT count(*) FROM a) AS before, (SELECT count(*) FROM b) AS after, 0::BIGINT AS added, (SELECT count(*) FROM a) - (SELECT count(*) FROM b) AS removed, least(50, (SELECT count(*) FROM a WHERE o_orderkey % 8 = 0)) AS sampled""")
+@query("""WITH a AS (SELECT DISTINCT o_custkey, o_orderpriority, o_orderkey FROM orders), b AS (SELECT * FROM a WHERE o_orderpriority <> '1-URGENT')
+SELECT CASE WHEN (SELECT count(*) FROM b) < (SELECT count(*) FROM a) * 0.9 THEN 'review' ELSE 'auto' END AS decision, (SELECT count(*) FROM a) AS before, (SELECT count(*) FROM b) AS after, 0::BIGINT AS added, (SELECT count(*) FROM a) - (SELECT count(*) FROM b) AS removed, least(50, (SELECT count(*) FROM a WHERE o_orderpriority = '1-URGENT')) AS sampled""")
 def q107_heartbeat(spark, sf):
     rows = table(spark, sf, "orders").select(*(F.col(a).cast("string").alias(b) for a, b in (("o_custkey", "subject_id"), ("o_orderpriority", "predicate_id"), ("o_orderkey", "object_id"))))
-    found = release.heartbeat(rows, rows.where("CAST(object_id AS BIGINT) % 8 <> 0"), {"precision": 0.9}, {"precision": 0.9}, "1.2.0")
+    found = release.heartbeat(rows, rows.where("predicate_id <> '1-URGENT'"), {"precision": 0.9}, {"precision": 0.9}, "1.2.0")
     row = (found["decision"], found["rows"]["before"], found["rows"]["after"], found["added"]["count"], found["removed"]["count"], len(found["removed"]["sample"]))
     return spark.createDataFrame([row], "decision string, before long, after long, added long, removed long, sampled long")
 

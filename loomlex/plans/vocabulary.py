@@ -294,25 +294,25 @@ _PROPOSED = "CASE c_custkey % 4 WHEN 0 THEN 'R' || substr(md5(c_name), 1, 20) WH
 _USED = "'R' || upper(substr(md5(c_name), 1, 21))"
 
 
-@query(f"""WITH p AS (SELECT DISTINCT {_PROPOSED} AS name FROM customer), u AS (SELECT {_USED} AS name FROM customer WHERE c_custkey % 4 = 3)
+@query(f"""WITH p AS (SELECT DISTINCT {_PROPOSED} AS name FROM customer), u AS (SELECT {_USED} AS name FROM customer WHERE c_acctbal > 5000)
 SELECT name, CASE WHEN regexp_full_match(name, 'R[0-9A-Za-z]{{19,22}}') THEN 'canonical' WHEN regexp_full_match(name, '[0-9A-Za-z]{{17,21}}[AQgw]') THEN 'legacy-16-bytes' ELSE 'nonconforming' END AS family, name IN (SELECT name FROM u) AS taken,
   CASE WHEN name IN (SELECT name FROM u) THEN 'taken' WHEN NOT regexp_full_match(name, 'R[0-9A-Za-z]{{19,22}}') THEN 'shape' ELSE 'ok' END AS verdict FROM p""")
 def q74_check_names(spark, sf):
     c = table(spark, sf, "customer")
-    return labels.check_names(c.select(F.expr(_PROPOSED).alias("name")), c.where("c_custkey % 4 = 3").select(F.expr(_USED).alias("name")))
+    return labels.check_names(c.select(F.expr(_PROPOSED).alias("name")), c.where("c_acctbal > 5000").select(F.expr(_USED).alias("name")))
 
 
-@query(f"""WITH p AS (SELECT {_PROPOSED} AS name, min(c_custkey) AS place FROM customer GROUP BY 1), u AS (SELECT {_USED} AS name FROM customer WHERE c_custkey % 4 = 3),
+@query(f"""WITH p AS (SELECT {_PROPOSED} AS name, min(c_custkey) AS place FROM customer GROUP BY 1), u AS (SELECT {_USED} AS name FROM customer WHERE c_acctbal > 5000),
 k AS (SELECT name FROM p WHERE name NOT IN (SELECT name FROM u) AND regexp_full_match(name, 'R[0-9A-Za-z]{{19,22}}') ORDER BY place, name LIMIT 25)
 SELECT name, (SELECT max(u.name) FROM u WHERE u.name < k.name) AS before, (SELECT min(u.name) FROM u WHERE u.name >= k.name) AS after FROM k""")
 def q75_mint(spark, sf):
     c = table(spark, sf, "customer")
-    return labels.mint(c.select(F.expr(_PROPOSED).alias("name"), F.col("c_custkey").alias("place")), c.where("c_custkey % 4 = 3").select(F.expr(_USED).alias("name")), 25)
+    return labels.mint(c.select(F.expr(_PROPOSED).alias("name"), F.col("c_custkey").alias("place")), c.where("c_acctbal > 5000").select(F.expr(_USED).alias("name")), 25)
 
 
-@query("SELECT DISTINCT c_name AS name FROM customer WHERE c_custkey % 3 <> 0")
+@query("SELECT DISTINCT c_name AS name FROM customer WHERE c_acctbal >= 0")
 def q76_name_drift(spark, sf):
     c = table(spark, sf, "customer")
-    return labels.drift(c.select(F.col("c_name").alias("name")), c.where("c_custkey % 3 = 0").select(F.col("c_name").alias("name")))
+    return labels.drift(c.select(F.col("c_name").alias("name")), c.where("c_acctbal < 0").select(F.col("c_name").alias("name")))
 
 
