@@ -1,16 +1,17 @@
 """Names for nodes without one, by content: what is said by and about them, whatever they are called.
 
 Nodes that reach no circle are named bottom up by what they say. The rest, nodes on circles and those that lead to them,
-are coloured by what is said by and about them, round by round, until no round tells more nodes apart. Where that leaves
-several nodes of a connected part alike, the part is searched: one of the alike nodes is set apart, colours are refined,
-and of all such numberings the least one names the part's nodes; numberings that only swap like for like are not tried
-again. So equal graphs get equal names, and different ones different.
+fall into connected parts, and a part is named by itself, whatever else the graph holds. One task numbers a part: cells of
+nodes are split by the links to other cells until none tells more nodes apart, each split costing what it moves. Where that
+leaves nodes alike, one of them is set apart, cells are split further, and of all such numberings the least one names the
+part's nodes; numberings that only swap like for like are not tried again. So equal graphs get equal names, and different
+ones different. Parts too large for a task are coloured by rounds over tables.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
+from collections import defaultdict, deque
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .tables import stored
 
-#: Nodes of one part that colours leave alike and one task searches; a part of more is refused.
+#: Nodes of one part that one task numbers; a part of more is coloured by rounds, and refused if colours leave nodes alike.
 PART_NODES = 200_000
 
 
@@ -54,26 +55,32 @@ def _settled(own: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
         left = stored(left.join(fresh, "node", "left_anti"), "nodes-left")
 
 
-def _coloured(triples: DataFrame, left: DataFrame, done: DataFrame) -> DataFrame:
-    """(node, colour): refined until a round tells no more nodes apart."""
+def _said(triples: DataFrame, left: DataFrame, done: DataFrame) -> DataFrame:
+    """(node, other, peer, way, predicate, object_kind, language, datatype): what is said by and about the nodes that are left, a row per triple and node; peer is another such node."""
     at = left.withColumnRenamed("node", "_n")
     hashes = done.select(F.col("node").alias("_k"), F.col("hash").alias("_h"))
     out = triples.join(at, F.col("subject") == F.col("_n")).drop("_n").join(hashes, (F.col("object_kind") == "bnode") & (F.col("object") == F.col("_k")), "left")
     out = out.select(F.col("subject").alias("node"), F.when(F.col("object_kind") == "bnode", F.coalesce("_h", F.lit(""))).otherwise(F.col("object")).alias("other"), F.when((F.col("object_kind") == "bnode") & F.col("_h").isNull(), F.col("object")).alias("peer"), F.lit("out").alias("way"), "predicate", "object_kind", "language", "datatype")
     into = triples.where("object_kind = 'bnode'").join(at, F.col("object") == F.col("_n")).select(F.col("object").alias("node"), F.when(F.col("subject_kind") == "iri", F.col("subject")).otherwise("").alias("other"), F.when(F.col("subject_kind") == "bnode", F.col("subject")).alias("peer"), F.lit("in").alias("way"), "predicate", F.col("subject_kind").alias("object_kind"), F.lit(None).cast("string").alias("language"), F.lit(None).cast("string").alias("datatype"))
-    said = stored(out.unionByName(into), "circles")
-    colours, count = left.withColumn("colour", F.lit("")), 1
+    return stored(out.unionByName(into), "circles")
+
+
+def _coloured(said: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, part, colour) of nodes (node, part): a part is refined until a round tells no more of its nodes apart, so that its colours hang on nothing else."""
+    colours, before, done = nodes.withColumn("colour", F.lit("")), nodes.select("part").distinct().withColumn("n", F.lit(1).cast("long")), None
     while True:
-        named = said.join(colours.select(F.col("node").alias("peer"), F.col("colour").alias("_c")), "peer", "left")
+        named = said.join(colours.select("node"), "node", "left_semi").join(colours.select(F.col("node").alias("peer"), F.col("colour").alias("_c")), "peer", "left")
         spoken = F.concat_ws("\x1c", "way", F.coalesce("_c", "other"))
         # The colour before is said too, so that nodes once told apart stay so.
         fresh = named.groupBy("node").agg(F.collect_set(_say("", spoken)).alias("_s")).join(colours, "node")
-        fresh = stored(fresh.select("node", F.sha2(F.concat_ws("\x1d", "colour", F.array_join(F.array_sort("_s"), "\x1e")), 256).alias("colour")), "colours")
-        now = fresh.select("colour").distinct().count()
-        colours = fresh
-        if now == count:
-            return colours
-        count = now
+        fresh = stored(fresh.select("node", "part", F.sha2(F.concat_ws("\x1d", "colour", F.array_join(F.array_sort("_s"), "\x1e")), 256).alias("colour")), "colours")
+        now = stored(fresh.groupBy("part").agg(F.countDistinct("colour").alias("n")), "colour-counts")
+        grown = now.join(before.withColumnRenamed("n", "_n"), "part").where("n > _n").select("part")
+        ready = fresh.join(grown, "part", "left_anti")
+        done = ready if done is None else done.unionByName(ready)
+        colours, before = stored(fresh.join(grown, "part", "left_semi"), "colours"), now
+        if colours.isEmpty():
+            return stored(done, "colours")
 
 
 def _stars(links: DataFrame) -> DataFrame:
@@ -93,18 +100,60 @@ def _stars(links: DataFrame) -> DataFrame:
         mark = tuple(seen)
 
 
-def refine(colour: list[int], out: list[list[tuple]], into: list[list[tuple]]) -> list[int]:
-    """Ranks of nodes by colour and by the colours that they refer to and are referred to from, until they tell no more apart."""
-    count = len(set(colour))
-    while True:
-        sign = [(c, sorted((p, colour[v]) for p, v in out[i]), sorted((p, colour[v]) for p, v in into[i])) for i, c in enumerate(colour)]
-        rank = {}
-        for k, i in enumerate(sorted(range(len(sign)), key=sign.__getitem__)):
-            rank.setdefault(repr(sign[i]), k)
-        colour = [rank[repr(s)] for s in sign]
-        if len(rank) == count:
-            return colour
-        count = len(rank)
+def refine(colour: list[int], out: list[list[tuple]], into: list[list[tuple]], fresh: list[int] | None = None) -> list[int]:
+    """Ranks of nodes by colour and by the colours that they refer to and are referred to from, until they tell no more apart.
+
+    A rank is the number of nodes before its cell. Each cell splits the others by the links into and out of it; of the
+    pieces of a cell that is not waiting itself, the first largest need not split again. fresh: nodes alone in their
+    cells, if the colours without them are refined already.
+    """
+    n = len(colour)
+    colour, cells, last = [*colour], {}, None
+    for k, i in enumerate(sorted(range(n), key=colour.__getitem__)):
+        if last is None or colour[i] != last[0]:
+            last = (colour[i], k)
+        cells.setdefault(last[1], set()).add(i)
+    for c, held in cells.items():
+        for i in held:
+            colour[i] = c
+    waiting = deque(cells if fresh is None else [colour[i] for i in fresh])
+    queued = set(waiting)
+    while waiting:
+        c = waiting.popleft()
+        queued.discard(c)
+        touched = defaultdict(list)
+        for v in cells[c]:
+            for p, u in into[v]:
+                touched[u].append((p, 0))
+            for p, u in out[v]:
+                touched[u].append((p, 1))
+        by = defaultdict(list)
+        for u in touched:
+            if len(cells[colour[u]]) > 1:
+                by[colour[u]].append(u)
+        for d in sorted(by):
+            signs = defaultdict(list)
+            for u in by[d]:
+                signs[tuple(sorted(touched[u]))].append(u)
+            rest = len(cells[d]) - len(by[d])
+            if not rest and len(signs) == 1:
+                continue
+            # What is not touched comes first and stays where it is, so that it costs nothing.
+            at, starts = d + rest, [d] if rest else []
+            for sign in sorted(signs):
+                starts.append(at)
+                if at > d:
+                    cells[d].difference_update(signs[sign])
+                    cells[at] = set(signs[sign])
+                    for u in signs[sign]:
+                        colour[u] = at
+                at += len(signs[sign])
+            skip = None if d in queued else max(starts, key=lambda k: (len(cells[k]), -k))
+            for k in starts:
+                if k != skip and k not in queued:
+                    queued.add(k)
+                    waiting.append(k)
+    return colour
 
 
 def least_numbering(start: list[str], edges: list[tuple[int, str, int]]) -> tuple[list[int], tuple]:
@@ -141,7 +190,7 @@ def least_numbering(start: list[str], edges: list[tuple[int, str, int]]) -> tupl
     stack: list[tuple[list[int], list[int], list[int], tuple[int, ...]]] = []
 
     def enter(colour: list[int], fixed: tuple[int, ...]) -> None:
-        colour = refine(colour, out, into)
+        colour = refine(colour, out, into, [*fixed[-1:]] or None)
         cells = defaultdict(list)
         for i, c in enumerate(colour):
             cells[c].append(i)
@@ -176,28 +225,24 @@ def least_numbering(start: list[str], edges: list[tuple[int, str, int]]) -> tupl
     return best[1], best[0]
 
 
-def _named(most: int):
-    def run(key: tuple, rows: pa.Table) -> pa.Table:
-        """Of one part: nodes with their colours, and the links between them."""
-        nodes = {r["node"]: r["colour"] for r in rows.to_pylist() if r["predicate"] is None}
-        if len(nodes) > most:
-            raise ValueError(f"{len(nodes)} alike nodes without a name in one part, of at most {most}")
-        at = {k: i for i, k in enumerate(sorted(nodes))}
-        names = list(at)
-        edges = sorted({(at[r["node"]], r["predicate"], at[r["peer"]]) for r in rows.to_pylist() if r["predicate"] is not None})
-        number, form = least_numbering([nodes[k] for k in names], edges)
-        whole = hashlib.sha256(repr(form).encode()).hexdigest()
-        return pa.table({"node": names, "hash": [hashlib.sha256(f"{whole} {number[i]}".encode()).hexdigest() for i in range(len(names))]})
-
-    return run
+def _named(key: tuple, rows: pa.Table) -> pa.Table:
+    """Of one part: nodes with what is said of them beside their links, and the links between them."""
+    rows = rows.select(["node", "colour", "predicate", "peer"]).to_pylist()
+    nodes = {r["node"]: r["colour"] for r in rows if r["predicate"] is None}
+    at = {k: i for i, k in enumerate(sorted(nodes))}
+    names = list(at)
+    edges = sorted({(at[r["node"]], r["predicate"], at[r["peer"]]) for r in rows if r["predicate"] is not None})
+    number, form = least_numbering([nodes[k] for k in names], edges)
+    whole = hashlib.sha256(repr(form).encode()).hexdigest()
+    return pa.table({"node": names, "hash": [hashlib.sha256(f"{whole} {number[i]}".encode()).hexdigest() for i in range(len(names))]})
 
 
 def names(triples: DataFrame, most: int = PART_NODES) -> DataFrame:
     """(node, hash) of every node without a name, by content.
 
     Nodes that reach no circle and say the same share a hash. Nodes on or before a circle share one only if one stands
-    for the other in an equal part of the graph. Without such nodes the result is empty. A part in which colours leave
-    nodes alike is one task's; ValueError if it has more than `most` nodes.
+    for the other in an equal part of the graph. Without such nodes the result is empty. A connected part is one task's;
+    one of more than `most` nodes is coloured by rounds, ValueError if that leaves some of its nodes alike.
     """
     columns = ["subject", "subject_kind", "predicate", "object", "object_kind", "language", "datatype"]
     about = stored(triples.where("subject_kind = 'bnode' OR object_kind = 'bnode'").select(*columns).distinct(), "about-nameless")
@@ -205,17 +250,21 @@ def names(triples: DataFrame, most: int = PART_NODES) -> DataFrame:
     done, left = _settled(own, stored(_nodes(about), "nameless"))
     if left.isEmpty():
         return done
-    colours = _coloured(about, left, done)
-    between = own.where("object_kind = 'bnode'").join(left.withColumnRenamed("node", "subject"), "subject", "left_semi").join(left.withColumnRenamed("node", "object"), "object", "left_semi")
-    links = stored(between.select("subject", "predicate", "object"), "links-of-nameless")
-    parts = left.join(_stars(links.select(F.col("subject").alias("a"), F.col("object").alias("b"))), "node", "left").select("node", F.coalesce("part", "node").alias("part"))
-    held = stored(parts.join(colours, "node"), "parts-coloured")
-    alike = held.groupBy("part", "colour").count().where("count > 1").select("part").distinct()
-    plain = held.join(alike, "part", "left_anti").select("node", F.col("colour").alias("hash"))
-    odd = held.join(alike, "part", "left_semi")
+    said = _said(about, left, done)
+    links = stored(said.where("way = 'out' AND peer IS NOT NULL").select(F.col("node").alias("subject"), "predicate", F.col("peer").alias("object")), "links-of-nameless")
+    parts = stored(left.join(_stars(links.select(F.col("subject").alias("a"), F.col("object").alias("b"))), "node", "left").select("node", F.coalesce("part", "node").alias("part")), "parts-of-nameless")
+    large = stored(parts.groupBy("part").count().where(F.col("count") > most), "large-parts")
+    out, whole = done, large.isEmpty()
+    if not whole:
+        colours = _coloured(said, parts.join(large, "part", "left_semi"))
+        alike = colours.groupBy("part", "colour").count().where("count > 1").join(large.select("part", F.col("count").alias("_m")), "part").agg(F.max("_m")).first()[0]
+        if alike:
+            raise ValueError(f"{alike} nodes without a name in one part, some of them alike nodes, of at most {most}")
+        out = out.unionByName(colours.select("node", F.col("colour").alias("hash")))
+    small = parts if whole else parts.join(large, "part", "left_anti")
     none = F.lit(None).cast("string")
-    rows = odd.select("part", "node", "colour", none.alias("predicate"), none.alias("peer")).unionByName(
-        links.join(odd.select("part", F.col("node").alias("subject")), "subject").select("part", F.col("subject").alias("node"), none.alias("colour"), "predicate", F.col("object").alias("peer"))
+    own_words = F.when(F.col("peer").isNull(), _say("", F.concat_ws("\x1c", "way", "other")))
+    rows = said.join(small, "node").groupBy("part", "node").agg(_digest(own_words).alias("colour")).select("part", "node", "colour", none.alias("predicate"), none.alias("peer")).unionByName(
+        links.join(small.withColumnRenamed("node", "subject"), "subject").select("part", F.col("subject").alias("node"), none.alias("colour"), "predicate", F.col("object").alias("peer"))
     )
-    searched = rows.groupBy("part").applyInArrow(_named(most), "node string, hash string")
-    return stored(done.unionByName(plain).unionByName(searched), "nameless-names")
+    return stored(out.unionByName(rows.groupBy("part").applyInArrow(_named, "node string, hash string")), "nameless-names")

@@ -107,3 +107,19 @@ def test_odd_inputs(spark):
     assert nameless.names(dangling).count() == 1
     with pytest.raises(Exception, match="alike nodes"):
         nameless.names(df.drop("node"), most=2).count()
+
+
+def test_a_long_ring_is_numbered_in_steps_not_rounds():
+    """One node that differs in 4,000: each split moves a node or two, where rounds over all of them are 2,000."""
+    start = time.process_time()
+    numbers, _ = nameless.least_numbering(["x"] + [""] * 3999, ring(4000))
+    assert sorted(numbers) == list(range(4000)) and time.process_time() - start < 10
+
+
+def test_a_part_is_named_whatever_else_the_graph_holds(spark):
+    """A short ring keeps its names beside one that takes many rounds, numbered by a task or coloured by rounds."""
+    short = triples(ring(3), more=[*HANG, (1, "bnode", "urn:l", "a", "literal", None, None)])
+    long = triples(ring(9), name="_:y{}", more=[(0, "bnode", "urn:l", "b", "literal", None, None)])
+    for most in (nameless.PART_NODES, 2):
+        alone, beside = ({r.node: r.hash for r in nameless.names(spark.createDataFrame(rows, TRIPLES), most=most).collect()} for rows in (short, short + long))
+        assert len(set(beside.values())) == 12 and all(beside[k] == v for k, v in alone.items())
