@@ -81,7 +81,9 @@ def neighbours(queries: DataFrame, names: DataFrame) -> DataFrame:
     order = W.partitionBy("bucket").orderBy("k", "is_name")
     before = F.last(own, True).over(order.rowsBetween(W.unboundedPreceding, -1))
     # A query sorts before the name that equals it, so that this name is at or above it.
-    after = F.first(own, True).over(order.rowsBetween(W.currentRow, W.unboundedFollowing))
+    # Backwards, so that a row's frame adds to the one before: frames that end with the range would each be walked anew.
+    back = W.partitionBy("bucket").orderBy(F.desc("k"), F.desc("is_name"))
+    after = F.last(own, True).over(back.rowsBetween(W.unboundedPreceding, W.currentRow))
     found = rows.withColumn("before", before).withColumn("after", after).where("NOT is_name")
     out = found.join(F.broadcast(carried), "bucket").select(F.col("k").alias("query"), F.coalesce("before", "carry_lo").alias("before"), F.coalesce("after", "carry_hi").alias("after"))
     return out.withColumns({c: F.when(F.col("query").isNotNull(), F.col(c)) for c in ("before", "after")})

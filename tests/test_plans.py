@@ -35,3 +35,13 @@ def test_filters_reach_the_scan(spark):
 @pytest.mark.parametrize("name", ["q01_lexical_match", "q13_delta_classify", "q21_reconcile", "q24_duplicate_pairs", "q30_collision_check", "q35_slot_occupancy", "q45_receipt_cache_join"])
 def test_no_products(spark, name):
     assert "CartesianProduct" not in plan(QUERIES[name](spark, SF))
+
+
+def test_frames_of_neighbours_do_not_reach_forward(spark):
+    """A frame from each row to the end of its range is walked anew for each row, the square of a range's rows."""
+    from loomlex.operators import labels
+
+    names = spark.createDataFrame([(f"n{i:03d}",) for i in range(0, 100, 2)], "name string")
+    found = labels.neighbours(spark.createDataFrame([("n003",), ("n004",), ("n099",), ("a",)], "query string"), names)
+    assert "currentrow$(), unboundedfollowing$()" not in plan(found)
+    assert {tuple(r) for r in found.collect()} == {("n003", "n002", "n004"), ("n004", "n002", "n004"), ("n099", "n098", None), ("a", None, "n000")}
