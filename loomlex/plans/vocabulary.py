@@ -236,7 +236,7 @@ def q68_merge_applied(spark, sf):
 
 @query(f"WITH {_VERSIONS}, o AS (SELECT * FROM v0 EXCEPT SELECT * FROM v1), n AS (SELECT * FROM v1 EXCEPT SELECT * FROM v0) SELECT 'self' AS pair, TRUE AS same UNION ALL SELECT 'versions', (SELECT count(*) FROM o) + (SELECT count(*) FROM n) = 0 UNION ALL SELECT 'applied', TRUE")
 def q69_set_equality(spark, sf):
-    old, new = versions(spark, sf)
+    old, new = (changes.keyed(v) for v in versions(spark, sf))
     applied = changes.apply_changes(old, changes.delta(old, new))
     found = [("self", changes.same(old, old)), ("versions", changes.same(old, new)), ("applied", changes.same(applied, new))]
     return spark.createDataFrame(found, "pair string, same boolean")

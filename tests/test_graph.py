@@ -82,3 +82,13 @@ def test_merge_diff(spark):
     assert n["new_classes"] == 1 and n["new_alt_labels"] == 1 and n["definition_updates"] == 1 and n["definition_additions"] == 0
     assert [r["object"] for r in parts["removed_labels"].collect()] == ["old"]
     assert SKOS in parts["new_alt_labels"].first()["predicate"]
+
+
+def test_sets_are_compared_by_digests_of_rows(spark):
+    """Nulls, empty texts and cells that run together are told apart; keyed texts are as long as a digest."""
+    rows = lambda *r: spark.createDataFrame(r, ", ".join(f"{c} string" for c in changes.VALUE))
+    a = rows(("s", "p", "x" * 1000, None, None), ("s", "p", "ab", "c", None))
+    assert changes.same(a, a.union(a)) and changes.same(changes.keyed(a), changes.keyed(a.union(a)))
+    for other in (("s", "p", "a", "bc", None), ("s", "p", "ab", None, "c"), ("s", "p", "ab", "c", ""), ("s", "p", None, "c", None)):
+        assert not changes.same(a, rows(("s", "p", "x" * 1000, None, None), other)) and not changes.same(changes.keyed(a), changes.keyed(rows(("s", "p", "x" * 1000, None, None), other)))
+    assert {len(r.lexical) for r in changes.keyed(a).collect()} == {64}
