@@ -144,4 +144,5 @@ def export_lines(rows: DataFrame, senses: DataFrame, curies: dict[str, str]) ->
     ]
     exact = F.when(F.col("predicate_id") == "skos:exactMatch", F.concat_ws(" ", obj, p(lemon + "reference"), subject, F.lit(".")))
     lines = F.array_compact(F.array(*(F.concat_ws(" ", *t, F.lit(".")) for t in facts), exact))
-    return j.select(F.explode(lines).alias("line")).distinct()
+    # Dealt by line first: a task that reads many rows would else hold all their lines to find the distinct ones.
+    return j.select(F.explode(lines).alias("line")).repartition("line").distinct()

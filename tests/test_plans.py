@@ -45,3 +45,9 @@ def test_frames_of_neighbours_do_not_reach_forward(spark):
     found = labels.neighbours(spark.createDataFrame([("n003",), ("n004",), ("n099",), ("a",)], "query string"), names)
     assert "currentrow$(), unboundedfollowing$()" not in plan(found)
     assert {tuple(r) for r in found.collect()} == {("n003", "n002", "n004"), ("n004", "n002", "n004"), ("n099", "n098", None), ("a", None, "n000")}
+
+
+def test_exported_lines_are_dealt_before_they_are_made_distinct(spark):
+    """Else a task that reads many rows holds all their lines at once."""
+    text = plan(QUERIES["q38_triples_export"](spark, SF))
+    assert "REPARTITION_BY_COL" in text
