@@ -70,3 +70,22 @@ def test_a_task_that_runs_again_leaves_one_part(tmp_path, monkeypatch):
 def test_empty_tables(spark, tmp_path):
     told = publish.publish_tsv(spark.range(0), str(tmp_path / "e"), ["id"], ["id"])
     assert told["lines"] == 0 and document(tmp_path / "e") == "id\n"
+
+
+def test_a_batch_of_long_lines_is_not_copied(tmp_path, monkeypatch):
+    """A writer holds a line at a time beside its batch."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    from loomlex.sources import publish
+
+    monkeypatch.setattr(publish.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0, taskAttemptId=lambda: 0))
+    batch = pa.RecordBatch.from_pydict({"line": ["x" * 10_000] * 2000})
+    tracemalloc.start()
+    part = publish.LinesWriter({"path": f"file://{tmp_path}/out"}).write(iter([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    print("peak", peak)
+    assert part.lines == 2000 and peak < 10_000_000
