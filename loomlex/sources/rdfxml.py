@@ -13,10 +13,12 @@ import hashlib
 import json
 import re
 import xml.etree.ElementTree as ET
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import batched
 from urllib.parse import urljoin
 from xml.parsers import expat
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -207,6 +209,13 @@ def may_hold(raw: bytes, head: Head, subject: str | None, predicate: str | None)
     return True
 
 
+def _batches(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows of TRIPLES by columns, as Spark takes them without a look at each row."""
+    names = [c.split()[0] for c in TRIPLES.split(", ")]
+    for some in batched(rows, 2000):
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*some, strict=True)], names)
+
+
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.base, self.raw = options["path"], options.get("base", ""), options.get("raw", "false") == "true"
@@ -230,9 +239,11 @@ class _Reader(DataSourceReader):
                 cut[f] = not self.raw and head_at(fs, f, size) is not None
         return [_Part(r[0], r if cut[r[0]] else None) for r in sorted(found) if cut[r[0]] or r[1] == 0]
 
-    def read(self, part: _Part | None) -> Iterator[tuple]:
-        if part is None:  # Spark's stand-in for no partitions
-            return
+    def read(self, part: _Part | None) -> Iterator[pa.RecordBatch]:
+        if part is not None:  # Spark's stand-in for no partitions
+            yield from _batches(self.rows(part))
+
+    def rows(self, part: _Part) -> Iterator[tuple]:
         fs, _ = xmlranges.filesystem(self.path)
         if part.range is None:
             with fs.open_input_stream(part.file) as source:

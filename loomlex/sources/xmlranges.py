@@ -18,11 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 RANGE_BYTES = 32 << 20
+#: Ranges of one file before they get longer than asked for, RANGE_BYTES at most: each costs a task, whatever it holds.
+MOST_RANGES = 1024
 #: Tokens at the start of a range that a task reports; beyond them lexing from different places has met as a rule.
 REPORTED = 64
 _STEP = 1 << 20
 #: A comment, a CDATA section, an instruction, an end tag, or a start tag, whose quotes may hold ">".
 _TOKEN = re.compile(rb"<(?:!--.*?-->|!\[CDATA\[.*?\]\]>|\?.*?\?>|/[^>]*>|[^!?/](?:[^\"'>]++|\"[^\"]*\"|'[^']*')*+>)", re.S)
+#: Text and the token after it, in bytes that hold the token to its end.
+_NEXT = re.compile(rb"[^<]*+(" + _TOKEN.pattern + rb")", re.S)
 _OPENERS = (b"<!--", b"<![CDATA[")
 
 
@@ -44,28 +48,28 @@ def files_of(path: str) -> list[tuple[str, int]]:
 
 
 class Window:
-    """Bytes of an open file from a place on, read as they are asked for; what lies behind is dropped."""
+    """Bytes of an open file from a place on, read as they are asked for; what lies behind is dropped when more are read, so that no byte is moved for each token."""
 
     def __init__(self, file, at: int):
-        self.file, self.base, self.data, self.done = file, at, b"", False
+        self.file, self.base, self.low, self.data, self.done = file, at, at, b"", False
         file.seek(at)
 
     def more(self) -> bool:
         if self.done:
             return False
-        piece = self.file.read(max(_STEP, len(self.data)))
+        held = self.data[self.low - self.base :]
+        piece = self.file.read(max(_STEP, len(held)))
         self.done = not piece
-        self.data += piece
+        self.data, self.base = held + piece, self.low
         return not self.done
 
     def drop(self, to: int) -> None:
-        self.data, self.base = self.data[to - self.base :], to
+        self.low = to
 
     def find(self, what: bytes, at: int) -> int:
         """The first place of `what` from `at` on, -1 if there is none."""
-        start = at - self.base
-        while (k := self.data.find(what, start)) < 0:
-            start = max(start, len(self.data) - len(what) + 1)
+        while (k := self.data.find(what, at - self.base)) < 0:
+            at = max(at, self.base + len(self.data) - len(what) + 1)
             if not self.more():
                 return -1
         return self.base + k
@@ -75,6 +79,11 @@ class Window:
 
     def token(self, at: int) -> tuple[int, int, int] | None:
         """(start, end, change of depth) of the first token from `at` on; None at the end of the file, or where what begins is never closed."""
+        m = _NEXT.match(self.data, at - self.base)
+        if m is not None:  # a token that is there to its end is the same whatever follows
+            start, end = m.span(1)
+            kind = self.data[start + 1]
+            return self.base + start, self.base + end, 0 if kind in b"!?" else -1 if kind == 0x2F else 0 if self.data[end - 2] == 0x2F else 1
         start = self.find(b"<", at)
         if start < 0:
             return None
@@ -155,13 +164,14 @@ def _after_doctype(window: Window, at: int) -> int:
 
 
 def plan(path: str, size: int = RANGE_BYTES) -> list[Range]:
-    """Ranges of `size` bytes of a file, or of a folder's files; the driver reads their heads alone."""
+    """Ranges of `size` bytes of a file, or of a folder's files, longer ones where a file has very many; the driver reads their heads alone."""
     fs, _ = filesystem(path)
     out = []
     for file, length in files_of(path):
         with fs.open_input_file(file) as f:
             head = head_of(f)
-        cuts = [head, *range(head + size, length, size), max(length, head + 1)]
+        step = max(size, min(RANGE_BYTES, -(-(length - head) // MOST_RANGES)))
+        cuts = [head, *range(head + step, length, step), max(length, head + 1)]
         out += [Range(file, k, a, b, head) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
     return out
 

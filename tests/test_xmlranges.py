@@ -64,3 +64,25 @@ def test_long_tokens_span_ranges(spark, tmp_path):
     found = sorted(map(tuple, x.ranges(spark, str(tmp_path / "x.xml"), 100).collect()), key=lambda r: r[1])
     got = [e.raw[:3] for r in found for e in x.elements(io.BytesIO(raw), x.Range(*r))]
     assert got == [b"<a>", b"<c>", b"<d "]
+
+
+def test_very_many_ranges_become_longer_ones(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(x, "MOST_RANGES", 6)
+    raw = made(random.Random(5), 40)
+    (tmp_path / "x.xml").write_bytes(raw)
+    found = sorted(map(tuple, x.ranges(spark, str(tmp_path / "x.xml"), 7).collect()), key=lambda r: r[1])
+    assert len(found) <= 6 and found[0][2] == len(HEAD) and found[-1][3] == len(raw) and all(a[3] == b[2] for a, b in zip(found, found[1:], strict=False))
+    assert [as_tree(e) for r in found for e in x.elements(io.BytesIO(raw), x.Range(*r))] == whole(raw)
+
+
+def test_tokens_move_no_bytes(monkeypatch):
+    monkeypatch.setattr(x, "_STEP", 64)
+    raw = b"<r>" + b"<e a='1'>t</e>" * 50 + b"</r>"
+    window, at, held, most = x.Window(io.BytesIO(raw), 0), 0, [], 0
+    while (t := window.token(at)) is not None:
+        at = t[1]
+        window.drop(at)
+        most = max(most, len(window.data))
+        if not held or held[-1] is not window.data:
+            held.append(window.data)
+    assert at == len(raw) and len(held) <= len(raw) // 64 + 2 and most < 200
