@@ -2,8 +2,9 @@
 
 An index gives, for each child of the root and each property in it, where it stands and what it says. Removed triples meet
 it by a join and become spans to cut, added ones places to insert at; a pair of them that is one for one under subject and
-predicate replaces the text in its place. A file's edits, sorted by place, are then spliced in by one task, which streams
-the file past them: its memory does not grow with the file or the edits. Nothing passes the driver but totals.
+predicate replaces the text in its place. A file is cut where children of the root begin, and each piece's edits, sorted by
+place, are spliced in by a task, which streams the piece past them: its memory does not grow with the piece or the edits.
+The pieces are then written one after the other. Nothing passes the driver but totals.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ def index(spark: SparkSession, path: str, base: str = "", size: int = xmlranges.
 
     A property that holds a nested node has that node for its object. ValueError for files that can't be cut by bytes.
     """
-    ranges = xmlranges.ranges(spark, path, size)
+    ranges = stored(xmlranges.ranges(spark, path, size), "xml-ranges")
     fs, _ = xmlranges.filesystem(path)
     for file, length in xmlranges.files_of(path):
         with fs.open_input_file(file) as f:
@@ -51,7 +52,7 @@ def index(spark: SparkSession, path: str, base: str = "", size: int = xmlranges.
                 out = []
                 with fs.open_input_file(r.file) as file:
                     head = head_at(fs, r.file, r.head)
-                    for e, node, at, _ in parse_elements(head, xmlranges.elements(file, r), base, prefix_of(r.file)):
+                    for e, node, at, _ in parse_elements(head, xmlranges.elements(file, r), base, prefix_of(r.file), say=False):
                         out += _properties(r.file, e, node, at)
                         if len(out) > 5000:
                             yield _batch(out)
@@ -59,7 +60,7 @@ def index(spark: SparkSession, path: str, base: str = "", size: int = xmlranges.
                 if out:
                     yield _batch(out)
 
-    return ranges.repartition(max(1, ranges.count()), "file", "number").mapInArrow(run, INDEX)
+    return ranges.repartitionByRange(max(1, ranges.count()), "file", "number").mapInArrow(run, INDEX)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -90,7 +91,7 @@ def _plain(rows: DataFrame) -> DataFrame:
     return rows.withColumn("datatype", F.when(same, None).otherwise(F.col("datatype")))
 
 
-EDIT = "file string, at long, until long, kind string, last_child long, " + ", ".join(f"{c} string" for c in _STATED) + ", old_language string, old_datatype string"
+EDIT = "file string, block long, at long, until long, kind string, last_child long, " + ", ".join(f"{c} string" for c in _STATED) + ", old_language string, old_datatype string"
 
 
 def plan(found: DataFrame, removed: DataFrame, added: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -107,28 +108,28 @@ def plan(found: DataFrame, removed: DataFrame, added: DataFrame) -> tuple[DataFr
     gone = gone.withColumn("_n", F.count(F.lit(1)).over(one))
     came = added.withColumn("_n", F.count(F.lit(1)).over(one))
     literal = "object_kind = 'literal' AND _n = 1"
-    old = gone.where(literal).select("subject", "predicate", F.col("language").alias("old_language"), F.col("datatype").alias("old_datatype"), "file", F.col("start").alias("at"), F.col("end").alias("until"))
+    old = gone.where(literal).select("subject", "predicate", F.col("language").alias("old_language"), F.col("datatype").alias("old_datatype"), "file", F.col("block_start").alias("block"), F.col("start").alias("at"), F.col("end").alias("until"))
     swapped = came.where(literal).drop("_n").join(old, ["subject", "predicate"]).withColumn("kind", F.lit("replace")).withColumn("last_child", F.lit(None).cast("long"))
     pair = swapped.select("subject", "predicate").distinct()
     none = {c: F.lit(None).cast("string") for c in ("old_language", "old_datatype")}
-    cut = gone.drop("_n").join(pair, ["subject", "predicate"], "left_anti").select(*_STATED, "file", F.col("start").alias("at"), F.col("end").alias("until"), F.lit("remove").alias("kind"), F.lit(None).cast("long").alias("last_child")).withColumns(none)
+    cut = gone.drop("_n").join(pair, ["subject", "predicate"], "left_anti").select(*_STATED, "file", F.col("block_start").alias("block"), F.col("start").alias("at"), F.col("end").alias("until"), F.lit("remove").alias("kind"), F.lit(None).cast("long").alias("last_child")).withColumns(none)
     blocks = found.groupBy("subject", "subject_kind").agg(F.min(F.struct("file", "block_start", "block_end", "last_child")).alias("b"))
     more = came.drop("_n").join(pair, ["subject", "predicate"], "left_anti")
     into = more.join(blocks, ["subject", "subject_kind"], "left")
-    ends = found.groupBy("file").agg(F.max("block_end").alias("_end")).agg(F.min(F.struct("file", "_end")).alias("e"))
-    first = into.where("b IS NOT NULL").select(*_STATED, F.col("b.file").alias("file"), F.col("b.block_start").alias("at"), F.col("b.block_end").alias("until"), F.lit("insert").alias("kind"), F.col("b.last_child").alias("last_child")).withColumns(none)
-    fresh = into.where("b IS NULL").join(F.broadcast(ends)).select(*_STATED, F.col("e.file").alias("file"), F.col("e._end").alias("at"), F.col("e._end").alias("until"), F.lit("node").alias("kind"), F.lit(None).cast("long").alias("last_child")).withColumns(none)
+    ends = found.groupBy("file").agg(F.max("block_end").alias("_end"), F.max("block_start").alias("_last")).agg(F.min(F.struct("file", "_end", "_last")).alias("e"))
+    first = into.where("b IS NOT NULL").select(*_STATED, F.col("b.file").alias("file"), F.col("b.block_start").alias("block"), F.col("b.block_start").alias("at"), F.col("b.block_end").alias("until"), F.lit("insert").alias("kind"), F.col("b.last_child").alias("last_child")).withColumns(none)
+    fresh = into.where("b IS NULL").join(F.broadcast(ends)).select(*_STATED, F.col("e.file").alias("file"), F.col("e._last").alias("block"), F.col("e._end").alias("at"), F.col("e._end").alias("until"), F.lit("node").alias("kind"), F.lit(None).cast("long").alias("last_child")).withColumns(none)
     columns = [c.split()[0] for c in EDIT.split(", ")]
     return swapped.select(*columns).unionByName(cut.select(*columns)).unionByName(first.select(*columns)).unionByName(fresh.select(*columns)), unmatched
 
 
 class _Splicer:
-    """Writes a file anew past its edits, which come sorted by the place that they take effect at."""
+    """Writes a piece of a file anew past its edits, which come sorted by the place that they take effect at. stop: None for the file's end."""
 
-    def __init__(self, fs, file: str, out, salt: str):
-        self.source, self.out, self.salt, self.at = fs.open_input_file(file), out, salt, 0
+    def __init__(self, fs, file: str, out, salt: str, start: int, stop: int | None):
+        self.source, self.out, self.salt, self.at = fs.open_input_file(file), out, salt, start
         self.head = head_at(fs, file, xmlranges.head_of(self.source))
-        self.size = self.source.size()
+        self.stop = self.source.size() if stop is None else stop
         self.prefixes = {ns: p for p, ns in self.head.names.items() if p}
         #: The element that properties are being added to: its insertion's place, indent, and what closes it.
         self.open_at, self.indent, self.tail = -1, b"", b""
@@ -253,58 +254,92 @@ class _Splicer:
     def finish(self) -> None:
         self.close()
         self._end_node()
-        self.copy(self.size)
+        self.copy(self.stop)
         self.source.close()
 
 
-def splice(spark: SparkSession, path: str, to: str, edits: DataFrame, salt: str = "") -> DataFrame:
-    """(file, kind, n): writes the file at path, or a folder's files, anew to `to` with the edits; stored.
+def _pieces(found: DataFrame, files: DataFrame, size: int) -> DataFrame:
+    """(file, piece, start, stop): where a file is cut, at the first child of the root that begins in each stretch of `size` bytes; no edit reaches from one piece into another."""
+    cuts = found.groupBy("file", F.floor(F.col("block_start") / size).alias("piece")).agg(F.min("block_start").alias("start"))
+    w = W.partitionBy("file").orderBy("piece")
+    told = cuts.select("file", "piece", F.when(F.row_number().over(w) == 1, F.lit(0).cast("long")).otherwise(F.col("start")).alias("start"), F.lead("start").over(w).alias("stop"))
+    return files.join(told, "file", "left").select("file", F.coalesce("piece", F.lit(0).cast("long")).alias("piece"), F.coalesce("start", F.lit(0).cast("long")).alias("start"), "stop")
 
-    The salt tells apart nameless nodes of different merges. Files without edits are copied. Each file is written beside
-    its place and moved there when it is whole, so a task that runs again does no harm.
+
+def splice(spark: SparkSession, path: str, to: str, found: DataFrame, edits: DataFrame, salt: str = "", size: int = xmlranges.RANGE_BYTES) -> DataFrame:
+    """(file, kind, n): writes the file at path, or a folder's files, anew to `to` with the edits; stored. found: its index.
+
+    The salt tells apart nameless nodes of different merges. Files without edits are copied. A task writes a piece of a
+    file, of `size` bytes or more, beside the file's place; one task for each file writes its pieces one after the other
+    and moves the file into place when it is whole, so a task that runs again does no harm.
     """
-    files = spark.createDataFrame(xmlranges.files_of(path), "file string, _size long").select("file")
-    blank = files.select("file", F.lit(-1).cast("long").alias("_place"), *(F.lit(None).cast(c.split()[1]).alias(c.split()[0]) for c in EDIT.split(", ")[1:]))
-    # An insertion takes effect at the end of its element, behind all that changes within it.
+    listed = xmlranges.files_of(path)
+    size = max(size, -(-max(n for _, n in listed) // xmlranges.MOST_RANGES))
+    pieces = _pieces(found, spark.createDataFrame(listed, "file string, _size long").select("file"), size)
+    # Each piece has a row that begins it; an insertion takes effect at the end of its element, behind all that changes within it.
+    blank = pieces.select("*", F.lit(-1).cast("long").alias("_place"), *(F.lit(None).cast(c.split()[1]).alias(c.split()[0]) for c in EDIT.split(", ")[1:]))
     place = F.when(F.col("kind") == "insert", F.col("until") - 1).otherwise(F.col("at"))
     rank = F.when(F.col("kind") == "node", 1).otherwise(0)
-    rows = edits.withColumn("_place", place).unionByName(blank.select(*edits.columns, "_place"))
-    count = max(1, len(xmlranges.files_of(path)))
-    dealt = rows.repartition(count, "file").sortWithinPartitions("file", "_place", rank, "subject_kind", "subject", "predicate", "object", "language", "datatype")
-    single = len(xmlranges.files_of(path)) == 1 and path.rstrip("/").endswith(xmlranges.files_of(path)[0][0].rpartition("/")[2])
+    none = F.lit(None).cast("long")
+    rows = edits.select("*", place.alias("_place"), F.floor(F.col("block") / size).alias("piece"), none.alias("start"), none.alias("stop")).unionByName(blank)
+    count = sum(-(-n // size) for _, n in listed)
+    dealt = rows.repartitionByRange(max(1, count), "file", "piece").sortWithinPartitions("file", "piece", "_place", rank, "subject_kind", "subject", "predicate", "object", "language", "datatype")
+    single = len(listed) == 1 and path.rstrip("/").endswith(listed[0][0].rpartition("/")[2])
+
+    def target_of(file: str) -> str:
+        at = xmlranges.filesystem(to)[1]
+        return at if single else f"{at.rstrip('/')}/{file.rpartition('/')[2]}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, _ = xmlranges.filesystem(path)
-        out_fs, out_at = xmlranges.filesystem(to)
-        splicer = draft = target = stream = None
+        out_fs, _ = xmlranges.filesystem(to)
+        splicer = draft = stream = now = None
         told: dict[str, int] = {}
 
-        def done(file: str) -> pa.RecordBatch:
+        def done() -> pa.RecordBatch:
             splicer.finish()
             stream.close()
-            out_fs.move(draft, target)
             counts = sorted(told.items())
-            return pa.RecordBatch.from_pydict({"file": [file] * len(counts), "kind": [k for k, _ in counts], "n": [n for _, n in counts]})
+            return pa.RecordBatch.from_pydict({"file": [now[0]] * len(counts), "piece": [now[1]] * len(counts), "draft": [draft] * len(counts), "kind": [k for k, _ in counts], "n": [n for _, n in counts]})
 
-        now = None
         for batch in batches:
             for e in batch.to_pylist():
-                if e["file"] != now:
+                if (e["file"], e["piece"]) != now:
                     if now is not None:
-                        yield done(now)
-                    now, told = e["file"], {"copied": 0}
-                    target = out_at if single else f"{out_at.rstrip('/')}/{now.rpartition('/')[2]}"
-                    out_fs.create_dir(target.rpartition("/")[0] or "/")
-                    draft = f"{target.rpartition('/')[0]}/_{uuid.uuid4().hex}.tmp"
+                        yield done()
+                    now, told = (e["file"], e["piece"]), {"copied": 0}
+                    folder = target_of(e["file"]).rpartition("/")[0]
+                    out_fs.create_dir(folder or "/")
+                    draft = f"{folder}/_{uuid.uuid4().hex}.tmp"
                     stream = out_fs.open_output_stream(draft)
-                    splicer = _Splicer(fs, now, stream, salt)
+                    splicer = _Splicer(fs, e["file"], stream, salt, e["start"], e["stop"])
                 if e["kind"] is not None:
                     splicer.edit(e)
                     told[e["kind"]] = told.get(e["kind"], 0) + 1
         if now is not None:
-            yield done(now)
+            yield done()
 
-    return stored(dealt.mapInArrow(run, "file string, kind string, n long"), "spliced").where("kind <> 'copied'")
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out_fs, _ = xmlranges.filesystem(to)
+        for batch in batches:
+            for row in batch.to_pylist():
+                target = target_of(row["file"])
+                whole = f"{target.rpartition('/')[0]}/_{uuid.uuid4().hex}.tmp"
+                with out_fs.open_output_stream(whole) as out:
+                    for piece in row["drafts"]:
+                        with out_fs.open_input_stream(piece["draft"]) as f:
+                            while part := f.read(1 << 20):
+                                out.write(part)
+                out_fs.move(whole, target)
+            yield batch
+
+    done = stored(dealt.mapInArrow(run, "file string, piece long, draft string, kind string, n long"), "spliced")
+    drafts = done.where("kind = 'copied'").groupBy("file").agg(F.array_sort(F.collect_list(F.struct("piece", "draft"))).alias("drafts"))
+    joined = stored(drafts.repartition(len(listed), "file").mapInArrow(join, drafts.schema), "joined")
+    out_fs, _ = xmlranges.filesystem(to)
+    for row in joined.select(F.explode("drafts.draft").alias("draft")).toLocalIterator():
+        out_fs.delete_file(row["draft"])
+    return done.where("kind <> 'copied'").groupBy("file", "kind").agg(F.sum("n").alias("n"))
 
 
 def change(spark: SparkSession, path: str, to: str, removed: DataFrame, added: DataFrame, base: str = "", size: int = xmlranges.RANGE_BYTES) -> tuple[DataFrame, DataFrame]:
@@ -312,7 +347,7 @@ def change(spark: SparkSession, path: str, to: str, removed: DataFrame, added: D
     found = stored(index(spark, path, base, size), "xml-index")
     edits, unmatched = plan(found, removed, added)
     salt = hashlib.sha256(repr(xmlranges.files_of(path)).encode()).hexdigest()
-    return splice(spark, path, to, stored(edits, "edits"), salt), unmatched
+    return splice(spark, path, to, found, stored(edits, "edits"), salt, size), unmatched
 
 
 def merge(spark: SparkSession, path: str, to: str, ours: DataFrame, relation_prefix: str = "") -> tuple[DataFrame, DataFrame]:

@@ -259,8 +259,8 @@ class _Reader(DataSourceReader):
                 yield from triples
 
 
-def parse_elements(head: Head, found: Iterator[xmlranges.Element], base: str = "", prefix: str = "") -> Iterator[tuple[xmlranges.Element, ET.Element, str, list[tuple]]]:
-    """(element, its tree, its base, its triples) of children of the root, which one parser reads after the head."""
+def parse_elements(head: Head, found: Iterator[xmlranges.Element], base: str = "", prefix: str = "", say: bool = True) -> Iterator[tuple[xmlranges.Element, ET.Element, str, list[tuple]]]:
+    """(element, its tree, its base, its triples) of children of the root, which one parser reads after the head. say: whether the triples are wanted."""
     parser = ET.XMLPullParser(events=("start", "end"))
     parser.feed(head.raw)
     parser.flush()
@@ -274,7 +274,8 @@ def parse_elements(head: Head, found: Iterator[xmlranges.Element], base: str = "
             depth += 1 if event == "start" else -1
             if event == "end" and depth == 1:
                 g.place, g.count, g.out = f"{e.start}.", 0, []
-                g.node(node, g.base, root.get(XML + "lang"))
+                if say:
+                    g.node(node, g.base, root.get(XML + "lang"))
                 yield e, node, g.base, g.out
                 root.clear()
 

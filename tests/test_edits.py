@@ -102,3 +102,20 @@ def test_merge_into_several_files(spark, tmp_path):
     assert unmatched.count() == 0 and rows(changes.canonical(got)) == rows(changes.canonical(want))
     assert rows(graph.restrictions(got)) == rows(graph.restrictions(want)) and graph.restrictions(got).count() == 3
     assert sorted(p.name for p in (tmp_path / "out").iterdir() if p.suffix == ".owl") == ["a.owl", "b.owl"]
+
+
+def test_a_file_is_written_by_pieces_as_it_is_whole(spark, tmp_path):
+    """Cut at every few children of the root: the same bytes, no two pieces for one child, and nothing left beside the file."""
+    text = HEAD + "\n".join(cls(f"c{i}", f"<skos:altLabel>l{i}</skos:altLabel>", f"<skos:definition>d{i}</skos:definition>") if i % 5 else f'<owl:Class rdf:about="urn:c{i}"/><!-- c -->' for i in range(40)) + TAIL
+    removed = [t(f"c{i}", ALT, f"l{i}") for i in range(0, 40, 3) if i % 5] + [t("c39", DEF, "d39"), t("c1", DEF, "d1")]
+    added = [t(f"c{i}", ALT, "more", "en") for i in range(0, 40, 4)] + [t("c1", DEF, "new"), t("fresh", DEF, "x"), t("fresh", ALT, "y")]
+    whole, told, _ = change(spark, tmp_path, text, removed, added)
+    for size in (90, 400):
+        assert change(spark, tmp_path, text, removed, added, size)[:2] == (whole, told)
+        found = stored(edits.index(spark, str(tmp_path / "in.owl"), size=size), "xml-index")
+        files = spark.createDataFrame([(str(tmp_path / "in.owl"),)], "file string")
+        pieces = sorted(map(tuple, edits._pieces(found, files, size).collect()))
+        starts = {r.block_start for r in found.select("block_start").distinct().collect()}
+        assert len(pieces) > 5 and pieces[0][2] == 0 and pieces[-1][3] is None
+        assert all(a[3] == b[2] and b[2] in starts for a, b in zip(pieces, pieces[1:], strict=False))
+    assert sorted(p.name for p in tmp_path.iterdir() if p.suffix != ".crc") == ["in.owl", "out.owl"]
