@@ -100,20 +100,20 @@ def usable_senses(senses: DataFrame, headwords: DataFrame | None = None, ascii_o
 
 
 def ranked(looked: DataFrame, concepts: DataFrame, senses: DataFrame, priors: dict = PRIORS) -> DataFrame:
-    """Per (subject, lookup) the senses by score, then id: rank, and runner, the score that follows."""
-    pairs = looked.select("subject", "lookup").distinct().join(senses, F.col("lookup") == F.col("norm_headword")).join(concepts.select("subject", "context", "profiles"), "subject")
+    """Per (subject, lookup) the senses by score, then id: rank, runner, the score that follows, and top, the first one's."""
+    # Concepts come before senses, whose rows are many for each lookup, so that pairs are made where their subject is.
+    pairs = looked.select("subject", "lookup").distinct().join(concepts.select("subject", "context", "profiles"), "subject").join(senses, F.col("lookup") == F.col("norm_headword"))
     overlap = F.when(F.size("gloss_stems") > 0, F.size(F.array_intersect("context", "gloss_stems")) / F.size("gloss_stems")).otherwise(F.lit(0.0))
     scored = pairs.select("subject", "lookup", "sense_id", "headword", "root", "profiles", (0.5 * prior(F.col("profiles"), F.col("root"), priors) + 0.5 * overlap).alias("score"))
     w = W.partitionBy("subject", "lookup").orderBy(F.desc("score"), "sense_id")
-    return scored.withColumn("rank", F.row_number().over(w)).withColumn("runner", F.coalesce(F.lead("score").over(w), F.lit(0.0)))
+    return scored.withColumn("rank", F.row_number().over(w)).withColumn("runner", F.coalesce(F.lead("score").over(w), F.lit(0.0))).withColumn("top", F.first("score").over(w))
 
 
 def emissions(looked: DataFrame, ranks: DataFrame) -> DataFrame:
     """Every link that the rules emit, before the strongest per (subject, sense) is chosen."""
-    rows = looked.join(ranks, ["subject", "lookup"])
-    top = F.max(F.when(F.col("rank") == 1, F.col("score"))).over(W.partitionBy("subject", "form", "field", "kind", "lookup"))
-    rows = rows.withColumn("top", top)
     phrase, first = F.col("kind") == 0, F.col("rank") == 1
+    # No rule takes the others, so they are not joined.
+    rows = looked.join(ranks.where(first | (F.col("score") >= OTHER_PHRASE)), ["subject", "lookup"])
     exact = first & (F.col("field") != "skos:altLabel") & (F.col("score") >= EXACT) & (F.col("score") >= F.col("runner") + LEAD)
     keep = F.when(phrase, (F.col("top") >= PHRASE_FLOOR) & (first | (F.col("score") >= OTHER_PHRASE))).otherwise(first & (F.col("score") >= WORD))
     predicate = F.when(phrase, F.when(exact, "skos:exactMatch").otherwise("skos:closeMatch")).otherwise(F.when(F.col("is_head"), "skos:broadMatch").otherwise("skos:relatedMatch"))

@@ -112,3 +112,14 @@ def test_a_stream_of_changes_is_followed_once(spark, tmp_path):
     again.run(stream(), str(tmp_path / "check"))  # nothing new
     again.take(spark.createDataFrame(changes[:3], CHANGE), 0)  # handed over once more
     assert again.pointer() == done
+
+
+def test_links_are_emitted_without_a_sort_of_their_own(spark):
+    """The first sense's score comes with the ranks, and what no rule takes is left out before the join: one window alone."""
+    labels, senses = tables(spark, {(f"s{i}", f"{WORDS[i % 6]} {WORDS[(i + 1) % 6]}", "rdfs:label") for i in range(30)}, {(w, k, f"{w} {k}") for w in WORDS for k in range(3)})
+    looked = lexical.lookups(lexical.surface_forms(labels, True))
+    ranks = lexical.ranked(looked, concepts(labels), senses, PRIORS)
+    assert {(r.top, r.score) for r in ranks.where("rank = 1").collect()} and not ranks.where("rank = 1 AND top <> score OR top < score").count()
+    found = lexical.emissions(looked, ranks)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() and plan.count("Window [") == 1
