@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import identity, text
 from . import nameless
-from .tables import OWL, RDFS, SKOS, XSD, json_lines, null_safe, stored
+from .tables import OWL, RDFS, SKOS, XSD, dealt, json_lines, null_safe, stored
 
 VALUE = ["subject", "predicate", "lexical", "language", "datatype"]
 LOCATOR = ["subject", "predicate", "language", "datatype"]
@@ -180,14 +180,18 @@ def merge_summary(parts: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def _renamed(triples: DataFrame, names: DataFrame, column: str) -> DataFrame:
+    """triples with the hashes of nameless nodes in a column. Only such nodes meet the names: other values are shared by many rows, which would be one task's."""
+    is_node = F.coalesce(F.col(f"{column}_kind") == "bnode", F.lit(False))
+    key = names.select(F.col("node").alias(column), F.col("hash").alias("_hash"))
+    met = triples.where(is_node).join(key, column, "left").withColumn(column, F.col("_hash"))
+    return met.select(*triples.columns).unionByName(triples.where(~is_node))
+
+
 def canonical(triples: DataFrame) -> DataFrame:
     """triples with hashes for names of nameless nodes, so that two graphs compare as tables."""
     h = nameless.names(triples)
-    s = h.select(F.col("node").alias("subject"), F.col("hash").alias("_s"))
-    o = h.select(F.col("node").alias("object"), F.col("hash").alias("_o"))
-    rows = triples.join(s, "subject", "left").join(o, "object", "left")
-    named = rows.withColumn("subject", F.when(F.col("subject_kind") == "bnode", F.col("_s")).otherwise(F.col("subject"))).withColumn("object", F.when(F.col("object_kind") == "bnode", F.col("_o")).otherwise(F.col("object")))
-    return named.select(*triples.columns).distinct()
+    return dealt(_renamed(_renamed(triples, h, "subject"), h, "object")).distinct()
 
 
 def sample_of_changes(rows: DataFrame, by: list[str], n: int = 50) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import stored
+from .tables import dealt, stored
 
 #: Nodes of one part that one task numbers; a part of more is coloured by rounds, and refused if colours leave nodes alike.
 PART_NODES = 200_000
@@ -245,7 +245,7 @@ def names(triples: DataFrame, most: int = PART_NODES) -> DataFrame:
     one of more than `most` nodes is coloured by rounds, ValueError if that leaves some of its nodes alike.
     """
     columns = ["subject", "subject_kind", "predicate", "object", "object_kind", "language", "datatype"]
-    about = stored(triples.where("subject_kind = 'bnode' OR object_kind = 'bnode'").select(*columns).distinct(), "about-nameless")
+    about = stored(dealt(triples.where("subject_kind = 'bnode' OR object_kind = 'bnode'").select(*columns)).distinct(), "about-nameless")
     own = about.where("subject_kind = 'bnode'")
     done, left = _settled(own, stored(_nodes(about), "nameless"))
     if left.isEmpty():

@@ -40,6 +40,11 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> D
     return left.join(r, cond, how)
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """df by a hash of whole rows, ahead of distinct(): else each task of the scan first gathers all its rows in memory."""
+    return df.repartition(*df.columns)
+
+
 def json_lines(df: DataFrame) -> DataFrame:
     """(line): each row as JSON with its keys sorted and nulls kept."""
     return df.select(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}).alias("line"))

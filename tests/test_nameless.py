@@ -123,3 +123,16 @@ def test_a_part_is_named_whatever_else_the_graph_holds(spark):
     for most in (nameless.PART_NODES, 2):
         alone, beside = ({r.node: r.hash for r in nameless.names(spark.createDataFrame(rows, TRIPLES), most=most).collect()} for rows in (short, short + long))
         assert len(set(beside.values())) == 12 and all(beside[k] == v for k, v in alone.items())
+
+
+def test_only_nameless_nodes_meet_their_names(spark):
+    """Values that many triples share are joined with nothing, and rows are dealt before they are made distinct."""
+    from loomlex.operators import changes
+    from loomlex.operators.tables import TRIPLES
+
+    rows = [(f"_:b{i}", "bnode", "urn:p", "urn:same", "iri", None, None) for i in range(9)] + [(f"urn:{i}", "iri", "urn:q", f"_:b{i}", "bnode", None, None) for i in range(9)] + [("urn:x", "iri", "urn:q", "_:b1", "literal", None, None), ("urn:x", None, "urn:q", None, None, None, None)]
+    found = changes.canonical(spark.createDataFrame(rows, TRIPLES))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and plan.count("= bnode)") >= plan.count("Join LeftOuter") > 0
+    got = found.collect()
+    assert len(got) == 12 and {r.object for r in got if r.object_kind != "bnode"} == {"urn:same", "_:b1", None} and len({r.subject for r in got if r.subject_kind == "bnode"}) == 1
