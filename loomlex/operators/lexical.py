@@ -9,7 +9,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text
-from .changes import both_ways
 from .tables import stored
 
 #: Fixed values of the method.
@@ -72,11 +71,12 @@ def first_label(labels: DataFrame) -> DataFrame:
 
 def lookups(forms: DataFrame) -> DataFrame:
     """A form itself, and the distinct content words of forms of two to six words: (subject, form, field, kind, lookup, is_head)."""
+    # The form stands first among its words, so that forms are made once and not for each kind.
     ws = forms.withColumn("ws", text.words(F.col("form")))
-    phrase = ws.select("subject", "form", "field", F.lit(0).alias("kind"), F.col("form").alias("lookup"), F.lit(False).alias("is_head"))
-    some = ws.where(F.size("ws").between(2, 6)).withColumn("head", text.head_word(F.col("ws")))
-    word = some.select("subject", "form", "field", "head", F.explode(F.array_except("ws", F.array(*map(F.lit, text.STOP_WORDS)))).alias("lookup"))
-    return phrase.unionByName(word.select("subject", "form", "field", F.lit(1).alias("kind"), "lookup", (F.col("lookup") == F.col("head")).alias("is_head")))
+    content = F.when(F.size("ws").between(2, 6), F.array_except("ws", F.array(*map(F.lit, text.STOP_WORDS)))).otherwise(F.array().cast("array<string>"))
+    each = ws.select("subject", "form", "field", text.head_word(F.col("ws")).alias("head"), F.posexplode(F.concat(F.array("form"), content)).alias("_at", "lookup"))
+    word = F.col("_at") > 0
+    return each.select("subject", "form", "field", word.cast("int").alias("kind"), "lookup", (word & F.coalesce(F.col("lookup") == F.col("head"), F.lit(False))).alias("is_head"))
 
 
 def candidate_headwords(forms: DataFrame) -> DataFrame:
@@ -101,10 +101,13 @@ def usable_senses(senses: DataFrame, headwords: DataFrame | None = None, ascii_o
 
 def ranked(looked: DataFrame, concepts: DataFrame, senses: DataFrame, priors: dict = PRIORS) -> DataFrame:
     """Per (subject, lookup) the senses by score, then id: rank, runner, the score that follows, and top, the first one's."""
-    # Concepts come before senses, whose rows are many for each lookup, so that pairs are made where their subject is.
-    pairs = looked.select("subject", "lookup").distinct().join(concepts.select("subject", "context", "profiles"), "subject").join(senses, F.col("lookup") == F.col("norm_headword"))
+    # Concepts come before senses, whose rows are many for each lookup, so that pairs are made where their subject is; one shuffle by subjects serves all of it.
+    # What each profile makes of a sense's root is the sense's, so that a pair only picks the greatest.
+    weighed = senses.withColumns({f"_prior{i}": profile_prior(F.lit(p), F.col("root"), priors) for i, p in enumerate(priors)})
+    pairs = looked.select("subject", "lookup").repartition("subject").distinct().join(concepts.select("subject", "context", "profiles").hint("merge"), "subject").join(weighed, F.col("lookup") == F.col("norm_headword"))
+    best = F.greatest(F.lit(None).cast("double"), F.lit(None).cast("double"), *(F.when(F.array_contains("profiles", p), F.col(f"_prior{i}")) for i, p in enumerate(priors)))
     overlap = F.when(F.size("gloss_stems") > 0, F.size(F.array_intersect("context", "gloss_stems")) / F.size("gloss_stems")).otherwise(F.lit(0.0))
-    scored = pairs.select("subject", "lookup", "sense_id", "headword", "root", "profiles", (0.5 * prior(F.col("profiles"), F.col("root"), priors) + 0.5 * overlap).alias("score"))
+    scored = pairs.select("subject", "lookup", "sense_id", "headword", "root", "profiles", (0.5 * best + 0.5 * overlap).alias("score"))
     w = W.partitionBy("subject", "lookup").orderBy(F.desc("score"), "sense_id")
     return scored.withColumn("rank", F.row_number().over(w)).withColumn("runner", F.coalesce(F.lead("score").over(w), F.lit(0.0))).withColumn("top", F.first("score").over(w))
 
@@ -169,7 +172,7 @@ def match(labels: DataFrame, concepts: DataFrame, senses: DataFrame, priors: dic
 
 @dataclass
 class Linked:
-    """A vocabulary's links with what they came from: labels, concepts, senses as match() takes them, and (subject, lookup)."""
+    """A vocabulary's links with what they came from: labels, concepts, senses as match() takes them, and the lookups()."""
 
     labels: DataFrame
     concepts: DataFrame
@@ -178,14 +181,11 @@ class Linked:
     links: DataFrame
 
 
-def _index(labels: DataFrame, ascii_only: bool) -> DataFrame:
-    return lookups(surface_forms(labels, ascii_only)).select("subject", "lookup").distinct()
-
-
 def linked(labels: DataFrame, concepts: DataFrame, senses: DataFrame, priors: dict = PRIORS, ascii_only: bool = False) -> Linked:
     """All links from scratch, stored as refresh() needs them."""
     labels, concepts, senses = stored(labels, "labels"), stored(concepts, "concepts"), stored(senses, "senses")
-    return Linked(labels, concepts, senses, stored(_index(labels, ascii_only), "looked"), stored(match(labels, concepts, senses, priors, ascii_only)[0], "links"))
+    looked = stored(lookups(surface_forms(labels, ascii_only)), "looked")
+    return Linked(labels, concepts, senses, looked, stored(strongest(emissions(looked, ranked(looked, concepts, senses, priors))), "links"))
 
 
 def refresh(held: Linked, labels: DataFrame, concepts: DataFrame, senses: DataFrame, priors: dict = PRIORS, ascii_only: bool = False) -> tuple[Linked, DataFrame]:
@@ -198,20 +198,27 @@ def refresh(held: Linked, labels: DataFrame, concepts: DataFrame, senses: DataFr
     labels, concepts, senses = stored(labels, "labels"), stored(concepts, "concepts"), stored(senses, "senses")
     moved = _moved(held.labels, labels).select("subject").union(_moved(held.concepts, concepts).select("subject")).distinct()
     moved = stored(moved, "moved")
-    fresh = _index(labels.join(moved, "subject", "left_semi"), ascii_only)
-    looked = stored(held.looked.join(moved, "subject", "left_anti").union(fresh), "looked")
+    fresh = lookups(surface_forms(_of(labels, moved), ascii_only))
+    looked = stored(_of(held.looked, moved, "left_anti").unionByName(fresh), "looked")
     heads = _moved(held.senses, senses).select(F.col("norm_headword").alias("lookup")).distinct()
     touched = stored(moved.union(looked.join(heads, "lookup", "left_semi").select("subject")).distinct(), "touched")
-    mine = looked.join(touched, "subject", "left_semi").select(F.col("lookup").alias("norm_headword")).distinct()
-    again = match(labels.join(touched, "subject", "left_semi"), concepts.join(touched, "subject", "left_semi"), senses.join(mine, "norm_headword", "left_semi"), priors, ascii_only)[0]
-    links = held.links.join(touched, "subject", "left_anti").unionByName(again)
+    mine = stored(_of(looked, touched), "looked-again")
+    wanted = mine.select(F.col("lookup").alias("norm_headword")).distinct()
+    ranks = ranked(mine, _of(concepts, touched), senses.join(wanted, "norm_headword", "left_semi"), priors)
+    links = _of(held.links, touched, "left_anti").unionByName(strongest(emissions(mine, ranks)))
     return Linked(labels, concepts, senses, looked, stored(links, "links")), touched
 
 
+def _of(rows: DataFrame, subjects: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows of some subjects, which may be most: they are met by a shuffle, whatever their files' size says, as a broadcast holds them all in each executor."""
+    return rows.join(subjects.hint("merge"), "subject", how)
+
+
 def _moved(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Rows that one of two tables has and the other has not, with arrays in any order."""
-    flat = lambda df: df.select(*(F.array_sort(F.col(f"`{n}`")).alias(n) if t.startswith("array") else F.col(f"`{n}`") for n, t in old.dtypes))
-    return both_ways(flat(old), flat(new)).drop("side")
+    """Rows that one of two tables has and the other has not, with arrays in any order; each table is read once, and neither is held whole by a task."""
+    flat = lambda df, side: df.select(*(F.sort_array(F.col(f"`{n}`")).alias(n) if t.startswith("array") else F.col(f"`{n}`") for n, t in old.dtypes), F.lit(side).alias("_side"))
+    seen = flat(old, 0).unionByName(flat(new, 1)).groupBy(*(F.col(f"`{n}`") for n in old.columns))
+    return seen.agg(F.min("_side").alias("_a"), F.max("_side").alias("_b")).where("_a = _b").drop("_a", "_b")
 
 
 def mapping_rows(links: DataFrame, concepts: DataFrame, subject_prefix: str = "", subject_curie: str = "", object_curie: str = "OGS:", priors: dict = PRIORS) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomlex.operators import graph, lexical
-from loomlex.operators.tables import OWL
+from loomlex.operators.tables import OWL, stored
 from loomlex.streaming.links import CHANGE, Follower
 
 PRIORS = {"legal": {"a": 1.0, "other": 0.3}}
@@ -123,3 +123,27 @@ def test_links_are_emitted_without_a_sort_of_their_own(spark):
     found = lexical.emissions(looked, ranks)
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert found.count() and plan.count("Window [") == 1
+
+
+def test_no_table_of_subjects_is_broadcast_or_made_twice(spark):
+    """Files of names that repeat are small and their rows many: by the files' size alone each executor would hold them all."""
+    labels, senses = tables(spark, {(f"s{i}", f"{WORDS[i % 6]} {WORDS[(i + 1) % 6]}", "rdfs:label") for i in range(30)}, {(w, k, f"{w} {k}") for w in WORDS for k in range(3)})
+    labels, held = stored(labels, "labels"), stored(concepts(labels), "concepts")
+    told = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in told(lexical.lookups(lexical.surface_forms(labels, True)))
+    assert "Join" not in told(lexical._moved(held, held))
+    looked = lexical.lookups(lexical.surface_forms(labels, True))
+    plan = told(lexical.ranked(looked, held, stored(senses, "senses"), PRIORS))
+    assert plan.count("BroadcastHashJoin") == 1 and plan.count("SortMergeJoin") == 1  # senses alone
+    some = stored(labels.select("subject").distinct(), "some")
+    for how in ("left_semi", "left_anti"):
+        plan = told(lexical._of(labels, some, how))
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+def test_moved_rows_are_those_of_one_side(spark):
+    make = lambda *rows: spark.createDataFrame(rows, "subject string, context array<string>, label string")
+    old = make(("a", ["x", "y"], None), ("b", ["x"], "l"), ("c", None, "l"), ("d", [], "l"), ("d", [], "l"), ("e", ["x", None], "l"))
+    new = make(("a", ["y", "x"], None), ("b", ["x", "x"], "l"), ("c", [], "l"), ("d", [], "l"), ("e", [None, "x"], "l"))
+    assert sorted((r.subject, r.context) for r in lexical._moved(old, new).collect() if r.context is not None) == [("b", ["x"]), ("b", ["x", "x"]), ("c", [])]
+    assert lexical._moved(old, new).where("context IS NULL").count() == 1
