@@ -29,6 +29,13 @@ def both_ways(left: DataFrame, right: DataFrame) -> DataFrame:
     return difference(left, right).withColumn("side", F.lit("removed")).unionByName(difference(right, left).withColumn("side", F.lit("added")))
 
 
+def one_sided(left: DataFrame, right: DataFrame) -> DataFrame:
+    """both_ways() by one shuffle: each table is read once, whole rows are the keys."""
+    seen = left.withColumn("_side", F.lit(0)).unionByName(right.withColumn("_side", F.lit(1))).groupBy(*(F.col(f"`{c}`") for c in left.columns))
+    side = F.when(F.col("_a") == 0, "removed").otherwise("added")
+    return seen.agg(F.min("_side").alias("_a"), F.max("_side").alias("_b")).where("_a = _b").withColumn("side", side).drop("_a", "_b")
+
+
 def keyed(values: DataFrame) -> DataFrame:
     """values (VALUE) with the digest of each text for it, stored: enough wherever texts are only compared, and no text is shuffled."""
     return stored(values.select(*(F.sha2(c, 256).alias(c) if c == "lexical" else F.col(c) for c in VALUE)).distinct(), "keyed")

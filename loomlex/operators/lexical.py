@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text
+from .changes import one_sided
 from .tables import stored
 
 #: Fixed values of the method.
@@ -216,9 +217,8 @@ def _of(rows: DataFrame, subjects: DataFrame, how: str = "left_semi") -> DataFra
 
 def _moved(old: DataFrame, new: DataFrame) -> DataFrame:
     """Rows that one of two tables has and the other has not, with arrays in any order; each table is read once, and neither is held whole by a task."""
-    flat = lambda df, side: df.select(*(F.sort_array(F.col(f"`{n}`")).alias(n) if t.startswith("array") else F.col(f"`{n}`") for n, t in old.dtypes), F.lit(side).alias("_side"))
-    seen = flat(old, 0).unionByName(flat(new, 1)).groupBy(*(F.col(f"`{n}`") for n in old.columns))
-    return seen.agg(F.min("_side").alias("_a"), F.max("_side").alias("_b")).where("_a = _b").drop("_a", "_b")
+    flat = lambda df: df.select(*(F.sort_array(F.col(f"`{n}`")).alias(n) if t.startswith("array") else F.col(f"`{n}`") for n, t in old.dtypes))
+    return one_sided(flat(old), flat(new)).drop("side")
 
 
 def mapping_rows(links: DataFrame, concepts: DataFrame, subject_prefix: str = "", subject_curie: str = "", object_curie: str = "OGS:", priors: dict = PRIORS) -> DataFrame:

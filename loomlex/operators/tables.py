@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,10 +28,23 @@ def shared_dir(spark: SparkSession) -> str:
     return at if "://" in at else f"file://{os.path.abspath(at.removeprefix('file:'))}"
 
 
+@contextmanager
+def swept(spark: SparkSession) -> Iterator[None]:
+    """What is written within leaves no shuffle files on the executors' disks, where they else lie until the driver's next collection of garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if was is None else spark.conf.set(key, was)
+
+
 def stored(df: DataFrame, what: str) -> DataFrame:
     """df as a table in the shared folder: lineage ends here, and a lost executor costs nothing that is done."""
     at = f"{shared_dir(df.sparkSession).rstrip('/')}/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(at)
+    with swept(df.sparkSession):
+        df.write.parquet(at)
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 

@@ -4,12 +4,14 @@ An index gives, for each child of the root and each property in it, where it sta
 it by a join and become spans to cut, added ones places to insert at; a pair of them that is one for one under subject and
 predicate replaces the text in its place. A file is cut where children of the root begin, and each piece's edits, sorted by
 place, are spliced in by a task, which streams the piece past them: its memory does not grow with the piece or the edits.
-The pieces are then written one after the other. Nothing passes the driver but totals.
+The pieces of a file are then written one after the other; those of a publication stay its parts, so that no byte is
+written twice. Nothing passes the driver but totals.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import uuid
 from collections.abc import Iterator
@@ -40,7 +42,7 @@ def index(spark: SparkSession, path: str, base: str = "", size: int = xmlranges.
     ranges = stored(xmlranges.ranges(spark, path, size), "xml-ranges")
     fs, _ = xmlranges.filesystem(path)
     for file, length in xmlranges.files_of(path):
-        with fs.open_input_file(file) as f:
+        with xmlranges.opened(fs, file) as f:
             if head_at(fs, file, xmlranges.head_of(f)) is None:
                 raise ValueError(f"{file}: not a list of nodes in an encoding that can be cut, {length} bytes")
 
@@ -50,7 +52,7 @@ def index(spark: SparkSession, path: str, base: str = "", size: int = xmlranges.
             for row in batch.to_pylist():
                 r = xmlranges.Range(**row)
                 out = []
-                with fs.open_input_file(r.file) as file:
+                with xmlranges.opened(fs, r.file) as file:
                     head = head_at(fs, r.file, r.head)
                     for e, node, at, _ in parse_elements(head, xmlranges.elements(file, r), base, prefix_of(r.file), say=False):
                         out += _properties(r.file, e, node, at)
@@ -105,11 +107,12 @@ def plan(found: DataFrame, removed: DataFrame, added: DataFrame) -> tuple[DataFr
     gone = null_safe(stated, removed, _KEYS, "left_semi")
     unmatched = null_safe(removed, stated, _KEYS, "left_anti")
     one = W.partitionBy("subject", "predicate")
-    gone = gone.withColumn("_n", F.count(F.lit(1)).over(one))
-    came = added.withColumn("_n", F.count(F.lit(1)).over(one))
+    # Stored, as what follows uses them several times and each use would meet the whole index again.
+    gone = stored(gone.withColumn("_n", F.count(F.lit(1)).over(one)), "gone")
+    came = stored(added.withColumn("_n", F.count(F.lit(1)).over(one)), "came")
     literal = "object_kind = 'literal' AND _n = 1"
     old = gone.where(literal).select("subject", "predicate", F.col("language").alias("old_language"), F.col("datatype").alias("old_datatype"), "file", F.col("block_start").alias("block"), F.col("start").alias("at"), F.col("end").alias("until"))
-    swapped = came.where(literal).drop("_n").join(old, ["subject", "predicate"]).withColumn("kind", F.lit("replace")).withColumn("last_child", F.lit(None).cast("long"))
+    swapped = stored(came.where(literal).drop("_n").join(old, ["subject", "predicate"]).withColumn("kind", F.lit("replace")).withColumn("last_child", F.lit(None).cast("long")), "swapped")
     pair = swapped.select("subject", "predicate").distinct()
     none = {c: F.lit(None).cast("string") for c in ("old_language", "old_datatype")}
     cut = gone.drop("_n").join(pair, ["subject", "predicate"], "left_anti").select(*_STATED, "file", F.col("block_start").alias("block"), F.col("start").alias("at"), F.col("end").alias("until"), F.lit("remove").alias("kind"), F.lit(None).cast("long").alias("last_child")).withColumns(none)
@@ -127,7 +130,7 @@ class _Splicer:
     """Writes a piece of a file anew past its edits, which come sorted by the place that they take effect at. stop: None for the file's end."""
 
     def __init__(self, fs, file: str, out, salt: str, start: int, stop: int | None):
-        self.source, self.out, self.salt, self.at = fs.open_input_file(file), out, salt, start
+        self.source, self.out, self.salt, self.at = xmlranges.opened(fs, file), out, salt, start
         self.head = head_at(fs, file, xmlranges.head_of(self.source))
         self.stop = self.source.size() if stop is None else stop
         self.prefixes = {ns: p for p, ns in self.head.names.items() if p}
@@ -266,14 +269,48 @@ def _pieces(found: DataFrame, files: DataFrame, size: int) -> DataFrame:
     return files.join(told, "file", "left").select("file", F.coalesce("piece", F.lit(0).cast("long")).alias("piece"), F.coalesce("start", F.lit(0).cast("long")).alias("start"), "stop")
 
 
+class _Digested:
+    """A stream that tells what went through it."""
+
+    def __init__(self, out):
+        self.out, self.digest = out, hashlib.sha256()
+
+    def write(self, piece: bytes) -> None:
+        self.digest.update(piece)
+        self.out.write(piece)
+
+    def close(self) -> None:
+        self.out.close()
+
+
+def _publish(fs, at: str, drafts: list[dict]) -> None:
+    """Moves a document's pieces into place as its parts, the manifest last; those that a task before this one moved are there."""
+    from pyarrow.fs import FileType
+
+    fs.create_dir(at)
+    names = [f"part-{k:06d}.rdf" for k in range(len(drafts))]
+    for name, piece in zip(names, drafts, strict=True):
+        if fs.get_file_info(piece["draft"]).type == FileType.File:
+            fs.move(piece["draft"], f"{at}/{name}")
+    content = hashlib.sha256("\x1f".join(piece["digest"] for piece in drafts).encode()).hexdigest()
+    draft = f"{at}/_{uuid.uuid4().hex}.tmp"
+    with fs.open_output_stream(draft) as out:
+        out.write(json.dumps({"content": content, "parts": names}, sort_keys=True).encode())
+    fs.move(draft, f"{at}/{xmlranges.MANIFEST}")
+
+
 def splice(spark: SparkSession, path: str, to: str, found: DataFrame, edits: DataFrame, salt: str = "", size: int = xmlranges.RANGE_BYTES) -> DataFrame:
     """(file, kind, n): writes the file at path, or a folder's files, anew to `to` with the edits; stored. found: its index.
 
     The salt tells apart nameless nodes of different merges. Files without edits are copied. A task writes a piece of a
     file, of `size` bytes or more, beside the file's place; one task for each file writes its pieces one after the other
-    and moves the file into place when it is whole, so a task that runs again does no harm.
+    and moves the file into place when it is whole, so a task that runs again does no harm. A publication gives a
+    publication, whose parts are the pieces; FileExistsError if `to` holds one.
     """
     listed = xmlranges.files_of(path)
+    in_parts = xmlranges.parts_of(*xmlranges.filesystem(path)) is not None
+    if in_parts and xmlranges.parts_of(*xmlranges.filesystem(to)) is not None:
+        raise FileExistsError(f"{to} holds a publication")
     size = max(size, -(-max(n for _, n in listed) // xmlranges.MOST_RANGES))
     pieces = _pieces(found, spark.createDataFrame(listed, "file string, _size long").select("file"), size)
     # Each piece has a row that begins it; an insertion takes effect at the end of its element, behind all that changes within it.
@@ -300,7 +337,7 @@ def splice(spark: SparkSession, path: str, to: str, found: DataFrame, edits: Dat
             splicer.finish()
             stream.close()
             counts = sorted(told.items())
-            return pa.RecordBatch.from_pydict({"file": [now[0]] * len(counts), "piece": [now[1]] * len(counts), "draft": [draft] * len(counts), "kind": [k for k, _ in counts], "n": [n for _, n in counts]})
+            return pa.RecordBatch.from_pydict({"file": [now[0]] * len(counts), "piece": [now[1]] * len(counts), "draft": [draft] * len(counts), "digest": [stream.digest.hexdigest()] * len(counts), "kind": [k for k, _ in counts], "n": [n for _, n in counts]})
 
         for batch in batches:
             for e in batch.to_pylist():
@@ -311,7 +348,7 @@ def splice(spark: SparkSession, path: str, to: str, found: DataFrame, edits: Dat
                     folder = target_of(e["file"]).rpartition("/")[0]
                     out_fs.create_dir(folder or "/")
                     draft = f"{folder}/_{uuid.uuid4().hex}.tmp"
-                    stream = out_fs.open_output_stream(draft)
+                    stream = _Digested(out_fs.open_output_stream(draft))
                     splicer = _Splicer(fs, e["file"], stream, salt, e["start"], e["stop"])
                 if e["kind"] is not None:
                     splicer.edit(e)
@@ -324,6 +361,9 @@ def splice(spark: SparkSession, path: str, to: str, found: DataFrame, edits: Dat
         for batch in batches:
             for row in batch.to_pylist():
                 target = target_of(row["file"])
+                if in_parts:
+                    _publish(out_fs, target, row["drafts"])
+                    continue
                 whole = f"{target.rpartition('/')[0]}/_{uuid.uuid4().hex}.tmp"
                 with out_fs.open_output_stream(whole) as out:
                     for piece in row["drafts"]:
@@ -333,12 +373,13 @@ def splice(spark: SparkSession, path: str, to: str, found: DataFrame, edits: Dat
                 out_fs.move(whole, target)
             yield batch
 
-    done = stored(dealt.mapInArrow(run, "file string, piece long, draft string, kind string, n long"), "spliced")
-    drafts = done.where("kind = 'copied'").groupBy("file").agg(F.array_sort(F.collect_list(F.struct("piece", "draft"))).alias("drafts"))
+    done = stored(dealt.mapInArrow(run, "file string, piece long, draft string, digest string, kind string, n long"), "spliced")
+    drafts = done.where("kind = 'copied'").groupBy("file").agg(F.array_sort(F.collect_list(F.struct("piece", "draft", "digest"))).alias("drafts"))
     joined = stored(drafts.repartition(len(listed), "file").mapInArrow(join, drafts.schema), "joined")
     out_fs, _ = xmlranges.filesystem(to)
-    for row in joined.select(F.explode("drafts.draft").alias("draft")).toLocalIterator():
-        out_fs.delete_file(row["draft"])
+    if not in_parts:
+        for row in joined.select(F.explode("drafts.draft").alias("draft")).toLocalIterator():
+            out_fs.delete_file(row["draft"])
     return done.where("kind <> 'copied'").groupBy("file", "kind").agg(F.sum("n").alias("n"))
 
 
@@ -358,4 +399,5 @@ def merge(spark: SparkSession, path: str, to: str, ours: DataFrame, relation_pre
     ours, theirs = stored(ours, "ours"), stored(read_rdfxml(spark, path), "theirs")
     merged = stored(changes.apply_merge(ours, theirs, changes.merge_diff(ours, theirs, relation_prefix)), "merged")
     before = _plain(theirs).select(*merged.columns)
-    return change(spark, path, to, changes.difference(before, merged), changes.difference(merged, before))
+    sides = stored(changes.one_sided(before, merged), "sides")
+    return change(spark, path, to, *(sides.where(F.col("side") == side).drop("side") for side in ("removed", "added")))

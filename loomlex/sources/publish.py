@@ -20,9 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
-from .xmlranges import filesystem
+from ..operators.tables import swept
+from .xmlranges import MANIFEST, filesystem
 
-MANIFEST = "_published.json"
 _MOD = 1 << 256
 
 
@@ -129,7 +129,8 @@ def publish_lines(lines: DataFrame, path: str, header: str = "", footer: str = "
     """
     lines.sparkSession.dataSource.register(LinesSource)
     try:
-        lines.write.format("loomlex-lines").mode("append").options(header=header, footer=footer, suffix=suffix).save(path)
+        with swept(lines.sparkSession):
+            lines.write.format("loomlex-lines").mode("append").options(header=header, footer=footer, suffix=suffix).save(path)
     except Exception as e:
         if "holds something else" in str(e):
             raise FileExistsError(f"{path} holds something else") from e

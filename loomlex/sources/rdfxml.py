@@ -17,6 +17,7 @@ from collections.abc import Iterable, Iterator
 from itertools import batched
 from urllib.parse import urljoin
 from xml.parsers import expat
+from xml.sax.saxutils import quoteattr
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -183,7 +184,7 @@ class Head:
 
 def head_at(fs, file: str, size: int) -> Head | None:
     """The head of a list of nodes; None for other roots, and for encodings whose bytes can't be cut."""
-    with fs.open_input_stream(file) as f:
+    with xmlranges.opened(fs, file) as f:
         raw = f.read(size)
     if raw[:2] in (b"\xff\xfe", b"\xfe\xff") or raw.rstrip().endswith(b"/>"):
         return None
@@ -246,11 +247,11 @@ class _Reader(DataSourceReader):
     def rows(self, part: _Part) -> Iterator[tuple]:
         fs, _ = xmlranges.filesystem(self.path)
         if part.range is None:
-            with fs.open_input_stream(part.file) as source:
+            with xmlranges.opened(fs, part.file) as source:
                 yield from parse_raw(source) if self.raw else parse(source, self.base, prefix_of(part.file))
             return
         r = xmlranges.Range(*part.range)
-        with fs.open_input_file(part.file) as file:
+        with xmlranges.opened(fs, part.file) as file:
             head = head_at(fs, part.file, r.head)
             pairs = [(s, p) for s in self.subjects or [None] for p in self.predicates or [None]]
             kept = (e for e in xmlranges.elements(file, r) if any(may_hold(e.raw, head, s, p) for s, p in pairs))
@@ -371,24 +372,33 @@ def node_name(c: Column) -> Column:
     return F.regexp_replace(plain, r"\s", "")
 
 
-def lines(triples: DataFrame) -> DataFrame:
-    """(subject, line): each triple as an element of its own; nameless nodes are called by rdf:nodeID.
+#: Predicates whose namespaces a document's head declares; elements with others declare their own.
+_DECLARED = 200
+#: Namespaces that no prefix may be declared for.
+_RESERVED = ("http://www.w3.org/XML/1998/namespace", "http://www.w3.org/2000/xmlns/")
+_NO_XML = r"[\x00-\x08\x0B\x0C\x0E-\x1F\uFFFE\uFFFF]"
+
+
+def lines(triples: DataFrame, tags: dict[str, str] | None = None) -> DataFrame:
+    """(subject, line): each triple as an element of its own; nameless nodes are called by rdf:nodeID. tags: names of predicates by prefixes that the head declares.
 
     A predicate that ends in no name, or a literal with characters that XML has not, fails.
     """
     name = F.regexp_extract("predicate", "(" + _LOCAL + ")", 1)
     space = F.col("predicate").substr(F.lit(1), F.length("predicate") - F.length(name))
+    told = F.try_element_at(F.create_map(*(F.lit(x) for kv in tags.items() for x in kv)), F.col("predicate")) if tags else F.lit(None).cast("string")
+    called = F.coalesce(told, F.concat(F.lit("p:"), name))
     fail = lambda what, c: F.raise_error(F.concat(F.lit(what), c))
     about = F.when(F.col("subject_kind") == "bnode", F.concat(F.lit('rdf:nodeID="'), node_name(F.col("subject")))).otherwise(F.concat(F.lit('rdf:about="'), _escaped(F.col("subject"), True)))
-    tag = F.concat(F.lit('"><p:'), name, F.lit(' xmlns:p="'), _escaped(space, True), F.lit('"'))
+    tag = F.concat(F.lit('"><'), F.coalesce(told, F.concat(F.lit("p:"), name, F.lit(' xmlns:p="'), _escaped(space, True), F.lit('"'))))
     kind = F.when(F.col("language").isNotNull(), F.concat(F.lit(' xml:lang="'), _escaped(F.col("language"), True), F.lit('"'))).when(F.col("datatype").isNotNull(), F.concat(F.lit(' rdf:datatype="'), _escaped(F.col("datatype"), True), F.lit('"'))).otherwise("")
     value = (
         F.when(F.col("object_kind") == "iri", F.concat(F.lit(' rdf:resource="'), _escaped(F.col("object"), True), F.lit('"/>')))
         .when(F.col("object_kind") == "bnode", F.concat(F.lit(' rdf:nodeID="'), node_name(F.col("object")), F.lit('"/>')))
-        .when(F.col("object").rlike(r"[\x00-\x08\x0B\x0C\x0E-\x1F\uFFFE\uFFFF]"), fail("no XML text: ", F.col("object")))
-        .otherwise(F.concat(kind, F.lit(">"), _escaped(F.col("object")), F.lit("</p:"), name, F.lit(">")))
+        .when(F.col("object").rlike(_NO_XML), fail("no XML text: ", F.col("object")))
+        .otherwise(F.concat(kind, F.lit(">"), _escaped(F.col("object")), F.lit("</"), called, F.lit(">")))
     )
-    line = F.when(F.length(name) == 0, fail("no XML name: ", F.col("predicate"))).otherwise(F.concat(F.lit("<rdf:Description "), about, tag, value, F.lit("</rdf:Description>")))
+    line = F.when(told.isNull() & (F.length(name) == 0), fail("no XML name: ", F.col("predicate"))).otherwise(F.concat(F.lit("<rdf:Description "), about, tag, value, F.lit("</rdf:Description>")))
     return triples.select("subject", line.alias("line"))
 
 
@@ -404,7 +414,17 @@ def to_rdfxml(triples: DataFrame) -> Iterator[str]:
 
 
 def write_rdfxml(triples: DataFrame, path: str) -> dict:
-    """Publishes triples as one document in parts (publish_lines), sorted by ranges of subjects; the manifest."""
+    """Publishes triples as one document in parts (publish_lines), sorted by ranges of subjects; the manifest.
+
+    The head declares their namespaces, so that an element neither repeats its own nor has to be parsed for it. The parts
+    are read as one file (xmlranges.opened); join_parts() is for other readers.
+    """
     from .publish import publish_lines
 
-    return publish_lines(lines(triples.distinct().orderBy(*_ORDER)).select("line"), path, HEADER, FOOTER, ".rdf")
+    prefixes, tags = {RDF: "rdf"}, {}
+    for row in triples.select("predicate").distinct().orderBy("predicate").limit(_DECLARED).collect():
+        found = re.fullmatch(r"([!-~]*?)([A-Za-z_][A-Za-z0-9_.-]*)", row["predicate"] or "")
+        if found and found[1] and found[1] not in _RESERVED:
+            tags[row["predicate"]] = f"{prefixes.setdefault(found[1], f'ns{len(prefixes)}')}:{found[2]}"
+    head = HEADER[:-2] + "".join(f" xmlns:{p}={quoteattr(ns)}" for ns, p in prefixes.items() if ns != RDF) + HEADER[-2:]
+    return publish_lines(lines(triples.distinct().orderBy(*_ORDER), tags).select("line"), path, head, FOOTER, ".rdf")

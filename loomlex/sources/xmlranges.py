@@ -9,10 +9,13 @@ Only these figures leave a task, a row for each range.
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +31,8 @@ _TOKEN = re.compile(rb"<(?:!--.*?-->|!\[CDATA\[.*?\]\]>|\?.*?\?>|/[^>]*>|[^!?/](
 #: Text and the token after it, in bytes that hold the token to its end.
 _NEXT = re.compile(rb"[^<]*+(" + _TOKEN.pattern + rb")", re.S)
 _OPENERS = (b"<!--", b"<![CDATA[")
+#: What a publication (publish) says of itself; a folder that has it is one document, whose parts follow each other.
+MANIFEST = "_published.json"
 
 
 def filesystem(path: str):
@@ -38,15 +43,76 @@ def filesystem(path: str):
 
 
 def files_of(path: str) -> list[tuple[str, int]]:
-    """(path within its file system, bytes) of a file, or of a folder's files in order."""
+    """(path within its file system, bytes) of a file or publication, or of a folder's files in order."""
     from pyarrow.fs import FileSelector, FileType
 
     fs, at = filesystem(path)
+    parts = parts_of(fs, at)
+    if parts is not None:
+        return [(at.rstrip("/"), sum(n for _, n in parts))]
     info = fs.get_file_info(at)
     found = [f for f in fs.get_file_info(FileSelector(at)) if f.type == FileType.File and not f.base_name.startswith(("_", "."))] if info.type == FileType.Directory else [info]
     return sorted((f.path, f.size) for f in found)
 
 
+def parts_of(fs, at: str) -> list[tuple[str, int]] | None:
+    """(path, bytes) of a publication's parts in their order; None for what is no publication."""
+    from pyarrow.fs import FileType
+
+    told = f"{at.rstrip('/')}/{MANIFEST}"
+    if fs.get_file_info(told).type != FileType.File:
+        return None
+    with fs.open_input_stream(told) as f:
+        names = json.loads(f.read())["parts"]
+    return [(i.path, i.size) for i in fs.get_file_info([f"{at.rstrip('/')}/{n}" for n in names])]
+
+
+def opened(fs, file: str):
+    """A file, or a publication's parts as one file, to seek and read in."""
+    parts = parts_of(fs, file)
+    return fs.open_input_file(file) if parts is None else Parts(fs, parts)
+
+
+class Parts:
+    """Files read as the one file that they are one after the other, so that none has to be written of them."""
+
+    def __init__(self, fs, parts: list[tuple[str, int]]):
+        self.fs, self.names, self.starts = fs, [p for p, _ in parts], [0, *accumulate(n for _, n in parts)]
+        self.at, self.held, self.file = 0, -1, None
+
+    def size(self) -> int:
+        return self.starts[-1]
+
+    def seek(self, at: int) -> None:
+        self.at = at
+
+    def read(self, n: int | None = None) -> bytes:
+        to, out = min(self.size(), self.size() if n is None or n < 0 else self.at + n), []
+        while self.at < to:
+            k = bisect_right(self.starts, self.at) - 1
+            if k != self.held:
+                self.close()
+                self.file, self.held = self.fs.open_input_file(self.names[k]), k
+            self.file.seek(self.at - self.starts[k])
+            piece = self.file.read(min(to, self.starts[k + 1]) - self.at)
+            if not piece:
+                raise EOFError(f"{self.names[k]} is shorter than it was")
+            out.append(piece)
+            self.at += len(piece)
+        return out[0] if len(out) == 1 else b"".join(out)
+
+    def close(self) -> None:
+        if self.file is not None:
+            self.file.close()
+        self.held, self.file = -1, None
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+
 class Window:
     """Bytes of an open file from a place on, read as they are asked for; what lies behind is dropped when more are read, so that no byte is moved for each token."""
 
@@ -168,7 +234,7 @@ def plan(path: str, size: int = RANGE_BYTES) -> list[Range]:
     fs, _ = filesystem(path)
     out = []
     for file, length in files_of(path):
-        with fs.open_input_file(file) as f:
+        with opened(fs, file) as f:
             head = head_of(f)
         step = max(size, min(RANGE_BYTES, -(-(length - head) // MOST_RANGES)))
         cuts = [head, *range(head + step, length, step), max(length, head + 1)]
@@ -187,7 +253,7 @@ def ranges(spark: SparkSession, path: str, size: int = RANGE_BYTES) -> DataFrame
         fs, _ = filesystem(root)
         for batch in batches:
             for r in batch.to_pylist():
-                with fs.open_input_file(r["file"]) as f:
+                with opened(fs, r["file"]) as f:
                     first, after, change = lex(Window(f, r["start"]), r["start"], r["stop"])
                 row = r | {"places": [p for p, _ in first], "depths": [d for _, d in first], "after": after, "change": change}
                 yield pa.RecordBatch.from_pylist([row], schema)
@@ -206,7 +272,7 @@ def ranges(spark: SparkSession, path: str, size: int = RANGE_BYTES) -> DataFrame
                 depth += r["change"] - r["depths"][r["places"].index(at)]
                 at = r["after"]
             else:
-                with fs.open_input_file(r["file"]) as f:
+                with opened(fs, r["file"]) as f:
                     _, at, change = lex(Window(f, at), at, r["stop"])
                 depth += change
         return pa.Table.from_pylist(out, schema=pa.schema([pa.field("file", pa.string()), pa.field("number", pa.int32()), *(pa.field(c, pa.int64()) for c in ("start", "stop", "head", "at")), pa.field("depth", pa.int32())]))

@@ -2,13 +2,14 @@
 
 import difflib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from loomlex.operators import changes, graph
 from loomlex.operators.tables import OWL, RDFS, SKOS, TRIPLES, XSD, stored
-from loomlex.sources import edits, rdfxml
+from loomlex.sources import edits, rdfxml, xmlranges
 
 HEAD = """<?xml version="1.0"?>
 <rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:rdfs="http://www.w3.org/2000/01/rdf-schema#" xmlns:owl="http://www.w3.org/2002/07/owl#" xmlns:skos="http://www.w3.org/2004/02/skos/core#">
@@ -119,3 +120,43 @@ def test_a_file_is_written_by_pieces_as_it_is_whole(spark, tmp_path):
         assert len(pieces) > 5 and pieces[0][2] == 0 and pieces[-1][3] is None
         assert all(a[3] == b[2] and b[2] in starts for a, b in zip(pieces, pieces[1:], strict=False))
     assert sorted(p.name for p in tmp_path.iterdir() if p.suffix != ".crc") == ["in.owl", "out.owl"]
+
+
+def test_a_publication_is_one_document_and_stays_one(spark, tmp_path):
+    """Its parts are read, and edited, as the file that they are one after the other; nothing is written twice."""
+    from loomlex.sources import publish
+
+    triples = spark.createDataFrame([(f"urn:s{i:03d}", "iri", f"urn:p/{'ab'[i % 2]}", f"value {i} <&>", "literal", None, None) for i in range(300)], TRIPLES)
+    removed, added = triples.where("subject LIKE '%7'"), triples.where("subject LIKE '%3'").withColumn("predicate", F.lit("urn:q/new"))
+    at = str(tmp_path / "parts")
+    rdfxml.write_rdfxml(triples.repartition(3), at)
+    publish.join_parts(spark, at, str(tmp_path / "one.owl"))
+    text = (tmp_path / "one.owl").read_bytes()
+    assert b"xmlns" not in text[text.index(b"\n<rdf:Description") :] and text.count(b"urn:p/") == 1
+    fs, file = xmlranges.filesystem(at)
+    with xmlranges.opened(fs, file) as f:
+        assert xmlranges.files_of(at) == [(file, len(text))] and f.read() == text
+        for a, n in ((0, 10), (len(text) - 5, 90), (400, 4000), (len(text), 1)):
+            f.seek(a)
+            assert f.read(n) == text[a : a + n]
+    assert sorted(map(tuple, rdfxml.read_rdfxml(spark, at, size=700).collect())) == sorted(map(tuple, triples.collect()))
+    for source, to in ((at, tmp_path / "new"), (str(tmp_path / "one.owl"), tmp_path / "new.owl")):
+        edits.change(spark, source, str(to), removed, added, size=900)
+    publish.join_parts(spark, str(tmp_path / "new"), str(tmp_path / "joined.owl"))
+    assert (tmp_path / "joined.owl").read_bytes() == (tmp_path / "new.owl").read_bytes()
+    assert len(publish.read_manifest(str(tmp_path / "new"))["parts"]) > 3 and not list(tmp_path.glob("_*"))
+    with pytest.raises(FileExistsError):
+        edits.change(spark, at, str(tmp_path / "new"), removed, added)
+
+
+def test_what_is_stored_leaves_no_shuffle_files(spark):
+    """They lay on the executors' disks until the driver collected garbage, and were more than all documents."""
+    held = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    shuffles = lambda: sum("shuffle_" in str(held().apply(i).getName()) for i in range(held().size()))
+    before = shuffles()
+    stored(spark.range(1000).repartition(7, "id"), "swept")
+    end = time.time() + 20  # files go shortly after the write
+    while shuffles() > before and time.time() < end:
+        time.sleep(0.2)
+    assert shuffles() <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
